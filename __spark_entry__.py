@@ -57,9 +57,9 @@ def _bound(spark: SparkSession, sf_dir: str):
     return load_bound(spark, sf_dir)
 
 
-def _daily_all_plays(spark, sf_dir) -> DataFrame:
+def _daily_all_plays(spark, sf_dir, how: str = "none") -> DataFrame:
     activity, metadata = _bound(spark, sf_dir)
-    pg = plays_with_genre(activity, metadata, "day", (ALL,))
+    pg = plays_with_genre(activity, metadata, "day", (ALL,), how=how)
     return cohort_plays(pg, "day", ALL, ("genre",))
 
 
@@ -170,7 +170,7 @@ def q_plays_with_genre(spark, sf_dir):
 
 
 def q_dense_grid(spark, sf_dir):
-    grid = dense_grid(_daily_all_plays(spark, sf_dir), "date", DAY_ALL.min_streams)
+    grid = dense_grid(_daily_all_plays(spark, sf_dir, "checkpoint"), "date", DAY_ALL.min_streams)
     return grid.select("date", "destination", "tleo", "genre")
 
 
@@ -180,7 +180,7 @@ def q_suppress_low(spark, sf_dir):
 
 
 def q_grid_streams(spark, sf_dir):
-    grid = dense_grid(_daily_all_plays(spark, sf_dir), "date", DAY_ALL.min_streams)
+    grid = dense_grid(_daily_all_plays(spark, sf_dir, "checkpoint"), "date", DAY_ALL.min_streams)
     return grid.select("date", "destination", "tleo", "genre", "streams")
 
 

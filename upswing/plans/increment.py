@@ -32,13 +32,13 @@ def score_increment(
     job: Job = DAILY_JOB,
     history_days: int = INCREMENT_HISTORY_DAYS,
     filters: ActivityFilters = ActivityFilters(),
-    checkpoint: bool = False,
+    how: str = "checkpoint",
 ) -> dict[str, DataFrame]:
     """Each cohort's scored rows of the day before ``as_of``."""
     if any(spec.grain != "day" for _, spec in job):
         raise ValueError("the increment is daily")
     dates = increment_dates(as_of, history_days)
-    scored = score_cohorts(activity, metadata, job, filters, dates, checkpoint)
+    scored = score_cohorts(activity, metadata, job, filters, dates, how)
     day = F.lit(dates[1])
     return {name: df.where(F.col("date") == day) for name, df in scored.items()}
 
@@ -50,10 +50,10 @@ def increment_wide(
     job: Job = DAILY_JOB,
     history_days: int = INCREMENT_HISTORY_DAYS,
     filters: ActivityFilters = ActivityFilters(),
-    checkpoint: bool = False,
+    how: str = "checkpoint",
 ) -> DataFrame:
     """Wide rows of the day before ``as_of``."""
-    scored = score_increment(activity, metadata, as_of, job, history_days, filters, checkpoint)
+    scored = score_increment(activity, metadata, as_of, job, history_days, filters, how)
     everyone, young, ondemand = (scored[c.name] for c, _ in job)
     return combine_cohorts(everyone, young, ondemand, "date")
 
@@ -70,7 +70,7 @@ def run_increment(
     filters: ActivityFilters = ActivityFilters(),
     script: str = "surge_increment",
     target_table: str = "surge_daily",
-    checkpoint: bool = True,
+    how: str = "checkpoint",
 ) -> str:
     """Score yesterday, publish it into the daily table and record the run.
 
@@ -83,7 +83,7 @@ def run_increment(
     started = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     status = "FAILED"
     try:
-        wide = increment_wide(activity, metadata, as_of, job, history_days, filters, checkpoint)
+        wide = increment_wide(activity, metadata, as_of, job, history_days, filters, how)
         publish(wide, output_path, mode=mode, partition_by="date")
         status = "FINISHED"
     finally:

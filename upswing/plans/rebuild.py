@@ -29,6 +29,26 @@ def _grain(job: Job) -> str:
     return grains.pop()
 
 
+MATERIALIZE = ("checkpoint", "cache", "none")
+
+
+def materialize(df: DataFrame, how: str) -> DataFrame:
+    """Compute ``df`` once for all its consumers.
+
+    checkpoint  write it to the shared checkpoint folder and cut the lineage
+                (an executor lost later costs a re-read, not a re-scan)
+    cache       keep it in executor memory/disk (recomputed from the scan if lost)
+    none        leave it lazy: each consumer recomputes it
+    """
+    if how == "checkpoint":
+        return reliable_checkpoint(df)
+    if how == "cache":
+        return df.persist()
+    if how == "none":
+        return df
+    raise ValueError(f"materialize must be one of {MATERIALIZE}, not {how!r}")
+
+
 def plays_with_genre(
     activity: DataFrame,
     metadata: DataFrame,
@@ -36,17 +56,22 @@ def plays_with_genre(
     cohorts: tuple[Cohort, ...],
     filters: ActivityFilters = ActivityFilters(),
     dates: tuple[_dt.date, _dt.date] | None = None,
-    checkpoint: bool = False,
+    how: str = "none",
+    restrict_genres: bool = False,
 ) -> DataFrame:
     """Fused per-cohort counts with each programme's modal genre attached.
 
-    ``checkpoint=True`` materialises the result to the shared checkpoint
-    folder: every later stage reads it (several times), and an executor lost
-    later then never forces a re-scan of the activity table.
+    The genre dimension is built from the whole metadata table by default, so
+    it does not depend on the counts and the activity table is aggregated
+    exactly once; ``restrict_genres=True`` first semi-joins the metadata with
+    the played programmes (same result). ``how`` materialises the result for
+    its several consumers (the spine and the per-key series of every cohort).
+    Each consumer prunes different columns, so without materialising, Spark
+    would plan (and run) the activity aggregation once per consumer.
     """
     fused = count_plays_by_cohort(activity, grain, cohorts, filters, dates)
-    out = attach_genre(fused, genre_dimension(metadata, fused))
-    return reliable_checkpoint(out) if checkpoint else out
+    genres = genre_dimension(metadata, fused if restrict_genres else None)
+    return materialize(attach_genre(fused, genres), how)
 
 
 def score_cohorts(
@@ -55,12 +80,16 @@ def score_cohorts(
     job: Job = DAILY_JOB,
     filters: ActivityFilters = ActivityFilters(),
     dates: tuple[_dt.date, _dt.date] | None = None,
-    checkpoint: bool = False,
+    how: str = "checkpoint",
 ) -> dict[str, DataFrame]:
-    """Scored grid of every cohort of ``job``, by cohort name."""
+    """Scored grid of every cohort of ``job``, by cohort name.
+
+    The fused counts are materialised (``how``, default a reliable checkpoint)
+    because every cohort reads them twice.
+    """
     grain = _grain(job)
     cohorts = tuple(c for c, _ in job)
-    pg = plays_with_genre(activity, metadata, grain, cohorts, filters, dates, checkpoint)
+    pg = plays_with_genre(activity, metadata, grain, cohorts, filters, dates, how)
     return {c.name: score_plays(cohort_plays(pg, grain, c, ("genre",)), spec) for c, spec in job}
 
 
@@ -70,13 +99,13 @@ def surge_wide(
     job: Job = DAILY_JOB,
     filters: ActivityFilters = ActivityFilters(),
     dates: tuple[_dt.date, _dt.date] | None = None,
-    checkpoint: bool = False,
+    how: str = "checkpoint",
     independent: bool = False,
 ) -> DataFrame:
     """Wide table of a three-cohort job: (everyone, young, on-demand) in job order."""
     if len(job) != 3:
         raise ValueError("a wide table needs exactly three cohorts")
-    scored = score_cohorts(activity, metadata, job, filters, dates, checkpoint)
+    scored = score_cohorts(activity, metadata, job, filters, dates, how)
     everyone, young, ondemand = (scored[c.name] for c, _ in job)
     return combine_cohorts(everyone, young, ondemand, job[0][1].time_col, independent)
 
@@ -87,10 +116,10 @@ def run_rebuild(
     output_path: str,
     job: Job = DAILY_JOB,
     filters: ActivityFilters = ActivityFilters(),
-    checkpoint: bool = True,
+    how: str = "checkpoint",
 ) -> DataFrame:
     """Rebuild and replace the published wide table; returns it read back."""
-    wide = surge_wide(activity, metadata, job, filters, checkpoint=checkpoint)
+    wide = surge_wide(activity, metadata, job, filters, how=how)
     t = job[0][1].time_col
     publish(wide, output_path, mode="replace", partition_by="date" if t == "date" else None)
     return wide.sparkSession.read.parquet(output_path)
