@@ -1,0 +1,8 @@
+"""No streaming operators.
+
+The original workload has none: its hourly job is a batch rebuild and its
+increment a daily batch. The trailing frames count *observed* buckets (ROWS
+frames of up to 672 rows), which a Structured Streaming event-time window
+cannot express. A scheduler calling ``upswing.plans.run_increment`` once a
+day is the equivalent of the original's daily insert.
+"""
