@@ -8,7 +8,13 @@ from upswing.operators.genre import (
     programme_titles,
     titles_matching_any,
 )
-from upswing.operators.grid import dense_grid, overall_stats, spine_with_overall
+from upswing.operators.grid import (
+    cohort_spine,
+    dense_grid,
+    job_spine,
+    overall_stats,
+    spine_with_overall,
+)
 from upswing.operators.plays import (
     cohort_plays,
     count_plays,
@@ -21,12 +27,14 @@ from upswing.operators.score import score_grid, score_plays
 __all__ = [
     "attach_genre",
     "cohort_plays",
+    "cohort_spine",
     "combine_cohorts",
     "count_plays",
     "count_plays_by_cohort",
     "dense_grid",
     "filtered_activity",
     "genre_dimension",
+    "job_spine",
     "modal_genre",
     "overall_stats",
     "programme_titles",

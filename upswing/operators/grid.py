@@ -41,6 +41,14 @@ def overall_stats(plays: DataFrame, t: str, min_streams: int, value: str = "play
     return plays.groupBy(t).agg(F.avg(s).alias("overall_avg"), F.stddev_samp(s).alias("overall_sd"))
 
 
+def _checked_array(rows: DataFrame, fields: list[str], max_buckets: int) -> Column:
+    arr = F.collect_list(F.struct(*fields))
+    checked = F.when(F.size(arr) <= max_buckets, arr).otherwise(
+        F.raise_error(F.lit(f"time spine longer than {max_buckets} buckets"))
+    )
+    return rows.select(checked.alias("spine")).scalar()
+
+
 def spine_with_overall(
     plays: DataFrame,
     t: str,
@@ -54,31 +62,71 @@ def spine_with_overall(
     platforms). The NULL bucket, if any, is kept with NULL statistics.
     """
     per_bucket = overall_stats(plays, t, min_streams, value)
-    arr = F.collect_list(F.struct(t, "overall_avg", "overall_sd"))
-    checked = F.when(F.size(arr) <= max_buckets, arr).otherwise(
-        F.raise_error(F.lit(f"time spine longer than {max_buckets} buckets"))
-    )
-    return per_bucket.select(checked.alias("spine")).scalar()
+    return _checked_array(per_bucket, [t, "overall_avg", "overall_sd"], max_buckets)
 
 
-def dense_grid(plays: DataFrame, t: str, min_streams: int, value: str = "plays") -> DataFrame:
+def job_spine(
+    fused: DataFrame,
+    t: str,
+    cohorts: list[tuple[str, int]],
+    max_buckets: int = MAX_SPINE_BUCKETS,
+) -> Column:
+    """One spine for several cohorts of the fused counts: struct(t, in_c, avg_c, sd_c per cohort).
+
+    ``cohorts`` is [(name, min_streams)]. One scalar subquery serves every
+    cohort of a job (Spark reuses it), instead of one aggregation per cohort;
+    ``cohort_spine`` picks a cohort's buckets and statistics out of it.
+    """
+    aggs, fields = [], [t]
+    for name, min_streams in cohorts:
+        present = F.col(f"in_{name}")
+        s = F.when(present, _scored(f"plays_{name}", min_streams, t)).cast("double")
+        aggs += [
+            F.bool_or(present).alias(f"in_{name}"),
+            F.avg(s).alias(f"avg_{name}"),
+            F.stddev_samp(s).alias(f"sd_{name}"),
+        ]
+        fields += [f"in_{name}", f"avg_{name}", f"sd_{name}"]
+    return _checked_array(fused.groupBy(t).agg(*aggs), fields, max_buckets)
+
+
+def cohort_spine(spine: Column, name: str) -> tuple[Column, str]:
+    """Cohort ``name``'s view of a ``job_spine``: pass to ``dense_grid(..., spine=...)``."""
+    return spine, name
+
+
+def dense_grid(
+    plays: DataFrame,
+    t: str,
+    min_streams: int,
+    value: str = "plays",
+    spine: tuple[Column, str] | None = None,
+) -> DataFrame:
     """(t, destination, tleo, genre, streams, overall_avg, overall_sd) for every spine x key.
 
     ``streams`` is the count where the key has a row for the bucket with a
     non-NULL genre and at least ``min_streams`` plays, NULL otherwise.
+    ``spine`` is a cohort's view of a ``job_spine`` (``cohort_spine``); by
+    default the spine is built from ``plays`` alone (``spine_with_overall``).
     """
     entry = F.when(
         F.col(t).isNotNull() & F.col("genre").isNotNull(),
         F.struct(F.col(t).alias("k"), F.col(value).alias("v")),
     )
     series = plays.groupBy(*KEYS).agg(F.map_from_entries(F.collect_list(entry)).alias("_by_t"))
-    spine = spine_with_overall(plays, t, min_streams, value)
-    cells = series.select(*KEYS, "_by_t", F.explode(spine).alias("_b"))
+    if spine is None:
+        arr, avg, sd, keep = spine_with_overall(plays, t, min_streams, value), "overall_avg", "overall_sd", None
+    else:
+        arr, name = spine
+        avg, sd, keep = f"avg_{name}", f"sd_{name}", F.col(f"_b.in_{name}")
+    cells = series.select(*KEYS, "_by_t", F.explode(arr).alias("_b"))
+    if keep is not None:
+        cells = cells.where(keep)
     count = F.try_element_at(F.col("_by_t"), F.col(f"_b.{t}"))
     return cells.select(
         F.col(f"_b.{t}").alias(t),
         *KEYS,
         suppress_low(count, min_streams).alias("streams"),
-        F.col("_b.overall_avg").alias("overall_avg"),
-        F.col("_b.overall_sd").alias("overall_sd"),
+        F.col(f"_b.{avg}").alias("overall_avg"),
+        F.col(f"_b.{sd}").alias("overall_sd"),
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from upswing.functions.columns import first_token, surge_z
@@ -40,6 +40,8 @@ def score_grid(grid: DataFrame, spec: ScoreSpec) -> DataFrame:
     return scored.select(*score_columns(spec))
 
 
-def score_plays(plays_with_genre: DataFrame, spec: ScoreSpec, value: str = "plays") -> DataFrame:
+def score_plays(
+    plays_with_genre: DataFrame, spec: ScoreSpec, value: str = "plays", spine: tuple[Column, str] | None = None
+) -> DataFrame:
     """Scored grid of one cohort from its (bucket, destination, tleo, genre, plays) rows."""
-    return score_grid(dense_grid(plays_with_genre, spec.time_col, spec.min_streams, value), spec)
+    return score_grid(dense_grid(plays_with_genre, spec.time_col, spec.min_streams, value, spine), spec)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 
 from upswing.operators.cohorts import combine_cohorts
 from upswing.operators.genre import attach_genre, genre_dimension
+from upswing.operators.grid import cohort_spine, job_spine
 from upswing.operators.plays import cohort_plays, count_plays_by_cohort
 from upswing.operators.score import score_plays
 from upswing.sources.sinks import publish
@@ -90,7 +91,12 @@ def score_cohorts(
     grain = _grain(job)
     cohorts = tuple(c for c, _ in job)
     pg = plays_with_genre(activity, metadata, grain, cohorts, filters, dates, how)
-    return {c.name: score_plays(cohort_plays(pg, grain, c, ("genre",)), spec) for c, spec in job}
+    t = job[0][1].time_col
+    spine = job_spine(pg, t, [(c.name, spec.min_streams) for c, spec in job])
+    return {
+        c.name: score_plays(cohort_plays(pg, grain, c, ("genre",)), spec, spine=cohort_spine(spine, c.name))
+        for c, spec in job
+    }
 
 
 def surge_wide(
