@@ -23,7 +23,7 @@ from upswing.operators.genre import genre_dimension, programme_titles, titles_ma
 from upswing.operators.grid import dense_grid, overall_stats
 from upswing.operators.plays import cohort_plays, count_plays, count_plays_by_cohort
 from upswing.plans.increment import increment_dates, increment_wide, run_increment, score_increment
-from upswing.plans.rebuild import plays_with_genre, score_cohorts, surge_wide
+from upswing.plans.rebuild import plays_with_genre, run_rebuild, score_cohorts, surge_wide
 from upswing.sources.sinks import publish, read_history
 from upswing.sources.storage import shared_path
 from upswing.sources.testdata import load_bound
@@ -239,6 +239,13 @@ def q_publish_increment(spark, sf_dir):
     return _r6(spark.read.parquet(path))
 
 
+def q_publish_daily(spark, sf_dir):
+    """Full rebuild of the daily wide table into a fresh location (replace), read back."""
+    activity, metadata = _bound(spark, sf_dir)
+    path = shared_path(spark, "publish_daily")
+    return _r6(run_rebuild(activity, metadata, path, TEST_DAILY_JOB))
+
+
 def q_run_history(spark, sf_dir):
     """Run the recorded increment job; its history record plus the rows it published."""
     activity, metadata = _bound(spark, sf_dir)
@@ -283,6 +290,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "score_increment_ondemand": q_score_increment_ondemand,
     "increment_wide": q_increment_wide,
     "publish_increment": q_publish_increment,
+    "publish_daily": q_publish_daily,
     "run_history": q_run_history,
 }
 
@@ -385,6 +393,7 @@ def oracle_sql() -> dict[str, str]:
         "score_increment_ondemand": with_steps({"o": IO}, scored_select(IO, "o", _YESTERDAY)),
         "increment_wide": increment,
         "publish_increment": increment,
+        "publish_daily": wide_daily,
         "run_history": with_steps(
             {"a": IA, "y": IY, "o": IO},
             "SELECT 'surge_increment' AS script, 'surge_daily' AS target_table, "

@@ -37,7 +37,7 @@ def titles_matching_any(metadata: DataFrame, played: DataFrame, sentinel: str =
     never join to the plays by the chosen title, which is why the pipeline
     uses ``genre_dimension`` (one semi-join on the chosen title) instead.
     """
-    played_titles = played.select(F.col(TLEO))
+    played_titles = played.select(F.col(TLEO)).distinct()
     cond = functools.reduce(
         operator.or_, [F.col(c).isin(played_titles) for c in (*TITLE_COLUMNS, FALLBACK_TITLE)]
     )
@@ -65,12 +65,12 @@ def genre_dimension(metadata: DataFrame, played: DataFrame | None = None) -> Dat
     """Modal genre of each programme, restricted to ``played`` programmes if given.
 
     The restriction is a left-semi join on the chosen title; its build side is
-    the set of played programme names, which AQE broadcasts when it is small
-    and shuffles otherwise.
+    the set of distinct played programme names (one row per programme, not per
+    play count), which AQE broadcasts when it is small and shuffles otherwise.
     """
     titles = programme_titles(metadata)
     if played is not None:
-        titles = titles.join(played.select(TLEO), TLEO, "left_semi")
+        titles = titles.join(played.select(TLEO).distinct(), TLEO, "left_semi")
     return modal_genre(titles)
 
 

@@ -101,18 +101,26 @@ def count_plays_by_cohort(
     has at least one row of the cohort, even if only NULL play ids).
     """
     t = time_col(grain)
+    flagged = [c for c in cohorts if c.column is not None]
     rows = filtered_activity(activity, filters, dates).select(
         bucket(grain).alias(t),
         F.col("destination").alias(DEST),
         F.col("top_level_editorial_object").alias(TLEO),
         "play_id",
-        *[cohort_flag(c).alias(f"_f_{c.name}") for c in cohorts],
-    )
-    per_play = rows.groupBy(t, DEST, TLEO, "play_id").agg(
-        *[F.bool_or(f"_f_{c.name}").alias(f"_f_{c.name}") for c in cohorts]
+        *[cohort_flag(c).alias(f"_f_{c.name}") for c in flagged],
     )
+    if flagged:
+        per_play = rows.groupBy(t, DEST, TLEO, "play_id").agg(
+            *[F.bool_or(f"_f_{c.name}").alias(f"_f_{c.name}") for c in flagged]
+        )
+    else:
+        per_play = rows.distinct()
     aggs = []
     for c in cohorts:
+        if c.column is None:  # every row is in the cohort
+            aggs.append(F.count("play_id").alias(f"plays_{c.name}"))
+            aggs.append(F.lit(True).alias(f"in_{c.name}"))
+            continue
         flag = F.col(f"_f_{c.name}")
         aggs.append(F.count(F.when(flag, F.col("play_id"))).alias(f"plays_{c.name}"))
         aggs.append(F.bool_or(flag).alias(f"in_{c.name}"))
