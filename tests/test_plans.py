@@ -61,3 +61,22 @@ def test_trailing_windows_need_no_extra_shuffle(spark):
     # one shuffle for the spine's per-bucket statistics, one for the per-key series;
     # the windows run on the series' partitioning
     assert sorted(keyed) == ["datehour, 8", "destination, tleo, genre, 8"], keyed
+
+
+def test_increment_prunes_date_partitions(spark, tmp_path):
+    from upswing.plans.increment import score_increment
+    from upswing.sources.tables import read_activity, write_activity
+
+    activity, metadata = load_bound(spark, SF)
+    path = str(tmp_path / "activity")
+    write_activity(activity, path)
+    stored = read_activity(spark, path)
+    df = count_plays(stored, "day", dates=(entry._INC[0], entry._INC[1]))
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    text = df._jdf.queryExecution().explainString(mode)
+    scan = re.sub(r"#\d+L?", "", re.search(r"\(\d+\) Scan parquet.*?\n\n", text, re.S).group(0))
+    assert "PartitionFilters: [isnotnull(date_of_event" in scan and "date_of_event >= 2024-01-03" in scan
+    assert "In(destination, [PS_IPLAYER,PS_SOUNDS])" in scan and "EqualTo(clip_id,null)" in scan
+    got = score_increment(stored, metadata, entry.AS_OF, entry.TEST_DAILY_JOB, how="none")["all"]
+    want = score_increment(activity, metadata, entry.AS_OF, entry.TEST_DAILY_JOB, how="none")["all"]
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))

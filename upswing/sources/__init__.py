@@ -2,7 +2,7 @@
 
 from upswing.sources.sinks import HISTORY_SCHEMA, publish, read_history, record_run
 from upswing.sources.storage import ensure_checkpoint_dir, reliable_checkpoint, shared_path
-from upswing.sources.tables import read_activity, read_metadata
+from upswing.sources.tables import read_activity, read_metadata, write_activity
 
 __all__ = [
     "HISTORY_SCHEMA",
@@ -14,4 +14,5 @@ __all__ = [
     "record_run",
     "reliable_checkpoint",
     "shared_path",
+    "write_activity",
 ]

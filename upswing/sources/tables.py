@@ -27,3 +27,20 @@ def read_activity(spark: SparkSession, source: str | DataFrame) -> DataFrame:
 def read_metadata(spark: SparkSession, source: str | DataFrame) -> DataFrame:
     """Programme metadata: the five titles and the genre list."""
     return _load(spark, source).select(*TITLE_COLUMNS, FALLBACK_TITLE, GENRE_LIST)
+
+
+def write_activity(activity: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Store activity facts as Parquet partitioned by ``date_of_event``.
+
+    With this layout the increment's date range becomes a partition filter:
+    only the 28 days it reads are listed and scanned. Rows are clustered by
+    date first so each date is written as few files rather than one per task
+    per date.
+    """
+    (
+        activity.select(*ACTIVITY_COLUMNS)
+        .repartition("date_of_event")
+        .write.mode(mode)
+        .partitionBy("date_of_event")
+        .parquet(path)
+    )
