@@ -21,7 +21,8 @@ def scale_conf(input_bytes: int, target_partition_bytes: int = 256 * MB) -> dict
     * Broadcasts are decided by AQE from measured sizes, capped at 64 MB.
     * Graceful decommissioning migrates shuffle and cached blocks off an
       executor that is being taken away; ``spark.checkpoint.dir`` must name
-      shared storage and is left to the cluster.
+      shared storage and is left to the cluster. Checkpoint files of a job are
+      removed once nothing references them.
     """
     initial = max(200, min(100_000, input_bytes // target_partition_bytes))
     return {
@@ -39,4 +40,5 @@ def scale_conf(input_bytes: int, target_partition_bytes: int = 256 * MB) -> dict
         "spark.storage.decommission.enabled": "true",
         "spark.storage.decommission.shuffleBlocks.enabled": "true",
         "spark.storage.decommission.rddBlocks.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
