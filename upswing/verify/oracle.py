@@ -161,8 +161,14 @@ def steps(run: Run, p: str) -> str:
 )"""
 
 
-def with_steps(runs: dict[str, Run], body: str) -> str:
-    ctes = [BINDING] + [steps(run, p) for p, run in runs.items()]
+#: Binding for tables that already have the pipeline's input schemas.
+IDENTITY_BINDING = """
+activity AS (SELECT * FROM activity_input),
+metadata AS (SELECT * FROM metadata_input)"""
+
+
+def with_steps(runs: dict[str, Run], body: str, binding: str = BINDING) -> str:
+    ctes = [binding] + [steps(run, p) for p, run in runs.items()]
     return "WITH " + ",".join(ctes) + "\n" + body
 
 
