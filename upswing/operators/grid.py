@@ -5,10 +5,11 @@ from the cohort's *observed* buckets (its spine) and the key from the
 cohort's observed keys. It is built without a cross join:
 
 * the spine, with each bucket's all-programme mean and st. dev., is one small
-  array computed by a scalar subquery (one row per observed bucket; its length
-  is checked at run time against ``MAX_SPINE_BUCKETS``);
+  array computed by a scalar subquery: one entry per observed bucket, its
+  length checked at run time against ``MAX_SPINE_BUCKETS``. A job computes one
+  spine for all its cohorts (``job_spine``), which Spark evaluates once;
 * each key's counts are gathered into a bucket -> count map by one
-  ``groupBy`` on the key (at most one entry per spine bucket);
+  ``groupBy`` on the key (at most one entry per spine bucket, also checked);
 * exploding the spine array per key yields the grid rows, already partitioned
   by key, so the trailing windows that follow need no further shuffle.
 """
@@ -41,12 +42,16 @@ def overall_stats(plays: DataFrame, t: str, min_streams: int, value: str = "play
     return plays.groupBy(t).agg(F.avg(s).alias("overall_avg"), F.stddev_samp(s).alias("overall_sd"))
 
 
+def _bounded(c: Column, max_buckets: int, what: str) -> Column:
+    """``c`` (an array or map), or a run-time error if it holds more than ``max_buckets`` entries."""
+    return F.when(F.size(c) <= max_buckets, c).otherwise(
+        F.raise_error(F.lit(f"{what} longer than {max_buckets} buckets"))
+    )
+
+
 def _checked_array(rows: DataFrame, fields: list[str], max_buckets: int) -> Column:
     arr = F.collect_list(F.struct(*fields))
-    checked = F.when(F.size(arr) <= max_buckets, arr).otherwise(
-        F.raise_error(F.lit(f"time spine longer than {max_buckets} buckets"))
-    )
-    return rows.select(checked.alias("spine")).scalar()
+    return rows.select(_bounded(arr, max_buckets, "time spine").alias("spine")).scalar()
 
 
 def spine_with_overall(
@@ -113,7 +118,9 @@ def dense_grid(
         F.col(t).isNotNull() & F.col("genre").isNotNull(),
         F.struct(F.col(t).alias("k"), F.col(value).alias("v")),
     )
-    series = plays.groupBy(*KEYS).agg(F.map_from_entries(F.collect_list(entry)).alias("_by_t"))
+    # one entry per bucket the key was played in: never more than the spine holds
+    by_t = F.map_from_entries(F.collect_list(entry))
+    series = plays.groupBy(*KEYS).agg(_bounded(by_t, MAX_SPINE_BUCKETS, "series of a key").alias("_by_t"))
     if spine is None:
         arr, avg, sd, keep = spine_with_overall(plays, t, min_streams, value), "overall_avg", "overall_sd", None
     else:
