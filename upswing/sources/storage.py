@@ -14,8 +14,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder; set from ``spark.checkpoint.dir`` if needed."""
-    sc = spark.sparkContext
+    """The session's checkpoint folder; set from ``spark.checkpoint.dir`` if needed.
+
+    Under Spark Connect there is no client-side context: the server's
+    ``spark.checkpoint.dir`` is used as it is.
+    """
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set on the Spark Connect server") from None
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
