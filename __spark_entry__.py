@@ -22,6 +22,7 @@ from upswing.functions.columns import first_token, suppress_low
 from upswing.operators.genre import genre_dimension, programme_titles, titles_matching_any
 from upswing.operators.grid import dense_grid, overall_stats
 from upswing.operators.plays import cohort_plays, count_plays, count_plays_by_cohort
+from upswing.plans.counts_store import refresh_counts
 from upswing.plans.increment import increment_dates, increment_wide, run_increment, score_increment
 from upswing.plans.rebuild import plays_with_genre, run_rebuild, score_cohorts, surge_wide
 from upswing.sources.sinks import publish, read_history
@@ -230,6 +231,15 @@ def q_increment_wide(spark, sf_dir):
     return _r6(increment_wide(activity, metadata, AS_OF, TEST_DAILY_JOB))
 
 
+def q_increment_from_store(spark, sf_dir):
+    """Increment read from a stored table of daily counts: only yesterday is recounted."""
+    activity, metadata = _bound(spark, sf_dir)
+    store = shared_path(spark, "counts_store")
+    first, last = increment_dates(AS_OF)
+    refresh_counts(activity, store, (first, last - _dt.timedelta(days=1)), COHORTS)  # earlier runs
+    return _r6(increment_wide(activity, metadata, AS_OF, TEST_DAILY_JOB, counts_store=store))
+
+
 def q_publish_increment(spark, sf_dir):
     """Publish yesterday twice into a fresh table (partition overwrite) and read it back."""
     activity, metadata = _bound(spark, sf_dir)
@@ -289,6 +299,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "score_increment_young": q_score_increment_young,
     "score_increment_ondemand": q_score_increment_ondemand,
     "increment_wide": q_increment_wide,
+    "increment_from_store": q_increment_from_store,
     "publish_increment": q_publish_increment,
     "publish_daily": q_publish_daily,
     "run_history": q_run_history,
@@ -392,6 +403,7 @@ def oracle_sql() -> dict[str, str]:
         "score_increment_young": with_steps({"y": IY}, scored_select(IY, "y", _YESTERDAY)),
         "score_increment_ondemand": with_steps({"o": IO}, scored_select(IO, "o", _YESTERDAY)),
         "increment_wide": increment,
+        "increment_from_store": increment,
         "publish_increment": increment,
         "publish_daily": wide_daily,
         "run_history": with_steps(

@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from upswing.operators.cohorts import combine_cohorts
-from upswing.plans.rebuild import Job, score_cohorts
+from upswing.plans.counts_store import read_counts, refresh_counts
+from upswing.plans.rebuild import Job, score_cohorts, score_counts
 from upswing.sources.sinks import publish, record_run
 from upswing.spec import DAILY_JOB, INCREMENT_HISTORY_DAYS, ActivityFilters
 
@@ -33,12 +34,25 @@ def score_increment(
     history_days: int = INCREMENT_HISTORY_DAYS,
     filters: ActivityFilters = ActivityFilters(),
     how: str = "checkpoint",
+    counts_store: str | None = None,
+    refresh_days: int = 1,
 ) -> dict[str, DataFrame]:
-    """Each cohort's scored rows of the day before ``as_of``."""
+    """Each cohort's scored rows of the day before ``as_of``.
+
+    With ``counts_store`` (see ``upswing.plans.counts_store``) only the last
+    ``refresh_days`` days are recounted from the activity; the other days of
+    the window are read from the store, which must already hold them.
+    """
     if any(spec.grain != "day" for _, spec in job):
         raise ValueError("the increment is daily")
     dates = increment_dates(as_of, history_days)
-    scored = score_cohorts(activity, metadata, job, filters, dates, how)
+    if counts_store is None:
+        scored = score_cohorts(activity, metadata, job, filters, dates, how)
+    else:
+        cohorts = tuple(c for c, _ in job)
+        refresh = (as_of - _dt.timedelta(days=refresh_days), dates[1])
+        refresh_counts(activity, counts_store, refresh, cohorts, filters)
+        scored = score_counts(read_counts(activity.sparkSession, counts_store, dates), metadata, job, how)
     day = F.lit(dates[1])
     return {name: df.where(F.col("date") == day) for name, df in scored.items()}
 
@@ -51,9 +65,13 @@ def increment_wide(
     history_days: int = INCREMENT_HISTORY_DAYS,
     filters: ActivityFilters = ActivityFilters(),
     how: str = "checkpoint",
+    counts_store: str | None = None,
+    refresh_days: int = 1,
 ) -> DataFrame:
     """Wide rows of the day before ``as_of``."""
-    scored = score_increment(activity, metadata, as_of, job, history_days, filters, how)
+    scored = score_increment(
+        activity, metadata, as_of, job, history_days, filters, how, counts_store, refresh_days
+    )
     everyone, young, ondemand = (scored[c.name] for c, _ in job)
     return combine_cohorts(everyone, young, ondemand, "date")
 
@@ -71,6 +89,8 @@ def run_increment(
     script: str = "surge_increment",
     target_table: str = "surge_daily",
     how: str = "checkpoint",
+    counts_store: str | None = None,
+    refresh_days: int = 1,
 ) -> str:
     """Score yesterday, publish it into the daily table and record the run.
 
@@ -83,7 +103,9 @@ def run_increment(
     started = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     status = "FAILED"
     try:
-        wide = increment_wide(activity, metadata, as_of, job, history_days, filters, how)
+        wide = increment_wide(
+            activity, metadata, as_of, job, history_days, filters, how, counts_store, refresh_days
+        )
         publish(wide, output_path, mode=mode, partition_by="date")
         status = "FINISHED"
     finally:

@@ -71,10 +71,29 @@ def plays_with_genre(
     would plan (and run) the activity aggregation once per consumer.
     """
     fused = count_plays_by_cohort(activity, grain, cohorts, filters, dates)
+    return counts_with_genre(fused, metadata, how, restrict_genres)
+
+
+def counts_with_genre(
+    fused: DataFrame, metadata: DataFrame, how: str = "none", restrict_genres: bool = False
+) -> DataFrame:
+    """Attach the modal genre to fused counts (computed here or read from a counts store)."""
     genres = genre_dimension(metadata, fused if restrict_genres else None)
     return materialize(attach_genre(fused, genres), how)
 
 
+def score_counts(fused: DataFrame, metadata: DataFrame, job: Job = DAILY_JOB, how: str = "checkpoint") -> dict[str, DataFrame]:
+    """Scored grid of every cohort of ``job`` from fused counts (``count_plays_by_cohort`` shape)."""
+    grain = _grain(job)
+    pg = counts_with_genre(fused, metadata, how)
+    t = job[0][1].time_col
+    spine = job_spine(pg, t, [(c.name, spec.min_streams) for c, spec in job])
+    return {
+        c.name: score_plays(cohort_plays(pg, grain, c, ("genre",)), spec, spine=cohort_spine(spine, c.name))
+        for c, spec in job
+    }
+
+
 def score_cohorts(
     activity: DataFrame,
     metadata: DataFrame,
@@ -88,15 +107,9 @@ def score_cohorts(
     The fused counts are materialised (``how``, default a reliable checkpoint)
     because every cohort reads them twice.
     """
-    grain = _grain(job)
     cohorts = tuple(c for c, _ in job)
-    pg = plays_with_genre(activity, metadata, grain, cohorts, filters, dates, how)
-    t = job[0][1].time_col
-    spine = job_spine(pg, t, [(c.name, spec.min_streams) for c, spec in job])
-    return {
-        c.name: score_plays(cohort_plays(pg, grain, c, ("genre",)), spec, spine=cohort_spine(spine, c.name))
-        for c, spec in job
-    }
+    fused = count_plays_by_cohort(activity, _grain(job), cohorts, filters, dates)
+    return score_counts(fused, metadata, job, how)
 
 
 def surge_wide(
