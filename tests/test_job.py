@@ -40,6 +40,14 @@ def test_rebuild_and_increment_from_the_command_line(spark, tmp_path):
     assert [str(r[0]) for r in days] == ["2024-01-30"]
     assert [r["status"] for r in read_history(spark, hist).collect()] == ["FINISHED", "FINISHED"]
 
+    store, inc2 = str(tmp_path / "counts"), str(tmp_path / "increment_store")
+    main(["counts", "--from", "2024-01-03", "--to", "2024-01-29", "--activity", act, "--metadata", meta,
+          "--output", store])
+    main(["increment", "--as-of", "2024-01-31", "--activity", act, "--metadata", meta, "--output", inc2,
+          "--history", hist, "--counts-store", store])
+    a, b = spark.read.parquet(inc), spark.read.parquet(inc2)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.select(*a.columns).collect()))
+
 
 def test_scale_conf_grows_with_input():
     small, big = scale_conf(10 << 30), scale_conf(100 << 40)
