@@ -171,7 +171,7 @@ def q_plays_with_genre(spark, sf_dir):
 
 
 def q_dense_grid(spark, sf_dir):
-    grid = dense_grid(_daily_all_plays(spark, sf_dir, "checkpoint"), "date", DAY_ALL.min_streams)
+    grid = dense_grid(_daily_all_plays(spark, sf_dir, "table"), "date", DAY_ALL.min_streams)
     return grid.select("date", "destination", "tleo", "genre")
 
 
@@ -181,7 +181,7 @@ def q_suppress_low(spark, sf_dir):
 
 
 def q_grid_streams(spark, sf_dir):
-    grid = dense_grid(_daily_all_plays(spark, sf_dir, "checkpoint"), "date", DAY_ALL.min_streams)
+    grid = dense_grid(_daily_all_plays(spark, sf_dir, "table"), "date", DAY_ALL.min_streams)
     return grid.select("date", "destination", "tleo", "genre", "streams")
 
 

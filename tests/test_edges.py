@@ -233,9 +233,9 @@ def test_run_history_records_success_and_failure(spark, tmp_path):
 def test_checkpoint_materialisation_gives_same_result(spark):
     act = _with_steady_q([100, 110, 120, 130, 140, 150, 160, 200])
     a, m = frames(spark, act, G)
-    lazy = score_cohorts(a, m, DAILY_JOB, how="none")["all"]
-    ckpt = score_cohorts(a, m, DAILY_JOB, how="checkpoint")["all"]
-    assert sorted(map(tuple, lazy.collect())) == sorted(map(tuple, ckpt.collect()))
+    lazy = sorted(map(tuple, score_cohorts(a, m, DAILY_JOB, how="none")["all"].collect()))
+    for how in ("table", "checkpoint", "cache"):
+        assert sorted(map(tuple, score_cohorts(a, m, DAILY_JOB, how=how)["all"].collect())) == lazy, how
 
 
 def test_increment_from_counts_store_equals_recount(spark, tmp_path):

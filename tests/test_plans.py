@@ -48,11 +48,16 @@ def test_filters_reach_the_scan(spark):
 
 
 def test_scoring_reads_the_fused_counts_not_the_activity(spark):
-    """After the fused counts are checkpointed, no plan of the scoring step scans a file."""
-    for name in ("surge_daily_wide", "surge_hourly_wide", "increment_wide"):
-        p = plan(entry.queries()[name](spark, SF))
-        assert "FileScan" not in p, name
-        assert "ExistingRDD" in p
+    """After the fused counts are materialised, the scoring plans read only them."""
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    try:
+        plans = {n: plan(entry.queries()[n](spark, SF)) for n in ("surge_daily_wide", "surge_hourly_wide", "increment_wide")}
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    for name, p in plans.items():
+        scans = re.findall(r"FileScan parquet [^\n]*Location: [^\n]*?\[([^\]]*)\]", p)
+        assert scans and all("/materialized/" in s for s in scans), (name, scans)
+        assert "events.parquet" not in p and "part.parquet" not in p
 
 
 def test_trailing_windows_need_no_extra_shuffle(spark):

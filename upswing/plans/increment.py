@@ -33,7 +33,7 @@ def score_increment(
     job: Job = DAILY_JOB,
     history_days: int = INCREMENT_HISTORY_DAYS,
     filters: ActivityFilters = ActivityFilters(),
-    how: str = "checkpoint",
+    how: str = "table",
     counts_store: str | None = None,
     refresh_days: int = 1,
 ) -> dict[str, DataFrame]:
@@ -64,7 +64,7 @@ def increment_wide(
     job: Job = DAILY_JOB,
     history_days: int = INCREMENT_HISTORY_DAYS,
     filters: ActivityFilters = ActivityFilters(),
-    how: str = "checkpoint",
+    how: str = "table",
     counts_store: str | None = None,
     refresh_days: int = 1,
 ) -> DataFrame:
@@ -88,7 +88,7 @@ def run_increment(
     filters: ActivityFilters = ActivityFilters(),
     script: str = "surge_increment",
     target_table: str = "surge_daily",
-    how: str = "checkpoint",
+    how: str = "table",
     counts_store: str | None = None,
     refresh_days: int = 1,
 ) -> str:

@@ -17,7 +17,7 @@ from upswing.operators.grid import cohort_spine, job_spine
 from upswing.operators.plays import cohort_plays, count_plays_by_cohort
 from upswing.operators.score import score_plays
 from upswing.sources.sinks import publish
-from upswing.sources.storage import reliable_checkpoint
+from upswing.sources.storage import reliable_checkpoint, shared_path
 from upswing.spec import DAILY_JOB, ActivityFilters, Cohort, ScoreSpec
 
 Job = tuple[tuple[Cohort, ScoreSpec], ...]
@@ -30,17 +30,25 @@ def _grain(job: Job) -> str:
     return grains.pop()
 
 
-MATERIALIZE = ("checkpoint", "cache", "none")
+MATERIALIZE = ("table", "checkpoint", "cache", "none")
 
 
 def materialize(df: DataFrame, how: str) -> DataFrame:
     """Compute ``df`` once for all its consumers.
 
-    checkpoint  write it to the shared checkpoint folder and cut the lineage
-                (an executor lost later costs a re-read, not a re-scan)
+    table       write it as Parquet under the shared checkpoint folder and read
+                it back: compact columnar files, a vectorised scan with real
+                size statistics for AQE, and a cut lineage (an executor lost
+                later costs a re-read, not a re-scan of the activity)
+    checkpoint  ``Dataset.checkpoint()`` to the same folder (row-serialised)
     cache       keep it in executor memory/disk (recomputed from the scan if lost)
     none        leave it lazy: each consumer recomputes it
     """
+    if how == "table":
+        spark = df.sparkSession
+        path = shared_path(spark, "materialized")
+        df.write.parquet(path)
+        return spark.read.parquet(path)
     if how == "checkpoint":
         return reliable_checkpoint(df)
     if how == "cache":
@@ -82,7 +90,9 @@ def counts_with_genre(
     return materialize(attach_genre(fused, genres), how)
 
 
-def score_counts(fused: DataFrame, metadata: DataFrame, job: Job = DAILY_JOB, how: str = "checkpoint") -> dict[str, DataFrame]:
+def score_counts(
+    fused: DataFrame, metadata: DataFrame, job: Job = DAILY_JOB, how: str = "table"
+) -> dict[str, DataFrame]:
     """Scored grid of every cohort of ``job`` from fused counts (``count_plays_by_cohort`` shape)."""
     grain = _grain(job)
     pg = counts_with_genre(fused, metadata, how)
@@ -100,12 +110,12 @@ def score_cohorts(
     job: Job = DAILY_JOB,
     filters: ActivityFilters = ActivityFilters(),
     dates: tuple[_dt.date, _dt.date] | None = None,
-    how: str = "checkpoint",
+    how: str = "table",
 ) -> dict[str, DataFrame]:
     """Scored grid of every cohort of ``job``, by cohort name.
 
-    The fused counts are materialised (``how``, default a reliable checkpoint)
-    because every cohort reads them twice.
+    The fused counts are materialised (``how``, default a Parquet table in the
+    shared checkpoint folder) because every cohort reads them twice.
     """
     cohorts = tuple(c for c, _ in job)
     fused = count_plays_by_cohort(activity, _grain(job), cohorts, filters, dates)
@@ -118,7 +128,7 @@ def surge_wide(
     job: Job = DAILY_JOB,
     filters: ActivityFilters = ActivityFilters(),
     dates: tuple[_dt.date, _dt.date] | None = None,
-    how: str = "checkpoint",
+    how: str = "table",
     independent: bool = False,
 ) -> DataFrame:
     """Wide table of a three-cohort job: (everyone, young, on-demand) in job order."""
@@ -135,7 +145,7 @@ def run_rebuild(
     output_path: str,
     job: Job = DAILY_JOB,
     filters: ActivityFilters = ActivityFilters(),
-    how: str = "checkpoint",
+    how: str = "table",
 ) -> DataFrame:
     """Rebuild and replace the published wide table; returns it read back."""
     wide = surge_wide(activity, metadata, job, filters, how=how)
