@@ -12,10 +12,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from upswing.spec import PLATFORMS
+
 # --- Fixed values of the test binding --------------------------------------
-# events.event_type -> destination; anything else -> PS_WEB (filtered out)
-IPLAYER_EVENTS = ("view", "purchase")
-SOUNDS_EVENTS = ("click", "signup")
+# events.event_type -> destination: the first two kinds go to the two kept
+# platforms (spec.PLATFORMS, in order); anything else -> PS_WEB (filtered out)
+FIRST_PLATFORM_EVENTS = ("view", "purchase")
+SECOND_PLATFORM_EVENTS = ("click", "signup")
 OTHER_PLATFORM = "PS_WEB"
 PROGRAMMES = 12  # tleo = 'Brand#' || (k % 12 + 1), k = props.$.k
 CLIP_EVERY = 17  # event_id % 17 = 0 -> a clip ('c' || event_id)
@@ -30,8 +33,8 @@ def activity_from_events(events: DataFrame) -> DataFrame:
     return events.select(
         F.col("ts").cast("date").alias("date_of_event"),
         F.col("ts").cast("string").alias("event_datetime_min"),
-        F.when(F.col("event_type").isin(*IPLAYER_EVENTS), F.lit("PS_IPLAYER"))
-        .when(F.col("event_type").isin(*SOUNDS_EVENTS), F.lit("PS_SOUNDS"))
+        F.when(F.col("event_type").isin(*FIRST_PLATFORM_EVENTS), F.lit(PLATFORMS[0]))
+        .when(F.col("event_type").isin(*SECOND_PLATFORM_EVENTS), F.lit(PLATFORMS[1]))
         .otherwise(F.lit(OTHER_PLATFORM))
         .alias("destination"),
         F.concat(F.lit("Brand#"), (k % PROGRAMMES + 1).cast("string")).alias("top_level_editorial_object"),
