@@ -329,13 +329,12 @@ _YESTERDAY = f"WHERE date = DATE '{_INC[1]}'"
 
 
 def _step1_plays(run: Run, extra: str = "") -> str:
-    return with_steps({"a": run}, f"SELECT {run.t}, destination, tleo, count AS plays {extra} FROM a1")
+    return with_steps({"a": run}, f"SELECT {run.t}, destination, tleo, plays {extra} FROM a_plays")
 
 
 def oracle_sql() -> dict[str, str]:
     wide_daily = with_steps({"a": DA, "y": DY, "o": DO}, wide_select("date"))
     increment = with_steps({"a": IA, "y": IY, "o": IO}, wide_select("date", _YESTERDAY))
-    first = "CASE WHEN strpos(genre, ';') > 0 THEN left(genre, strpos(genre, ';') - 1) ELSE genre END"
     sql = {
         "surge_daily": with_steps({"a": DA}, scored_select(DA, "a")),
         "surge_daily_young": with_steps({"y": DY}, scored_select(DY, "y")),
@@ -352,37 +351,36 @@ def oracle_sql() -> dict[str, str]:
         "plays_hourly": _step1_plays(HA),
         "plays_cohorts": with_steps(
             {"a": DA, "y": DY, "o": DO},
-            "SELECT date, destination, tleo, 'all' AS cohort, count AS plays FROM a1 "
-            "UNION ALL SELECT date, destination, tleo, 'young' AS cohort, count AS plays FROM y1 "
-            "UNION ALL SELECT date, destination, tleo, 'ondemand' AS cohort, count AS plays FROM o1",
+            "SELECT date, destination, tleo, 'all' AS cohort, plays FROM a_plays "
+            "UNION ALL SELECT date, destination, tleo, 'young' AS cohort, plays FROM y_plays "
+            "UNION ALL SELECT date, destination, tleo, 'ondemand' AS cohort, plays FROM o_plays",
         ),
         "titles_any_match": with_steps(
-            {"a": DA}, "SELECT tleo, pips_genre_level_1_names AS genre_list FROM a2"
+            {"a": DA}, "SELECT tleo, genre_list FROM a_titled"
         ),
         "programme_title": with_steps(
             {},
-            "SELECT CASE WHEN brand_title != 'null' THEN brand_title "
-            "WHEN series_title != 'null' THEN series_title "
-            "WHEN episode_title != 'null' THEN episode_title "
-            "WHEN presentation_title != 'null' THEN presentation_title "
-            "ELSE clip_title END AS tleo, pips_genre_level_1_names AS genre_list FROM metadata",
+            "SELECT COALESCE(NULLIF(brand_title, 'null'), NULLIF(series_title, 'null'), "
+            "NULLIF(episode_title, 'null'), NULLIF(presentation_title, 'null'), clip_title) AS tleo, "
+            "pips_genre_level_1_names AS genre_list FROM metadata",
         ),
         "modal_genre": with_steps(
-            {"a": DA}, "SELECT DISTINCT tleo, genre FROM a3 WHERE genre IS NOT NULL"
+            {"a": DA}, "SELECT tleo, genre FROM a_genre WHERE tleo IN (SELECT tleo FROM a_plays)"
         ),
         "first_genre": with_steps(
             {"a": DA},
-            f"SELECT DISTINCT tleo, genre AS genre_list, {first} AS genre FROM a3 WHERE genre IS NOT NULL",
+            "SELECT tleo, genre AS genre_list, split_part(genre, ';', 1) AS genre FROM a_genre "
+            "WHERE tleo IN (SELECT tleo FROM a_plays)",
         ),
         "plays_with_genre": with_steps(
-            {"a": DA}, "SELECT date, destination, tleo, genre, count AS plays FROM a3"
+            {"a": DA}, "SELECT date, destination, tleo, genre, plays FROM a_pg"
         ),
-        "dense_grid": with_steps({"a": DA}, "SELECT date, destination, tleo, genre FROM a4"),
+        "dense_grid": with_steps({"a": DA}, "SELECT date, destination, tleo, genre FROM a_grid"),
         "suppress_low": _step1_plays(
-            DA, f", CASE WHEN count < {DA.T} THEN NULL ELSE count END AS streams"
+            DA, f", CASE WHEN plays >= {DA.T} THEN plays END AS streams"
         ),
         "grid_streams": with_steps(
-            {"a": DA}, "SELECT date, destination, tleo, genre, streams FROM a5"
+            {"a": DA}, "SELECT date, destination, tleo, genre, streams FROM a_cells"
         ),
         "rolling_history": with_steps(
             {"a": DA},
@@ -396,7 +394,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "overall_stats": with_steps(
             {"a": DA},
-            f"SELECT DISTINCT date, {r6('overall_avg28')}, {r6('overall_sd28')} FROM a6",
+            f"SELECT date, {r6('overall_avg', 'overall_avg28')}, {r6('overall_sd', 'overall_sd28')} FROM a_bucket",
         ),
         "surge_score": with_steps({"a": DA}, scored_select(DA, "a")),
         "score_increment": with_steps({"a": IA}, scored_select(IA, "a", _YESTERDAY)),

@@ -1,14 +1,13 @@
-"""Oracle SQL, written in the literal shape of the original step scripts.
-
-The Spark build reorganises the work (one scan for all cohorts, a genre
-dimension instead of fan-out + DISTINCT, a semi-join instead of five IN
-lists, no cross join, prefix sums for long frames). The SQL here does not: it
-keeps the fan-out join with ``FIRST_VALUE``, the five-way ``IN``, the cross
-join of buckets and keys, ``OVER (PARTITION BY bucket)`` for the overall
-statistics and ROWS frames, so that it checks the rewrite rather than mirrors
-it. Differences that are decisions, not bugs: ties of the modal genre go to
-the largest genre; ``/ NULLIF(sd, 0)`` where the original would fail; doubles
-are rounded to 6 digits on both sides.
+"""Oracle SQL (DuckDB dialect), an independent formulation of the pipeline.
+
+It deliberately computes things differently from the Spark build so that it
+checks it: the five-way title match as ``EXISTS (... IN (titles))``, the
+modal genre with ``ROW_NUMBER`` over aggregated counts, the grid as an
+explicit ``CROSS JOIN`` of distinct buckets and keys joined back to the
+counts, per-bucket statistics by ``GROUP BY`` joined on the bucket, and the
+trailing statistics with named sliding ROWS windows. Decisions shared with
+the build: ties of the modal genre go to the largest genre; a zero bucket
+st. dev. gives NULL (``NULLIF``); doubles are rounded to 6 digits.
 
 Tables ``events`` and ``part`` are bound to the pipeline's two inputs by the
 same expressions as ``upswing.sources.testdata``.
@@ -84,80 +83,71 @@ def _bucket(grain: str) -> str:
 
 
 def steps(run: Run, p: str) -> str:
-    """CTEs ``{p}1`` .. ``{p}6`` of one cohort pipeline (no leading WITH)."""
+    """CTEs ``{p}_plays`` .. ``{p}6`` of one cohort pipeline (no leading WITH)."""
     t, s = run.t, run.sfx
     dates = ""
     if run.dates:
         dates = f"AND date_of_event BETWEEN DATE '{run.dates[0]}' AND DATE '{run.dates[1]}'"
+    keys = "destination, tleo, genre"
     return f"""
-{p}1 AS (
+{p}_plays AS (
   SELECT {_bucket(run.grain)} AS {t}, destination, top_level_editorial_object AS tleo,
-         COUNT(DISTINCT play_id) AS count
+         COUNT(DISTINCT play_id) AS plays
   FROM activity
-  WHERE destination IN ('PS_IPLAYER', 'PS_SOUNDS')
-    AND playback_time_total >= 3
-    AND clip_id = 'null'
-    {COHORT_FILTER[run.cohort]}
-    {dates}
-  GROUP BY 1, 2, 3
+  WHERE destination IN ('PS_IPLAYER', 'PS_SOUNDS') AND playback_time_total >= 3 AND clip_id = 'null'
+    {COHORT_FILTER[run.cohort]} {dates}
+  GROUP BY ALL
+),
+{p}_titled AS (
+  SELECT COALESCE(NULLIF(brand_title, 'null'), NULLIF(series_title, 'null'), NULLIF(episode_title, 'null'),
+                  NULLIF(presentation_title, 'null'), clip_title) AS tleo,
+         pips_genre_level_1_names AS genre_list
+  FROM metadata AS m
+  WHERE EXISTS (SELECT 1 FROM {p}_plays AS q
+                WHERE q.tleo IN (m.brand_title, m.series_title, m.episode_title, m.presentation_title, m.clip_title))
+),
+{p}_genre AS (
+  SELECT tleo, genre_list AS genre
+  FROM (SELECT tleo, genre_list,
+               ROW_NUMBER() OVER (PARTITION BY tleo ORDER BY COUNT(*) DESC, genre_list DESC) AS pick
+        FROM {p}_titled WHERE genre_list IS NOT NULL GROUP BY tleo, genre_list)
+  WHERE pick = 1
 ),
-{p}2 AS (
-  SELECT CASE WHEN brand_title != 'null' THEN brand_title
-              WHEN series_title != 'null' THEN series_title
-              WHEN episode_title != 'null' THEN episode_title
-              WHEN presentation_title != 'null' THEN presentation_title
-              ELSE clip_title END AS tleo,
-         pips_genre_level_1_names
-  FROM metadata
-  WHERE brand_title IN (SELECT tleo FROM {p}1)
-     OR series_title IN (SELECT tleo FROM {p}1)
-     OR episode_title IN (SELECT tleo FROM {p}1)
-     OR presentation_title IN (SELECT tleo FROM {p}1)
-     OR clip_title IN (SELECT tleo FROM {p}1)
+{p}_pg AS (
+  SELECT q.{t}, q.destination, q.tleo, q.plays, g.genre
+  FROM {p}_plays AS q LEFT JOIN {p}_genre AS g ON g.tleo = q.tleo
 ),
-{p}3 AS (
-  SELECT DISTINCT a.{t}, a.destination, a.tleo, a.count,
-         FIRST_VALUE(b.pips_genre_level_1_names IGNORE NULLS) OVER (
-           PARTITION BY b.tleo
-           ORDER BY COUNT(b.pips_genre_level_1_names) DESC, b.pips_genre_level_1_names DESC NULLS LAST
-           ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS genre
-  FROM {p}1 AS a
-  LEFT JOIN {p}2 AS b ON a.tleo = b.tleo
-  GROUP BY a.{t}, a.destination, a.tleo, a.count, b.pips_genre_level_1_names, b.tleo
+{p}_grid AS (
+  SELECT b.{t}, k.destination, k.tleo, k.genre
+  FROM (SELECT DISTINCT {t} FROM {p}_pg) AS b CROSS JOIN (SELECT DISTINCT {keys} FROM {p}_pg) AS k
 ),
-{p}4 AS (
-  SELECT DISTINCT a.{t}, b.destination, b.tleo, b.genre
-  FROM {p}1 AS a, (SELECT DISTINCT destination, tleo, genre FROM {p}3) AS b
+{p}_cells AS (
+  SELECT g.{t}, g.destination, g.tleo, g.genre, CASE WHEN q.plays >= {run.T} THEN q.plays END AS streams
+  FROM {p}_grid AS g LEFT JOIN {p}_pg AS q
+    ON q.{t} = g.{t} AND q.destination = g.destination AND q.tleo = g.tleo AND q.genre = g.genre
 ),
-{p}5 AS (
-  SELECT a.{t}, a.destination, a.tleo, a.genre,
-         CASE WHEN b.count < {run.T} THEN NULL ELSE b.count END AS streams
-  FROM {p}4 AS a
-  LEFT JOIN {p}3 AS b
-    ON a.{t} = b.{t} AND a.destination = b.destination AND a.tleo = b.tleo AND a.genre = b.genre
+{p}_bucket AS (
+  SELECT {t}, AVG(CAST(streams AS DOUBLE)) AS overall_avg, STDDEV_SAMP(CAST(streams AS DOUBLE)) AS overall_sd
+  FROM {p}_cells GROUP BY {t}
 ),
-{p}6w AS (
-  SELECT {t}, destination, tleo,
-         CASE WHEN strpos(genre, ';') > 0 THEN left(genre, strpos(genre, ';') - 1) ELSE genre END
-           AS first_genre,
-         streams,
-         COUNT(streams) OVER (PARTITION BY destination, tleo, genre ORDER BY {t} ASC NULLS LAST
-           ROWS BETWEEN {run.presence} PRECEDING AND 1 PRECEDING) AS non_nulls,
-         AVG(CAST(streams AS DOUBLE)) OVER (PARTITION BY destination, tleo, genre ORDER BY {t} ASC NULLS LAST
-           ROWS BETWEEN {run.stats} PRECEDING AND 1 PRECEDING) AS brand_avg{s},
-         STDDEV_SAMP(CAST(streams AS DOUBLE)) OVER (PARTITION BY destination, tleo, genre ORDER BY {t} ASC NULLS LAST
-           ROWS BETWEEN {run.stats} PRECEDING AND 1 PRECEDING) AS brand_sd{s},
-         AVG(CAST(streams AS DOUBLE)) OVER (PARTITION BY {t}) AS overall_avg{s},
-         STDDEV_SAMP(CAST(streams AS DOUBLE)) OVER (PARTITION BY {t}) AS overall_sd{s}
-  FROM {p}5
+{p}_hist AS (
+  SELECT c.*,
+         COUNT(streams) OVER presence AS non_nulls,
+         AVG(CAST(streams AS DOUBLE)) OVER history AS own_avg,
+         STDDEV_SAMP(CAST(streams AS DOUBLE)) OVER history AS own_sd
+  FROM {p}_cells AS c
+  WINDOW presence AS (PARTITION BY {keys} ORDER BY {t} ASC NULLS LAST
+                      ROWS BETWEEN {run.presence} PRECEDING AND 1 PRECEDING),
+         history AS (PARTITION BY {keys} ORDER BY {t} ASC NULLS LAST
+                     ROWS BETWEEN {run.stats} PRECEDING AND 1 PRECEDING)
 ),
 {p}6 AS (
-  SELECT {t}, destination, tleo, first_genre AS genre, streams, non_nulls,
-         brand_avg{s}, brand_sd{s}, overall_avg{s}, overall_sd{s},
-         CASE WHEN brand_sd{s} IS NULL OR brand_sd{s} = 0 OR non_nulls < {run.N}
-              THEN (streams - overall_avg{s}) / NULLIF(overall_sd{s}, 0)
-              ELSE (streams - brand_avg{s}) / brand_sd{s} END AS trend_score
-  FROM {p}6w
+  SELECT h.{t}, h.destination, h.tleo, split_part(h.genre, ';', 1) AS genre, h.streams, h.non_nulls,
+         h.own_avg AS brand_avg{s}, h.own_sd AS brand_sd{s},
+         b.overall_avg AS overall_avg{s}, b.overall_sd AS overall_sd{s},
+         CASE WHEN h.own_sd > 0 AND h.non_nulls >= {run.N} THEN (h.streams - h.own_avg) / h.own_sd
+              ELSE (h.streams - b.overall_avg) / NULLIF(b.overall_sd, 0) END AS trend_score
+  FROM {p}_hist AS h LEFT JOIN {p}_bucket AS b ON b.{t} IS NOT DISTINCT FROM h.{t}
 )"""
 
 
