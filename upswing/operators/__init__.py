@@ -8,13 +8,7 @@ from upswing.operators.genre import (
     programme_titles,
     titles_matching_any,
 )
-from upswing.operators.grid import (
-    cohort_spine,
-    dense_grid,
-    job_spine,
-    overall_stats,
-    spine_with_overall,
-)
+from upswing.operators.grid import dense_grid, job_bucket_stats, overall_stats, spine_array
 from upswing.operators.plays import (
     cohort_plays,
     count_plays,
@@ -27,20 +21,19 @@ from upswing.operators.score import score_grid, score_plays
 __all__ = [
     "attach_genre",
     "cohort_plays",
-    "cohort_spine",
     "combine_cohorts",
     "count_plays",
     "count_plays_by_cohort",
     "dense_grid",
     "filtered_activity",
     "genre_dimension",
-    "job_spine",
+    "job_bucket_stats",
     "modal_genre",
     "overall_stats",
     "programme_titles",
     "score_grid",
     "score_plays",
-    "spine_with_overall",
+    "spine_array",
     "titles_matching_any",
     "trailing_stats",
 ]

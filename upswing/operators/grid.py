@@ -2,21 +2,25 @@
 
 The grid is every (bucket, destination, tleo, genre) with the bucket taken
 from the cohort's *observed* buckets (its spine) and the key from the
-cohort's observed keys. It is built without a cross join:
-
-* the spine, with each bucket's all-programme mean and st. dev., is one small
-  array computed by a scalar subquery: one entry per observed bucket, its
-  length checked at run time against ``MAX_SPINE_BUCKETS``. A job computes one
-  spine for all its cohorts (``job_spine``), which Spark evaluates once;
-* each key's counts are gathered into a bucket -> count map by one
-  ``groupBy`` on the key (at most one entry per spine bucket, also checked);
-* exploding the spine array per key yields the grid rows, already partitioned
-  by key, so the trailing windows that follow need no further shuffle.
+cohort's observed keys. It is built in linear time and without a cross join:
+
+* the spine is a small sorted array of the observed buckets with each
+  bucket's all-programme mean and st. dev., computed by a scalar subquery;
+  its length is checked at run time against ``MAX_SPINE_BUCKETS``, so the
+  spine table broadcast from it has a proven bound;
+* each observed (bucket, key) row finds its position in the spine by a
+  broadcast hash join;
+* in one window per key (the cohort's only shuffle), each row emits the grid
+  positions after the previous observed row up to its own (the key's last row
+  also up to the end of the spine), which a second broadcast hash join turns
+  back into buckets. Gaps are filled from the neighbours, so no per-key
+  collection or lookup is needed, and the rows stay partitioned by key for
+  the trailing windows that follow.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from upswing.functions.columns import suppress_low
@@ -43,46 +47,43 @@ def overall_stats(plays: DataFrame, t: str, min_streams: int, value: str = "play
 
 
 def _bounded(c: Column, max_buckets: int, what: str) -> Column:
-    """``c`` (an array or map), or a run-time error if it holds more than ``max_buckets`` entries."""
+    """``c`` (an array), or a run-time error if it holds more than ``max_buckets`` entries."""
     return F.when(F.size(c) <= max_buckets, c).otherwise(
         F.raise_error(F.lit(f"{what} longer than {max_buckets} buckets"))
     )
 
 
-def _checked_array(rows: DataFrame, fields: list[str], max_buckets: int) -> Column:
-    arr = F.collect_list(F.struct(*fields))
-    return rows.select(_bounded(arr, max_buckets, "time spine").alias("spine")).scalar()
-
-
-def spine_with_overall(
-    plays: DataFrame,
+def spine_array(
+    per_bucket: DataFrame,
     t: str,
-    min_streams: int,
-    value: str = "plays",
+    avg: str = "overall_avg",
+    sd: str = "overall_sd",
+    keep: Column | None = None,
     max_buckets: int = MAX_SPINE_BUCKETS,
 ) -> Column:
-    """Scalar column: array of struct(t, overall_avg, overall_sd), one per observed bucket.
+    """Scalar column: the buckets of ``per_bucket`` (rows where ``keep``), sorted, with their statistics.
 
-    The statistics are over the bucket's non-NULL streams (all programmes, all
-    platforms). The NULL bucket, if any, is kept with NULL statistics.
+    An array of struct(t, overall_avg, overall_sd) in bucket order with the
+    NULL bucket, if any, last (the order of the trailing frames).
     """
-    per_bucket = overall_stats(plays, t, min_streams, value)
-    return _checked_array(per_bucket, [t, "overall_avg", "overall_sd"], max_buckets)
+    rows = per_bucket if keep is None else per_bucket.where(keep)
+    entry = F.struct(
+        F.col(t).isNull().alias("_null_last"),
+        F.col(t).alias(t),
+        F.col(avg).alias("overall_avg"),
+        F.col(sd).alias("overall_sd"),
+    )
+    arr = F.array_sort(F.collect_list(entry))
+    return rows.select(_bounded(arr, max_buckets, "time spine").alias("spine")).scalar()
 
 
-def job_spine(
-    fused: DataFrame,
-    t: str,
-    cohorts: list[tuple[str, int]],
-    max_buckets: int = MAX_SPINE_BUCKETS,
-) -> Column:
-    """One spine for several cohorts of the fused counts: struct(t, in_c, avg_c, sd_c per cohort).
+def job_bucket_stats(fused: DataFrame, t: str, cohorts: list[tuple[str, int]]) -> DataFrame:
+    """Per bucket of the fused counts: in_c, avg_c, sd_c for every (cohort name, min_streams).
 
-    ``cohorts`` is [(name, min_streams)]. One scalar subquery serves every
-    cohort of a job (Spark reuses it), instead of one aggregation per cohort;
-    ``cohort_spine`` picks a cohort's buckets and statistics out of it.
+    One aggregation serves every cohort of a job; each cohort's spine is then
+    the buckets where ``in_c`` (``spine_array(..., keep=F.col("in_c"))``).
     """
-    aggs, fields = [], [t]
+    aggs = []
     for name, min_streams in cohorts:
         present = F.col(f"in_{name}")
         s = F.when(present, _scored(f"plays_{name}", min_streams, t)).cast("double")
@@ -91,13 +92,7 @@ def job_spine(
             F.avg(s).alias(f"avg_{name}"),
             F.stddev_samp(s).alias(f"sd_{name}"),
         ]
-        fields += [f"in_{name}", f"avg_{name}", f"sd_{name}"]
-    return _checked_array(fused.groupBy(t).agg(*aggs), fields, max_buckets)
-
-
-def cohort_spine(spine: Column, name: str) -> tuple[Column, str]:
-    """Cohort ``name``'s view of a ``job_spine``: pass to ``dense_grid(..., spine=...)``."""
-    return spine, name
+    return fused.groupBy(t).agg(*aggs)
 
 
 def dense_grid(
@@ -105,35 +100,47 @@ def dense_grid(
     t: str,
     min_streams: int,
     value: str = "plays",
-    spine: tuple[Column, str] | None = None,
+    spine: Column | None = None,
 ) -> DataFrame:
     """(t, destination, tleo, genre, streams, overall_avg, overall_sd) for every spine x key.
 
     ``streams`` is the count where the key has a row for the bucket with a
     non-NULL genre and at least ``min_streams`` plays, NULL otherwise.
-    ``spine`` is a cohort's view of a ``job_spine`` (``cohort_spine``); by
-    default the spine is built from ``plays`` alone (``spine_with_overall``).
+    ``spine`` is a ``spine_array``; by default the buckets of ``plays``.
     """
-    entry = F.when(
-        F.col(t).isNotNull() & F.col("genre").isNotNull(),
-        F.struct(F.col(t).alias("k"), F.col(value).alias("v")),
-    )
-    # one entry per bucket the key was played in: never more than the spine holds
-    by_t = F.map_from_entries(F.collect_list(entry))
-    series = plays.groupBy(*KEYS).agg(_bounded(by_t, MAX_SPINE_BUCKETS, "series of a key").alias("_by_t"))
     if spine is None:
-        arr, avg, sd, keep = spine_with_overall(plays, t, min_streams, value), "overall_avg", "overall_sd", None
-    else:
-        arr, name = spine
-        avg, sd, keep = f"avg_{name}", f"sd_{name}", F.col(f"_b.in_{name}")
-    cells = series.select(*KEYS, "_by_t", F.explode(arr).alias("_b"))
-    if keep is not None:
-        cells = cells.where(keep)
-    count = F.try_element_at(F.col("_by_t"), F.col(f"_b.{t}"))
-    return cells.select(
-        F.col(f"_b.{t}").alias(t),
+        spine = spine_array(overall_stats(plays, t, min_streams, value), t)
+    # one row per spine position; the subquery is evaluated once, here
+    buckets = (
+        plays.sparkSession.range(1)
+        .select(spine.alias("_s"))
+        .select(F.size("_s").alias("_n"), F.posexplode("_s").alias("_pos", "_b"))
+        .select(
+            "_pos",
+            "_n",
+            F.col(f"_b.{t}").alias("_bucket"),
+            F.col("_b.overall_avg").alias("overall_avg"),
+            F.col("_b.overall_sd").alias("overall_sd"),
+        )
+    )
+    # position of every observed row in the spine (NULL bucket included)
+    located = plays.join(
+        F.broadcast(buckets.select("_bucket", F.col("_pos").alias("_at"), "_n")),
+        plays[t].eqNullSafe(F.col("_bucket")),
+    )
+    w = Window.partitionBy(*KEYS).orderBy("_at")
+    neighbours = located.withColumns({"_prev": F.lag("_at").over(w), "_next": F.lead("_at").over(w)})
+    # each row fills the positions after the previous row up to its own;
+    # the key's last row also fills to the end of the spine
+    first = F.coalesce(F.col("_prev") + 1, F.lit(0))
+    end = F.when(F.col("_next").isNull(), F.col("_n") - 1).otherwise(F.col("_at"))
+    cells = neighbours.select(
         *KEYS,
-        suppress_low(count, min_streams).alias("streams"),
-        F.col(f"_b.{avg}").alias("overall_avg"),
-        F.col(f"_b.{sd}").alias("overall_sd"),
+        "_at",
+        F.when(F.col(t).isNotNull() & F.col("genre").isNotNull(), suppress_low(value, min_streams)).alias("_v"),
+        F.explode(F.sequence(first, end)).alias("_pos"),
+    )
+    filled = cells.select(*KEYS, "_pos", F.when(F.col("_pos") == F.col("_at"), F.col("_v")).alias("streams"))
+    return filled.join(F.broadcast(buckets.drop("_n")), "_pos").select(
+        F.col("_bucket").alias(t), *KEYS, "streams", "overall_avg", "overall_sd"
     )
