@@ -80,8 +80,10 @@ def spine_array(
 def job_bucket_stats(fused: DataFrame, t: str, cohorts: list[tuple[str, int]]) -> DataFrame:
     """Per bucket of the fused counts: in_c, avg_c, sd_c for every (cohort name, min_streams).
 
-    One aggregation serves every cohort of a job; each cohort's spine is then
-    the buckets where ``in_c`` (``spine_array(..., keep=F.col("in_c"))``).
+    One definition for every cohort of a job; each cohort's spine is the
+    buckets where ``in_c`` (``spine_array(..., keep=F.col("in_c"))``). Spark
+    prunes the other cohorts' aggregates from each spine's subquery, so every
+    spine is one small aggregation over the materialised counts.
     """
     aggs = []
     for name, min_streams in cohorts:
