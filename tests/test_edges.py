@@ -254,3 +254,18 @@ def test_increment_from_counts_store_equals_recount(spark, tmp_path):
         got = increment_wide(a, m, as_of, DAILY_JOB, how="none", counts_store=store)
         assert sorted(map(tuple, got.collect())) == want
     assert read_counts(spark, store, (day(0), day(11))).count() == 24
+
+
+def test_spine_longer_than_its_bound_raises(spark):
+    from upswing.operators.grid import dense_grid, overall_stats, spine_array
+    from upswing.operators.plays import cohort_plays
+    from upswing.plans.rebuild import plays_with_genre
+
+    act = [r for i in range(3) for r in plays(2, day(i), "P")]
+    a, m = frames(spark, act, G)
+    pc = cohort_plays(plays_with_genre(a, m, "day", (ALL,)), "day", ALL, ("genre",))
+    ok = spine_array(overall_stats(pc, "date", 1), "date", max_buckets=3)
+    assert dense_grid(pc, "date", 1, spine=ok).count() == 3
+    too_long = spine_array(overall_stats(pc, "date", 1), "date", max_buckets=2)
+    with pytest.raises(Exception, match="time spine longer than 2 buckets"):
+        dense_grid(pc, "date", 1, spine=too_long).collect()
