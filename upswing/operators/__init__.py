@@ -8,7 +8,7 @@ from upswing.operators.genre import (
     programme_titles,
     titles_matching_any,
 )
-from upswing.operators.grid import dense_grid, job_bucket_stats, overall_stats, spine_array
+from upswing.operators.grid import dense_grid, job_bucket_stats, job_spine, overall_stats, spine_array
 from upswing.operators.plays import (
     cohort_plays,
     count_plays,
@@ -28,6 +28,7 @@ __all__ = [
     "filtered_activity",
     "genre_dimension",
     "job_bucket_stats",
+    "job_spine",
     "modal_genre",
     "overall_stats",
     "programme_titles",

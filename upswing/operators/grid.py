@@ -53,6 +53,13 @@ def _bounded(c: Column, max_buckets: int, what: str) -> Column:
     )
 
 
+def _sorted_spine(rows: DataFrame, t: str, fields: list[str], max_buckets: int) -> Column:
+    """Scalar column: ``rows`` as an array of struct(t, *fields) in bucket order, NULL bucket last."""
+    entry = F.struct(F.col(t).isNull().alias("_null_last"), F.col(t).alias(t), *[F.col(f) for f in fields])
+    arr = F.array_sort(F.collect_list(entry))
+    return rows.select(_bounded(arr, max_buckets, "time spine").alias("spine")).scalar()
+
+
 def spine_array(
     per_bucket: DataFrame,
     t: str,
@@ -61,30 +68,18 @@ def spine_array(
     keep: Column | None = None,
     max_buckets: int = MAX_SPINE_BUCKETS,
 ) -> Column:
-    """Scalar column: the buckets of ``per_bucket`` (rows where ``keep``), sorted, with their statistics.
+    """Scalar column: the buckets of ``per_bucket`` (rows where ``keep``) with their statistics.
 
     An array of struct(t, overall_avg, overall_sd) in bucket order with the
     NULL bucket, if any, last (the order of the trailing frames).
     """
     rows = per_bucket if keep is None else per_bucket.where(keep)
-    entry = F.struct(
-        F.col(t).isNull().alias("_null_last"),
-        F.col(t).alias(t),
-        F.col(avg).alias("overall_avg"),
-        F.col(sd).alias("overall_sd"),
-    )
-    arr = F.array_sort(F.collect_list(entry))
-    return rows.select(_bounded(arr, max_buckets, "time spine").alias("spine")).scalar()
+    rows = rows.select(t, F.col(avg).alias("overall_avg"), F.col(sd).alias("overall_sd"))
+    return _sorted_spine(rows, t, ["overall_avg", "overall_sd"], max_buckets)
 
 
 def job_bucket_stats(fused: DataFrame, t: str, cohorts: list[tuple[str, int]]) -> DataFrame:
-    """Per bucket of the fused counts: in_c, avg_c, sd_c for every (cohort name, min_streams).
-
-    One definition for every cohort of a job; each cohort's spine is the
-    buckets where ``in_c`` (``spine_array(..., keep=F.col("in_c"))``). Spark
-    prunes the other cohorts' aggregates from each spine's subquery, so every
-    spine is one small aggregation over the materialised counts.
-    """
+    """Per bucket of the fused counts: in_c, avg_c, sd_c for every (cohort name, min_streams)."""
     aggs = []
     for name, min_streams in cohorts:
         present = F.col(f"in_{name}")
@@ -97,38 +92,65 @@ def job_bucket_stats(fused: DataFrame, t: str, cohorts: list[tuple[str, int]]) -
     return fused.groupBy(t).agg(*aggs)
 
 
+def job_spine(
+    fused: DataFrame, t: str, cohorts: list[tuple[str, int]], max_buckets: int = MAX_SPINE_BUCKETS
+) -> Column:
+    """One spine for every cohort of a job: struct(t, in_c, avg_c, sd_c for each cohort).
+
+    A single aggregation and scalar subquery, which Spark evaluates once and
+    reuses in every cohort's plan; ``dense_grid(..., cohort=name)`` keeps the
+    buckets of one cohort.
+    """
+    fields = [f for name, _ in cohorts for f in (f"in_{name}", f"avg_{name}", f"sd_{name}")]
+    return _sorted_spine(job_bucket_stats(fused, t, cohorts), t, fields, max_buckets)
+
+
+def _spine_table(plays: DataFrame, spine: Column, t: str, cohort: str | None) -> DataFrame:
+    """(_pos, _n, _bucket, overall_avg, overall_sd): one row per position of the (cohort's) spine."""
+    exploded = (
+        plays.sparkSession.range(1)
+        .select(spine.alias("_s"))  # the subquery is evaluated once, here
+        .select(F.size("_s").alias("_size"), F.posexplode("_s").alias("_p", "_b"))
+    )
+    if cohort is None:
+        pos, n, avg, sd = F.col("_p"), F.col("_size"), "overall_avg", "overall_sd"
+    else:
+        # dense positions among the cohort's buckets; the spine has at most
+        # MAX_SPINE_BUCKETS rows, so ordering it in one task is bounded work
+        exploded = exploded.where(F.col(f"_b.in_{cohort}"))
+        whole = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        pos = F.row_number().over(Window.orderBy("_p")) - 1
+        n, avg, sd = F.count(F.lit(1)).over(whole), f"avg_{cohort}", f"sd_{cohort}"
+    return exploded.select(
+        pos.alias("_pos"),
+        n.alias("_n"),
+        F.col(f"_b.{t}").alias("_bucket"),
+        F.col(f"_b.{avg}").alias("overall_avg"),
+        F.col(f"_b.{sd}").alias("overall_sd"),
+    )
+
+
 def dense_grid(
     plays: DataFrame,
     t: str,
     min_streams: int,
     value: str = "plays",
     spine: Column | None = None,
+    cohort: str | None = None,
 ) -> DataFrame:
     """(t, destination, tleo, genre, streams, overall_avg, overall_sd) for every spine x key.
 
     ``streams`` is the count where the key has a row for the bucket with a
     non-NULL genre and at least ``min_streams`` plays, NULL otherwise.
-    ``spine`` is a ``spine_array``; by default the buckets of ``plays``.
+    ``spine`` is a ``spine_array`` (or, with ``cohort``, a ``job_spine``); by
+    default the buckets of ``plays``.
     """
     if spine is None:
         spine = spine_array(overall_stats(plays, t, min_streams, value), t)
-    # one row per spine position; the subquery is evaluated once, here
-    buckets = (
-        plays.sparkSession.range(1)
-        .select(spine.alias("_s"))
-        .select(F.size("_s").alias("_n"), F.posexplode("_s").alias("_pos", "_b"))
-        .select(
-            "_pos",
-            "_n",
-            F.col(f"_b.{t}").alias("_bucket"),
-            F.col("_b.overall_avg").alias("overall_avg"),
-            F.col("_b.overall_sd").alias("overall_sd"),
-        )
-    )
+    buckets = _spine_table(plays, spine, t, cohort)
     # position of every observed row in the spine (NULL bucket included)
-    located = plays.join(
-        F.broadcast(buckets.select("_bucket", F.col("_pos").alias("_at"), "_n")),
-        plays[t].eqNullSafe(F.col("_bucket")),
+    located = plays.join(F.broadcast(buckets), plays[t].eqNullSafe(buckets["_bucket"])).select(
+        *plays.columns, F.col("_pos").alias("_at"), "_n"
     )
     w = Window.partitionBy(*KEYS).orderBy("_at")
     neighbours = located.withColumns({"_prev": F.lag("_at").over(w), "_next": F.lead("_at").over(w)})
@@ -143,6 +165,6 @@ def dense_grid(
         F.explode(F.sequence(first, end)).alias("_pos"),
     )
     filled = cells.select(*KEYS, "_pos", F.when(F.col("_pos") == F.col("_at"), F.col("_v")).alias("streams"))
-    return filled.join(F.broadcast(buckets.drop("_n")), "_pos").select(
+    return filled.join(F.broadcast(buckets), "_pos").select(
         F.col("_bucket").alias(t), *KEYS, "streams", "overall_avg", "overall_sd"
     )

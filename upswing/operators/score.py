@@ -41,7 +41,12 @@ def score_grid(grid: DataFrame, spec: ScoreSpec) -> DataFrame:
 
 
 def score_plays(
-    plays_with_genre: DataFrame, spec: ScoreSpec, value: str = "plays", spine: Column | None = None
+    plays_with_genre: DataFrame,
+    spec: ScoreSpec,
+    value: str = "plays",
+    spine: Column | None = None,
+    cohort: str | None = None,
 ) -> DataFrame:
     """Scored grid of one cohort from its (bucket, destination, tleo, genre, plays) rows."""
-    return score_grid(dense_grid(plays_with_genre, spec.time_col, spec.min_streams, value, spine), spec)
+    grid = dense_grid(plays_with_genre, spec.time_col, spec.min_streams, value, spine, cohort)
+    return score_grid(grid, spec)

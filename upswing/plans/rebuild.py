@@ -10,11 +10,10 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from upswing.operators.cohorts import combine_cohorts
 from upswing.operators.genre import attach_genre, genre_dimension
-from upswing.operators.grid import job_bucket_stats, spine_array
+from upswing.operators.grid import job_spine
 from upswing.operators.plays import cohort_plays, count_plays_by_cohort
 from upswing.operators.score import score_plays
 from upswing.sources.sinks import publish
@@ -98,12 +97,11 @@ def score_counts(
     grain = _grain(job)
     pg = counts_with_genre(fused, metadata, how)
     t = job[0][1].time_col
-    per_bucket = job_bucket_stats(pg, t, [(c.name, spec.min_streams) for c, spec in job])
-    out = {}
-    for c, spec in job:
-        spine = spine_array(per_bucket, t, f"avg_{c.name}", f"sd_{c.name}", keep=F.col(f"in_{c.name}"))
-        out[c.name] = score_plays(cohort_plays(pg, grain, c, ("genre",)), spec, spine=spine)
-    return out
+    spine = job_spine(pg, t, [(c.name, spec.min_streams) for c, spec in job])
+    return {
+        c.name: score_plays(cohort_plays(pg, grain, c, ("genre",)), spec, spine=spine, cohort=c.name)
+        for c, spec in job
+    }
 
 
 def score_cohorts(
