@@ -5,15 +5,15 @@ from the cohort's *observed* buckets (its spine) and the key from the
 cohort's observed keys. It is built in linear time and without a cross join:
 
 * the spine is a small sorted array of the observed buckets with each
-  bucket's all-programme mean and st. dev., computed by a scalar subquery;
-  its length is checked at run time against ``MAX_SPINE_BUCKETS``, so the
-  spine table broadcast from it has a proven bound;
+  bucket's all-programme mean and st. dev., computed by a scalar subquery (one
+  per job, holding one array per cohort); its length is checked at run time
+  against ``MAX_SPINE_BUCKETS``, so what is broadcast from it is bounded;
 * each observed (bucket, key) row finds its position in the spine by a
   broadcast hash join;
 * in one window per key (the cohort's only shuffle), each row emits the grid
   positions after the previous observed row up to its own (the key's last row
-  also up to the end of the spine), which a second broadcast hash join turns
-  back into buckets. Gaps are filled from the neighbours, so no per-key
+  also up to the end of the spine); ``element_at`` turns a position back into
+  its bucket in O(1). Gaps are filled from the neighbours, so no per-key
   collection or lookup is needed, and the rows stay partitioned by key for
   the trailing windows that follow.
 """
@@ -53,11 +53,14 @@ def _bounded(c: Column, max_buckets: int, what: str) -> Column:
     )
 
 
-def _sorted_spine(rows: DataFrame, t: str, fields: list[str], max_buckets: int) -> Column:
-    """Scalar column: ``rows`` as an array of struct(t, *fields) in bucket order, NULL bucket last."""
-    entry = F.struct(F.col(t).isNull().alias("_null_last"), F.col(t).alias(t), *[F.col(f) for f in fields])
-    arr = F.array_sort(F.collect_list(entry))
-    return rows.select(_bounded(arr, max_buckets, "time spine").alias("spine")).scalar()
+def _entry(t: str, avg: str, sd: str) -> Column:
+    """A spine entry; sorting entries puts buckets in order with the NULL bucket last."""
+    return F.struct(
+        F.col(t).isNull().alias("_null_last"),
+        F.col(t).alias(t),
+        F.col(avg).alias("overall_avg"),
+        F.col(sd).alias("overall_sd"),
+    )
 
 
 def spine_array(
@@ -65,17 +68,15 @@ def spine_array(
     t: str,
     avg: str = "overall_avg",
     sd: str = "overall_sd",
-    keep: Column | None = None,
     max_buckets: int = MAX_SPINE_BUCKETS,
 ) -> Column:
-    """Scalar column: the buckets of ``per_bucket`` (rows where ``keep``) with their statistics.
+    """Scalar column: the buckets of ``per_bucket`` with their statistics, in frame order.
 
-    An array of struct(t, overall_avg, overall_sd) in bucket order with the
+    An array of struct(t, overall_avg, overall_sd) sorted by bucket with the
     NULL bucket, if any, last (the order of the trailing frames).
     """
-    rows = per_bucket if keep is None else per_bucket.where(keep)
-    rows = rows.select(t, F.col(avg).alias("overall_avg"), F.col(sd).alias("overall_sd"))
-    return _sorted_spine(rows, t, ["overall_avg", "overall_sd"], max_buckets)
+    arr = _bounded(F.array_sort(F.collect_list(_entry(t, avg, sd))), max_buckets, "time spine")
+    return per_bucket.select(arr.alias("spine")).scalar()
 
 
 def job_bucket_stats(fused: DataFrame, t: str, cohorts: list[tuple[str, int]]) -> DataFrame:
@@ -95,39 +96,22 @@ def job_bucket_stats(fused: DataFrame, t: str, cohorts: list[tuple[str, int]]) -
 def job_spine(
     fused: DataFrame, t: str, cohorts: list[tuple[str, int]], max_buckets: int = MAX_SPINE_BUCKETS
 ) -> Column:
-    """One spine for every cohort of a job: struct(t, in_c, avg_c, sd_c for each cohort).
+    """Scalar struct with one ``spine_array``-shaped field per cohort of a job.
 
-    A single aggregation and scalar subquery, which Spark evaluates once and
-    reuses in every cohort's plan; ``dense_grid(..., cohort=name)`` keeps the
-    buckets of one cohort.
+    One aggregation and one scalar subquery for the whole job (Spark evaluates
+    it once and reuses it in every cohort's plan); each cohort's array holds
+    only the buckets it was observed in. Pass ``spine[name]`` to ``dense_grid``.
     """
-    fields = [f for name, _ in cohorts for f in (f"in_{name}", f"avg_{name}", f"sd_{name}")]
-    return _sorted_spine(job_bucket_stats(fused, t, cohorts), t, fields, max_buckets)
-
-
-def _spine_table(plays: DataFrame, spine: Column, t: str, cohort: str | None) -> DataFrame:
-    """(_pos, _n, _bucket, overall_avg, overall_sd): one row per position of the (cohort's) spine."""
-    exploded = (
-        plays.sparkSession.range(1)
-        .select(spine.alias("_s"))  # the subquery is evaluated once, here
-        .select(F.size("_s").alias("_size"), F.posexplode("_s").alias("_p", "_b"))
-    )
-    if cohort is None:
-        pos, n, avg, sd = F.col("_p"), F.col("_size"), "overall_avg", "overall_sd"
-    else:
-        # dense positions among the cohort's buckets; the spine has at most
-        # MAX_SPINE_BUCKETS rows, so ordering it in one task is bounded work
-        exploded = exploded.where(F.col(f"_b.in_{cohort}"))
-        whole = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        pos = F.row_number().over(Window.orderBy("_p")) - 1
-        n, avg, sd = F.count(F.lit(1)).over(whole), f"avg_{cohort}", f"sd_{cohort}"
-    return exploded.select(
-        pos.alias("_pos"),
-        n.alias("_n"),
-        F.col(f"_b.{t}").alias("_bucket"),
-        F.col(f"_b.{avg}").alias("overall_avg"),
-        F.col(f"_b.{sd}").alias("overall_sd"),
-    )
+    per_bucket = job_bucket_stats(fused, t, cohorts)
+    arrays = [
+        _bounded(
+            F.array_sort(F.collect_list(F.when(F.col(f"in_{name}"), _entry(t, f"avg_{name}", f"sd_{name}")))),
+            max_buckets,
+            "time spine",
+        ).alias(name)
+        for name, _ in cohorts
+    ]
+    return per_bucket.select(F.struct(*arrays).alias("spine")).scalar()
 
 
 def dense_grid(
@@ -136,35 +120,40 @@ def dense_grid(
     min_streams: int,
     value: str = "plays",
     spine: Column | None = None,
-    cohort: str | None = None,
 ) -> DataFrame:
     """(t, destination, tleo, genre, streams, overall_avg, overall_sd) for every spine x key.
 
     ``streams`` is the count where the key has a row for the bucket with a
     non-NULL genre and at least ``min_streams`` plays, NULL otherwise.
-    ``spine`` is a ``spine_array`` (or, with ``cohort``, a ``job_spine``); by
-    default the buckets of ``plays``.
+    ``spine`` is a ``spine_array`` (or one cohort's field of a ``job_spine``);
+    by default the buckets of ``plays``.
     """
     if spine is None:
         spine = spine_array(overall_stats(plays, t, min_streams, value), t)
-    buckets = _spine_table(plays, spine, t, cohort)
-    # position of every observed row in the spine (NULL bucket included)
-    located = plays.join(F.broadcast(buckets), plays[t].eqNullSafe(buckets["_bucket"])).select(
-        *plays.columns, F.col("_pos").alias("_at"), "_n"
+    positions = (
+        plays.sparkSession.range(1)
+        .select(F.posexplode(spine).alias("_at", "_b"))
+        .select("_at", F.col(f"_b.{t}").alias("_bucket"))
     )
+    # position of every observed row in the spine (NULL bucket included)
+    located = plays.join(F.broadcast(positions), plays[t].eqNullSafe(positions["_bucket"])).drop("_bucket")
     w = Window.partitionBy(*KEYS).orderBy("_at")
     neighbours = located.withColumns({"_prev": F.lag("_at").over(w), "_next": F.lead("_at").over(w)})
     # each row fills the positions after the previous row up to its own;
     # the key's last row also fills to the end of the spine
     first = F.coalesce(F.col("_prev") + 1, F.lit(0))
-    end = F.when(F.col("_next").isNull(), F.col("_n") - 1).otherwise(F.col("_at"))
+    end = F.when(F.col("_next").isNull(), F.size(spine) - 1).otherwise(F.col("_at"))
     cells = neighbours.select(
         *KEYS,
         "_at",
         F.when(F.col(t).isNotNull() & F.col("genre").isNotNull(), suppress_low(value, min_streams)).alias("_v"),
         F.explode(F.sequence(first, end)).alias("_pos"),
     )
-    filled = cells.select(*KEYS, "_pos", F.when(F.col("_pos") == F.col("_at"), F.col("_v")).alias("streams"))
-    return filled.join(F.broadcast(buckets), "_pos").select(
-        F.col("_bucket").alias(t), *KEYS, "streams", "overall_avg", "overall_sd"
+    bucket = F.element_at(spine, F.col("_pos") + 1)  # arrays are 1-based; O(1) access
+    return cells.select(
+        bucket[t].alias(t),
+        *KEYS,
+        F.when(F.col("_pos") == F.col("_at"), F.col("_v")).alias("streams"),
+        bucket["overall_avg"].alias("overall_avg"),
+        bucket["overall_sd"].alias("overall_sd"),
     )

@@ -45,8 +45,7 @@ def score_plays(
     spec: ScoreSpec,
     value: str = "plays",
     spine: Column | None = None,
-    cohort: str | None = None,
 ) -> DataFrame:
     """Scored grid of one cohort from its (bucket, destination, tleo, genre, plays) rows."""
-    grid = dense_grid(plays_with_genre, spec.time_col, spec.min_streams, value, spine, cohort)
+    grid = dense_grid(plays_with_genre, spec.time_col, spec.min_streams, value, spine)
     return score_grid(grid, spec)

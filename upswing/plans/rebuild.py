@@ -99,7 +99,7 @@ def score_counts(
     t = job[0][1].time_col
     spine = job_spine(pg, t, [(c.name, spec.min_streams) for c, spec in job])
     return {
-        c.name: score_plays(cohort_plays(pg, grain, c, ("genre",)), spec, spine=spine, cohort=c.name)
+        c.name: score_plays(cohort_plays(pg, grain, c, ("genre",)), spec, spine=spine[c.name])
         for c, spec in job
     }
 
