@@ -6,7 +6,6 @@ import datetime as dt
 
 import duckdb
 import pandas as pd
-import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
