@@ -94,3 +94,19 @@ def test_increment_prunes_date_partitions(spark, tmp_path):
     got = score_increment(stored, metadata, entry.AS_OF, entry.TEST_DAILY_JOB, how="none")["all"]
     want = score_increment(activity, metadata, entry.AS_OF, entry.TEST_DAILY_JOB, how="none")["all"]
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_cohort_combination_adds_no_shuffle(spark):
+    """The wide table reuses the per-key partitioning of the three scored grids."""
+    for name, t in (("surge_daily_wide", "date"), ("surge_hourly_wide", "datehour")):
+        df = entry.queries()[name](spark, SF)
+        df.collect()
+        p = drop_initial_plans(plan(df))
+        keyed = sorted(
+            re.sub(r"#\d+", "", x)
+            for line in p.splitlines()
+            if "ReusedExchange" not in line
+            for x in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", line)
+        )
+        assert keyed == [f"{t}, 8"] + ["destination, tleo, genre, 8"] * 3, (name, keyed)
+        assert "SortMergeJoin" not in p

@@ -19,11 +19,12 @@ def score_columns(spec: ScoreSpec) -> list[str]:
     ]
 
 
-def score_grid(grid: DataFrame, spec: ScoreSpec) -> DataFrame:
+def score_grid(grid: DataFrame, spec: ScoreSpec, genre_list: bool = False) -> DataFrame:
     """Scored grid from a dense grid with streams and per-bucket overall statistics.
 
     The trailing windows partition by the full genre list; the published genre
-    is its first token, computed after the windows.
+    is its first token, computed after the windows. ``genre_list=True`` keeps
+    the full list (the rows stay partitioned by it, see ``combine_cohorts``).
     """
     sfx = spec.stat_suffix
     stats = trailing_stats(grid, spec)
@@ -36,7 +37,9 @@ def score_grid(grid: DataFrame, spec: ScoreSpec) -> DataFrame:
                 "overall_avg", "overall_sd", spec.min_present,
             ),
         }
-    ).withColumn("genre", first_token("genre"))
+    )
+    if not genre_list:
+        scored = scored.withColumn("genre", first_token("genre"))
     return scored.select(*score_columns(spec))
 
 
@@ -45,7 +48,8 @@ def score_plays(
     spec: ScoreSpec,
     value: str = "plays",
     spine: Column | None = None,
+    genre_list: bool = False,
 ) -> DataFrame:
     """Scored grid of one cohort from its (bucket, destination, tleo, genre, plays) rows."""
     grid = dense_grid(plays_with_genre, spec.time_col, spec.min_streams, value, spine)
-    return score_grid(grid, spec)
+    return score_grid(grid, spec, genre_list)

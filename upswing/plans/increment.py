@@ -15,9 +15,8 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from upswing.operators.cohorts import combine_cohorts
 from upswing.plans.counts_store import read_counts, refresh_counts
-from upswing.plans.rebuild import Job, score_cohorts, score_counts
+from upswing.plans.rebuild import Job, score_cohorts, score_counts, wide_table
 from upswing.sources.sinks import publish, record_run
 from upswing.spec import DAILY_JOB, INCREMENT_HISTORY_DAYS, ActivityFilters
 
@@ -36,6 +35,7 @@ def score_increment(
     how: str = "table",
     counts_store: str | None = None,
     refresh_days: int = 1,
+    genre_list: bool = False,
 ) -> dict[str, DataFrame]:
     """Each cohort's scored rows of the day before ``as_of``.
 
@@ -47,12 +47,13 @@ def score_increment(
         raise ValueError("the increment is daily")
     dates = increment_dates(as_of, history_days)
     if counts_store is None:
-        scored = score_cohorts(activity, metadata, job, filters, dates, how)
+        scored = score_cohorts(activity, metadata, job, filters, dates, how, genre_list)
     else:
         cohorts = tuple(c for c, _ in job)
         refresh = (as_of - _dt.timedelta(days=refresh_days), dates[1])
         refresh_counts(activity, counts_store, refresh, cohorts, filters)
-        scored = score_counts(read_counts(activity.sparkSession, counts_store, dates), metadata, job, how)
+        stored = read_counts(activity.sparkSession, counts_store, dates)
+        scored = score_counts(stored, metadata, job, how, genre_list)
     day = F.lit(dates[1])
     return {name: df.where(F.col("date") == day) for name, df in scored.items()}
 
@@ -70,10 +71,9 @@ def increment_wide(
 ) -> DataFrame:
     """Wide rows of the day before ``as_of``."""
     scored = score_increment(
-        activity, metadata, as_of, job, history_days, filters, how, counts_store, refresh_days
+        activity, metadata, as_of, job, history_days, filters, how, counts_store, refresh_days, genre_list=True
     )
-    everyone, young, ondemand = (scored[c.name] for c, _ in job)
-    return combine_cohorts(everyone, young, ondemand, "date")
+    return wide_table(scored, job)
 
 
 def run_increment(

@@ -11,6 +11,7 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame
 
+from upswing.functions.columns import first_token
 from upswing.operators.cohorts import combine_cohorts
 from upswing.operators.genre import attach_genre, genre_dimension
 from upswing.operators.grid import job_spine
@@ -91,15 +92,19 @@ def counts_with_genre(
 
 
 def score_counts(
-    fused: DataFrame, metadata: DataFrame, job: Job = DAILY_JOB, how: str = "table"
+    fused: DataFrame, metadata: DataFrame, job: Job = DAILY_JOB, how: str = "table", genre_list: bool = False
 ) -> dict[str, DataFrame]:
-    """Scored grid of every cohort of ``job`` from fused counts (``count_plays_by_cohort`` shape)."""
+    """Scored grid of every cohort of ``job`` from fused counts (``count_plays_by_cohort`` shape).
+
+    ``genre_list=True`` keeps the full genre list instead of its first token
+    (for ``wide_table``, which takes the first token after joining).
+    """
     grain = _grain(job)
     pg = counts_with_genre(fused, metadata, how)
     t = job[0][1].time_col
     spine = job_spine(pg, t, [(c.name, spec.min_streams) for c, spec in job])
     return {
-        c.name: score_plays(cohort_plays(pg, grain, c, ("genre",)), spec, spine=spine[c.name])
+        c.name: score_plays(cohort_plays(pg, grain, c, ("genre",)), spec, spine=spine[c.name], genre_list=genre_list)
         for c, spec in job
     }
 
@@ -111,6 +116,7 @@ def score_cohorts(
     filters: ActivityFilters = ActivityFilters(),
     dates: tuple[_dt.date, _dt.date] | None = None,
     how: str = "table",
+    genre_list: bool = False,
 ) -> dict[str, DataFrame]:
     """Scored grid of every cohort of ``job``, by cohort name.
 
@@ -119,7 +125,20 @@ def score_cohorts(
     """
     cohorts = tuple(c for c, _ in job)
     fused = count_plays_by_cohort(activity, _grain(job), cohorts, filters, dates)
-    return score_counts(fused, metadata, job, how)
+    return score_counts(fused, metadata, job, how, genre_list)
+
+
+def wide_table(scored: dict[str, DataFrame], job: Job, independent: bool = False) -> DataFrame:
+    """Wide table of a three-cohort job from its scored grids (with full genre lists).
+
+    The cohorts are combined on the full genre list, so the combination reuses
+    the grids' partitioning; the published genre is its first token.
+    """
+    if len(job) != 3:
+        raise ValueError("a wide table needs exactly three cohorts")
+    everyone, young, ondemand = (scored[c.name] for c, _ in job)
+    wide = combine_cohorts(everyone, young, ondemand, job[0][1].time_col, independent)
+    return wide.withColumn("genre", first_token("genre"))
 
 
 def surge_wide(
@@ -134,9 +153,8 @@ def surge_wide(
     """Wide table of a three-cohort job: (everyone, young, on-demand) in job order."""
     if len(job) != 3:
         raise ValueError("a wide table needs exactly three cohorts")
-    scored = score_cohorts(activity, metadata, job, filters, dates, how)
-    everyone, young, ondemand = (scored[c.name] for c, _ in job)
-    return combine_cohorts(everyone, young, ondemand, job[0][1].time_col, independent)
+    scored = score_cohorts(activity, metadata, job, filters, dates, how, genre_list=True)
+    return wide_table(scored, job, independent)
 
 
 def run_rebuild(
