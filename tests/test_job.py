@@ -29,7 +29,9 @@ def test_rebuild_and_increment_from_the_command_line(spark, tmp_path):
 
     hourly = str(tmp_path / "hourly")
     main(["rebuild", "--grain", "hour", "--activity", act, "--metadata", meta, "--output", hourly])
-    assert "datehour" in spark.read.parquet(hourly).columns
+    by_day = spark.read.parquet(hourly)
+    assert "datehour" in by_day.columns and "date" in by_day.columns
+    assert by_day.where("to_date(datehour) != date").count() == 0
 
     inc, hist = str(tmp_path / "increment"), str(tmp_path / "history")
     args = ["increment", "--as-of", "2024-01-31", "--activity", act, "--metadata", meta,

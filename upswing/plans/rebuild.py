@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from upswing.functions.columns import first_token
 from upswing.operators.cohorts import combine_cohorts
@@ -165,8 +166,14 @@ def run_rebuild(
     filters: ActivityFilters = ActivityFilters(),
     how: str = "table",
 ) -> DataFrame:
-    """Rebuild and replace the published wide table; returns it read back."""
+    """Rebuild and replace the published wide table; returns it read back.
+
+    Both tables are partitioned by day: the daily one by ``date``, the hourly
+    one by a ``date`` column derived from ``datehour`` (every day holds the
+    same number of rows, 24 per key).
+    """
     wide = surge_wide(activity, metadata, job, filters, how=how)
-    t = job[0][1].time_col
-    publish(wide, output_path, mode="replace", partition_by="date" if t == "date" else None)
+    if job[0][1].time_col == "datehour":
+        wide = wide.withColumn("date", F.to_date("datehour"))
+    publish(wide, output_path, mode="replace", partition_by="date")
     return wide.sparkSession.read.parquet(output_path)
