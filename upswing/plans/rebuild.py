@@ -1,8 +1,9 @@
-"""Full rebuild: score every cohort of a job and join them into one wide table.
+"""Full rebuild: score every cohort of a job and combine them into one wide table.
 
-One scan of the activity table serves all cohorts (``count_plays_by_cohort``);
-the genre dimension is built once; each cohort is then scored on its own grid
-(cohorts have their own observed buckets and keys, so their frames differ).
+One scan of the activity table serves all cohorts (``count_plays_by_cohort``)
+and its result is materialised once; the genre dimension is built once; each
+cohort is then scored on its own grid (cohorts have their own observed
+buckets and keys, so their frames differ), all from one job spine.
 """
 
 from __future__ import annotations
@@ -76,7 +77,7 @@ def plays_with_genre(
     it does not depend on the counts and the activity table is aggregated
     exactly once; ``restrict_genres=True`` first semi-joins the metadata with
     the played programmes (same result). ``how`` materialises the result for
-    its several consumers (the spine and the per-key series of every cohort).
+    its several consumers (the spine and the gap fill of every cohort).
     Each consumer prunes different columns, so without materialising, Spark
     would plan (and run) the activity aggregation once per consumer.
     """
