@@ -7,6 +7,9 @@ partition overwrite, so re-runs are idempotent) and reads the rest back. The
 counts of a day are exact and depend only on that day's activity, so the
 scores are identical to a full recount as long as activity older than the
 refresh window does not change; widen ``refresh_days`` to absorb late data.
+A refreshed day that has no qualifying activity at all writes no partition,
+so counts stored for it earlier would remain (such a day is otherwise simply
+not a bucket).
 """
 
 from __future__ import annotations
