@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 
 import duckdb
 import pandas as pd
@@ -56,7 +57,8 @@ def _run(grain, cohort, T, N, presence, stats):
     return Run(grain=grain, cohort=cohort, T=T, N=N, presence=presence, stats=stats)
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=int(os.environ.get("RANDOM_EXAMPLES", "12")), deadline=None,
+          suppress_health_check=list(HealthCheck))
 @given(data=inputs(), hourly=st.booleans())
 def test_random_inputs_match_oracle(spark, data, hourly):
     rows, meta = data
