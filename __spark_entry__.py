@@ -65,8 +65,9 @@ def _daily_all_plays(spark, sf_dir, how: str = "none") -> DataFrame:
 
 
 def _scored(spark, sf_dir, job, name) -> DataFrame:
+    """One cohort of ``job`` (its scores do not depend on the other cohorts, so only it is run)."""
     activity, metadata = _bound(spark, sf_dir)
-    return score_cohorts(activity, metadata, job)[name]
+    return score_cohorts(activity, metadata, tuple((c, s) for c, s in job if c.name == name))[name]
 
 
 # ---------------------------------------------------------------- queries ---
