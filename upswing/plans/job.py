@@ -1,11 +1,12 @@
-"""Command-line entry point for spark-submit.
+"""Command-line entry point (``spark-submit --py-files upswing.zip upswing/plans/job.py ...``
+or ``python -m upswing.plans.job ...``).
 
-    spark-submit -m upswing.plans.job rebuild --grain day \
+    job.py rebuild --grain day \
         --activity <table or path> --metadata <table or path> --output <path>
-    spark-submit -m upswing.plans.job increment --as-of 2024-01-31 \
+    job.py increment --as-of 2024-01-31 \
         --activity ... --metadata ... --output <path> --history <path> \
         [--counts-store <path> --refresh-days 1]
-    spark-submit -m upswing.plans.job counts --from 2024-01-01 --to 2024-01-30 \
+    job.py counts --from 2024-01-01 --to 2024-01-30 \
         --activity ... --metadata ... --output <counts store path>
 """
 
