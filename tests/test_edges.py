@@ -269,3 +269,16 @@ def test_spine_longer_than_its_bound_raises(spark):
     too_long = spine_array(overall_stats(pc, "date", 1), "date", max_buckets=2)
     with pytest.raises(Exception, match="time spine longer than 2 buckets"):
         dense_grid(pc, "date", 1, spine=too_long).collect()
+
+
+def test_counts_store_refresh_clears_a_day_that_lost_its_activity(spark, tmp_path):
+    from upswing.plans.counts_store import read_counts, refresh_counts
+
+    store = str(tmp_path / "counts")
+    a, _ = frames(spark, [r for i in range(4) for r in plays(3, day(i), "P")], G)
+    refresh_counts(a, store, (day(0), day(3)), (ALL,))
+    assert read_counts(spark, store, (day(0), day(3))).count() == 4
+    without_day_2 = a.where(f"date_of_event != DATE '{day(2)}'")
+    refresh_counts(without_day_2, store, (day(2), day(3)), (ALL,))
+    got = sorted(r["date"] for r in read_counts(spark, store, (day(0), day(3))).collect())
+    assert got == [day(0), day(1), day(3)]

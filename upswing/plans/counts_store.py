@@ -7,9 +7,9 @@ partition overwrite, so re-runs are idempotent) and reads the rest back. The
 counts of a day are exact and depend only on that day's activity, so the
 scores are identical to a full recount as long as activity older than the
 refresh window does not change; widen ``refresh_days`` to absorb late data.
-A refreshed day that has no qualifying activity at all writes no partition,
-so counts stored for it earlier would remain (such a day is otherwise simply
-not a bucket).
+Every refreshed day also gets one marker row, so a day whose activity has
+disappeared is overwritten too (with nothing but its marker); readers drop
+the markers.
 """
 
 from __future__ import annotations
@@ -33,10 +33,16 @@ def refresh_counts(
 ) -> None:
     """Recount ``dates`` (inclusive) from the activity and overwrite those days in the store."""
     fused = count_plays_by_cohort(activity, "day", cohorts, filters, dates)
-    publish(fused, store_path, mode="partitions", partition_by="date")
+    n_days = (dates[1] - dates[0]).days + 1
+    markers = activity.sparkSession.range(n_days).select(
+        F.date_add(F.lit(dates[0]), F.col("id").cast("int")).alias("date"), F.lit(True).alias("_marker")
+    )
+    rows = fused.withColumn("_marker", F.lit(False)).unionByName(markers, allowMissingColumns=True)
+    publish(rows, store_path, mode="partitions", partition_by="date")
 
 
 def read_counts(spark: SparkSession, store_path: str, dates: tuple[_dt.date, _dt.date]) -> DataFrame:
     """Stored counts of ``dates`` (inclusive); the date range prunes partitions."""
     stored = spark.read.parquet(store_path).withColumn("date", F.col("date").cast("date"))
-    return stored.where(F.col("date").between(F.lit(dates[0]), F.lit(dates[1])))
+    in_range = stored.where(F.col("date").between(F.lit(dates[0]), F.lit(dates[1])))
+    return in_range.where(~F.col("_marker")).drop("_marker")
