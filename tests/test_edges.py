@@ -282,3 +282,22 @@ def test_counts_store_refresh_clears_a_day_that_lost_its_activity(spark, tmp_pat
     refresh_counts(without_day_2, store, (day(2), day(3)), (ALL,))
     got = sorted(r["date"] for r in read_counts(spark, store, (day(0), day(3))).collect())
     assert got == [day(0), day(1), day(3)]
+
+
+def test_publish_to_catalog_tables(spark, tmp_path):
+    db = "upswing_publish_test"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{tmp_path / 'warehouse'}'")
+    try:
+        act = [r for i in range(3) for r in plays(100, day(i), "P")]
+        a, m = frames(spark, act, G)
+        wide = surge_wide(a, m, DAILY_JOB, how="none")
+        n = wide.count()
+        publish(wide, f"{db}.daily", mode="replace")
+        publish(wide, f"{db}.daily", mode="partitions")
+        assert spark.table(f"{db}.daily").count() == n
+        publish(wide.where(f"date = DATE '{day(2)}'"), f"{db}.daily", mode="append")
+        assert spark.table(f"{db}.daily").count() == n + wide.where(f"date = DATE '{day(2)}'").count()
+        publish(wide, f"{db}.daily", mode="replace")
+        assert spark.table(f"{db}.daily").count() == n
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")

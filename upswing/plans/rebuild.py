@@ -177,4 +177,5 @@ def run_rebuild(
     if job[0][1].time_col == "datehour":
         wide = wide.withColumn("date", F.to_date("datehour"))
     publish(wide, output_path, mode="replace", partition_by="date")
-    return wide.sparkSession.read.parquet(output_path)
+    spark = wide.sparkSession
+    return spark.read.parquet(output_path) if "/" in output_path or ":" in output_path else spark.table(output_path)

@@ -15,8 +15,12 @@ HISTORY_SCHEMA = (
 PUBLISH_MODES = ("replace", "partitions", "append")
 
 
-def publish(df: DataFrame, path: str, mode: str = "replace", partition_by: str | None = "date") -> None:
-    """Write ``df`` as Parquet at ``path``.
+def _is_path(target: str) -> bool:
+    return "/" in target or ":" in target
+
+
+def publish(df: DataFrame, target: str, mode: str = "replace", partition_by: str | None = "date") -> None:
+    """Write ``df`` to ``target``: a Parquet folder (anything with '/' or ':') or a catalog table.
 
     replace     drop and recreate the whole table (full rebuild)
     partitions  overwrite only the partitions present in ``df`` (dynamic
@@ -30,18 +34,30 @@ def publish(df: DataFrame, path: str, mode: str = "replace", partition_by: str |
     """
     if mode not in PUBLISH_MODES:
         raise ValueError(f"mode must be one of {PUBLISH_MODES}, not {mode!r}")
-    out = df
-    writer_opts = {}
-    if partition_by:
-        out = df.repartition(partition_by)
+    if mode == "partitions" and not partition_by:
+        raise ValueError("mode='partitions' needs a partition column")
+    out = df.repartition(partition_by) if partition_by else df
+    if _is_path(target):
+        w = out.write.mode("append" if mode == "append" else "overwrite")
+        if mode == "partitions":
+            w = w.option("partitionOverwriteMode", "dynamic")
+        if partition_by:
+            w = w.partitionBy(partition_by)
+        w.parquet(target)
+        return
+    spark = df.sparkSession
+    if mode == "replace" or not spark.catalog.tableExists(target):
+        w = out.write.mode("overwrite").format("parquet")
+        if partition_by:
+            w = w.partitionBy(partition_by)
+        w.saveAsTable(target)
+        return
+    # insertInto matches columns by position: use the table's order
+    ordered = out.select(*spark.table(target).columns)
+    w = ordered.write
     if mode == "partitions":
-        if not partition_by:
-            raise ValueError("mode='partitions' needs a partition column")
-        writer_opts["partitionOverwriteMode"] = "dynamic"
-    w = out.write.mode("append" if mode == "append" else "overwrite").options(**writer_opts)
-    if partition_by:
-        w = w.partitionBy(partition_by)
-    w.parquet(path)
+        w = w.option("partitionOverwriteMode", "dynamic")
+    w.insertInto(target, overwrite=(mode == "partitions"))
 
 
 def _ntz(ts: _dt.datetime | None):
