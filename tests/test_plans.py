@@ -52,7 +52,8 @@ def test_scoring_reads_the_fused_counts_not_the_activity(spark):
     """After the fused counts are materialised, the scoring plans read only them."""
     spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
     try:
-        plans = {n: plan(entry.queries()[n](spark, SF)) for n in ("surge_daily_wide", "surge_hourly_wide", "increment_wide")}
+        names = ("surge_daily_wide", "surge_hourly_wide", "increment_wide")
+        plans = {n: plan(entry.queries()[n](spark, SF)) for n in names}
     finally:
         spark.conf.unset("spark.sql.maxMetadataStringLength")
     for name, p in plans.items():

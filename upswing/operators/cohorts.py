@@ -47,7 +47,9 @@ def combine_cohorts(
         F.col("trend_score").alias("trend_score_ondemand"),
     )
     stacked = a.unionByName(b, allowMissingColumns=True).unionByName(c, allowMissingColumns=True)
-    values = ("streams", "trend_score", "streams_young", "trend_score_young", "streams_ondemand", "trend_score_ondemand")
+    values = (
+        "streams", "trend_score", "streams_young", "trend_score_young", "streams_ondemand", "trend_score_ondemand"
+    )
     merged = stacked.groupBy(*keys).agg(
         *[F.max(v).alias(v) for v in values],
         F.bool_or("_everyone").alias("_everyone"),

@@ -106,7 +106,9 @@ def score_counts(
     t = job[0][1].time_col
     spine = job_spine(pg, t, [(c.name, spec.min_streams) for c, spec in job])
     return {
-        c.name: score_plays(cohort_plays(pg, grain, c, ("genre",)), spec, spine=spine[c.name], genre_list=genre_list)
+        c.name: score_plays(
+            cohort_plays(pg, grain, c, ("genre",)), spec, spine=spine[c.name], genre_list=genre_list
+        )
         for c, spec in job
     }
 
@@ -178,4 +180,5 @@ def run_rebuild(
         wide = wide.withColumn("date", F.to_date("datehour"))
     publish(wide, output_path, mode="replace", partition_by="date")
     spark = wide.sparkSession
-    return spark.read.parquet(output_path) if "/" in output_path or ":" in output_path else spark.table(output_path)
+    is_path = "/" in output_path or ":" in output_path
+    return spark.read.parquet(output_path) if is_path else spark.table(output_path)
