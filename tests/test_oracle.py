@@ -43,3 +43,19 @@ def test_entry_smoke(spark):
         "brand_avg28", "brand_sd28", "overall_avg28", "overall_sd28", "trend_score",
     ]
     assert df.count() > 0
+
+
+@pytest.mark.parametrize(
+    "setting", [("spark.sql.session.timeZone", "America/New_York"), ("spark.sql.ansi.enabled", "false")]
+)
+def test_results_do_not_depend_on_session_settings(spark, con, setting):
+    key, value = setting
+    old = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        for name in ("surge_hourly_wide", "increment_wide", "plays_hourly"):
+            got = entry.queries()[name](spark, SF).toPandas()
+            ok, why = same(got, con.execute(entry.oracle_sql()[name]).df())
+            assert ok, (name, why)
+    finally:
+        spark.conf.set(key, old)
