@@ -8,6 +8,15 @@ distribution of all programmes. Three audience cohorts are scored from one
 scan and joined into one wide table per grain.
 """
 
+from upswing.plans import (
+    increment_wide,
+    run_increment,
+    run_rebuild,
+    score_cohorts,
+    score_increment,
+    surge_wide,
+)
+from upswing.sources import publish, read_activity, read_metadata, write_activity
 from upswing.spec import (
     ALL,
     DAILY,
@@ -34,4 +43,14 @@ __all__ = [
     "ActivityFilters",
     "Cohort",
     "ScoreSpec",
+    "increment_wide",
+    "publish",
+    "read_activity",
+    "read_metadata",
+    "run_increment",
+    "run_rebuild",
+    "score_cohorts",
+    "score_increment",
+    "surge_wide",
+    "write_activity",
 ]
