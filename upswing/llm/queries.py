@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from upswing.llm.common import read_table
+from upswing.llm.katz import score_documents
 from upswing.llm.lang_id import identify
 from upswing.llm.mixing import mix, quality_weights
 from upswing.llm.near_dedup import near_duplicates
@@ -47,10 +48,15 @@ def op7_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(read_table(spark, sf_dir, "documents"))
 
 
+def op8_katz_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_near_dedup": op2_near_dedup,
     "op3_token_store": op3_token_store,
     "op4_mix": op4_mix,
     "op7_lang_id": op7_lang_id,
+    "op8_katz_score": op8_katz_score,
 }
