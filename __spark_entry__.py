@@ -31,6 +31,12 @@ from upswing.sources.testdata import load_bound
 from upswing.spec import ALL, DAILY, HOURLY, ONDEMAND, YOUNG
 from upswing.verify.oracle import Run, r6, scored_select, wide_select, with_steps
 
+try:  # the training-data operators are an optional part
+    import corpus_pipeline
+    from upswing.llm import queries as llm
+except ImportError:
+    llm = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 # Parameters for the bound test data (the original presets would suppress every count).
@@ -315,7 +321,9 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    if llm is None:
+        return dict(_QUERIES)
+    return _QUERIES | llm.QUERIES | {"pipeline": corpus_pipeline.run}
 
 
 # ------------------------------------------------------------- oracle SQL ---
@@ -413,4 +421,4 @@ def oracle_sql() -> dict[str, str]:
             + ")) AS rows_published",
         ),
     }
-    return sql
+    return sql if llm is None else sql | llm.ORACLE_SQL
