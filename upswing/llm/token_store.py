@@ -44,7 +44,7 @@ class ChunkEncoder:
     first. Texts that may hold a special token's string are encoded whole.
     """
 
-    def __init__(self, path: str, most: int = 600_000):
+    def __init__(self, path: str, most: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -54,31 +54,55 @@ class ChunkEncoder:
 
     def reset(self) -> None:
         self.chunks: defaultdict[bytes, int] = defaultdict(count().__next__)
-        self.starts, self.pool = array("q", [0]), array("i")
+        self.first, self.size, self.pool = array("q"), array("q"), array("i")  # of each chunk: its run in the pool
 
     def whole(self, text: bytes) -> np.ndarray:
         return np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, dtype=np.int32)
 
-    def encode(self, text: bytes) -> np.ndarray:
-        lowered = text.lower()
-        if any(s in lowered for s in self.special):
-            return self.whole(text)
+    def _learn(self) -> None:
+        """Encode the chunks met since the last call; a word before a final stop or comma is a chunk of its own."""
+        known, keys = len(self.first), reversed(self.chunks)
+        new = [next(keys) for _ in range(len(self.chunks) - known)][::-1]
+        ends = {}
+        for chunk in new:
+            if chunk[-1:] in (b".", b",") and chunk[:-1].decode().isalpha():
+                ends[chunk] = self.chunks[chunk[:-1]], self.chunks[chunk[-1:]]
+        keys = reversed(self.chunks)
+        plain = [k for k in [next(keys) for _ in range(len(self.chunks) - known)][::-1] if k not in ends]
+        zeros = array("q", bytes(8 * (len(self.chunks) - known)))
+        self.first.extend(zeros)
+        self.size.extend(zeros)
+        for chunk, e in zip(plain, self.tokenizer.encode_batch_fast([c.decode() for c in plain], add_special_tokens=False), strict=True):
+            self._put(self.chunks[chunk], e.ids)
+        for chunk, parts in ends.items():
+            self._put(self.chunks[chunk], [i for p in parts for i in self.pool[self.first[p] : self.first[p] + self.size[p]]])
+
+    def _put(self, chunk: int, ids: list[int]) -> None:
+        self.first[chunk], self.size[chunk] = len(self.pool), len(ids)
+        self.pool.extend(ids)
+
+    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         if len(self.chunks) > self.most:
             self.reset()
-        chunks, known = lowered.split(), len(self.chunks)
-        at = np.fromiter(map(self.chunks.__getitem__, chunks), dtype=np.int64, count=len(chunks))
-        if len(self.chunks) > known:
-            keys = reversed(self.chunks)
-            new = [next(keys).decode() for _ in range(len(self.chunks) - known)][::-1]
-            for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False):
-                self.pool.extend(e.ids)
-                self.starts.append(len(self.pool))
-        starts = np.frombuffer(self.starts, dtype=np.int64)
-        first, sizes = starts[at], starts[at + 1] - starts[at]
-        ends = np.cumsum(sizes)
+        numbers, out = [], {}
+        for k, text in enumerate(texts):
+            lowered = text.lower()
+            if any(s in lowered for s in self.special):
+                out[k] = self.whole(text)
+                lowered = b""
+            chunks = lowered.split()
+            numbers.append(np.fromiter(map(self.chunks.__getitem__, chunks), dtype=np.int64, count=len(chunks)))
+        if len(self.chunks) > len(self.first):
+            self._learn()
+        at = np.concatenate(numbers)
+        size = np.frombuffer(self.size, dtype=np.int64)[at] if len(at) else np.empty(0, np.int64)
+        ends = np.cumsum(size)
         total = int(ends[-1]) if len(ends) else 0
-        where = np.arange(total, dtype=np.int64) + np.repeat(first - (ends - sizes), sizes)
-        return np.frombuffer(self.pool, dtype=np.int32)[where] if total else np.empty(0, dtype=np.int32)
+        first = np.frombuffer(self.first, dtype=np.int64)[at] if total else size
+        ids = np.frombuffer(self.pool, dtype=np.int32)[np.arange(total) + np.repeat(first - (ends - size), size)] if total else np.empty(0, np.int32)
+        cuts = np.concatenate([[0], ends])[np.cumsum([len(n) for n in numbers])]
+        pieces = np.split(ids, cuts[:-1])
+        return [out.get(k, p) for k, p in enumerate(pieces)]
 
 
 _ENCODERS: dict[str, ChunkEncoder] = {}  # kept by a worker between its tasks
@@ -93,7 +117,7 @@ def _encode(path: str, end_id: int):
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 piece = batch.slice(at, 500)
-                ids = [np.concatenate([encoder.encode(t), end]) if t else end for t in binary_texts(piece.column("text"))]
+                ids = [np.concatenate([x, end]) for x in encoder.encode([t or b"" for t in binary_texts(piece.column("text"))])]
                 sizes = np.array([len(x) for x in ids], dtype=np.int64)
                 ends = np.cumsum(sizes)
                 places = place + ends - sizes
