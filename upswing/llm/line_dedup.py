@@ -5,8 +5,9 @@ one character is deleted from each (at the same place) or from the longer one. A
 these variants are emitted as hashed keys and joined; edit distances are then
 verified. A variant's key is made of hashes of the blocks of the line before and
 after the deletion and of the block around it, so a long line costs about
-length ** 1.5. Lines are prepared by an exact prefilter: two lines within one edit
-have nearly equal lengths and the same first or last half.
+length ** 1.5. Two exact prefilters come before: lines within one edit have nearly
+equal lengths and the same first or last half; and for some block they agree in all
+that lies outside it. Variants are emitted for the blocks that pass only.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from upswing.llm.common import store
 
+BROADCAST_LINES = 200_000  # candidate lines up to which their hashes are broadcast (about 10 MB)
 MIN_NEAR = 20  # characters; shorter lines are dropped only as exact copies
 BLOCK = 64  # characters; longer lines use the root of their length
 
@@ -31,69 +33,65 @@ def _place(doc_id: str = "doc_id") -> Column:
     return F.struct(F.col(doc_id).isNull().alias("late"), F.col(doc_id).alias("doc_id"), "body", "no")
 
 
-def _halves(n: Column) -> Column:
-    """Keys of a line of ``n`` characters: for each of the longer lengths a pair can have, its first and last half."""
-    half = lambda m: F.floor((m - 1) / 2).cast("int")  # noqa: E731  both lines have as many characters beside the edit
-    keys = []
+def _halves() -> list[Column]:
+    """Keys of a line: for each of the longer lengths a pair can have, its first and last half."""
+    n, keys = F.length("line"), []
     for longer in (n, n + 1):
-        h = half(longer)
+        h = F.floor((longer - 1) / 2).cast("int")  # both lines have as many characters beside the edit
         keys += [
             F.xxhash64(longer, F.lit("first"), F.col("line").substr(F.lit(1), h)),
             F.xxhash64(longer, F.lit("last"), F.col("line").substr(n - h + 1, h)),
         ]
-    return F.array(*keys)
+    return keys
 
 
-def _variants() -> Column:
-    """Structs (v, at): the keys of all one-character deletions (at: where), and of the line itself as the shorter of a pair (at: -1)."""
-    n, line = F.col("n"), F.col("line")
+def _blocks() -> Column:
+    """Structs of a line's blocks, as the longer line of a pair and as the shorter one.
 
-    def key(longer: Column, block: Column, start: Column, tail: Column, middle: Column) -> Column:
-        return F.xxhash64(longer, block, line.substr(F.lit(1), start), line.substr(n - tail + 1, tail), middle)
+    outer: key of all that lies outside the block; start, width: of the block in
+    the longer line; around: the line's part inside it.
+    """
+    n, line = F.length("line"), F.col("line")
 
-    def blocks(longer: Column, one: bool) -> Column:
+    def blocks(longer: Column, short: int) -> Column:
         size = F.greatest(F.lit(BLOCK), F.ceil(F.sqrt(longer)).cast("int"))
-        count = F.ceil(longer / size).cast("int")
 
-        def of_block(k: Column) -> Column:
+        def block(k: Column) -> Column:
             start = k * size
-            width = F.least(size, longer - start)  # of the block in the longer line
+            width = F.least(size, longer - start)
             tail = longer - start - width
-            around = line.substr(start + 1, width - (0 if one else 1))
-            # the parts outside the block are hashed once for all its variants
             outer = F.xxhash64(longer, k, line.substr(F.lit(1), start), line.substr(n - tail + 1, tail))
-            if not one:
-                return F.array(F.struct(F.xxhash64(outer, around).alias("v"), F.lit(-1).alias("at")))
-            packed = F.array(F.struct(outer.alias("outer"), around.alias("around")))
-            return F.flatten(
-                F.transform(
-                    packed,
-                    lambda p: F.transform(
-                        F.sequence(F.lit(1), width),
-                        lambda i: F.struct(
-                            F.xxhash64(p["outer"], F.concat(F.substr(p["around"], F.lit(1), i - 1), F.substr(p["around"], i + 1))).alias("v"),
-                            (start + i).alias("at"),
-                        ),
-                    ),
-                )
+            return F.struct(
+                outer.alias("outer"), start.alias("start"), width.alias("width"), line.substr(start + 1, width - short).alias("around"), F.lit(bool(short)).alias("short")
             )
 
-        return F.flatten(F.transform(F.sequence(F.lit(0), count - 1), of_block))
+        return F.transform(F.sequence(F.lit(0), F.ceil(longer / size).cast("int") - 1), block)
 
-    return F.concat(blocks(n, True), blocks(n + 1, False))
+    return F.concat(blocks(n, 0), blocks(n + 1, 1))
+
+
+def _variants() -> Column:
+    """Structs (v, at) of a block: keys of its one-character deletions (at: where), or of the shorter line's as it is (at: -1)."""
+    outer, around = F.col("outer"), F.col("around")
+    deleted = F.transform(
+        F.sequence(F.lit(1), F.col("width")),
+        lambda i: F.struct(
+            F.xxhash64(outer, F.concat(F.substr(around, F.lit(1), i - 1), F.substr(around, i + 1))).alias("v"), (F.col("start") + i).alias("at")
+        ),
+    )
+    return F.when(F.col("short"), F.array(F.struct(F.xxhash64(outer, around).alias("v"), F.lit(-1).alias("at")))).otherwise(deleted)
 
 
 def near_lines(lines: DataFrame) -> DataFrame:
     """(a, b, near): lines with an earlier line within one edit.
 
     ``lines`` holds distinct lines: a, b (hashes), place (of the first
-    occurrence), line, n (characters).
+    occurrence), line.
     """
-    keyed = lines.select("a", "b", F.explode(_halves(F.col("n"))).alias("key"))
-    common = keyed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1").select("key")
-    some = keyed.join(common, "key").select("a", "b").distinct()
-    some = store(lines.join(some, ["a", "b"]), "candidates")
-    variants = store(some.select("a", "b", "place", F.explode(_variants()).alias("x")).select("a", "b", "place", "x.v", "x.at"), "variants")
+    blocks = store(lines.select("a", "b", "place", F.inline(_blocks())), "blocks")
+    shared = blocks.groupBy("outer").agg(F.count("*").alias("size")).where("size > 1").select("outer")
+    blocks = blocks.join(shared, "outer")
+    variants = store(blocks.select("a", "b", "place", F.inline(_variants())), "variants")
     # the same place deleted: all lines of the group differ there alone, so the earliest stands for all
     firsts = variants.where("at > 0").groupBy("v", "at").agg(F.min(F.struct("place", "a", "b")).alias("first"), F.count("*").alias("size")).where("size > 1")
     swaps = variants.join(firsts.select("v", "at", "first"), ["v", "at"]).where("place > first.place")
@@ -104,7 +102,7 @@ def near_lines(lines: DataFrame) -> DataFrame:
     late, early = F.greatest("l", "s"), F.least("l", "s")
     drops = both.select(late.alias("late"), early.alias("early")).select("late.a", "late.b", F.col("early.a").alias("ea"), F.col("early.b").alias("eb"))
     pairs = swaps.unionAll(drops).distinct()
-    texts = some.select("a", "b", "line")
+    texts = lines.select("a", "b", "line")
     other = texts.select(F.col("a").alias("ea"), F.col("b").alias("eb"), F.col("line").alias("earlier"))
     checked = pairs.join(texts, ["a", "b"]).join(other, ["ea", "eb"]).where(F.levenshtein("line", "earlier", 1) == 1)
     return checked.select("a", "b").distinct().withColumn("near", F.lit(True))
@@ -124,11 +122,17 @@ def dedup_lines(docs: DataFrame, min_near: int = MIN_NEAR) -> DataFrame:
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("body", F.xxhash64("doc_id", "text"))
     lines = _lines(docs)
-    distinct = store(
-        lines.groupBy("a", "b").agg(F.min(_place()).alias("place"), F.count("*").alias("size"), F.first("line").alias("line")).withColumn("n", F.length("line")),
-        "lines",
-    )
-    near = store(near_lines(distinct.where(F.col("n") >= min_near).select("a", "b", "place", "line", "n")), "near")
+    halves = [F.when(F.length("line") >= min_near, h) for h in _halves()]
+    keys = [f"half{k}" for k in range(len(halves))]
+    hashed = lines.select("a", "b", _place().alias("place"), *[h.alias(k) for h, k in zip(halves, keys, strict=True)])
+    distinct = store(hashed.groupBy("a", "b").agg(F.min("place").alias("place"), F.count("*").alias("size"), *[F.first(k).alias(k) for k in keys]), "lines")
+    keyed = distinct.where("half0 is not null").select("a", "b", "place", F.explode(F.array(*keys)).alias("key"))
+    common = keyed.groupBy("key").agg(F.count("*").alias("sharing")).where("sharing > 1").select("key")
+    some = store(keyed.join(common, "key").select("a", "b", F.col("place").alias("first")).distinct(), "sharing")
+    if some.count() <= BROADCAST_LINES:
+        some = F.broadcast(some)
+    texts = lines.join(some, ["a", "b"]).where(_place() == F.col("first")).select("a", "b", F.col("first").alias("place"), "line")
+    near = store(near_lines(store(texts, "candidates")), "near")
     tops = distinct.select("a", "b", "place", "size").join(near, ["a", "b"], "left").where("size > 1 or near")
     tops = store(tops.select("a", "b", "place", F.coalesce("near", F.lit(False)).alias("near")), "repeated")
     dropped = lines.drop("line").join(tops, ["a", "b"]).where(F.col("near") | (_place() != F.col("place")))
