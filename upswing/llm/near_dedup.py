@@ -11,7 +11,8 @@ similarity on the full sets.
 Links are found without listing all pairs of a bucket. Each member is first
 compared with its bucket's smallest member; confirmed links are merged into
 components. Only buckets that still hold several components are compared
-further, in blocks inside the tasks, which return at most a spanning forest.
+further, members of different components only, in blocks inside the tasks, which
+return at most a spanning forest.
 """
 
 from __future__ import annotations
@@ -219,14 +220,25 @@ def near_duplicates(docs: DataFrame, words_per: int = 5, percent: int = 80) -> D
     labelled = members.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
         "key", "rep", "size", F.coalesce("component", "rep").alias("component")
     )
-    open_keys = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-    # what a block needs is one bucket's members; a large bucket is compared as pairs of blocks
-    blocks = labelled.join(open_keys, "key").withColumn("n", F.ceil(F.col("size") / F.lit(BLOCK))).withColumn(
-        "block", F.expr("pmod(xxhash64(rep), n)")
-    )
-    paired = blocks.select("key", "rep", "component", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("other")).select(
-        "key", "rep", "component", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
+    # an open bucket holds several components; its largest one is merged already, so its members are not compared
+    # with each other: each is in one block, and the members of other components (the guests) visit all of these.
+    # Guests of different components meet as pairs of blocks of their own.
+    sizes = labelled.groupBy("key", "component").agg(F.count("*").alias("n"))
+    largest = sizes.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.max("n").alias("mains"), F.sum("n").alias("all"))
+    largest = largest.where("mains < all")
+    up = lambda n: F.ceil(n / F.lit(BLOCK))
+    blocks = labelled.join(largest, "key").select(
+        "key", "rep", "component", (F.col("component") == F.col("main")).alias("is_main"), up(F.col("mains")).alias("m"), up(F.col("all") - F.col("mains")).alias("g")
     )
+    own = lambda n: F.pmod(F.xxhash64("rep"), F.col(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    none = F.lit(-1).cast("long")
+    ids3 = ["key", "rep", "component"]
+    mains = blocks.where("is_main").select(*ids3, F.lit(0).cast("long").alias("block"), own("m").alias("i"), none.alias("j"))
+    visits = blocks.where("not is_main").select(*ids3, F.lit(1).cast("long").alias("block"), every("m").alias("i"), none.alias("j"))
+    guests = blocks.where("not is_main").select(*ids3, own("g").alias("block"), every("g").alias("other"))
+    guests = guests.select(*ids3, "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    paired = mains.unionAll(visits).unionAll(guests)
     # buckets with the same members (several bands of one family) are compared once
     same = paired.groupBy("key", "i", "j").agg(F.sum(F.xxhash64("rep", "block").cast("decimal(38,0)")).alias("who"), F.count("*").alias("size"))
     once = same.groupBy("who", "size", "i", "j").agg(F.min("key").alias("key")).select("key", "i", "j")
