@@ -247,6 +247,32 @@ def q_increment_from_store(spark, sf_dir):
     return _r6(increment_wide(activity, metadata, AS_OF, TEST_DAILY_JOB, counts_store=store))
 
 
+def q_increment_store_gap(spark, sf_dir):
+    """As above from a store that was only ever filled for three days: the missing ones are recounted."""
+    activity, metadata = _bound(spark, sf_dir)
+    store = shared_path(spark, "counts_gap")
+    for d in (3, 10, 11):
+        day = AS_OF - _dt.timedelta(days=d)
+        refresh_counts(activity, store, (day, day), COHORTS)
+    return _r6(increment_wide(activity, metadata, AS_OF, TEST_DAILY_JOB, counts_store=store))
+
+
+def q_publish_hourly(spark, sf_dir):
+    """Full rebuild of the hourly wide table into a fresh location, read back (without its date partition)."""
+    activity, metadata = _bound(spark, sf_dir)
+    path = shared_path(spark, "publish_hourly")
+    return _r6(run_rebuild(activity, metadata, path, TEST_HOURLY_JOB).drop("date"))
+
+
+def q_publish_append(spark, sf_dir):
+    """Yesterday appended twice: every row is there twice."""
+    activity, metadata = _bound(spark, sf_dir)
+    path = shared_path(spark, "publish_append")
+    for _ in range(2):
+        publish(increment_wide(activity, metadata, AS_OF, TEST_DAILY_JOB), path, mode="append")
+    return _r6(spark.read.parquet(path))
+
+
 def q_publish_increment(spark, sf_dir):
     """Publish yesterday twice into a fresh table (partition overwrite) and read it back."""
     activity, metadata = _bound(spark, sf_dir)
@@ -307,6 +333,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "score_increment_ondemand": q_score_increment_ondemand,
     "increment_wide": q_increment_wide,
     "increment_from_store": q_increment_from_store,
+    "increment_store_gap": q_increment_store_gap,
+    "publish_hourly": q_publish_hourly,
+    "publish_append": q_publish_append,
     "publish_increment": q_publish_increment,
     "publish_daily": q_publish_daily,
     "run_history": q_run_history,
@@ -411,6 +440,9 @@ def oracle_sql() -> dict[str, str]:
         "score_increment_ondemand": with_steps({"o": IO}, scored_select(IO, "o", _YESTERDAY)),
         "increment_wide": increment,
         "increment_from_store": increment,
+        "increment_store_gap": increment,
+        "publish_hourly": with_steps({"a": HA, "y": HY, "o": HO}, wide_select("datehour")),
+        "publish_append": f"WITH once AS ({increment}) SELECT * FROM once UNION ALL SELECT * FROM once",
         "publish_increment": increment,
         "publish_daily": wide_daily,
         "run_history": with_steps(

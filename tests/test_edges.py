@@ -256,19 +256,74 @@ def test_increment_from_counts_store_equals_recount(spark, tmp_path):
     assert read_counts(spark, store, (day(0), day(11))).count() == 24
 
 
-def test_spine_longer_than_its_bound_raises(spark):
-    from upswing.operators.grid import dense_grid, overall_stats, spine_array
-    from upswing.operators.plays import cohort_plays
-    from upswing.plans.rebuild import plays_with_genre
+def test_spine_of_many_buckets(spark):
+    """No limit on the number of buckets: 120,000 hours, two of them played."""
+    from pyspark.sql import functions as F
 
-    act = [r for i in range(3) for r in plays(2, day(i), "P")]
-    a, m = frames(spark, act, G)
-    pc = cohort_plays(plays_with_genre(a, m, "day", (ALL,)), "day", ALL, ("genre",))
-    ok = spine_array(overall_stats(pc, "date", 1), "date", max_buckets=3)
-    assert dense_grid(pc, "date", 1, spine=ok).count() == 3
-    too_long = spine_array(overall_stats(pc, "date", 1), "date", max_buckets=2)
-    with pytest.raises(Exception, match="time spine longer than 2 buckets"):
-        dense_grid(pc, "date", 1, spine=too_long).collect()
+    from upswing.operators.grid import dense_grid
+
+    hours = spark.range(120_000).select(
+        F.expr("timestampadd(HOUR, id, TIMESTAMP_NTZ '2001-01-01 00:00:00')").alias("datehour"),
+        F.lit("PS_IPLAYER").alias("destination"), F.when(F.col("id") % 2 == 0, "P").otherwise("Q").alias("tleo"),
+        F.lit("g").alias("genre"), F.lit(5).cast("long").alias("plays"),
+    )
+    grid = dense_grid(hours, "datehour", 1)
+    assert grid.agg(F.count("*"), F.count("streams")).first()[:] == (240_000, 120_000)
+
+
+def test_large_date_is_written_by_several_tasks(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    rows = spark.range(400_000).select(F.lit(day(0)).alias("date"), F.md5(F.col("id").cast("string")).alias("tleo"))
+    size = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2m")
+    try:
+        publish(rows, str(tmp_path / "t"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", size)
+    assert len(list((tmp_path / "t" / f"date={day(0)}").glob("*.parquet"))) > 1
+
+
+def test_counts_store_with_holes_fails_or_is_recounted(spark, tmp_path):
+    from upswing.plans.counts_store import missing_days, read_counts, refresh_counts
+    from upswing.plans.increment import increment_wide
+
+    a, m = frames(spark, [r for i in range(12) for r in plays(100 + i, day(i), "P")], G)
+    store, cohorts = str(tmp_path / "counts"), tuple(c for c, _ in DAILY_JOB)
+    for d in (2, 5, 6):
+        refresh_counts(a, store, (day(d), day(d)), cohorts)
+    assert missing_days(spark, store, (day(1), day(6))) == [day(1), day(3), day(4)]
+    with pytest.raises(ValueError, match=f"lacks {day(1)}, {day(3)}, {day(4)}"):
+        read_counts(spark, store, (day(1), day(6)))
+    want = sorted(map(tuple, increment_wide(a, m, day(12), DAILY_JOB, how="none").collect()))
+    got = increment_wide(a, m, day(12), DAILY_JOB, how="none", counts_store=store)
+    assert sorted(map(tuple, got.collect())) == want and missing_days(spark, store, (day(0), day(11))) == []
+
+
+def test_rerun_of_a_day_that_became_empty_clears_it(spark, tmp_path):
+    from upswing.plans.increment import run_increment
+
+    a, m = frames(spark, [r for i in range(12) for r in plays(100 + i, day(i), "P")], G)
+    out, hist = str(tmp_path / "daily"), str(tmp_path / "history")
+    run_increment(a, m, day(11), out, hist)
+    run_increment(a, m, day(12), out, hist)
+    assert sorted({r["date"] for r in spark.read.parquet(out).collect()}) == [day(10), day(11)]
+    run_increment(a.where(f"date_of_event < DATE '{day(11)}'"), m, day(12), out, hist)
+    assert {r["date"] for r in spark.read.parquet(out).collect()} == {day(10)}
+
+
+def test_killed_run_stays_running_and_errors_are_not_hidden(spark, tmp_path):
+    import datetime as dt
+
+    from upswing.plans.increment import run_increment
+    from upswing.sources.sinks import record_run
+
+    hist = str(tmp_path / "history")
+    record_run(spark, hist, "surge_increment", "t", dt.datetime(2024, 1, 1), None, "RUNNING")
+    assert [r["status"] for r in read_history(spark, hist).collect()] == ["RUNNING"]
+    a, m = frames(spark, plays(100, day(0), "P"), G)
+    with pytest.raises(Exception, match="no_such_column"):
+        run_increment(a.withColumnRenamed("clip_id", "no_such_column").select("no_such_column", "no_such_column"), m, day(1), str(tmp_path / "o"), hist)
 
 
 def test_counts_store_refresh_clears_a_day_that_lost_its_activity(spark, tmp_path):

@@ -8,9 +8,6 @@ followed by DISTINCT).
 
 from __future__ import annotations
 
-import functools
-import operator
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,17 +28,23 @@ def programme_titles(metadata: DataFrame, sentinel: str = NOT_A_CLIP) -> DataFra
 def titles_matching_any(metadata: DataFrame, played: DataFrame, sentinel: str = NOT_A_CLIP) -> DataFrame:
     """Metadata rows where *any* of the five titles is a played programme, as (tleo, genre_list).
 
-    This is the literal selection (five IN-subqueries joined by OR); Spark
-    plans each as an existence join against the played titles. It keeps rows
-    that only match through a title other than the chosen one; such rows can
-    never join to the plays by the chosen title, which is why the pipeline
-    uses ``genre_dimension`` (one semi-join on the chosen title) instead.
+    This is the literal selection (five IN-subqueries joined by OR) as one
+    semi-join: each row's distinct titles are laid out under a row number, joined
+    to the played titles, and a row that matched by several is kept once. It keeps
+    rows that only match through a title other than the chosen one; such rows can
+    never join to the plays by the chosen title, which is why the pipeline uses
+    ``genre_dimension`` (one semi-join on the chosen title) instead.
     """
-    played_titles = played.select(F.col(TLEO)).distinct()
-    cond = functools.reduce(
-        operator.or_, [F.col(c).isin(played_titles) for c in (*TITLE_COLUMNS, FALLBACK_TITLE)]
+    played_titles = played.select(F.col(TLEO).alias("_any")).distinct()
+    titles = F.array_distinct(F.array(*TITLE_COLUMNS, FALLBACK_TITLE))
+    numbered = metadata.withColumn("_row", F.monotonically_increasing_id())  # before the titles are laid out
+    laid_out = numbered.select(
+        "_row",
+        first_usable_title(TITLE_COLUMNS, FALLBACK_TITLE, sentinel).alias(TLEO),
+        F.col(GENRE_LIST).alias("genre_list"),
+        F.explode(titles).alias("_any"),
     )
-    return programme_titles(metadata.where(cond), sentinel)
+    return laid_out.join(played_titles, "_any", "left_semi").dropDuplicates(["_row"]).select(TLEO, "genre_list")
 
 
 def modal_genre(titles: DataFrame) -> DataFrame:

@@ -6,10 +6,9 @@ cohort's observed keys. It is built in linear time and without a cross join:
 
 * the spine is a small sorted array of the observed buckets with each
   bucket's all-programme mean and st. dev., computed by a scalar subquery (one
-  per job, holding one array per cohort); its length is checked at run time
-  against ``MAX_SPINE_BUCKETS``, so what is broadcast from it is bounded;
-* each observed (bucket, key) row finds its position in the spine by a
-  broadcast hash join;
+  per job, holding one array per cohort);
+* each observed (bucket, key) row finds its position in the spine by a hash
+  join whose strategy Spark chooses by the spine's size;
 * in one window per key (the cohort's only shuffle), each row emits the grid
   positions after the previous observed row up to its own (the key's last row
   also up to the end of the spine); ``element_at`` turns a position back into
@@ -24,7 +23,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from upswing.functions.columns import suppress_low
-from upswing.spec import MAX_SPINE_BUCKETS
 
 KEYS = ("destination", "tleo", "genre")
 
@@ -46,13 +44,6 @@ def overall_stats(plays: DataFrame, t: str, min_streams: int, value: str = "play
     return plays.groupBy(t).agg(F.avg(s).alias("overall_avg"), F.stddev_samp(s).alias("overall_sd"))
 
 
-def _bounded(c: Column, max_buckets: int, what: str) -> Column:
-    """``c`` (an array), or a run-time error if it holds more than ``max_buckets`` entries."""
-    return F.when(F.size(c) <= max_buckets, c).otherwise(
-        F.raise_error(F.lit(f"{what} longer than {max_buckets} buckets"))
-    )
-
-
 def _entry(t: str, avg: str, sd: str) -> Column:
     """A spine entry; sorting entries puts buckets in order with the NULL bucket last."""
     return F.struct(
@@ -68,14 +59,13 @@ def spine_array(
     t: str,
     avg: str = "overall_avg",
     sd: str = "overall_sd",
-    max_buckets: int = MAX_SPINE_BUCKETS,
 ) -> Column:
     """Scalar column: the buckets of ``per_bucket`` with their statistics, in frame order.
 
     An array of struct(t, overall_avg, overall_sd) sorted by bucket with the
     NULL bucket, if any, last (the order of the trailing frames).
     """
-    arr = _bounded(F.array_sort(F.collect_list(_entry(t, avg, sd))), max_buckets, "time spine")
+    arr = F.array_sort(F.collect_list(_entry(t, avg, sd)))
     return per_bucket.select(arr.alias("spine")).scalar()
 
 
@@ -93,9 +83,7 @@ def job_bucket_stats(fused: DataFrame, t: str, cohorts: list[tuple[str, int]]) -
     return fused.groupBy(t).agg(*aggs)
 
 
-def job_spine(
-    fused: DataFrame, t: str, cohorts: list[tuple[str, int]], max_buckets: int = MAX_SPINE_BUCKETS
-) -> Column:
+def job_spine(fused: DataFrame, t: str, cohorts: list[tuple[str, int]]) -> Column:
     """Scalar struct with one ``spine_array``-shaped field per cohort of a job.
 
     One aggregation and one scalar subquery for the whole job (Spark evaluates
@@ -104,11 +92,7 @@ def job_spine(
     """
     per_bucket = job_bucket_stats(fused, t, cohorts)
     arrays = [
-        _bounded(
-            F.array_sort(F.collect_list(F.when(F.col(f"in_{name}"), _entry(t, f"avg_{name}", f"sd_{name}")))),
-            max_buckets,
-            "time spine",
-        ).alias(name)
+        F.array_sort(F.collect_list(F.when(F.col(f"in_{name}"), _entry(t, f"avg_{name}", f"sd_{name}")))).alias(name)
         for name, _ in cohorts
     ]
     return per_bucket.select(F.struct(*arrays).alias("spine")).scalar()
@@ -136,7 +120,7 @@ def dense_grid(
         .select("_at", F.col(f"_b.{t}").alias("_bucket"))
     )
     # position of every observed row in the spine (NULL bucket included)
-    located = plays.join(F.broadcast(positions), plays[t].eqNullSafe(positions["_bucket"])).drop("_bucket")
+    located = plays.join(positions, plays[t].eqNullSafe(positions["_bucket"])).drop("_bucket")
     w = Window.partitionBy(*KEYS).orderBy("_at")
     neighbours = located.withColumns({"_prev": F.lag("_at").over(w), "_next": F.lead("_at").over(w)})
     # each row fills the positions after the previous row up to its own;

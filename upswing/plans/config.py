@@ -24,7 +24,7 @@ def scale_conf(input_bytes: int, target_partition_bytes: int = 256 * MB) -> dict
       shared storage and is left to the cluster. Checkpoint files of a job are
       removed once nothing references them.
     """
-    initial = max(200, min(100_000, input_bytes // target_partition_bytes))
+    initial = max(200, input_bytes // target_partition_bytes)
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -10,14 +10,15 @@ full rebuild equal when no day is missing.
 
 from __future__ import annotations
 
+import contextlib
 import datetime as _dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from upswing.plans.counts_store import read_counts, refresh_counts
+from upswing.plans.counts_store import read_counts, recount_missing, refresh_counts
 from upswing.plans.rebuild import Job, score_cohorts, score_counts, wide_table
-from upswing.sources.sinks import publish, record_run
+from upswing.sources.sinks import is_path, publish, publish_day, record_run
 from upswing.spec import DAILY_JOB, INCREMENT_HISTORY_DAYS, ActivityFilters
 
 
@@ -41,7 +42,7 @@ def score_increment(
 
     With ``counts_store`` (see ``upswing.plans.counts_store``) only the last
     ``refresh_days`` days are recounted from the activity; the other days of
-    the window are read from the store, which must already hold them.
+    the window are read from the store; days it has never counted are recounted.
     """
     if any(spec.grain != "day" for _, spec in job):
         raise ValueError("the increment is daily")
@@ -52,6 +53,7 @@ def score_increment(
         cohorts = tuple(c for c, _ in job)
         refresh = (as_of - _dt.timedelta(days=refresh_days), dates[1])
         refresh_counts(activity, counts_store, refresh, cohorts, filters)
+        recount_missing(activity, counts_store, dates, cohorts, filters)
         stored = read_counts(activity.sparkSession, counts_store, dates)
         scored = score_counts(stored, metadata, job, how, genre_list)
     day = F.lit(dates[1])
@@ -96,19 +98,31 @@ def run_increment(
 
     ``mode='partitions'`` (default) overwrites yesterday's partition, so a
     re-run is idempotent; ``mode='append'`` adds the rows again on a re-run.
-    One history row is appended whatever the outcome (FINISHED or FAILED).
-    Returns the final status.
+    With ``mode='partitions'`` and a folder the day's partition is replaced even
+    if nothing is left of it. The history holds a RUNNING record from the start and
+    a FINISHED or FAILED one at the end. Returns the final status.
     """
     spark = activity.sparkSession
     started = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    status = "FAILED"
+
+    def record(status: str, finished: _dt.datetime | None = None) -> None:
+        record_run(spark, history_path, script, target_table, started, finished, status)
+
+    def now() -> _dt.datetime:
+        return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+
+    record("RUNNING")
     try:
         wide = increment_wide(
             activity, metadata, as_of, job, history_days, filters, how, counts_store, refresh_days
         )
-        publish(wide, output_path, mode=mode, partition_by="date")
-        status = "FINISHED"
-    finally:
-        finished = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        record_run(spark, history_path, script, target_table, started, finished, status)
-    return status
+        if mode == "partitions" and is_path(output_path):
+            publish_day(wide, output_path, increment_dates(as_of, history_days)[1])
+        else:
+            publish(wide, output_path, mode=mode, partition_by="date")
+    except BaseException:
+        with contextlib.suppress(Exception):  # the job's own error matters more
+            record("FAILED", now())
+        raise
+    record("FINISHED", now())
+    return "FINISHED"

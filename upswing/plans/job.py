@@ -62,7 +62,7 @@ def main(argv=None) -> None:
     else:
         if not a.history:
             raise SystemExit("--history is required for increment")
-        as_of = a.as_of or dt.date.today()
+        as_of = a.as_of or spark.sql("SELECT current_date()").first()[0]  # the session's date
         run_increment(
             activity, metadata, as_of, a.output, a.history, mode=a.mode,
             counts_store=a.counts_store, refresh_days=a.refresh_days,

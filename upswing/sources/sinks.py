@@ -15,7 +15,7 @@ HISTORY_SCHEMA = (
 PUBLISH_MODES = ("replace", "partitions", "append")
 
 
-def _is_path(target: str) -> bool:
+def is_path(target: str) -> bool:
     return "/" in target or ":" in target
 
 
@@ -27,17 +27,16 @@ def publish(df: DataFrame, target: str, mode: str = "replace", partition_by: str
                 partition overwrite): publishing the same day twice leaves it once
     append      add the rows as they are: a re-run duplicates them
 
-    Rows are clustered by the partition column before writing, so each
-    partition is written by one task as one file instead of one file per
-    upstream task. Every bucket of a dense grid holds the same number of rows
-    (one per key), so this clustering is not skewed.
+    Rows are rebalanced by the partition column before writing: small
+    partitions become one file instead of one per upstream task, and AQE splits
+    a large one over as many tasks as its size asks for.
     """
     if mode not in PUBLISH_MODES:
         raise ValueError(f"mode must be one of {PUBLISH_MODES}, not {mode!r}")
     if mode == "partitions" and not partition_by:
         raise ValueError("mode='partitions' needs a partition column")
-    out = df.repartition(partition_by) if partition_by else df
-    if _is_path(target):
+    out = df.hint("rebalance", partition_by) if partition_by else df
+    if is_path(target):
         w = out.write.mode("append" if mode == "append" else "overwrite")
         if mode == "partitions":
             w = w.option("partitionOverwriteMode", "dynamic")
@@ -60,6 +59,16 @@ def publish(df: DataFrame, target: str, mode: str = "replace", partition_by: str
     w.insertInto(target, overwrite=(mode == "partitions"))
 
 
+def publish_day(df: DataFrame, target: str, day: _dt.date, partition_by: str = "date") -> None:
+    """Make the partition of ``day`` in the Parquet folder ``target`` hold ``df``'s rows of it, and no others.
+
+    The partition's folder itself is overwritten, so a day that has become empty
+    is cleared too, which a dynamic partition overwrite would leave as it was.
+    """
+    rows = df.where(F.col(partition_by) == F.lit(day)).drop(partition_by)
+    rows.hint("rebalance").write.mode("overwrite").parquet(f"{target.rstrip('/')}/{partition_by}={day}")
+
+
 def _ntz(ts: _dt.datetime | None):
     if ts is None:
         return F.lit(None).cast("timestamp_ntz")
@@ -75,7 +84,11 @@ def record_run(
     finished: _dt.datetime | None,
     status: str,
 ) -> None:
-    """Append one run record (who, when, how long, outcome) to the history table."""
+    """Append one state of a run (who, when, how long, outcome) to the history table.
+
+    A run has a RUNNING record from its start and a second one, with the same
+    start, when it ends; ``read_history`` takes the later.
+    """
     row = spark.range(1).select(
         F.lit(script).alias("script"),
         F.lit(target_table).alias("target_table"),
@@ -89,4 +102,9 @@ def record_run(
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(HISTORY_SCHEMA).parquet(path)
+    """The last state of every run: a job that was killed stays RUNNING."""
+    rows = spark.read.schema(HISTORY_SCHEMA).parquet(path)
+    state = F.struct("updated_by", "updated_date", "finished", "status")
+    last = F.max_by(state, F.struct(F.col("finished").isNotNull().alias("ended"), "finished"))
+    runs = rows.groupBy("script", "target_table", "started").agg(last.alias("last"))
+    return runs.select("script", "target_table", "last.updated_by", "last.updated_date", "started", "last.finished", "last.status")

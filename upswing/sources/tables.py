@@ -33,13 +33,13 @@ def write_activity(activity: DataFrame, path: str, mode: str = "overwrite") -> N
     """Store activity facts as Parquet partitioned by ``date_of_event``.
 
     With this layout the increment's date range becomes a partition filter:
-    only the 28 days it reads are listed and scanned. Rows are clustered by
-    date first so each date is written as few files rather than one per task
-    per date.
+    only the 28 days it reads are listed and scanned. Rows are rebalanced
+    by date first: each date is written as few files rather than one per task per
+    date, and AQE splits a large date over many tasks.
     """
     (
         activity.select(*ACTIVITY_COLUMNS)
-        .repartition("date_of_event")
+        .hint("rebalance", "date_of_event")
         .write.mode(mode)
         .partitionBy("date_of_event")
         .parquet(path)

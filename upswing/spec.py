@@ -46,11 +46,6 @@ TITLE_COLUMNS = ("brand_title", "series_title", "episode_title", "presentation_t
 FALLBACK_TITLE = "clip_title"
 GENRE_LIST = "pips_genre_level_1_names"
 
-#: Largest number of time buckets a spine may hold. The spine (distinct
-#: buckets, with per-bucket statistics) is shipped to every task, so its size
-#: is checked at run time against this bound. 200,000 hours is 22 years.
-MAX_SPINE_BUCKETS = 200_000
-
 
 @dataclass(frozen=True)
 class ActivityFilters:
