@@ -28,6 +28,7 @@ SAMPLE_DOCS = 600  # training documents per language (expected), the bound of th
 SAMPLE_RUNS = 4  # runs of TRAIN_SPAN bytes from each of them
 TRAIN_SPAN = 64
 STEPS, BATCH, RATE = 250, 192, 0.02
+BROADCAST_LANGUAGES = 10_000  # rows up to which the counts by language are broadcast
 UNDETERMINED = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -236,6 +237,8 @@ def training_runs(docs: DataFrame, seed: int = 11) -> DataFrame:
     rows = docs.where("lang is not null and length(text) > 0").withColumn("u", unit_hash("doc_id", "text", F.lit(seed)))
     counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
     n_langs = counts.count()
+    if n_langs <= BROADCAST_LANGUAGES:  # else the texts would be shuffled by language
+        counts = F.broadcast(counts)
     drawn = rows.join(counts, "lang").where(F.col("u") * F.col("n") < SAMPLE_DOCS)
     drawn = drawn.orderBy("u", "doc_id").limit(2 * SAMPLE_DOCS * max(1, n_langs))
     place = lambda k: (F.pmod(F.xxhash64("doc_id", F.lit(seed + k)), F.greatest(F.lit(1), F.length("text") - TRAIN_SPAN)) + 1).cast("int")
