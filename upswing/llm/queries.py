@@ -14,6 +14,7 @@ from upswing.llm.lang_id import identify
 from upswing.llm.line_dedup import dedup_lines
 from upswing.llm.mixing import mix, quality_weights
 from upswing.llm.near_dedup import near_duplicates
+from upswing.llm.oracle import ORACLE_SQL  # noqa: F401
 from upswing.llm.phrase_index import decontaminate
 from upswing.llm.token_store import token_digests, write_tokens
 from upswing.llm.url_trust import filter_urls
@@ -88,6 +89,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_vector_dedup": op9_vector_dedup,
     "op10_line_dedup": op10_line_dedup,
 }
-
-#: DuckDB SQL for the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {}
