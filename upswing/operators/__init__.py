@@ -8,7 +8,7 @@ from upswing.operators.genre import (
     programme_titles,
     titles_matching_any,
 )
-from upswing.operators.grid import dense_grid, job_bucket_stats, job_spine, overall_stats, spine_array
+from upswing.operators.grid import cohort_spine, dense_grid, job_bucket_stats, job_spine, overall_stats, plays_spine
 from upswing.operators.plays import (
     cohort_plays,
     count_plays,
@@ -21,6 +21,7 @@ from upswing.operators.score import score_grid, score_plays
 __all__ = [
     "attach_genre",
     "cohort_plays",
+    "cohort_spine",
     "combine_cohorts",
     "count_plays",
     "count_plays_by_cohort",
@@ -31,10 +32,10 @@ __all__ = [
     "job_spine",
     "modal_genre",
     "overall_stats",
+    "plays_spine",
     "programme_titles",
     "score_grid",
     "score_plays",
-    "spine_array",
     "titles_matching_any",
     "trailing_stats",
 ]

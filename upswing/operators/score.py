@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from upswing.functions.columns import first_token, surge_z
@@ -47,7 +47,7 @@ def score_plays(
     plays_with_genre: DataFrame,
     spec: ScoreSpec,
     value: str = "plays",
-    spine: Column | None = None,
+    spine: DataFrame | None = None,
     genre_list: bool = False,
 ) -> DataFrame:
     """Scored grid of one cohort from its (bucket, destination, tleo, genre, plays) rows."""

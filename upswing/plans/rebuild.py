@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from upswing.functions.columns import first_token
 from upswing.operators.cohorts import combine_cohorts
 from upswing.operators.genre import attach_genre, genre_dimension
-from upswing.operators.grid import job_spine
+from upswing.operators.grid import cohort_spine, job_spine
 from upswing.operators.plays import cohort_plays, count_plays_by_cohort
 from upswing.operators.score import score_plays
 from upswing.sources.sinks import publish
@@ -104,10 +104,10 @@ def score_counts(
     grain = _grain(job)
     pg = counts_with_genre(fused, metadata, how)
     t = job[0][1].time_col
-    spine = job_spine(pg, t, [(c.name, spec.min_streams) for c, spec in job])
+    spine = materialize(job_spine(pg, t, [(c.name, spec.min_streams) for c, spec in job]), how)
     return {
         c.name: score_plays(
-            cohort_plays(pg, grain, c, ("genre",)), spec, spine=spine[c.name], genre_list=genre_list
+            cohort_plays(pg, grain, c, ("genre",)), spec, spine=cohort_spine(spine, t, c.name), genre_list=genre_list
         )
         for c, spec in job
     }
