@@ -111,3 +111,20 @@ def test_cohort_combination_adds_no_shuffle(spark):
         )
         assert keyed == ["destination, tleo, genre, 8"] * 3, (name, keyed)
         assert "SortMergeJoin" not in p
+
+
+def test_increment_is_one_aggregation(spark):
+    """One day is scored without grid, window or sort: one shuffle, on the keys, for all cohorts."""
+    for name in ("score_increment", "increment_wide", "increment_from_store"):
+        df = entry.queries()[name](spark, SF)
+        df.collect()
+        p = drop_initial_plans(plan(df))
+        keyed = [
+            re.sub(r"#\d+", "", x)
+            for line in p.splitlines()
+            if "ReusedExchange" not in line
+            for x in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", line)
+        ]
+        assert keyed == ["destination, tleo, genre, 8"], (name, keyed)
+        for bad in ("Window", "Generate", "SortMergeJoin"):
+            assert bad not in p, (name, bad)

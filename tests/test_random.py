@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+from dataclasses import replace
 
 import duckdb
 import pandas as pd
@@ -12,6 +13,7 @@ from hypothesis import strategies as st
 
 from tests.compare import same
 from tests.fixtures import ACTIVITY_SCHEMA, METADATA_SCHEMA
+from upswing.plans.increment import increment_dates, increment_wide, score_increment
 from upswing.plans.rebuild import score_cohorts, surge_wide
 from upswing.spec import ALL, DAILY, HOURLY, ONDEMAND, YOUNG
 from upswing.verify.oracle import IDENTITY_BINDING, Run, scored_select, wide_select, with_steps
@@ -89,6 +91,38 @@ def test_random_inputs_match_oracle(spark, data, hourly):
     assert ok, ("wide", why)
 
 
+@settings(max_examples=int(os.environ.get("RANDOM_EXAMPLES", "6")), deadline=None,
+          suppress_health_check=list(HealthCheck))
+@given(data=inputs(), ahead=st.integers(1, 9))
+def test_random_increments_match_oracle(spark, data, ahead):
+    """Any day of the window, also one without plays of a cohort, and frames shorter than the window."""
+    rows, meta = data
+    spec = DAILY.with_(min_streams=2, min_present=2, presence_rows=3, stats_rows=4)
+    job = ((ALL, spec), (YOUNG, spec.with_(min_streams=1)), (ONDEMAND, spec))
+    as_of = D0 + dt.timedelta(days=ahead)
+    activity = spark.createDataFrame(rows, ACTIVITY_SCHEMA)
+    metadata = spark.createDataFrame(meta, METADATA_SCHEMA)
+    scored = score_increment(activity, metadata, as_of, job, how="none")
+    wide = increment_wide(activity, metadata, as_of, job, how="none")
+
+    con = duckdb.connect()
+    con.register("activity_input", pd.DataFrame(rows, columns=[c.split()[0] for c in ACTIVITY_SCHEMA.split(", ")]))
+    con.register("metadata_input", pd.DataFrame(meta, columns=[c.split()[0] for c in METADATA_SCHEMA.split(", ")]))
+    dates = increment_dates(as_of)
+    runs = {
+        p: replace(_run("day", name, T, 2, 3, 4), dates=dates)
+        for p, name, T in (("a", "all", 2), ("y", "young", 1), ("o", "ondemand", 2))
+    }
+    yesterday = f"WHERE date = DATE '{dates[1]}'"
+    for p, name in (("a", "all"), ("y", "young"), ("o", "ondemand")):
+        sql = with_steps({p: runs[p]}, scored_select(runs[p], p, yesterday), IDENTITY_BINDING)
+        ok, why = same(_round(scored[name].toPandas()), con.execute(sql).df())
+        assert ok, (name, why)
+    sql = with_steps(runs, wide_select("date", yesterday), IDENTITY_BINDING)
+    ok, why = same(_round(wide.toPandas()), con.execute(sql).df())
+    assert ok, ("wide", why)
+
+
 def _round(pdf: pd.DataFrame) -> pd.DataFrame:
     for c in pdf.columns:
         if pdf[c].dtype.kind == "f":

@@ -1,8 +1,9 @@
 """Daily increment: score yesterday from the last ``history_days`` days and publish it.
 
 The input is cut to ``[as_of - history_days, as_of - 1]`` *before* counting
-(pruning date partitions of the activity table); the cut to ``as_of - 1``
-comes *after* scoring, since the trailing frames need the earlier days. With
+(pruning date partitions of the activity table). Only the last of these days
+is scored, by one aggregation per key over all of them (``operators/day.py``),
+without the rebuild's grid and windows. With
 the default 28 days at most 27 earlier rows fill the 28-row frame, as in the
 original job; ``history_days=29`` makes the frames of the increment and of a
 full rebuild equal when no day is missing.
@@ -14,10 +15,11 @@ import contextlib
 import datetime as _dt
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from upswing.operators.day import cohort_day, day_scores, wide_day
+from upswing.operators.plays import count_plays_by_cohort
 from upswing.plans.counts_store import read_counts, recount_missing, refresh_counts
-from upswing.plans.rebuild import Job, score_cohorts, score_counts, wide_table
+from upswing.plans.rebuild import Job, counts_and_spine
 from upswing.sources.sinks import is_path, publish, publish_day, record_run
 from upswing.spec import DAILY_JOB, INCREMENT_HISTORY_DAYS, ActivityFilters
 
@@ -26,6 +28,33 @@ def increment_dates(as_of: _dt.date, history_days: int = INCREMENT_HISTORY_DAYS)
     return as_of - _dt.timedelta(days=history_days), as_of - _dt.timedelta(days=1)
 
 
+def _increment_scores(
+    activity: DataFrame,
+    metadata: DataFrame,
+    as_of: _dt.date,
+    job: Job,
+    history_days: int,
+    filters: ActivityFilters,
+    how: str,
+    counts_store: str | None,
+    refresh_days: int,
+) -> DataFrame:
+    """``day_scores`` of the day before ``as_of`` from the counts of its window."""
+    if any(spec.grain != "day" for _, spec in job):
+        raise ValueError("the increment is daily")
+    dates = increment_dates(as_of, history_days)
+    cohorts = tuple(c for c, _ in job)
+    if counts_store is None:
+        fused = count_plays_by_cohort(activity, "day", cohorts, filters, dates)
+    else:
+        refresh = (as_of - _dt.timedelta(days=refresh_days), dates[1])
+        refresh_counts(activity, counts_store, refresh, cohorts, filters)
+        recount_missing(activity, counts_store, dates, cohorts, filters)
+        fused = read_counts(activity.sparkSession, counts_store, dates)
+    pg, spine = counts_and_spine(fused, metadata, job, how)
+    return day_scores(pg, spine, dates[1], job)
+
+
 def score_increment(
     activity: DataFrame,
     metadata: DataFrame,
@@ -36,7 +65,6 @@ def score_increment(
     how: str = "table",
     counts_store: str | None = None,
     refresh_days: int = 1,
-    genre_list: bool = False,
 ) -> dict[str, DataFrame]:
     """Each cohort's scored rows of the day before ``as_of``.
 
@@ -44,20 +72,9 @@ def score_increment(
     ``refresh_days`` days are recounted from the activity; the other days of
     the window are read from the store; days it has never counted are recounted.
     """
-    if any(spec.grain != "day" for _, spec in job):
-        raise ValueError("the increment is daily")
-    dates = increment_dates(as_of, history_days)
-    if counts_store is None:
-        scored = score_cohorts(activity, metadata, job, filters, dates, how, genre_list)
-    else:
-        cohorts = tuple(c for c, _ in job)
-        refresh = (as_of - _dt.timedelta(days=refresh_days), dates[1])
-        refresh_counts(activity, counts_store, refresh, cohorts, filters)
-        recount_missing(activity, counts_store, dates, cohorts, filters)
-        stored = read_counts(activity.sparkSession, counts_store, dates)
-        scored = score_counts(stored, metadata, job, how, genre_list)
-    day = F.lit(dates[1])
-    return {name: df.where(F.col("date") == day) for name, df in scored.items()}
+    scores = _increment_scores(activity, metadata, as_of, job, history_days, filters, how, counts_store, refresh_days)
+    day = increment_dates(as_of, history_days)[1]
+    return {c.name: cohort_day(scores, day, c, spec) for c, spec in job}
 
 
 def increment_wide(
@@ -72,10 +89,8 @@ def increment_wide(
     refresh_days: int = 1,
 ) -> DataFrame:
     """Wide rows of the day before ``as_of``."""
-    scored = score_increment(
-        activity, metadata, as_of, job, history_days, filters, how, counts_store, refresh_days, genre_list=True
-    )
-    return wide_table(scored, job)
+    scores = _increment_scores(activity, metadata, as_of, job, history_days, filters, how, counts_store, refresh_days)
+    return wide_day(scores, increment_dates(as_of, history_days)[1], job)
 
 
 def run_increment(

@@ -93,6 +93,15 @@ def counts_with_genre(
     return materialize(attach_genre(fused, genres), how)
 
 
+def counts_and_spine(
+    fused: DataFrame, metadata: DataFrame, job: Job = DAILY_JOB, how: str = "table"
+) -> tuple[DataFrame, DataFrame]:
+    """Fused counts with the genre and the ``job_spine`` of their buckets, both materialised."""
+    pg = counts_with_genre(fused, metadata, how)
+    spine = job_spine(pg, job[0][1].time_col, [(c.name, spec.min_streams) for c, spec in job])
+    return pg, materialize(spine, how)
+
+
 def score_counts(
     fused: DataFrame, metadata: DataFrame, job: Job = DAILY_JOB, how: str = "table", genre_list: bool = False
 ) -> dict[str, DataFrame]:
@@ -101,10 +110,8 @@ def score_counts(
     ``genre_list=True`` keeps the full genre list instead of its first token
     (for ``wide_table``, which takes the first token after joining).
     """
-    grain = _grain(job)
-    pg = counts_with_genre(fused, metadata, how)
-    t = job[0][1].time_col
-    spine = materialize(job_spine(pg, t, [(c.name, spec.min_streams) for c, spec in job]), how)
+    grain, t = _grain(job), job[0][1].time_col
+    pg, spine = counts_and_spine(fused, metadata, job, how)
     return {
         c.name: score_plays(
             cohort_plays(pg, grain, c, ("genre",)), spec, spine=cohort_spine(spine, t, c.name), genre_list=genre_list
