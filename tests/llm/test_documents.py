@@ -142,6 +142,16 @@ def test_chunk_encoder_is_the_library_on_whole_texts():
             assert ids.tolist() == encoder.tokenizer.encode(t, add_special_tokens=False).ids
 
 
+def test_chunk_encoder_on_letters_that_normalise_to_a_mark_at_the_end():
+    """Before a stop or comma the pre-tokenizer joins that mark with it."""
+    words = ["হয়", "সময়", "\u0958", "\ufb2a", "EV\u0130", "a\u0958", "\u0130", "été", "ΣΑΣ", "слово", "가", "\u1100\u1161", "\u1100\u1161\u11a8", "日本", "abc"]
+    encoder = ChunkEncoder(tokenizer_path())
+    texts = [w + mark for w in words for mark in (".", ",", "", ".,", "x,")]
+    texts += [chr(c) + "," for c in range(0x80, 0x30000) if chr(c).isalpha()]
+    for t, ids in zip(texts, encoder.encode([t.encode() for t in texts]), strict=True):
+        assert ids.tolist() == encoder.tokenizer.encode(t, add_special_tokens=False).ids, t
+
+
 def test_token_files(spark):
     from tokenizers import Tokenizer
 

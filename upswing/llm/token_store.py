@@ -41,7 +41,10 @@ class ChunkEncoder:
     For vocabularies whose normaliser and pre-tokenizer never look across ASCII
     white space and drop it, and lower-case the text: then a text's ids are those
     of its white-space chunks one after the other, and A-Z can be lower-cased
-    first. Texts that may hold a special token's string are encoded whole.
+    first. Texts that may hold a special token's string are encoded whole. A word
+    before a final stop or comma is a chunk of its own where the pre-tokenizer
+    cuts between them: not after letters that normalisation ends with a combining
+    mark, which goes with the stop or comma.
     """
 
     def __init__(self, path: str, most: int = 1_000_000):
@@ -50,6 +53,7 @@ class ChunkEncoder:
 
         self.tokenizer, self.most = Tokenizer.from_file(path), most
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.cuts: dict[str, bool] = {}  # by a word's last letter and the mark after it
         self.reset()
 
     def reset(self) -> None:
@@ -59,13 +63,23 @@ class ChunkEncoder:
     def whole(self, text: bytes) -> np.ndarray:
         return np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, dtype=np.int32)
 
+    def _cut(self, end: str) -> bool:
+        """Whether the tokenizer, asked once for each pair, cuts between a word's last letter and the mark after it.
+
+        The letter alone answers for all words: where it composes with the one before (Hangul), the result is a letter too.
+        """
+        if end not in self.cuts:
+            pieces = self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(end))
+            self.cuts[end] = pieces[-1][0] == end[-1]
+        return self.cuts[end]
+
     def _learn(self) -> None:
-        """Encode the chunks met since the last call; a word before a final stop or comma is a chunk of its own."""
+        """Encode the chunks met since the last call; a word before a final stop or comma is a chunk of its own if the two are cut."""
         known, keys = len(self.first), reversed(self.chunks)
         new = [next(keys) for _ in range(len(self.chunks) - known)][::-1]
         ends = {}
         for chunk in new:
-            if chunk[-1:] in (b".", b",") and chunk[:-1].decode().isalpha():
+            if chunk[-1:] in (b".", b",") and (text := chunk.decode())[:-1].isalpha() and self._cut(text[-2:]):
                 ends[chunk] = self.chunks[chunk[:-1]], self.chunks[chunk[-1:]]
         keys = reversed(self.chunks)
         plain = [k for k in [next(keys) for _ in range(len(self.chunks) - known)][::-1] if k not in ends]
