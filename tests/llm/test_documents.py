@@ -59,6 +59,40 @@ def test_near_duplicates_chain_needs_more_than_leaders(spark):
     assert len({r["component_id"] for r in got}) < 12
 
 
+def unlinked_family(n, seed=11):
+    """Texts with a common template: they share bands, but few or none are links."""
+    rng = random.Random(seed)
+    base = [f"t{i}" for i in range(60)]
+    return [(i, " ".join(base[:48] + [f"u{rng.randrange(10**6)}" for _ in range(12)]), None, None, None) for i in range(n)]
+
+
+def test_near_duplicates_of_unlinked_members_of_a_bucket(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 10)
+    data = unlinked_family(80)
+    data += [(1000 + k, data[5 * k][1].replace("u", "v", 3), None, None, None) for k in range(10)]
+    got = near_duplicates(frame(spark, data), 4, 80).collect()
+    assert sorted((tuple(r) for r in got), key=str) == near_brute([r[:2] for r in data], 4, 80)
+    assert len(data) > len({r["component_id"] for r in got}) > 70
+
+
+@pytest.mark.parametrize("m", [1, 40, 120])
+def test_groups_of_open_buckets_are_bounded_and_meet_all_pairs(spark, monkeypatch, m):
+    """One component of m members and 300 single ones; every pair but those inside the component meets once, in a small group."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 20)
+    members = spark.createDataFrame([(7, k, 0 if k < m else k) for k in range(m + 300)], "key long, rep long, component long")
+    groups = collections.defaultdict(list)
+    for r in near_dedup.block_pairs(members).collect():
+        groups[r["i"], r["j"]].append((r["side"], r["rep"]))
+    assert max(map(len, groups.values())) <= 2 * 2 * 20
+    met = collections.Counter()
+    for (i, j), group in groups.items():
+        for a, (s, x) in enumerate(group):
+            for t, y in group[a + 1 :]:
+                if i == j or s != t:
+                    met[min(x, y), max(x, y)] += 1
+    assert met == {(x, y): 1 for x in range(m + 300) for y in range(x + 1, m + 300) if y >= m}
+
+
 def test_near_duplicates_default_parameters_on_a_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     got = near_duplicates(docs).collect()

@@ -17,6 +17,7 @@ return at most a spanning forest.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -140,7 +141,7 @@ def _verify(words_per: int, percent: int):
 def _forest(words_per: int, percent: int):
     """Rows sorted by (bucket, block pair): links between components of a group, as a spanning forest."""
 
-    def links(group: list[tuple[int, int, int, np.ndarray]]) -> Iterator[tuple[int, int]]:
+    def links(group: list[tuple[int, int, int, np.ndarray]], sides: bool) -> Iterator[tuple[int, int]]:
         root = {c: c for _, c, _, _ in group}
 
         def find(c: int) -> int:
@@ -150,11 +151,16 @@ def _forest(words_per: int, percent: int):
             return c
 
         group.sort(key=lambda r: len(r[3]))
-        for i, (x, cx, bx, sx) in enumerate(group):
-            for y, cy, by, sy in group[i + 1 :]:
-                if 100 * len(sx) < percent * len(sy):
-                    break
-                if (bx != by or by < 0) and find(cx) != find(cy) and similar(sx, sy, percent):
+        left = [r for r in group if not sides or r[2] == 0]
+        right = [r for r in group if r[2] == 1] if sides else group
+        sizes = [len(r[3]) for r in right]
+        for i, (x, cx, _, sx) in enumerate(left):
+            # only sets whose sizes allow the similarity; pairs of a block with itself come once
+            at = bisect_left(sizes, percent * len(sx), key=lambda n: 100 * n) if sides else i + 1
+            while at < len(right) and 100 * len(sx) >= percent * sizes[at]:
+                y, cy, _, sy = right[at]
+                at += 1
+                if find(cx) != find(cy) and similar(sx, sy, percent):
                     root[find(cx)] = find(cy)
                     yield x, y
 
@@ -162,23 +168,51 @@ def _forest(words_per: int, percent: int):
         vocab, key, group = Vocabulary(), None, []
 
         def out():
-            found = list(links(group))
+            found = list(links(group, key[1] != key[2]))
             return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
 
         for batch in batches:
-            cols = [batch.column(c).to_pylist() for c in ("key", "i", "j", "block", "rep", "component")]
-            for k, i, j, block, rep, comp, s in zip(*cols, shingle_sets(binary_texts(batch.column("text")), words_per, vocab), strict=True):
+            cols = [batch.column(c).to_pylist() for c in ("key", "i", "j", "side", "rep", "component")]
+            for k, i, j, side, rep, comp, s in zip(*cols, shingle_sets(binary_texts(batch.column("text")), words_per, vocab), strict=True):
                 if (k, i, j) != key:
                     if group:
                         yield out()
                     key, group = (k, i, j), []
-                group.append((rep, comp, -1 if i == j else block, s))
+                group.append((rep, comp, side, s))
         if group:
             yield out()
 
     return run
 
 
+def block_pairs(labelled: DataFrame) -> DataFrame:
+    """The members of open buckets, dealt to pairs of blocks: key, rep, component, side, i, j.
+
+    ``labelled`` has key, rep and component. An open bucket holds several
+    components; its largest one is merged already, so its members (the mains) are
+    not compared with each other, only with the members of other components (the
+    guests). Both are cut into blocks of about ``BLOCK``. A group (key, i, j) is
+    main block i (side 0) and guest block -1 - j (side 1) if j is negative, else
+    guest blocks i and j (sides 0 and 1, or one side if they are the same).
+    """
+    sizes = labelled.groupBy("key", "component").agg(F.count("*").alias("n"))
+    largest = sizes.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.max("n").alias("mains"), F.sum("n").alias("all"))
+    largest = largest.where("mains < all")
+    up = lambda n: F.ceil(n / F.lit(BLOCK))
+    blocks = labelled.join(largest, "key").select(
+        "key", "rep", "component", (F.col("component") == F.col("main")).alias("is_main"), up(F.col("mains")).alias("m"), up(F.col("all") - F.col("mains")).alias("g")
+    )
+    own = lambda n: F.pmod(F.xxhash64("rep"), F.col(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    ids3, first, second = ["key", "rep", "component"], F.lit(0).alias("side"), F.lit(1).alias("side")
+    mains = blocks.where("is_main").select(*ids3, first, own("m").alias("i"), every("g").alias("other"))
+    visits = blocks.where("not is_main").select(*ids3, second, own("g").alias("other"), every("m").alias("i"))
+    met = mains.unionByName(visits).select(*ids3, "side", "i", (F.lit(-1) - F.col("other")).alias("j"))
+    guests = blocks.where("not is_main").select(*ids3, own("g").alias("block"), every("g").alias("other"))
+    guests = guests.select(*ids3, (F.col("block") > F.col("other")).cast("int").alias("side"), F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    return met.unionByName(guests)
+
+
 def _with_text(rows: DataFrame, texts: DataFrame, on: str) -> DataFrame:
     return rows.join(texts.withColumnRenamed("id", on), on)
 
@@ -220,27 +254,9 @@ def near_duplicates(docs: DataFrame, words_per: int = 5, percent: int = 80) -> D
     labelled = members.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
         "key", "rep", "size", F.coalesce("component", "rep").alias("component")
     )
-    # an open bucket holds several components; its largest one is merged already, so its members are not compared
-    # with each other: each is in one block, and the members of other components (the guests) visit all of these.
-    # Guests of different components meet as pairs of blocks of their own.
-    sizes = labelled.groupBy("key", "component").agg(F.count("*").alias("n"))
-    largest = sizes.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.max("n").alias("mains"), F.sum("n").alias("all"))
-    largest = largest.where("mains < all")
-    up = lambda n: F.ceil(n / F.lit(BLOCK))
-    blocks = labelled.join(largest, "key").select(
-        "key", "rep", "component", (F.col("component") == F.col("main")).alias("is_main"), up(F.col("mains")).alias("m"), up(F.col("all") - F.col("mains")).alias("g")
-    )
-    own = lambda n: F.pmod(F.xxhash64("rep"), F.col(n))
-    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    none = F.lit(-1).cast("long")
-    ids3 = ["key", "rep", "component"]
-    mains = blocks.where("is_main").select(*ids3, F.lit(0).cast("long").alias("block"), own("m").alias("i"), none.alias("j"))
-    visits = blocks.where("not is_main").select(*ids3, F.lit(1).cast("long").alias("block"), every("m").alias("i"), none.alias("j"))
-    guests = blocks.where("not is_main").select(*ids3, own("g").alias("block"), every("g").alias("other"))
-    guests = guests.select(*ids3, "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    paired = mains.unionAll(visits).unionAll(guests)
+    paired = block_pairs(labelled)
     # buckets with the same members (several bands of one family) are compared once
-    same = paired.groupBy("key", "i", "j").agg(F.sum(F.xxhash64("rep", "block").cast("decimal(38,0)")).alias("who"), F.count("*").alias("size"))
+    same = paired.groupBy("key", "i", "j").agg(F.sum(F.xxhash64("rep", "side").cast("decimal(38,0)")).alias("who"), F.count("*").alias("size"))
     once = same.groupBy("who", "size", "i", "j").agg(F.min("key").alias("key")).select("key", "i", "j")
     paired = _with_text(paired.join(once, ["key", "i", "j"]), texts.withColumnRenamed("id", "rep"), "rep")
     rows = paired.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
