@@ -320,6 +320,25 @@ def test_pipeline_stages(spark):
     docs = docs.unionByName(frame(spark, [(500, "before " + items[0][1] + " after", "en", "a", 1)]))
     assert [name for name, _ in pipeline.STAGES] == ["language_id", "near_dedup", "decontamination", "mixing", "token_output"]
     for name, stage in pipeline.STAGES:
+@pytest.mark.parametrize("dim, block, cell", [(4, 2048, 20), (16, 2048, 20), (16, 11, 20), (64, 2048, 15)])
+def test_vectors_of_links_just_above_the_threshold(spark, monkeypatch, dim, block, cell):
+    """Planted pairs at cosine 0.90 to 0.92, which often cross borders: all links are counted for both vectors, once."""
+    monkeypatch.setattr(vector_dedup, "BLOCK", block)
+    monkeypatch.setattr(vector_dedup, "CELL", cell)
+    rng = np.random.default_rng(5)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    a = unit(rng.standard_normal((400, dim)))
+    other = rng.standard_normal((400, dim))
+    other = unit(other - (other * a).sum(axis=1, keepdims=True) * a)
+    cos = rng.uniform(0.901, 0.92, (400, 1))
+    both = np.concatenate([a, cos * a + np.sqrt(1 - cos**2) * other])
+    data = [(k, v.tolist()) for k, v in enumerate(both)] + [(2000 + k, both[k].tolist()) for k in range(0, 800, 7)]
+    got = vector_dedup.near_vectors(frame(spark, data, "vec_id long, embedding array<double>")).collect()
+    n, comp = vectors_brute(data)
+    assert min(n.values()) >= 1 and len(n) == len(data)
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in got} == {i: (n[i], comp[i]) for i, _ in data}
+
+
         before = docs.collect()
         out = stage(spark, docs, SF)
         after = out.collect()

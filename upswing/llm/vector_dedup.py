@@ -3,9 +3,12 @@
 k-means centres are fitted on a bounded sample; every vector is indexed in the
 cell of its nearest centre, its home. A vector also visits the cells whose border
 is near: by m = x . (c_home - c) / |c_home - c|, the sine of its angle to the
-border. Inside a cell, blocks of homes and visitors are compared by products in
-double precision. Equal vectors are one class; blocks return counts of links and
-a spanning forest instead of pairs; components are then merged over all cells.
+border. The arc between two linked vectors of different cells crosses the border
+of these, so one of the two lies within half its angle of it and visits the
+other's home: every link is found. Inside a cell, blocks of homes and visitors are
+compared by products in double precision; a link counts for both vectors, once.
+Equal vectors are one class; blocks return counts of links and a spanning forest
+instead of pairs; components are then merged over all cells.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from upswing.llm.common import connected_components, map_arrow, store, unit_hash
 SAMPLE = 20_000  # vectors the centres are fitted on (expected)
 CELL = 250  # aimed vectors of a cell
 MOST_CELLS = 2_048
-MARGIN = 0.12  # cells whose border lies within this sine are visited
+SLACK = 1e-6  # added to the margin, for rounding
 BLOCK = 2_048  # vectors of a cell compared at once
 
 
@@ -56,7 +59,7 @@ def _assign(centres: dict[int, np.ndarray], margin: float):
             for at in range(0, whole.num_rows, 1000):
                 batch = whole.slice(at, 1000)
                 dims = batch.column("dim").to_numpy()
-                home, visits = np.zeros(len(dims), np.int64), [np.empty(0, np.int64)] * len(dims)
+                home, visits, bits = np.zeros(len(dims), np.int64), [np.empty(0, np.int64)] * len(dims), [b""] * len(dims)
                 for d in np.unique(dims):
                     if d not in centres:
                         continue  # a length the sample does not have: one cell
@@ -64,21 +67,26 @@ def _assign(centres: dict[int, np.ndarray], margin: float):
                     dot = _unit(batch.column("embedding").take(pa.array(rows)), int(d)) @ centres[d].T
                     h = dot.argmax(axis=1)
                     sine = (dot[np.arange(len(rows)), h][:, None] - dot) / np.maximum(gaps[d][h], 1e-12)
-                    near = sine <= margin
+                    near = (sine <= margin) | (gaps[d][h] < SLACK)
                     near[np.arange(len(rows)), h] = False
                     home[rows] = h
                     for r, n in zip(rows, near, strict=True):
-                        visits[r] = np.flatnonzero(n)
+                        visits[r], bits[r] = np.flatnonzero(n), np.packbits(n).tobytes()
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("rep"), batch.column("copies"), batch.column("dim"), batch.column("embedding"), pa.array(home), pa.array(visits, pa.list_(pa.int64()))],
-                    names=["rep", "copies", "dim", "embedding", "home", "visits"],
+                    [batch.column("rep"), batch.column("copies"), batch.column("dim"), batch.column("embedding"), pa.array(home), pa.array(visits, pa.list_(pa.int64())), pa.array(bits, pa.binary())],
+                    names=["rep", "copies", "dim", "embedding", "home", "visits", "bits"],
                 )
 
     return run
 
 
 def _compare(threshold: float):
-    """One (cell, block of homes, block of guests): link counts of each guest, and links that join components."""
+    """One (cell, block of homes, block of guests): link counts, and links that join components.
+
+    A link counts for the guest, and for the one at home unless that one visits
+    the guest's home, where it is counted as a guest. ``bits`` are the cells that
+    a vector at home visits.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         lists = table.column("embedding").combine_chunks()
@@ -86,7 +94,10 @@ def _compare(threshold: float):
         rep, copies = table.column("rep").to_numpy(), table.column("copies").to_numpy()
         at_home = table.column("at_home").to_numpy(zero_copy_only=False)
         homes, guests = np.flatnonzero(at_home), np.flatnonzero(~at_home)
-        ids, found, edges = [], [], []
+        cell, from_cell = table.column("cell")[0].as_py(), table.column("home").to_numpy()
+        bits = table.column("bits").take(pa.array(homes)).to_pylist()
+        bits = np.unpackbits(np.frombuffer(b"".join(bits), np.uint8).reshape(len(homes), -1), axis=1) if len(homes) and bits[0] else None
+        ids, found, edges, back = [], [], [], np.zeros(len(homes), np.int64)
         root = {}
 
         def find(a):
@@ -100,11 +111,16 @@ def _compare(threshold: float):
             near = (x[g] @ x[homes].T >= threshold) & (rep[g][:, None] != rep[homes][None, :])
             ids.append(rep[g])
             found.append(near @ copies[homes])
+            if bits is not None:
+                once = near & (from_cell[g] != cell)[:, None] & (bits[:, from_cell[g]] == 0).T
+                back += copies[g] @ once
             for i, j in np.argwhere(near):
                 a, b = find(int(rep[g[i]])), find(int(rep[homes[j]]))
                 if a != b:
                     root[max(a, b)] = min(a, b)
                     edges.append((a, b))
+        ids.append(rep[homes][back > 0])
+        found.append(back[back > 0])
         n = sum(len(i) for i in ids)
         a, b = (np.array([e[k] for e in edges], dtype=np.int64) for k in (0, 1))
         return pa.table(
@@ -119,7 +135,7 @@ def _compare(threshold: float):
     return run
 
 
-def near_vectors(vectors: DataFrame, threshold: float = 0.9, margin: float = MARGIN) -> DataFrame:
+def near_vectors(vectors: DataFrame, threshold: float = 0.9, margin: float | None = None) -> DataFrame:
     """Links of cosine >= ``threshold`` among ``vectors`` (vec_id, embedding), and their components.
 
     Returns one row per input row: vec_id, n_links (other vectors linked
@@ -127,10 +143,12 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, margin: float = MAR
     null, empty, zero or hold null or non-finite components link with nothing,
     as do vectors of different lengths. Equal rows are one vector; a null vec_id
     links with nothing, its component is null and it is kept. Links below the
-    threshold are never reported; a link is found if either cell border is within
-    ``margin``, which the tests compare with brute force. Other columns are not
-    read.
+    threshold are never reported, and all others are found; a ``margin`` (sine)
+    below the default, that of half the threshold's angle, loses some. Other
+    columns are not read.
     """
+    if margin is None:
+        margin = math.sqrt(max(0.0, (1 - threshold) / 2)) + SLACK
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     finite = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))))
     norm = F.aggregate("embedding", F.lit(0.0), lambda s, v: s + v * v)
@@ -146,10 +164,10 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, margin: float = MAR
         x = np.stack(group["embedding"].to_numpy())
         x = x[np.lexsort(x.T[::-1])] / np.linalg.norm(x[np.lexsort(x.T[::-1])], axis=1, keepdims=True)
         centres[int(dim)] = spherical_kmeans(x, max(1, min(MOST_CELLS, math.ceil(n * len(x) / len(sample) / CELL))))
-    placed = store(map_arrow(reps, _assign(centres, margin), "rep long, copies long, dim int, embedding array<double>, home long, visits array<long>"), "placed")
+    placed = store(map_arrow(reps, _assign(centres, margin), "rep long, copies long, dim int, embedding array<double>, home long, visits array<long>, bits binary"), "placed")
 
-    homes = placed.select("dim", F.col("home").alias("cell"), "rep", "copies", "embedding")
-    guests = placed.select("dim", F.explode(F.concat(F.array("home"), "visits")).alias("cell"), "rep", "copies", "embedding")
+    homes = placed.select("dim", F.col("home").alias("cell"), "rep", "copies", "embedding", "home", "bits")
+    guests = placed.select("dim", F.explode(F.concat(F.array("home"), "visits")).alias("cell"), "rep", "copies", "embedding", "home", F.lit(None).cast("binary").alias("bits"))
     blocks = lambda df: df.groupBy("dim", "cell").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("n"))
     hb, gb = blocks(homes).withColumnRenamed("n", "h"), blocks(guests).withColumnRenamed("n", "g")
     sizes = store(hb.join(gb, ["dim", "cell"]), "blocks")
@@ -158,10 +176,10 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, margin: float = MAR
     pairs = (
         homes.join(sizes, ["dim", "cell"]).select("*", own("h").alias("hb"), every("g").alias("gb"), F.lit(True).alias("at_home"))
         .unionAll(guests.join(sizes, ["dim", "cell"]).select("*", own("g").alias("gb0"), every("h").alias("hb"), F.lit(False).alias("at_home"))
-                  .select("dim", "cell", "rep", "copies", "embedding", "h", "g", "hb", F.col("gb0").alias("gb"), "at_home"))
+                  .select("dim", "cell", "rep", "copies", "embedding", "home", "bits", "h", "g", "hb", F.col("gb0").alias("gb"), "at_home"))
     )
     found = store(
-        pairs.select("dim", "cell", "hb", "gb", "rep", "copies", "embedding", "at_home")
+        pairs.select("dim", "cell", "hb", "gb", "rep", "copies", "embedding", "home", "bits", "at_home")
         .groupBy("dim", "cell", "hb", "gb")
         .applyInArrow(_compare(threshold), "rep long, links long, a long, b long"),
         "links",
