@@ -194,6 +194,31 @@ def test_templates_that_rewrite_history_are_found():
     assert all(s is not None for s, _, _ in chat.spans(chat.inst_template, [("system", "s"), ("user", "u"), ("assistant", "a")]))
 
 
+def test_templates_with_state_see_the_whole_conversation(spark):
+    def numbered(turns):  # the first turn says how turns are marked, and turns are numbered
+        return "".join(f"<{turns[0][1]} {k} {role}>{text}</>" for k, (role, text) in enumerate(turns))
+
+    def edits_first(turns):  # every hundredth turn is noted in the first one
+        return "".join(f"<{role}>{text}{'+' * (len(turns) // 100) if k == 0 else ''}" for k, (role, text) in enumerate(turns))
+
+    data = [(c, t, ("user", "assistant")[t % 2], f"said {t}") for c in (1, 2) for t in range(130)]
+    for template in (numbered, edits_first):
+        want = chat.spans(template, [r[2:] for r in data[:130]])
+        got = chat.format_conversations(frame(spark, data, TURNS), template).collect()
+        for c in (1, 2):
+            mine = sorted((r for r in got if r["conv_id"] == c), key=lambda r: r["position"])
+            assert [(r["span"], r["content_from"], r["content_to"]) for r in mine] == want
+            assert [r["position"] for r in mine if r["rewrites"]] == ([99] if template is edits_first else [])
+            if template is numbered:
+                assert "".join(r["span"] for r in mine) == numbered([r[2:] for r in data[:130]])
+
+
+def test_windows_of_a_stateless_template_change_nothing(spark):
+    data = frame(spark, conversations(), TURNS, ("span", "position"))
+    key = lambda rs: sorted(map(tuple, rs.collect()), key=str)
+    assert key(chat.format_conversations(data)) == key(chat.format_conversations(data, window=7))
+
+
 def test_chat_query_and_empty_table(spark):
     got = {r["conv_id"]: r for r in QUERIES["op5_chat_format"](spark, SF).collect()}
     n = spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id").distinct().count()
@@ -295,6 +320,25 @@ def test_vectors(spark, monkeypatch, block, cell):
         assert r["kept"] == (r["vec_id"] is None or r["vec_id"] == r["component_id"])
 
 
+@pytest.mark.parametrize("dim, block, cell", [(4, 2048, 20), (16, 2048, 20), (16, 11, 20), (64, 2048, 15)])
+def test_vectors_of_links_just_above_the_threshold(spark, monkeypatch, dim, block, cell):
+    """Planted pairs at cosine 0.90 to 0.92, which often cross borders: all links are counted for both vectors, once."""
+    monkeypatch.setattr(vector_dedup, "BLOCK", block)
+    monkeypatch.setattr(vector_dedup, "CELL", cell)
+    rng = np.random.default_rng(5)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    a = unit(rng.standard_normal((400, dim)))
+    other = rng.standard_normal((400, dim))
+    other = unit(other - (other * a).sum(axis=1, keepdims=True) * a)
+    cos = rng.uniform(0.901, 0.92, (400, 1))
+    both = np.concatenate([a, cos * a + np.sqrt(1 - cos**2) * other])
+    data = [(k, v.tolist()) for k, v in enumerate(both)] + [(2000 + k, both[k].tolist()) for k in range(0, 800, 7)]
+    got = vector_dedup.near_vectors(frame(spark, data, "vec_id long, embedding array<double>")).collect()
+    n, comp = vectors_brute(data)
+    assert min(n.values()) >= 1 and len(n) == len(data)
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in got} == {i: (n[i], comp[i]) for i, _ in data}
+
+
 def test_vectors_on_a_table(spark):
     sf = "/root/testdata/sf0.01"
     n, comp = vectors_brute([(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()])
@@ -320,25 +364,6 @@ def test_pipeline_stages(spark):
     docs = docs.unionByName(frame(spark, [(500, "before " + items[0][1] + " after", "en", "a", 1)]))
     assert [name for name, _ in pipeline.STAGES] == ["language_id", "near_dedup", "decontamination", "mixing", "token_output"]
     for name, stage in pipeline.STAGES:
-@pytest.mark.parametrize("dim, block, cell", [(4, 2048, 20), (16, 2048, 20), (16, 11, 20), (64, 2048, 15)])
-def test_vectors_of_links_just_above_the_threshold(spark, monkeypatch, dim, block, cell):
-    """Planted pairs at cosine 0.90 to 0.92, which often cross borders: all links are counted for both vectors, once."""
-    monkeypatch.setattr(vector_dedup, "BLOCK", block)
-    monkeypatch.setattr(vector_dedup, "CELL", cell)
-    rng = np.random.default_rng(5)
-    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
-    a = unit(rng.standard_normal((400, dim)))
-    other = rng.standard_normal((400, dim))
-    other = unit(other - (other * a).sum(axis=1, keepdims=True) * a)
-    cos = rng.uniform(0.901, 0.92, (400, 1))
-    both = np.concatenate([a, cos * a + np.sqrt(1 - cos**2) * other])
-    data = [(k, v.tolist()) for k, v in enumerate(both)] + [(2000 + k, both[k].tolist()) for k in range(0, 800, 7)]
-    got = vector_dedup.near_vectors(frame(spark, data, "vec_id long, embedding array<double>")).collect()
-    n, comp = vectors_brute(data)
-    assert min(n.values()) >= 1 and len(n) == len(data)
-    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in got} == {i: (n[i], comp[i]) for i, _ in data}
-
-
         before = docs.collect()
         out = stage(spark, docs, SF)
         after = out.collect()

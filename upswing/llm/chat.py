@@ -23,7 +23,7 @@ from upswing.llm.common import map_arrow, store
 Turn = tuple[str | None, str]
 Template = Callable[[list[Turn]], str]
 
-WINDOW = 64  # turns rendered together; longer conversations are rendered in windows that overlap by a turn
+WINDOW = 64  # turns rendered together by a template that is declared stateless
 PROBE = "probe"
 #: Control strings of the template.
 CONTROLS = ("<s>", "</s>", "[INST]", "[/INST]", "[SYS]", "[/SYS]", "[TURN]", "[/TURN]")
@@ -68,62 +68,58 @@ def parse_span(span: str) -> Turn:
     return json.loads(name), unescape(inner[end + 1 :])
 
 
+def next_span(template: Template, turns: list[Turn], before: str) -> tuple[str, tuple[str | None, int, int]]:
+    """The rendering of ``turns``, and what the last of them adds to that of the others, ``before``: see ``spans``."""
+    now, role = template(list(turns)), turns[-1][0]
+    if not now.startswith(before):
+        return now, (None, 0, 0)
+    span = now[len(before) :]
+    probe = template([*turns[:-1], (role, PROBE)])
+    at = probe.find(PROBE, len(before)) if probe.startswith(before) else -1
+    if at < 0:
+        return now, (span, 0, 0)
+    tail = len(probe) - at - len(PROBE)
+    return now, (span, at - len(before), len(span) - tail)
+
+
 def spans(template: Template, turns: list[Turn]) -> list[tuple[str | None, int, int]]:
     """For each turn: the text it adds to the rendered prefix (None if earlier output changed), and where its content lies in it."""
     out, before = [], ""
-    for n, (role, _) in enumerate(turns, 1):
-        now = template(turns[:n])
-        if not now.startswith(before):
-            out.append((None, 0, 0))
-        else:
-            span = now[len(before) :]
-            probe = template([*turns[: n - 1], (role, PROBE)])
-            at = probe.find(PROBE, len(before)) if probe.startswith(before) else -1
-            if at < 0:
-                out.append((span, 0, 0))
-            else:
-                tail = len(probe) - at - len(PROBE)
-                out.append((span, at - len(before), len(span) - tail))
-        before = now
+    for n in range(1, len(turns) + 1):
+        before, found = next_span(template, turns[:n], before)
+        out.append(found)
     return out
 
 
 _FORMATTED = "conv_id long, position long, role string, span string, content_from int, content_to int, rewrites boolean"
 
 
-def _format(template: Template):
-    """Rows sorted by conversation and turn; only a window of turns is held."""
-
-    def rendered(conv, first: int, overlap: list[Turn], turns: list[Turn]) -> Iterator[tuple]:
-        found = spans(template, overlap + turns)[len(overlap) :]
-        for k, ((role, _), (span, a, b)) in enumerate(zip(turns, found, strict=True)):
-            yield conv, first + k, role, span, a, b, span is None
+def _format(template: Template, window: int | None):
+    """Rows sorted by conversation and turn; the turns of one conversation (or of a window) and the last rendering are held."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["conv_id", "position", "role", "span", "content_from", "content_to", "rewrites"]
         kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.bool_()]
-        conv, first, overlap, turns, started = None, 0, [], [], False
+        conv, position, turns, before, started = None, 0, [], "", False
         for batch in batches:
             out = []
             for c, role, text in zip(*[batch.column(k).to_pylist() for k in ("conv_id", "role", "text")], strict=True):
-                if started and c != conv:
-                    out += rendered(conv, first, overlap, turns)
-                    first, overlap, turns = 0, [], []
-                elif len(turns) == WINDOW:
-                    out += rendered(conv, first, overlap, turns)
-                    first, overlap, turns = first + len(turns), turns[-1:], []
-                conv, started = c, True
+                if not started or c != conv:
+                    conv, position, turns, before, started = c, 0, [], "", True
+                elif window is not None and len(turns) > window:
+                    turns = turns[-1:]
+                    before = template(list(turns))
                 turns.append((role, text or ""))
+                before, (span, a, b) = next_span(template, turns, before)
+                out.append((conv, position, role, span, a, b, span is None))
+                position += 1
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(list(x), k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
-        if turns:
-            out = list(rendered(conv, first, overlap, turns))
-            yield pa.RecordBatch.from_arrays([pa.array(list(x), k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
 
     return run
 
 
-def format_conversations(turns: DataFrame, template: Template = inst_template) -> DataFrame:
+def format_conversations(turns: DataFrame, template: Template = inst_template, window: int | None = None) -> DataFrame:
     """Format ``turns`` (conv_id, turn, role, text) by ``template``.
 
     Returns one row per turn: conv_id, position (0, 1, ... by turn; ties by role
@@ -132,13 +128,15 @@ def format_conversations(turns: DataFrame, template: Template = inst_template) -
     content_to (the text's place in its span, in code points), and rewrites: the
     output before the turn changed when it came, so it has no span of its own.
     Null texts are empty; rows without a conv_id are one conversation; repeated
-    rows are separate turns. Conversations beyond ``WINDOW`` turns are rendered in
-    overlapping windows, so rewriting that reaches further back is not seen.
-    Other columns are not read.
+    rows are separate turns. Every turn is rendered after all turns before it, so
+    the work grows with the square of a conversation's turns. With ``window``,
+    at most that many turns and one before are rendered together: only for
+    templates that are stateless, where a turn's output does not depend on other
+    turns, but for what comes before the first. Other columns are not read.
     """
     rows = turns.select(F.col("conv_id").cast("long").alias("conv_id"), "turn", "role", "text")
     rows = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "role", "text")
-    return map_arrow(rows, _format(template), _FORMATTED)
+    return map_arrow(rows, _format(template, window), _FORMATTED)
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,8 +173,8 @@ def conversation_digests(turns: DataFrame) -> DataFrame:
     conv_id, n_turns, turns_sha256 (role, newline, text, newline per turn, parsed
     from the formatted text; a null role is empty), loss_chars and loss_sha256 (the
     unescaped text under the loss mask: the content of assistant turns),
-    formatted_chars.
+    formatted_chars. The template is stateless, so windows give the same.
     """
-    formatted = store(format_conversations(turns), "formatted")
+    formatted = store(format_conversations(turns, inst_template, WINDOW), "formatted")
     rows = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "position").select("conv_id", "span", "content_from", "content_to")
     return map_arrow(rows, _digest, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
