@@ -118,10 +118,65 @@ SELECT v.vec_id, coalesce(n.n, 0) AS n_links, comp.component AS component_id, v.
 FROM v JOIN comp USING (vec_id) LEFT JOIN n USING (vec_id)
 """
 
+COLLOCATIONS = rf"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_TEXT}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+total AS (SELECT lang, sum(len(w)) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, k, unnest(list_transform(range(1, CAST(len(w) - k + 2 AS BIGINT)), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+      FROM w, (SELECT unnest(range(1, 6)) AS k) WHERE len(w) >= k),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 100),
+cand AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS w, f AS a FROM f WHERE k > 1),
+over AS (SELECT DISTINCT s.lang, s.phrase FROM cand s JOIN cand b ON b.lang = s.lang AND b.k > s.k AND b.a >= s.a
+         AND contains(' ' || b.phrase || ' ', ' ' || s.phrase || ' ')),
+cut AS (SELECT c.*, unnest(range(1, c.k)) AS place FROM cand c ANTI JOIN over USING (lang, phrase)),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, c.place, x.f AS l, y.f AS r, CAST(t.n AS BIGINT) AS n,
+         CAST((1000 * CAST(c.a AS HUGEINT) * CAST(t.n AS HUGEINT)) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+  FROM cut c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.place], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.place + 1:c.k], ' ') JOIN total t ON t.lang = c.lang
+),
+low AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, place) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM low QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000
+"""
+
+#: CTE ``crc`` (s, crc32): of the distinct ASCII strings of ``ids`` (s), by the bits of the checksum's polynomial.
+_CRC32 = """
+steps AS (SELECT list_transform(range(256), lambda i: list_reduce([i] || range(8),
+          lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+crc AS (SELECT s, xor(list_reduce([4294967295] || list_transform(string_split(s, ''), lambda ch: CAST(ascii(ch) AS BIGINT)),
+                                  lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS crc32
+        FROM ids, steps)"""
+
+PERIODIC_RUNS = rf"""
+WITH ids AS (SELECT DISTINCT CAST(doc_id AS VARCHAR) AS s FROM documents WHERE doc_id IS NOT NULL),{_CRC32},
+d AS (SELECT doc_id, row_number() OVER () AS row, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, crc32
+      FROM documents LEFT JOIN crc ON s = CAST(doc_id AS VARCHAR)),
+h AS (SELECT doc_id, row, w, CAST(len(w) AS BIGINT) AS n, CASE WHEN crc32 % 10 = 0 AND len(w) > 0 THEN crc32 // 10 END AS g FROM d),
+t AS (SELECT *, g % n AS a, 1 + (n - g % n) // (3 + g % 8) AS p FROM h),
+c AS (SELECT doc_id, row, n, CASE WHEN g IS NULL THEN w ELSE w[1:a] || list_transform(range(a, n), lambda i: w[1 + a + (i - a) % p]) END AS w FROM t),
+e AS (SELECT row, lag, unnest(list_filter(range(0, n - lag), lambda i: w[i + 1] = w[i + lag + 1])) AS i
+      FROM (SELECT row, n, w, unnest(range(1, n // 4 + 1)) AS lag FROM c)),
+s AS (SELECT row, lag, min(i) AS start, count(*) + lag AS length
+      FROM (SELECT row, lag, i, i - row_number() OVER (PARTITION BY row, lag ORDER BY i) AS island FROM e) GROUP BY row, lag, island),
+r AS (SELECT row, start, length, min(lag) AS period FROM s WHERE length >= greatest(6, 4 * lag) GROUP BY row, start, length),
+best AS (SELECT row, arg_max(r, (length / period, -start, -period)) AS b FROM r GROUP BY row),
+runs AS (SELECT row, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS listed FROM r GROUP BY row),
+gone AS (SELECT DISTINCT row, unnest(range(start + period, start + length)) AS i FROM r),
+word AS (SELECT row, unnest(range(0, n)) AS i, unnest(w) AS word FROM c),
+kept AS (SELECT row, string_agg(word, ' ' ORDER BY i) AS joined FROM word ANTI JOIN gone USING (row, i) GROUP BY row)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, b.start AS start, b.length AS length, b.period AS period,
+       (1000 * b.length) // b.period AS exponent_milli, sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(joined, '')) AS collapsed_sha256
+FROM c LEFT JOIN best USING (row) LEFT JOIN runs USING (row) LEFT JOIN kept USING (row)
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_decontaminate": DECONTAMINATE,
     "op2_near_dedup": NEAR_DEDUP,
     "op5_chat_format": CHAT_FORMAT,
     "op6_url_trust": URL_TRUST,
     "op9_vector_dedup": VECTOR_DEDUP,
+    "op11_collocations": COLLOCATIONS,
+    "op12_periodic_runs": PERIODIC_RUNS,
 }

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from upswing.llm.chat import conversation_digests
+from upswing.llm.collocations import collocations
 from upswing.llm.common import read_table
 from upswing.llm.katz import score_documents
 from upswing.llm.lang_id import identify
@@ -15,7 +16,9 @@ from upswing.llm.line_dedup import dedup_lines
 from upswing.llm.mixing import mix, quality_weights
 from upswing.llm.near_dedup import near_duplicates
 from upswing.llm.oracle import ORACLE_SQL  # noqa: F401
+from upswing.llm.periodic_runs import periodic_runs, run_digests
 from upswing.llm.phrase_index import decontaminate
+from upswing.llm.sentence_pieces import encode_pieces, piece_digests
 from upswing.llm.token_store import token_digests, write_tokens
 from upswing.llm.url_trust import filter_urls
 from upswing.llm.vector_dedup import near_vectors
@@ -77,6 +80,20 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_exact", "n_near", F.length("text").cast("long").alias("chars"), F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(read_table(spark, sf_dir, "documents"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hashed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    return run_digests(periodic_runs(read_table(spark, sf_dir, "documents"), F.when(hashed % 10 == 0, F.floor(hashed / 10))))
+
+
+def op13_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = tokenizer_path("piece_bpe_32k.model")
+    return piece_digests(encode_pieces(read_table(spark, sf_dir, "documents"), model), model)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_near_dedup": op2_near_dedup,
@@ -88,4 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_katz_score": op8_katz_score,
     "op9_vector_dedup": op9_vector_dedup,
     "op10_line_dedup": op10_line_dedup,
+    "op11_collocations": op11_collocations,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_sentence_pieces": op13_sentence_pieces,
 }
