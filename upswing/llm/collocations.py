@@ -1,19 +1,20 @@
 """Phrase collocation mining after Toivonen (operator 11).
 
 A sample of the documents proposes the phrases whose count there reaches a
-lowered support. One pass over all documents then counts, exactly, every proposed
-phrase and the negative border: the phrases that were not proposed though both
-phrases one word shorter inside them were (every single word belongs to one or the
-other). A border phrase that turns out frequent is a failure: phrases that contain
-it have not been counted. Further passes count what the failures open up, with all
-that grows from it, until no frequent phrase lies outside; then all are known,
-since every phrase inside a frequent one is frequent too.
-
-Documents are tokenised once into segments (words as numbers local to a segment).
-The proposed phrases reach the passes as bits of their hashes, an array of at most
-2**MOST_BITS bits whatever their number: a bit set by chance only has a phrase
-counted that need not be. Counts are added up by the phrases' texts, so hashes
-decide nothing else. The counts of a segment are summed before they leave it.
+lowered support. One pass over all documents then counts every proposed phrase by
+its text, and the negative border by hash: the phrases that were not proposed
+though both phrases one word shorter inside them were (every single word belongs
+to one or the other). A hash of the border whose count reaches the support is a
+failure: its phrases, and what contains them, have yet to be counted. The expansion
+pass does so by text, with everything that grows from a failure in the same pass,
+so that afterwards no frequent phrase can be left out: every phrase inside a
+frequent one is frequent too, and so has been proposed, has failed or has grown.
+
+Documents are tokenised once into segments (words as numbers local to a segment);
+the counts of a segment are summed before they leave it. Proposals and failures
+reach the passes as bits of their hashes, an array of at most 2**MOST_BITS bits
+whatever their number. A bit or a hash that stands for two phrases only has a
+phrase counted that need not be: all counts that are returned are added up by text.
 """
 
 from __future__ import annotations
@@ -39,12 +40,12 @@ SUPPORT, LONGEST, TOP, CONTAINED = 100, 5, 2000, 100
 SAMPLE_EVERY = 16  # one document in so many proposes
 SLACK = 0.5  # part of the support expected in the sample that a proposal needs
 SEGMENT_TOKENS = 1_000_000
-LEAST_BITS, MOST_BITS, BITS_EACH = 20, 28, 16  # of the filter: limits (powers of two), and aimed bits for each phrase
+LEAST_BITS, MOST_BITS, BITS_EACH = 20, 28, 16  # of the filter: limits (powers of two; 15 at least), and aimed bits for each phrase
 BREAK = b".,;:!?\n\x0b\x0c\r"
 ODD = np.uint64(0x9E3779B97F4A7C15)
 NO_LANG = "und"
 SEGMENT = "segment long, sampled boolean, langs array<string>, word_langs binary, words binary, tokens binary"
-COUNTED = "lang string, phrase string, size int, hash long, inside boolean, n long"
+COUNTED = "hash long, text string, n long"  # text: lang, a line end, the phrase; null if only the hash is counted
 
 
 def _pack(a: np.ndarray) -> bytes:
@@ -104,88 +105,107 @@ def _tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield close(sampled)
 
 
-def _inside(bits: np.ndarray | None, hashes: np.ndarray) -> np.ndarray:
-    if bits is None:
-        return np.ones(len(hashes), dtype=bool)
+def _inside(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     at = hashes >> np.uint64(64 - int(math.log2(8 * len(bits))))
     return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
 
-def _counts(row: dict, bits: np.ndarray | None, before: np.ndarray | None, first: bool) -> Iterator[pa.RecordBatch]:
-    """The phrases of a segment with their counts in it, by length.
+class _Phrases:
+    """The phrases of a segment, by length: of each the columns of its words, its hash and its count."""
 
-    Counted are the phrases whose two parts one word shorter are both inside
-    ``bits`` (all without). The first pass has single words and, as an empty
-    phrase, each language's words. A further pass counts what was not counted with
-    the filter ``before``; a phrase it counts is inside for it, so its longer ones
-    are counted with it and need no pass of their own.
-    """
-    words = pa.array(row["words"].split(b" ") if row["words"] else [], pa.binary())
-    langs = pa.array(row["langs"], pa.string())
-    lang_of = _unpack(row["word_langs"])
-    tokens = _unpack(row["tokens"])
-    seeds = np.array([xxhash.xxh3_64_intdigest(x) for x in row["langs"]], dtype=np.uint64)
-    word_hash = np.fromiter(map(xxhash.xxh3_64_intdigest, words.to_pylist()), dtype=np.uint64, count=len(words))
-    word_hash = mix64(word_hash ^ mix64(seeds[lang_of])) if len(words) else word_hash
-    at = tokens.astype(np.int64) - 1
-    n = np.bincount(at[at >= 0], minlength=len(words))
-    columns, hashes, fresh = [np.arange(len(words))], word_hash, np.full(len(words), first)
-    if first:
-        total = np.bincount(lang_of, weights=n, minlength=len(langs)).astype(np.int64)
-        yield _batch(langs, pa.array([b""] * len(langs), pa.binary()), 0, np.zeros(len(langs), np.uint64), np.ones(len(langs), bool), total)
-    for size in range(1, LONGEST + 1):
-        inside = _inside(bits, hashes) | (fresh & ~np.bool_(first))
-        if fresh.any():
-            parts = [words.take(pa.array(c[fresh])) for c in columns]
-            phrases = pc.binary_join_element_wise(*parts, b" ") if size > 1 else parts[0]
-            yield _batch(langs.take(pa.array(lang_of[columns[0][fresh]])), phrases, size, hashes[fresh], inside[fresh], n[fresh])
-        if size == LONGEST or len(at) < 2 or not len(hashes):
-            return
-        open_ = (at >= 0) & inside[at]
+    def __init__(self, row: dict):
+        self.words = pa.array(row["words"].split(b" ") if row["words"] else [], pa.binary())
+        self.langs = pa.array([x.encode() for x in row["langs"]], pa.binary())
+        self.lang_of, self.tokens = _unpack(row["word_langs"]), _unpack(row["tokens"])
+        seeds = mix64(np.array([xxhash.xxh3_64_intdigest(x) for x in row["langs"]], dtype=np.uint64))
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, self.words.to_pylist()), dtype=np.uint64, count=len(self.words))
+        self.word_hash = self.hash = mix64(hashes ^ seeds[self.lang_of])
+        self.at = self.tokens.astype(np.int64) - 1  # number of the phrase that begins at each token, or -1
+        self.n = np.bincount(self.at[self.at >= 0], minlength=len(self.words))
+        self.columns = [np.arange(len(self.words))]
+
+    def longer(self, usable: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Go on to the phrases one word longer whose two parts are ``usable``; returns the parts of each."""
+        open_ = (self.at >= 0) & usable[self.at] if len(usable) else np.zeros(len(self.at), dtype=bool)
         places = np.flatnonzero(open_[:-1] & open_[1:])
-        which, keys = pd.factorize(at[places] * len(hashes) + at[places + 1])
-        n = np.bincount(which, minlength=len(keys))
-        left, right = keys // len(hashes), keys % len(hashes)
-        known = np.zeros(len(hashes), dtype=bool) if first else _inside(before, hashes) & ~fresh
-        fresh = ~(known[left] & known[right])
-        columns = [c[left] for c in columns] + [columns[-1][right]]
-        hashes = mix64(hashes[left] * ODD + word_hash[columns[-1]])
-        at = np.full(len(tokens), -1, dtype=np.int64)
-        at[places] = which
-
-
-def _batch(langs: pa.Array, phrases: pa.Array, size: int, hashes: np.ndarray, inside: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [langs, phrases.cast(pa.string()), pa.array(np.full(len(langs), size, np.int32)), pa.array(hashes.view(np.int64)), pa.array(inside), pa.array(n.astype(np.int64))],
-        names=["lang", "phrase", "size", "hash", "inside", "n"],
-    )
+        which, keys = pd.factorize(self.at[places] * len(self.hash) + self.at[places + 1])
+        left, right = keys // max(1, len(self.hash)), keys % max(1, len(self.hash))
+        self.columns = [c[left] for c in self.columns] + [self.columns[-1][right]]
+        self.hash = mix64(self.hash[left] * ODD + self.word_hash[self.columns[-1]])
+        self.n = np.bincount(which, minlength=len(keys))
+        self.at = np.full(len(self.tokens), -1, dtype=np.int64)
+        self.at[places] = which
+        return left, right
+
+    def by_text(self, some: np.ndarray) -> pa.RecordBatch:
+        parts = [self.words.take(pa.array(c[some])) for c in self.columns]
+        phrase = pc.binary_join_element_wise(*parts, b" ") if len(parts) > 1 else parts[0]
+        langs = self.langs.take(pa.array(self.lang_of[self.columns[0][some]]))
+        return _batch(self.hash[some], pc.binary_join_element_wise(langs, phrase, b"\n"), self.n[some])
+
+    def by_hash(self, some: np.ndarray) -> pa.RecordBatch:
+        return _batch(self.hash[some], pa.nulls(int(some.sum()), pa.binary()), self.n[some])
+
+    def all_words(self) -> pa.RecordBatch:
+        """Each language's words, as an empty phrase."""
+        total = np.bincount(self.lang_of, weights=self.n, minlength=len(self.langs))
+        return _batch(np.zeros(len(self.langs), np.uint64), pc.binary_join_element_wise(self.langs, b"", b"\n"), total)
+
+
+def _batch(hashes: np.ndarray, texts: pa.Array, n: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), texts.cast(pa.string()), pa.array(n.astype(np.int64))], names=["hash", "text", "n"])
+
+
+def _propose(p: _Phrases) -> Iterator[pa.RecordBatch]:
+    """All phrases of a sampled segment, by hash."""
+    for size in range(1, LONGEST + 1):
+        yield p.by_hash(np.ones(len(p.hash), dtype=bool))
+        if size < LONGEST:
+            p.longer(np.ones(len(p.hash), dtype=bool))
+
+
+def _count_all(p: _Phrases, proposed: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The proposed phrases by text, the border by hash, and the number of words."""
+    yield p.all_words()
+    for size in range(1, LONGEST + 1):
+        inside = _inside(proposed, p.hash)
+        yield p.by_text(inside)
+        yield p.by_hash(~inside)
+        if size < LONGEST:
+            p.longer(inside)
 
 
-def _count_phrases(segments: DataFrame, support: int, bits=None, before=None, first: bool = True) -> DataFrame:
-    """Phrases with at least ``support`` occurrences, and in the first pass each language's words as an empty phrase."""
+def _expand(p: _Phrases, proposed: np.ndarray, failed: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """By text, what ``_count_all`` did not count by text: failures of the border, and all that contains one."""
+    seen = np.ones(len(p.hash), dtype=bool)  # proposed or border
+    for size in range(1, LONGEST + 1):
+        counted = seen & _inside(proposed, p.hash)
+        usable = counted | ~seen | _inside(failed, p.hash)
+        yield p.by_text(usable & ~counted)
+        if size < LONGEST:
+            left, right = p.longer(usable)
+            seen = counted[left] & counted[right]
+
+
+def _count(segments: DataFrame, support: int, count_in, *filters) -> DataFrame:
+    """(hash, text, n) with ``n >= support``, and each language's words, as ``count_in`` yields them of each segment."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                yield from _counts(row, bits and bits.value, before and before.value, first)
+                yield from count_in(_Phrases(row), *(f.value for f in filters))
 
-    counted = map_arrow(segments, run, COUNTED)
-    same = [F.any_value(c).alias(c) for c in ("size", "hash", "inside")]
-    return counted.groupBy("lang", "phrase").agg(*same, F.sum("n").alias("n")).where((F.col("n") >= support) | (F.col("size") == 0))
+    counted = map_arrow(segments, run, COUNTED).groupBy("hash", "text").agg(F.sum("n").alias("n"))
+    return counted.where((F.col("n") >= support) | F.col("text").endswith("\n"))
 
 
-def _filter(phrases: DataFrame, onto: np.ndarray | None = None) -> np.ndarray:
-    """Bits of the phrases' hashes; ``onto`` an earlier filter, whose size is kept.
-
-    Made of bitmaps of 4 KB by Spark, of which at most 2**MOST_BITS / 2**15 reach the driver.
-    """
-    if onto is None:
-        aimed = math.ceil(math.log2(max(1, BITS_EACH * phrases.count())))
-        bits = np.zeros(1 << (min(MOST_BITS, max(LEAST_BITS, aimed)) - 3), dtype=np.uint8)
-    else:
-        bits = onto.copy()
-    place = F.shiftrightunsigned("hash", 64 - int(math.log2(8 * len(bits)))) + 1  # the bitmap functions number from one
-    maps = phrases.groupBy(F.bitmap_bucket_number(place).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("map"))
+def _filter(hashes: DataFrame) -> np.ndarray:
+    """Bits of the column ``hash``, from bitmaps of 4 KB made by Spark: at most 2**MOST_BITS bits reach the driver."""
+    aimed = math.ceil(math.log2(max(1, BITS_EACH * hashes.count())))
+    power = min(MOST_BITS, max(LEAST_BITS, aimed))
+    bits = np.zeros(1 << (power - 3), dtype=np.uint8)
+    place = F.shiftrightunsigned("hash", 64 - power) + 1  # the bitmap functions number from one
+    maps = hashes.groupBy(F.bitmap_bucket_number(place).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("map"))
     for k, data in maps.collect():
         bits[(k - 1) * 4096 : k * 4096] |= np.frombuffer(data, dtype=np.uint8)
     return bits
@@ -193,26 +213,20 @@ def _filter(phrases: DataFrame, onto: np.ndarray | None = None) -> np.ndarray:
 
 def frequent_phrases(docs: DataFrame, support: int = SUPPORT, sample_every: int = SAMPLE_EVERY) -> DataFrame:
     """(lang, phrase, size, n) of all phrases of 1 to ``LONGEST`` words with ``n >= support``; size 0 holds a language's words."""
-    spark = docs.sparkSession
+    share = docs.sparkSession.sparkContext.broadcast
     sampled = F.pmod(F.xxhash64("doc_id", "text"), F.lit(sample_every)) == 0
     lang = F.coalesce(F.col("lang"), F.lit(NO_LANG)).alias("lang")
     segments = store(map_arrow(docs.select(lang, sampled.alias("sampled"), "text"), _tokenise, SEGMENT), "segments", ("sampled",))
     lowered = max(2, int(SLACK * support / sample_every))
-    proposed = store(_count_phrases(segments.where("sampled"), lowered).where("size > 0").select("hash"), "proposed")
-    bits = _filter(proposed)
-    shared = spark.sparkContext.broadcast(bits)
-    passes = [store(_count_phrases(segments, support, shared), "phrases")]
-    while True:
-        failures = passes[-1].where((F.col("size") > 0) & (F.col("size") < LONGEST) & ~F.col("inside"))
-        if failures.isEmpty():
-            break
-        bits, before = _filter(failures, bits), shared
-        shared = spark.sparkContext.broadcast(bits)
-        passes.append(store(_count_phrases(segments, support, shared, before, first=False), "phrases"))
-    found = passes[0]
-    for more in passes[1:]:
-        found = found.unionByName(more)
-    return found.select("lang", "phrase", "size", "n")
+    proposed = share(_filter(store(_count(segments.where("sampled"), lowered, _propose).select("hash"), "proposed")))
+    counted = store(_count(segments, support, _count_all, proposed), "phrases")
+    found, failures = counted.where("text is not null"), counted.where("text is null")
+    if not failures.isEmpty():
+        grown = store(_count(segments, support, _expand, proposed, share(_filter(failures))), "phrases")
+        found = found.unionByName(grown)
+    found = found.withColumn("phrase", F.substring_index("text", "\n", -1))  # words hold no line end, languages may
+    lang = F.expr("substring(text, 1, length(text) - length(phrase) - 1)").alias("lang")
+    return found.select(lang, "phrase", F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " "))).alias("size"), "n")
 
 
 def collocations(
