@@ -64,7 +64,8 @@ def test_collocations(spark, monkeypatch, seed, support, every, tokens):
     """Samples of one document in 2 to 50, so that the border holds from few to nearly all frequent phrases."""
     monkeypatch.setattr(phrases, "LEAST_BITS", 15 if every > 2 else 20)  # and small filters, where many bits are set by chance
     monkeypatch.setattr(phrases, "BITS_EACH", 2 if every > 2 else 16)
-    monkeypatch.setattr(phrases, "SEGMENT_TOKENS", tokens)
+    monkeypatch.setattr(phrases, "RANGE_TOKENS", tokens)
+    monkeypatch.setattr(phrases, "FLUSH", tokens)
     data = phrase_rows(seed)
     got = phrases.collocations(frame(spark, data, extra=("n", "a", "rank", "phrase", "size", "sampled", "hash")), support, 40, 100, every).collect()
     want = collocations_brute([(r[2], r[1]) for r in data], support, 40)

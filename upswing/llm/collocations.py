@@ -1,20 +1,22 @@
 """Phrase collocation mining after Toivonen (operator 11).
 
 A sample of the documents proposes the phrases whose count there reaches a
-lowered support. One pass over all documents then counts every proposed phrase by
-its text, and the negative border by hash: the phrases that were not proposed
-though both phrases one word shorter inside them were (every single word belongs
-to one or the other). A hash of the border whose count reaches the support is a
-failure: its phrases, and what contains them, have yet to be counted. The expansion
-pass does so by text, with everything that grows from a failure in the same pass,
-so that afterwards no frequent phrase can be left out: every phrase inside a
-frequent one is frequent too, and so has been proposed, has failed or has grown.
-
-Documents are tokenised once into segments (words as numbers local to a segment);
-the counts of a segment are summed before they leave it. Proposals and failures
-reach the passes as bits of their hashes, an array of at most 2**MOST_BITS bits
-whatever their number. A bit or a hash that stands for two phrases only has a
-phrase counted that need not be: all counts that are returned are added up by text.
+lowered support. A pass over all documents counts the negative border: the phrases
+that were not proposed though both phrases one word shorter inside them were
+(every single word belongs to one or the other). It counts by hash: a hash whose
+count reaches the support is a failure, and its phrases, and what contains them,
+may be frequent too. The next pass counts by text, exactly, what was proposed, what
+failed and, in the same pass, all that grows from a failure. Afterwards no frequent
+phrase can be left out: every phrase inside a frequent one is frequent too, and so
+has been proposed, has failed or has grown.
+
+Documents are tokenised once into segments (words as numbers local to a segment).
+Hashes and their counts are merged in a task and leave it packed, one row for each
+range of hashes; the number of ranges follows the number of tokens, so that the
+group that adds up a range stays of one size. Proposals and failures reach the
+passes as bits of their hashes, an array of at most 2**MOST_BITS bits whatever
+their number. A bit or a hash that stands for two phrases only has a phrase counted
+that need not be: all counts that are returned are added up by text.
 """
 
 from __future__ import annotations
@@ -39,21 +41,25 @@ from upswing.llm.common import binary_texts, map_arrow, mix64, n_shuffle, store
 SUPPORT, LONGEST, TOP, CONTAINED = 100, 5, 2000, 100
 SAMPLE_EVERY = 16  # one document in so many proposes
 SLACK = 0.5  # part of the support expected in the sample that a proposal needs
-SEGMENT_TOKENS = 1_000_000
+SEGMENT_TOKENS = 500_000
+HASH_BITS = 48  # of a phrase's hash; it decides only what is counted
+FLUSH = 2_000_000  # hashes that a task merges before it emits them
+RANGE_TOKENS = 4_000_000  # tokens for each range of hashes
 LEAST_BITS, MOST_BITS, BITS_EACH = 20, 28, 16  # of the filter: limits (powers of two; 15 at least), and aimed bits for each phrase
 BREAK = b".,;:!?\n\x0b\x0c\r"
 ODD = np.uint64(0x9E3779B97F4A7C15)
 NO_LANG = "und"
-SEGMENT = "segment long, sampled boolean, langs array<string>, word_langs binary, words binary, tokens binary"
-COUNTED = "hash long, text string, n long"  # text: lang, a line end, the phrase; null if only the hash is counted
+SEGMENT = "segment long, sampled boolean, langs array<string>, word_langs binary, words binary, tokens binary, size long"
+PACKED = "range int, hashes binary, counts binary"
+COUNTED = "text string, n long"  # text: lang, a line end, the phrase
 
 
-def _pack(a: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(a, dtype=np.int32).tobytes())
+def _pack(a: np.ndarray, kind=np.int32) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(a, dtype=kind).tobytes())
 
 
-def _unpack(data: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.int32)
+def _unpack(data: bytes, kind=np.int32) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=kind)
 
 
 class _Builder:
@@ -77,7 +83,7 @@ class _Builder:
             for word, number in known.items():
                 if number > 0:
                     words[number - 1], of[number - 1] = word, k
-        return segment, sampled, list(self.langs), _pack(of), b" ".join(words), _pack(np.concatenate(self.tokens))
+        return segment, sampled, list(self.langs), _pack(of), b" ".join(words), _pack(np.concatenate(self.tokens)), self.size
 
 
 TABLE = bytes.maketrans(BREAK + b"\t", b"\n" * len(BREAK) + b" ")
@@ -85,7 +91,7 @@ TABLE = bytes.maketrans(BREAK + b"\t", b"\n" * len(BREAK) + b" ")
 
 def _tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     part, done = TaskContext.get().partitionId(), 0
-    kinds = [pa.int64(), pa.bool_(), pa.list_(pa.string()), pa.binary(), pa.binary(), pa.binary()]
+    kinds = [pa.int64(), pa.bool_(), pa.list_(pa.string()), pa.binary(), pa.binary(), pa.binary(), pa.int64()]
     open_ = {True: _Builder(), False: _Builder()}
 
     def close(sampled: bool) -> pa.RecordBatch:
@@ -106,10 +112,14 @@ def _tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _inside(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    at = hashes >> np.uint64(64 - int(math.log2(8 * len(bits))))
+    at = hashes >> np.uint64(HASH_BITS - int(math.log2(8 * len(bits))))
     return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
 
+def _short(hashes: np.ndarray) -> np.ndarray:
+    return hashes >> np.uint64(64 - HASH_BITS)
+
+
 class _Phrases:
     """The phrases of a segment, by length: of each the columns of its words, its hash and its count."""
 
@@ -119,7 +129,7 @@ class _Phrases:
         self.lang_of, self.tokens = _unpack(row["word_langs"]), _unpack(row["tokens"])
         seeds = mix64(np.array([xxhash.xxh3_64_intdigest(x) for x in row["langs"]], dtype=np.uint64))
         hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, self.words.to_pylist()), dtype=np.uint64, count=len(self.words))
-        self.word_hash = self.hash = mix64(hashes ^ seeds[self.lang_of])
+        self.word_hash = self.hash = _short(mix64(hashes ^ seeds[self.lang_of]))
         self.at = self.tokens.astype(np.int64) - 1  # number of the phrase that begins at each token, or -1
         self.n = np.bincount(self.at[self.at >= 0], minlength=len(self.words))
         self.columns = [np.arange(len(self.words))]
@@ -131,7 +141,7 @@ class _Phrases:
         which, keys = pd.factorize(self.at[places] * len(self.hash) + self.at[places + 1])
         left, right = keys // max(1, len(self.hash)), keys % max(1, len(self.hash))
         self.columns = [c[left] for c in self.columns] + [self.columns[-1][right]]
-        self.hash = mix64(self.hash[left] * ODD + self.word_hash[self.columns[-1]])
+        self.hash = _short(mix64(self.hash[left] * ODD + self.word_hash[self.columns[-1]]))
         self.n = np.bincount(which, minlength=len(keys))
         self.at = np.full(len(self.tokens), -1, dtype=np.int64)
         self.at[places] = which
@@ -141,61 +151,110 @@ class _Phrases:
         parts = [self.words.take(pa.array(c[some])) for c in self.columns]
         phrase = pc.binary_join_element_wise(*parts, b" ") if len(parts) > 1 else parts[0]
         langs = self.langs.take(pa.array(self.lang_of[self.columns[0][some]]))
-        return _batch(self.hash[some], pc.binary_join_element_wise(langs, phrase, b"\n"), self.n[some])
+        return _batch(pc.binary_join_element_wise(langs, phrase, b"\n"), self.n[some])
 
-    def by_hash(self, some: np.ndarray) -> pa.RecordBatch:
-        return _batch(self.hash[some], pa.nulls(int(some.sum()), pa.binary()), self.n[some])
+    def by_hash(self, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return self.hash[some], self.n[some]
 
     def all_words(self) -> pa.RecordBatch:
         """Each language's words, as an empty phrase."""
         total = np.bincount(self.lang_of, weights=self.n, minlength=len(self.langs))
-        return _batch(np.zeros(len(self.langs), np.uint64), pc.binary_join_element_wise(self.langs, b"", b"\n"), total)
+        return _batch(pc.binary_join_element_wise(self.langs, b"", b"\n"), total)
 
 
-def _batch(hashes: np.ndarray, texts: pa.Array, n: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), texts.cast(pa.string()), pa.array(n.astype(np.int64))], names=["hash", "text", "n"])
+def _batch(texts: pa.Array, n: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([texts.cast(pa.string()), pa.array(n.astype(np.int64))], names=["text", "n"])
 
 
-def _propose(p: _Phrases) -> Iterator[pa.RecordBatch]:
-    """All phrases of a sampled segment, by hash."""
+def _sampled(p: _Phrases) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All phrases of a sampled segment."""
     for size in range(1, LONGEST + 1):
-        yield p.by_hash(np.ones(len(p.hash), dtype=bool))
+        every = np.ones(len(p.hash), dtype=bool)
+        yield p.by_hash(every)
         if size < LONGEST:
-            p.longer(np.ones(len(p.hash), dtype=bool))
+            p.longer(every)
 
 
-def _count_all(p: _Phrases, proposed: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """The proposed phrases by text, the border by hash, and the number of words."""
-    yield p.all_words()
+def _border(p: _Phrases, proposed: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The phrases that were not proposed though both their parts were."""
     for size in range(1, LONGEST + 1):
         inside = _inside(proposed, p.hash)
-        yield p.by_text(inside)
         yield p.by_hash(~inside)
         if size < LONGEST:
             p.longer(inside)
 
 
-def _expand(p: _Phrases, proposed: np.ndarray, failed: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """By text, what ``_count_all`` did not count by text: failures of the border, and all that contains one."""
+def _texts(p: _Phrases, proposed: np.ndarray, failed: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """What was proposed, what failed, what contains a failure, and the number of words."""
+    yield p.all_words()
     seen = np.ones(len(p.hash), dtype=bool)  # proposed or border
     for size in range(1, LONGEST + 1):
-        counted = seen & _inside(proposed, p.hash)
-        usable = counted | ~seen | _inside(failed, p.hash)
-        yield p.by_text(usable & ~counted)
+        inside = seen & _inside(proposed, p.hash)
+        usable = inside | ~seen | _inside(failed, p.hash)
+        yield p.by_text(usable)
         if size < LONGEST:
             left, right = p.longer(usable)
-            seen = counted[left] & counted[right]
+            seen = inside[left] & inside[right]
+
+
+def _sums(hashes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes, ascending, and the sum of the counts of each."""
+    hashes, counts = np.concatenate(hashes), np.concatenate(counts)
+    order = np.argsort(hashes)
+    hashes = hashes[order]
+    first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
+    return hashes[first], np.add.reduceat(counts[order], first)
+
+
+def _frequent_hashes(segments: DataFrame, support: int, count_in, *filters) -> DataFrame:
+    """(hash) of those whose counts, as ``count_in`` yields them of each segment, reach ``support``."""
+    ranges = max(1, math.ceil((segments.agg(F.sum("size")).first()[0] or 0) / RANGE_TOKENS))
+
+    def packed(hashes: list[np.ndarray], counts: list[np.ndarray]) -> pa.RecordBatch:
+        merged, n = _sums(hashes, counts)
+        of = ((merged >> np.uint64(HASH_BITS - 24)) * np.uint64(ranges) >> np.uint64(24)).astype(np.int64)
+        cuts = np.searchsorted(of, np.arange(ranges + 1))
+        some = [(k, a, b) for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([k for k, *_ in some], pa.int32()),
+                pa.array([_pack(np.diff(merged[a:b], prepend=np.uint64(0)), np.uint64) for _, a, b in some], pa.binary()),
+                pa.array([_pack(n[a:b], np.int64) for _, a, b in some], pa.binary()),
+            ],
+            names=["range", "hashes", "counts"],
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, counts, held = [], [], 0
+        for batch in batches:
+            for row in batch.to_pylist():
+                for more, n in count_in(_Phrases(row), *(f.value for f in filters)):
+                    hashes.append(more)
+                    counts.append(n)
+                    held += len(more)
+                if held >= FLUSH:
+                    yield packed(hashes, counts)
+                    hashes, counts, held = [], [], 0
+        if held:
+            yield packed(hashes, counts)
+
+    def merge(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        hashes, n = _sums([np.cumsum(_unpack(r["hashes"], np.uint64)) for r in rows], [_unpack(r["counts"], np.int64) for r in rows])
+        return pa.table({"hash": hashes[n >= support].astype(np.int64)})
+
+    return map_arrow(segments, run, PACKED).groupBy("range").applyInArrow(merge, "hash long")
 
 
-def _count(segments: DataFrame, support: int, count_in, *filters) -> DataFrame:
-    """(hash, text, n) with ``n >= support``, and each language's words, as ``count_in`` yields them of each segment."""
+def _count_texts(segments: DataFrame, support: int, *filters) -> DataFrame:
+    """(text, n) with ``n >= support``, and each language's words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                yield from count_in(_Phrases(row), *(f.value for f in filters))
+                yield from _texts(_Phrases(row), *(f.value for f in filters))
 
-    counted = map_arrow(segments, run, COUNTED).groupBy("hash", "text").agg(F.sum("n").alias("n"))
+    counted = map_arrow(segments, run, COUNTED).groupBy("text").agg(F.sum("n").alias("n"))
     return counted.where((F.col("n") >= support) | F.col("text").endswith("\n"))
 
 
@@ -204,7 +263,7 @@ def _filter(hashes: DataFrame) -> np.ndarray:
     aimed = math.ceil(math.log2(max(1, BITS_EACH * hashes.count())))
     power = min(MOST_BITS, max(LEAST_BITS, aimed))
     bits = np.zeros(1 << (power - 3), dtype=np.uint8)
-    place = F.shiftrightunsigned("hash", 64 - power) + 1  # the bitmap functions number from one
+    place = F.shiftrightunsigned("hash", HASH_BITS - power) + 1  # the bitmap functions number from one
     maps = hashes.groupBy(F.bitmap_bucket_number(place).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("map"))
     for k, data in maps.collect():
         bits[(k - 1) * 4096 : k * 4096] |= np.frombuffer(data, dtype=np.uint8)
@@ -218,12 +277,9 @@ def frequent_phrases(docs: DataFrame, support: int = SUPPORT, sample_every: int
     lang = F.coalesce(F.col("lang"), F.lit(NO_LANG)).alias("lang")
     segments = store(map_arrow(docs.select(lang, sampled.alias("sampled"), "text"), _tokenise, SEGMENT), "segments", ("sampled",))
     lowered = max(2, int(SLACK * support / sample_every))
-    proposed = share(_filter(store(_count(segments.where("sampled"), lowered, _propose).select("hash"), "proposed")))
-    counted = store(_count(segments, support, _count_all, proposed), "phrases")
-    found, failures = counted.where("text is not null"), counted.where("text is null")
-    if not failures.isEmpty():
-        grown = store(_count(segments, support, _expand, proposed, share(_filter(failures))), "phrases")
-        found = found.unionByName(grown)
+    proposed = share(_filter(store(_frequent_hashes(segments.where("sampled"), lowered, _sampled), "proposed")))
+    failed = share(_filter(store(_frequent_hashes(segments, support, _border, proposed), "failed")))
+    found = _count_texts(segments, support, proposed, failed)
     found = found.withColumn("phrase", F.substring_index("text", "\n", -1))  # words hold no line end, languages may
     lang = F.expr("substring(text, 1, length(text) - length(phrase) - 1)").alias("lang")
     return found.select(lang, "phrase", F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " "))).alias("size"), "n")
