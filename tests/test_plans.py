@@ -62,20 +62,47 @@ def test_scoring_reads_the_fused_counts_not_the_activity(spark):
         assert "events.parquet" not in p and "part.parquet" not in p
 
 
-def test_trailing_windows_need_no_extra_shuffle(spark):
-    df = entry.queries()["surge_hourly"](spark, SF)
-    df.collect()
-    p = drop_initial_plans(plan(df))
-    keyed = [
+def keyed_shuffles(df) -> list[str]:
+    """The keys of the hash exchanges that ran (exchanges that were reused are not counted)."""
+    return [
         re.sub(r"#\d+", "", x)
-        for line in p.splitlines()
+        for line in drop_initial_plans(plan(df)).splitlines()
         if "ReusedExchange" not in line
         for x in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", line)
     ]
-    # one shuffle for the per-key gap fill; the trailing windows run on its partitioning,
-    # and the spine is a table of its own, with no scalar subquery
-    assert keyed == ["destination, tleo, genre, 8"], keyed
-    assert "Subquery" not in p and "SinglePartition" not in p
+
+
+@pytest.mark.parametrize("name", ["surge_hourly", "surge_hourly_wide", "surge_daily_wide"])
+def test_one_shuffle_for_all_cohorts(spark, name):
+    """The counts are shuffled once, by key; windows and the cohort combination run on that partitioning."""
+    df = entry.queries()[name](spark, SF)
+    df.collect()
+    p = drop_initial_plans(plan(df))
+    assert keyed_shuffles(df) == ["destination, tleo, genre, 8"]
+    assert "Subquery" not in p and "SinglePartition" not in p and "SortMergeJoin" not in p
+    assert len(re.findall(r"Window \[", p)) == 1
+
+
+def test_grid_frames_need_no_extra_shuffle(spark):
+    """On the grid, one shuffle fills the gaps and the trailing windows reuse its partitioning."""
+    df = entry.queries()["surge_score"](spark, SF)
+    df.collect()
+    assert keyed_shuffles(df) == ["destination, tleo, genre, 8"]
+
+
+@pytest.mark.parametrize("job", [entry.TEST_DAILY_JOB, entry.TEST_HOURLY_JOB], ids=["daily", "hourly"])
+def test_the_windows_read_at_most_three_events_for_an_observed_row(spark, job):
+    from upswing.operators.sweep import frame_events, swept_cells
+    from upswing.plans.rebuild import counts_and_spine
+
+    activity, metadata = load_bound(spark, SF)
+    fused = count_plays_by_cohort(activity, job[0][1].grain, tuple(c for c, _ in job))
+    pg, spine = counts_and_spine(fused, metadata, job)
+    events = frame_events(pg, spine, job)
+    per_cohort = {r["_cohort"]: r["count"] for r in events.groupBy("_cohort").count().collect()}
+    for k, (c, _) in enumerate(job):
+        assert 0 < per_cohort[k] <= 3 * pg.where(f"in_{c.name}").count()
+    assert swept_cells(events).count() > 2 * sum(per_cohort.values()) or job[0][1].grain == "day"
 
 
 def test_increment_prunes_date_partitions(spark, tmp_path):
@@ -97,20 +124,18 @@ def test_increment_prunes_date_partitions(spark, tmp_path):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
 
-def test_cohort_combination_adds_no_shuffle(spark):
-    """The wide table reuses the per-key partitioning of the three scored grids."""
-    for name in ("surge_daily_wide", "surge_hourly_wide"):
-        df = entry.queries()[name](spark, SF)
-        df.collect()
-        p = drop_initial_plans(plan(df))
-        keyed = sorted(
-            re.sub(r"#\d+", "", x)
-            for line in p.splitlines()
-            if "ReusedExchange" not in line
-            for x in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", line)
-        )
-        assert keyed == ["destination, tleo, genre, 8"] * 3, (name, keyed)
-        assert "SortMergeJoin" not in p
+def test_cohort_combination_of_grids_adds_no_shuffle(spark):
+    """On the grid, the wide table reuses the per-key partitioning of the three scored grids."""
+    from upswing.plans.rebuild import surge_wide
+
+    activity, metadata = load_bound(spark, SF)
+    for job in (entry.TEST_DAILY_JOB, entry.TEST_HOURLY_JOB):
+        df = surge_wide(activity, metadata, tuple((c, s.with_(frames="prefix")) for c, s in job))
+        swept = surge_wide(activity, metadata, job)
+        key = lambda r: tuple(map(str, r[:4]))
+        for a, b in zip(sorted(df.collect(), key=key), sorted(swept.collect(), key=key), strict=True):
+            assert a[:4] == b[:4] and all(x == y or abs(x - y) < 1e-6 for x, y in zip(a[4:], b[4:], strict=True))
+        assert keyed_shuffles(df) == ["destination, tleo, genre, 8"] * 3
 
 
 def test_increment_is_one_aggregation(spark):
@@ -119,12 +144,6 @@ def test_increment_is_one_aggregation(spark):
         df = entry.queries()[name](spark, SF)
         df.collect()
         p = drop_initial_plans(plan(df))
-        keyed = [
-            re.sub(r"#\d+", "", x)
-            for line in p.splitlines()
-            if "ReusedExchange" not in line
-            for x in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", line)
-        ]
-        assert keyed == ["destination, tleo, genre, 8"], (name, keyed)
+        assert keyed_shuffles(df) == ["destination, tleo, genre, 8"], name
         for bad in ("Window", "Generate", "SortMergeJoin"):
             assert bad not in p, (name, bad)

@@ -42,13 +42,14 @@ def _assert_same(x, y):
 
 
 @pytest.mark.parametrize("spec", [DAY, HOUR], ids=["daily", "hourly"])
-def test_sliding_equals_prefix(spark, spec):
+def test_sliding_equals_prefix_and_sweep(spark, spec):
     activity, metadata = load_bound(spark, SF)
     out = {}
-    for frames in ("sliding", "prefix"):
+    for frames in ("sliding", "prefix", "sweep"):
         job = ((ALL, spec.with_(frames=frames)),)
         out[frames] = _rows(score_cohorts(activity, metadata, job, how="none")["all"], spec.time_col)
     _assert_same(out["sliding"], out["prefix"])
+    _assert_same(out["sliding"], out["sweep"])
 
 
 def test_independent_of_input_partitioning(spark):

@@ -17,6 +17,7 @@ from upswing.operators.plays import (
 )
 from upswing.operators.rolling import trailing_stats
 from upswing.operators.score import score_grid, score_plays
+from upswing.operators.sweep import frame_events, score_swept, swept_cells, swept_cohort, swept_wide
 
 __all__ = [
     "attach_genre",
@@ -27,6 +28,7 @@ __all__ = [
     "count_plays_by_cohort",
     "dense_grid",
     "filtered_activity",
+    "frame_events",
     "genre_dimension",
     "job_bucket_stats",
     "job_spine",
@@ -36,6 +38,10 @@ __all__ = [
     "programme_titles",
     "score_grid",
     "score_plays",
+    "score_swept",
+    "swept_cells",
+    "swept_cohort",
+    "swept_wide",
     "titles_matching_any",
     "trailing_stats",
 ]

@@ -30,7 +30,10 @@ def _ordered(t: str, keys=KEYS):
 
 
 def trailing_stats(grid: DataFrame, spec: ScoreSpec, value: str = "streams", keys=KEYS) -> DataFrame:
-    """Adds non_nulls, brand_avg{sfx}, brand_sd{sfx} (sfx '28' daily, '' hourly)."""
+    """Adds non_nulls, brand_avg{sfx}, brand_sd{sfx} (sfx '28' daily, '' hourly).
+
+    ``grid`` is laid out already, so a spec that sweeps events is served by the prefix sums.
+    """
     t = spec.time_col
     sfx = spec.stat_suffix
     if spec.frames == "sliding":

@@ -1,9 +1,10 @@
 """Full rebuild: score every cohort of a job and combine them into one wide table.
 
 One scan of the activity table serves all cohorts (``count_plays_by_cohort``)
-and its result is materialised once; the genre dimension is built once; each
-cohort is then scored on its own grid (cohorts have their own observed
-buckets and keys, so their frames differ), all from one job spine.
+and its result is materialised once; the genre dimension is built once. Cohorts
+have their own observed buckets and keys, so their frames differ; all positions
+come from one job spine. By default the cohorts are scored together by an event
+sweep (one shuffle); specs with other frames score each cohort on its own grid.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from upswing.operators.genre import attach_genre, genre_dimension
 from upswing.operators.grid import cohort_spine, job_spine
 from upswing.operators.plays import cohort_plays, count_plays_by_cohort
 from upswing.operators.score import score_plays
+from upswing.operators.sweep import score_swept, swept_cohort, swept_wide
 from upswing.sources.sinks import publish
 from upswing.sources.storage import reliable_checkpoint, shared_path
 from upswing.spec import DAILY_JOB, ActivityFilters, Cohort, ScoreSpec
@@ -33,6 +35,11 @@ def _grain(job: Job) -> str:
     return grains.pop()
 
 
+def _sweeps(job: Job) -> bool:
+    """Whether a job is scored by the event sweep (all its cohorts) or on the grid."""
+    return all(spec.frames == "sweep" for _, spec in job)
+
+
 MATERIALIZE = ("table", "checkpoint", "cache", "none")
 
 
@@ -112,6 +119,9 @@ def score_counts(
     """
     grain, t = _grain(job), job[0][1].time_col
     pg, spine = counts_and_spine(fused, metadata, job, how)
+    if _sweeps(job):
+        scored = score_swept(pg, spine, job)
+        return {c.name: swept_cohort(scored, job, c.name, genre_list) for c, _ in job}
     return {
         c.name: score_plays(
             cohort_plays(pg, grain, c, ("genre",)), spec, spine=cohort_spine(spine, t, c.name), genre_list=genre_list
@@ -164,6 +174,10 @@ def surge_wide(
     """Wide table of a three-cohort job: (everyone, young, on-demand) in job order."""
     if len(job) != 3:
         raise ValueError("a wide table needs exactly three cohorts")
+    if _sweeps(job):  # one shuffle for the three cohorts
+        fused = count_plays_by_cohort(activity, _grain(job), tuple(c for c, _ in job), filters, dates)
+        pg, spine = counts_and_spine(fused, metadata, job, how)
+        return swept_wide(score_swept(pg, spine, job), job, independent)
     scored = score_cohorts(activity, metadata, job, filters, dates, how, genre_list=True)
     return wide_table(scored, job, independent)
 

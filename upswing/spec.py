@@ -82,9 +82,11 @@ class ScoreSpec:
     min_present     N: fewer non-NULL streams than this -> fall back to the
                     same-bucket statistics of all programmes
     stats_rows      frame length (rows) of the trailing mean / st. dev.
-    frames          "sliding": window aggregates over ROWS frames (recomputed
+    frames          "sweep": exact running sums over the events of the observed
+                    rows, the grid laid out last (cost observed rows); over the
+                    grid: "sliding": window aggregates over ROWS frames (recomputed
                     per row, cost rows x frame); "prefix": exact running sums
-                    differenced with lag (cost rows). Both give the same result.
+                    differenced with lag (cost rows). All give the same result.
     """
 
     grain: str
@@ -92,13 +94,13 @@ class ScoreSpec:
     presence_rows: int
     min_present: int
     stats_rows: int
-    frames: str = "sliding"
+    frames: str = "sweep"
 
     def __post_init__(self) -> None:
         if self.grain not in ("day", "hour"):
             raise ValueError(f"grain must be 'day' or 'hour', not {self.grain!r}")
-        if self.frames not in ("sliding", "prefix"):
-            raise ValueError(f"frames must be 'sliding' or 'prefix', not {self.frames!r}")
+        if self.frames not in ("sweep", "sliding", "prefix"):
+            raise ValueError(f"frames must be 'sweep', 'sliding' or 'prefix', not {self.frames!r}")
         if min(self.presence_rows, self.stats_rows) < 1:
             raise ValueError("frame lengths must be positive")
 
@@ -116,9 +118,7 @@ class ScoreSpec:
 
 
 DAILY = ScoreSpec("day", DAILY_MIN_STREAMS, DAILY_PRESENCE_ROWS, DAILY_MIN_PRESENT, DAILY_STATS_ROWS)
-HOURLY = ScoreSpec(
-    "hour", HOURLY_MIN_STREAMS, HOURLY_PRESENCE_ROWS, HOURLY_MIN_PRESENT, HOURLY_STATS_ROWS, "prefix"
-)
+HOURLY = ScoreSpec("hour", HOURLY_MIN_STREAMS, HOURLY_PRESENCE_ROWS, HOURLY_MIN_PRESENT, HOURLY_STATS_ROWS)
 HOURLY_COHORT = HOURLY.with_(min_streams=HOURLY_COHORT_MIN_STREAMS)
 
 #: (cohort, spec) triples of the two full rebuilds, in wide-table order.
