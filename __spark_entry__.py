@@ -24,6 +24,8 @@ from upswing.operators.grid import dense_grid, overall_stats
 from upswing.operators.plays import cohort_plays, count_plays, count_plays_by_cohort
 from upswing.plans.counts_store import refresh_counts
 from upswing.plans.increment import increment_dates, increment_wide, run_increment, score_increment
+from upswing.plans.play_sets import merge_plays, merged_counts
+from upswing.plans.prefix_store import fill_prefix, increment_from_prefix
 from upswing.plans.rebuild import plays_with_genre, run_rebuild, score_cohorts, surge_wide
 from upswing.sources.sinks import publish, read_history
 from upswing.sources.storage import shared_path
@@ -135,7 +137,21 @@ def q_plays_hourly(spark, sf_dir):
 
 def q_plays_cohorts(spark, sf_dir):
     """The fused three-cohort count, one row per (cohort, bucket, destination, tleo)."""
-    fused = count_plays_by_cohort(_bound(spark, sf_dir)[0], "day", COHORTS)
+    return _by_cohort(count_plays_by_cohort(_bound(spark, sf_dir)[0], "day", COHORTS))
+
+
+def q_plays_late_merge(spark, sf_dir):
+    """The same counts from play sets, filled by three batches that overlap, the last of them twice."""
+    activity, _ = _bound(spark, sf_dir)
+    store, played = shared_path(spark, "play_sets"), F.coalesce("playback_time_total", F.lit(0.0))
+    merge_plays(activity.where(played < 60), store, COHORTS)
+    merge_plays(activity.where(played >= 30), store, COHORTS)
+    for _ in range(2):
+        merge_plays(activity.where(F.col("play_id") % 5 == 0), store, COHORTS, batch="late")
+    return _by_cohort(merged_counts(spark, store, COHORTS))
+
+
+def _by_cohort(fused: DataFrame) -> DataFrame:
     entries = F.array(
         *[
             F.struct(
@@ -257,6 +273,17 @@ def q_increment_store_gap(spark, sf_dir):
     return _r6(increment_wide(activity, metadata, AS_OF, TEST_DAILY_JOB, counts_store=store))
 
 
+def q_increment_from_prefix(spark, sf_dir):
+    """Increment as differences of stored running totals, filled in two parts."""
+    activity, metadata = _bound(spark, sf_dir)
+    store = shared_path(spark, "prefix_store")
+    first, last = increment_dates(AS_OF)
+    middle = first + _dt.timedelta(days=20)
+    fill_prefix(activity, store, (first - _dt.timedelta(days=1), middle), TEST_DAILY_JOB, resume=False)
+    fill_prefix(activity, store, (middle + _dt.timedelta(days=1), last), TEST_DAILY_JOB)
+    return _r6(increment_from_prefix(spark, metadata, store, AS_OF, TEST_DAILY_JOB))
+
+
 def q_publish_hourly(spark, sf_dir):
     """Full rebuild of the hourly wide table into a fresh location, read back (without its date partition)."""
     activity, metadata = _bound(spark, sf_dir)
@@ -289,6 +316,15 @@ def q_publish_daily(spark, sf_dir):
     return _r6(run_rebuild(activity, metadata, path, TEST_DAILY_JOB))
 
 
+def q_publish_snapshot(spark, sf_dir):
+    """Two versions published one after the other, the first of the earlier half of the days; the last one read back."""
+    activity, metadata = _bound(spark, sf_dir)
+    path = shared_path(spark, "publish_snapshot")
+    earlier = activity.where(F.col("date_of_event") < F.lit(_dt.date(2024, 1, 15)))
+    run_rebuild(earlier, metadata, path, TEST_DAILY_JOB, mode="snapshot")
+    return _r6(run_rebuild(activity, metadata, path, TEST_DAILY_JOB, mode="snapshot"))
+
+
 def q_run_history(spark, sf_dir):
     """Run the recorded increment job; its history record plus the rows it published."""
     activity, metadata = _bound(spark, sf_dir)
@@ -296,8 +332,9 @@ def q_run_history(spark, sf_dir):
     hist = shared_path(spark, "run_history", "history")
     run_increment(activity, metadata, AS_OF, out, hist, job=TEST_DAILY_JOB)
     published = spark.read.parquet(out).select(F.count(F.lit(1))).scalar()
+    mine, whole = F.col("updated_by") == F.current_user(), F.col("finished") >= F.col("started")
     return read_history(spark, hist).select(
-        "script", "target_table", "status", published.alias("rows_published")
+        "script", "target_table", "status", "day", mine.alias("by_current_user"), whole.alias("ends_after_start"), published.alias("rows_published")
     )
 
 
@@ -316,6 +353,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "plays_last28": q_plays_last28,
     "plays_hourly": q_plays_hourly,
     "plays_cohorts": q_plays_cohorts,
+    "plays_late_merge": q_plays_late_merge,
     "titles_any_match": q_titles_any_match,
     "programme_title": q_programme_title,
     "modal_genre": q_modal_genre,
@@ -334,10 +372,12 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "increment_wide": q_increment_wide,
     "increment_from_store": q_increment_from_store,
     "increment_store_gap": q_increment_store_gap,
+    "increment_from_prefix": q_increment_from_prefix,
     "publish_hourly": q_publish_hourly,
     "publish_append": q_publish_append,
     "publish_increment": q_publish_increment,
     "publish_daily": q_publish_daily,
+    "publish_snapshot": q_publish_snapshot,
     "run_history": q_run_history,
 }
 
@@ -441,16 +481,19 @@ def oracle_sql() -> dict[str, str]:
         "increment_wide": increment,
         "increment_from_store": increment,
         "increment_store_gap": increment,
+        "increment_from_prefix": increment,
         "publish_hourly": with_steps({"a": HA, "y": HY, "o": HO}, wide_select("datehour")),
         "publish_append": f"WITH once AS ({increment}) SELECT * FROM once UNION ALL SELECT * FROM once",
         "publish_increment": increment,
         "publish_daily": wide_daily,
+        "publish_snapshot": wide_daily,
         "run_history": with_steps(
             {"a": IA, "y": IY, "o": IO},
             "SELECT 'surge_increment' AS script, 'surge_daily' AS target_table, "
-            "'FINISHED' AS status, (SELECT COUNT(*) FROM ("
+            f"'FINISHED' AS status, DATE '{_INC[1]}' AS day, TRUE AS by_current_user, TRUE AS ends_after_start, (SELECT COUNT(*) FROM ("
             + wide_select("date", _YESTERDAY)
             + ")) AS rows_published",
         ),
     }
+    sql["plays_late_merge"] = sql["plays_cohorts"]
     return sql if llm is None else sql | llm.ORACLE_SQL

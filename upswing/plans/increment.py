@@ -13,14 +13,17 @@ from __future__ import annotations
 
 import contextlib
 import datetime as _dt
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from upswing.operators.day import cohort_day, day_scores, wide_day
 from upswing.operators.plays import count_plays_by_cohort
 from upswing.plans.counts_store import read_counts, recount_missing, refresh_counts
 from upswing.plans.rebuild import Job, counts_and_spine
-from upswing.sources.sinks import is_path, publish, publish_day, record_run
+from upswing.sources.sinks import DISCARDED, FAILED, FINISHED, RUNNING, STAGED, publish, publish_day, read_history, record_run
+from upswing.sources.storage import delete_path, path_exists
 from upswing.spec import DAILY_JOB, INCREMENT_HISTORY_DAYS, ActivityFilters
 
 
@@ -93,6 +96,37 @@ def increment_wide(
     return wide_day(scores, increment_dates(as_of, history_days)[1], job)
 
 
+def _now() -> _dt.datetime:
+    return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+
+
+def staged_path(history_path: str, run_id: str) -> str:
+    """Where a run keeps its rows until they are published."""
+    return f"{history_path.rstrip('/')}_staged/{run_id}"
+
+
+def recover_runs(spark: SparkSession, output_path: str, history_path: str, script: str, target_table: str) -> list[str]:
+    """Bring the runs that were killed to an end; returns their final states, oldest first.
+
+    A run that had staged its rows is completed: its day is published from them
+    (again, if it had been: overwriting a partition twice leaves it once) and it is
+    FINISHED. One that had not is DISCARDED; it never touched the table. For a
+    table with one writer at a time, as the daily job is.
+    """
+    if not path_exists(spark, history_path):
+        return []
+    open_ = read_history(spark, history_path).where(F.col("status").isin(RUNNING, STAGED))
+    mine = open_.where((F.col("script") == script) & (F.col("target_table") == target_table) & F.col("run_id").isNotNull())
+    states = []
+    for r in mine.orderBy("started").collect():  # one row for each killed run
+        if r["status"] == STAGED:
+            publish_day(spark.read.parquet(staged_path(history_path, r["run_id"])), output_path, r["day"])
+        states.append(FINISHED if r["status"] == STAGED else DISCARDED)
+        record_run(spark, history_path, script, target_table, r["started"], _now(), states[-1], r["run_id"], r["day"])
+        delete_path(spark, staged_path(history_path, r["run_id"]))
+    return states
+
+
 def run_increment(
     activity: DataFrame,
     metadata: DataFrame,
@@ -111,33 +145,41 @@ def run_increment(
 ) -> str:
     """Score yesterday, publish it into the daily table and record the run.
 
-    ``mode='partitions'`` (default) overwrites yesterday's partition, so a
-    re-run is idempotent; ``mode='append'`` adds the rows again on a re-run.
-    With ``mode='partitions'`` and a folder the day's partition is replaced even
-    if nothing is left of it. The history holds a RUNNING record from the start and
-    a FINISHED or FAILED one at the end. Returns the final status.
+    ``mode='partitions'`` (default) makes publishing and recording one commit: the
+    rows are first staged beside the history, then a STAGED record says that they
+    are complete, then the day's partition is overwritten with them and the run is
+    FINISHED. A run killed before the STAGED record changed nothing, one killed
+    after it is completed by the next (``recover_runs``), so table and history never
+    disagree for longer than that. The day's partition is replaced even if nothing
+    is left of it. ``mode='append'`` adds the rows without staging: a re-run adds
+    them again. A run that fails before it has staged its rows is FAILED. Returns the final status.
     """
-    spark = activity.sparkSession
-    started = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    spark, day, run_id = activity.sparkSession, increment_dates(as_of, history_days)[1], uuid.uuid4().hex
+    if mode == "partitions":
+        recover_runs(spark, output_path, history_path, script, target_table)
+    started = _now()
 
     def record(status: str, finished: _dt.datetime | None = None) -> None:
-        record_run(spark, history_path, script, target_table, started, finished, status)
-
-    def now() -> _dt.datetime:
-        return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        record_run(spark, history_path, script, target_table, started, finished, status, run_id, day)
 
-    record("RUNNING")
+    record(RUNNING)
+    staged = False
     try:
         wide = increment_wide(
             activity, metadata, as_of, job, history_days, filters, how, counts_store, refresh_days
         )
-        if mode == "partitions" and is_path(output_path):
-            publish_day(wide, output_path, increment_dates(as_of, history_days)[1])
+        if mode == "partitions":
+            wide.write.parquet(staged_path(history_path, run_id))
+            record(STAGED)
+            staged = True
+            publish_day(spark.read.parquet(staged_path(history_path, run_id)), output_path, day)
         else:
             publish(wide, output_path, mode=mode, partition_by="date")
-    except BaseException:
-        with contextlib.suppress(Exception):  # the job's own error matters more
-            record("FAILED", now())
+    except Exception:
+        if not staged:  # a staged run is the next one's to complete
+            with contextlib.suppress(Exception):  # the job's own error matters more
+                record(FAILED, _now())
         raise
-    record("FINISHED", now())
-    return "FINISHED"
+    record(FINISHED, _now())
+    delete_path(spark, staged_path(history_path, run_id))
+    return FINISHED

@@ -21,7 +21,8 @@ from upswing.operators.grid import cohort_spine, job_spine
 from upswing.operators.plays import cohort_plays, count_plays_by_cohort
 from upswing.operators.score import score_plays
 from upswing.operators.sweep import score_swept, swept_cohort, swept_wide
-from upswing.sources.sinks import publish
+from upswing.sources.sinks import is_path, publish
+from upswing.sources.snapshots import publish_snapshot, read_snapshot
 from upswing.sources.storage import reliable_checkpoint, shared_path
 from upswing.spec import DAILY_JOB, ActivityFilters, Cohort, ScoreSpec
 
@@ -189,17 +190,24 @@ def run_rebuild(
     job: Job = DAILY_JOB,
     filters: ActivityFilters = ActivityFilters(),
     how: str = "table",
+    mode: str = "replace",
 ) -> DataFrame:
     """Rebuild and replace the published wide table; returns it read back.
 
+    ``mode='snapshot'`` publishes a new version of the folder that readers see at
+    once (``sources/snapshots.py``); ``replace`` overwrites the table in place.
     Both tables are partitioned by day: the daily one by ``date``, the hourly
     one by a ``date`` column derived from ``datehour`` (every day holds the
     same number of rows, 24 per key).
     """
+    if mode not in ("replace", "snapshot"):
+        raise ValueError(f"mode must be 'replace' or 'snapshot', not {mode!r}")
     wide = surge_wide(activity, metadata, job, filters, how=how)
+    spark = wide.sparkSession
     if job[0][1].time_col == "datehour":
         wide = wide.withColumn("date", F.to_date("datehour"))
+    if mode == "snapshot":
+        publish_snapshot(wide, output_path, partition_by="date")
+        return read_snapshot(spark, output_path)
     publish(wide, output_path, mode="replace", partition_by="date")
-    spark = wide.sparkSession
-    is_path = "/" in output_path or ":" in output_path
-    return spark.read.parquet(output_path) if is_path else spark.table(output_path)
+    return spark.read.parquet(output_path) if is_path(output_path) else spark.table(output_path)

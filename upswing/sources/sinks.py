@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 HISTORY_SCHEMA = (
     "script string, target_table string, updated_by string, updated_date date, "
-    "started timestamp_ntz, finished timestamp_ntz, status string"
+    "started timestamp_ntz, finished timestamp_ntz, status string, run_id string, day date"
 )
+#: States of a run: an open one is RUNNING, and STAGED once its rows are written beside the table.
+RUNNING, STAGED, FINISHED, FAILED, DISCARDED = "RUNNING", "STAGED", "FINISHED", "FAILED", "DISCARDED"
 
 PUBLISH_MODES = ("replace", "partitions", "append")
 
@@ -60,13 +62,24 @@ def publish(df: DataFrame, target: str, mode: str = "replace", partition_by: str
 
 
 def publish_day(df: DataFrame, target: str, day: _dt.date, partition_by: str = "date") -> None:
-    """Make the partition of ``day`` in the Parquet folder ``target`` hold ``df``'s rows of it, and no others.
+    """Make the partition of ``day`` in ``target`` hold ``df``'s rows of it, and no others.
 
-    The partition's folder itself is overwritten, so a day that has become empty
-    is cleared too, which a dynamic partition overwrite would leave as it was.
+    The partition itself is overwritten (a folder's subfolder, or a catalog table's
+    static partition), so a day that has become empty is cleared too, which a
+    dynamic partition overwrite would leave as it was.
     """
-    rows = df.where(F.col(partition_by) == F.lit(day)).drop(partition_by)
-    rows.hint("rebalance").write.mode("overwrite").parquet(f"{target.rstrip('/')}/{partition_by}={day}")
+    rows = df.where(F.col(partition_by) == F.lit(day)).drop(partition_by).hint("rebalance")
+    if is_path(target):
+        rows.write.mode("overwrite").parquet(f"{target.rstrip('/')}/{partition_by}={day}")
+        return
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(target):
+        publish(df.limit(0), target, mode="replace", partition_by=partition_by)
+    columns = [c for c in spark.table(target).columns if c != partition_by]
+    names = ", ".join(f"`{c}`" for c in columns)
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {target} PARTITION (`{partition_by}` = DATE '{day}') SELECT {names} FROM {{rows}}", rows=rows
+    )
 
 
 def _ntz(ts: _dt.datetime | None):
@@ -83,11 +96,14 @@ def record_run(
     started: _dt.datetime,
     finished: _dt.datetime | None,
     status: str,
+    run_id: str | None = None,
+    day: _dt.date | None = None,
 ) -> None:
     """Append one state of a run (who, when, how long, outcome) to the history table.
 
-    A run has a RUNNING record from its start and a second one, with the same
-    start, when it ends; ``read_history`` takes the later.
+    A run has a RUNNING record from its start, a STAGED one when its rows are
+    complete beside the table, and one when it ends, all with the same start;
+    ``read_history`` takes the latest.
     """
     row = spark.range(1).select(
         F.lit(script).alias("script"),
@@ -97,6 +113,8 @@ def record_run(
         _ntz(started).alias("started"),
         _ntz(finished).alias("finished"),
         F.lit(status).alias("status"),
+        F.lit(run_id).cast("string").alias("run_id"),
+        F.lit(day).cast("date").alias("day"),
     )
     row.write.mode("append").parquet(path)
 
@@ -104,7 +122,10 @@ def record_run(
 def read_history(spark: SparkSession, path: str) -> DataFrame:
     """The last state of every run: a job that was killed stays RUNNING."""
     rows = spark.read.schema(HISTORY_SCHEMA).parquet(path)
-    state = F.struct("updated_by", "updated_date", "finished", "status")
-    last = F.max_by(state, F.struct(F.col("finished").isNotNull().alias("ended"), "finished"))
+    state = F.struct("updated_by", "updated_date", "finished", "status", "run_id", "day")
+    stage = F.when(F.col("finished").isNotNull(), 2).when(F.col("status") == STAGED, 1).otherwise(0)
+    last = F.max_by(state, F.struct(stage.alias("stage"), "finished"))
     runs = rows.groupBy("script", "target_table", "started").agg(last.alias("last"))
-    return runs.select("script", "target_table", "last.updated_by", "last.updated_date", "started", "last.finished", "last.status")
+    return runs.select(
+        "script", "target_table", "last.updated_by", "last.updated_date", "started", "last.finished", "last.status", "last.run_id", "last.day"
+    )

@@ -55,3 +55,25 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def _file_system(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _file_system(spark, path)
+    return fs.exists(p)
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in ``path`` (none if it does not exist)."""
+    p, fs = _file_system(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Delete a file or folder with all it holds; whether there was one."""
+    p, fs = _file_system(spark, path)
+    return fs.delete(p, True)
