@@ -7,7 +7,9 @@ prefix of its documents in key order whose sizes add up to what is left.
 
 Prefix sums run over (source, key bucket): buckets follow the order of keys, so
 a bucket starts where the sums of the earlier ones end, and a source holding a
-third of all rows is spread over many tasks.
+third of all rows is spread over many tasks. Buckets cut a source's own distribution
+of keys, that of its mixture of weights, into equal parts, so that they hold alike
+many rows whatever the weights. Texts are measured first and go no further.
 """
 
 from __future__ import annotations
@@ -25,14 +27,15 @@ CYCLE = (1.0, 2.0, 3.0)  # weights of the sources by code point, repeating
 MAX_EPOCHS = 3
 ROWS_PER_BUCKET = 20_000  # aimed rows of a (source, bucket) group
 GOOD, POOR, UNKNOWN = 2.0, 0.5, 1.0  # quality weights
+WEIGHT_STEP = 1.1  # weights whose ratio is less count as one in the distribution of keys
 
 
 def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sizes = [len(t.split()) if t else 0 for t in binary_texts(batch.column("text"))]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("source"), batch.column("quality"), pa.array(sizes, pa.int64())],
-            names=["doc_id", "source", "quality", "size"],
+            [batch.column("doc_id"), batch.column("source"), pa.array(sizes, pa.int64())],
+            names=["doc_id", "source", "size"],
         )
 
 
@@ -71,6 +74,23 @@ def source_targets(sizes: DataFrame, cycle: tuple[float, ...] = CYCLE, share: fl
     return per.withColumn("target", F.least(cap, F.lit(level) * F.col("weight")) if level else F.lit(0.0))
 
 
+def key_buckets(keyed: DataFrame) -> DataFrame:
+    """(source, rows, spread): rows of each source, and its weights with the rows of each.
+
+    The keys of weight w are distributed as 1 - exp(-w * key), those of a source as
+    the mean of that over its rows; weights are held in steps of ``WEIGHT_STEP``.
+    """
+    step = F.floor(F.log("weight") / math.log(WEIGHT_STEP)).alias("step")
+    steps = keyed.groupBy("source", step).agg(F.avg("weight").alias("w"), F.count(F.lit(1)).alias("n"))
+    return steps.groupBy("source").agg(F.sum("n").alias("rows"), F.collect_list(F.struct("w", "n")).alias("spread"))
+
+
+def bucket_of(rows_per_bucket: int) -> F.Column:
+    """The bucket of a row with key, rows and spread: equal parts of its source's distribution, in order of the keys."""
+    below = F.aggregate("spread", F.lit(0.0), lambda total, x: total + x["n"] * (1 - F.exp(-x["w"] * F.col("key")))) / F.col("rows")
+    return F.floor(below * F.ceil(F.col("rows") / F.lit(rows_per_bucket))).cast("long")
+
+
 def mix(
     docs: DataFrame,
     quality: DataFrame | None = None,
@@ -90,19 +110,19 @@ def mix(
     documents, and which of equals comes first does not show in the result.
     Other columns of ``docs`` are not read.
     """
-    rows = docs.select("doc_id", "source", "text")
+    types = dict(docs.select("doc_id", "source").dtypes)
+    sized = map_arrow(docs.select("doc_id", "source", "text"), _sizes, f"doc_id {types['doc_id']}, source {types['source']}, size long")
     if quality is None:
-        rows = rows.withColumn("quality", F.lit(None).cast("double"))
+        sized = sized.withColumn("weight", F.lit(UNKNOWN))
     else:
         q = quality.select(F.col("doc_id"), F.col("quality").cast("double").alias("quality"))
-        rows = rows.join(q, "doc_id", "left")
-    types = dict(rows.dtypes)
-    sized = map_arrow(rows, _sizes, f"doc_id {types['doc_id']}, source {types['source']}, quality double, size long")
-    key = -F.log(unit_hash("doc_id", F.lit(seed))) / F.coalesce("quality", F.lit(UNKNOWN))
+        sized = sized.join(q, "doc_id", "left").withColumn("weight", F.coalesce("quality", F.lit(UNKNOWN))).drop("quality")
+    key = -F.log(unit_hash("doc_id", F.lit(seed))) / F.col("weight")
     sized = store(sized.withColumn("key", key), "sizes")
     targets = source_targets(sized, cycle, share, max_epochs)
-    buckets = max(1, math.ceil(sized.count() / ROWS_PER_BUCKET))
-    sized = sized.withColumn("bucket", F.floor((1 - F.exp(-F.col("key"))) * buckets))
+    spread = key_buckets(sized).withColumnRenamed("source", "s")
+    sized = sized.join(spread, F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    sized = store(sized.withColumn("bucket", bucket_of(ROWS_PER_BUCKET)).drop("rows", "spread", "weight"), "sizes")
     sums = sized.groupBy("source", "bucket").agg(F.sum("size").alias("here"))
     before = F.sum("here").over(Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
     sums = sums.select("source", "bucket", F.coalesce(before, F.lit(0)).alias("before"))
