@@ -24,6 +24,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 
 from upswing.llm.common import Vocabulary, binary_texts, map_arrow, mix64, store
 
-SEGMENT_TOKENS = 3_000_000
+SEGMENT_TOKENS = 1_500_000
 SHARD_TOKENS = 1_500_000  # corpus tokens for each partition of the count tables
 CUTOFF = 5  # counts up to this one are Good-Turing discounted
 END, START = (np.uint64(xxhash.xxh3_64_intdigest(x)) for x in (b" end of text", b" start of text"))  # no words: they hold spaces
@@ -93,7 +94,10 @@ class Segment:
         before[1:] = self.tokens[:-1]
         before[self.starts] = 1
         learn = np.repeat(self.train, self.sizes)
-        pairs, self.pair_of, all_counts = np.unique(before * len(self.words) + self.tokens, return_inverse=True, return_counts=True)
+        self.pair_of, pairs = pd.factorize(before * len(self.words) + self.tokens)
+        del before
+        self.pair_of = self.pair_of.astype(np.int32)
+        all_counts = np.bincount(self.pair_of, minlength=len(pairs))
         self.h, self.w = pairs // len(self.words), pairs % len(self.words)
         self.pair_train = np.bincount(self.pair_of, weights=learn, minlength=len(pairs)).astype(np.int64)
         self.word_train = np.bincount(self.tokens, weights=learn, minlength=len(self.words)).astype(np.int64)
@@ -246,7 +250,7 @@ def _score(shards: int, uni: Discount, bi: Discount, n_types: int):
             lost = np.bincount(s.h[sums], weights=c_pair[sums] - bi(c_pair[sums]), minlength=len(s.words))
             mass = np.bincount(s.h[sums], weights=p_word[s.w[sums]], minlength=len(s.words))
             given = np.bincount(s.h[sums], minlength=len(s.words)) > 0
-            seen = c_pair > 0
+            seen = (c_pair > 0) & (c_word[s.h] > 0)  # a history that was never met has no bigrams
             with np.errstate(divide="ignore", invalid="ignore"):
                 log = np.where(seen, np.log10(bi(c_pair) / c_word[s.h]), np.log10(p_word[s.w]))
             backs_off = ~seen & (c_word[s.h] > 0)
