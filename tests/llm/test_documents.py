@@ -7,6 +7,7 @@ import random
 import re
 import zlib
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -171,7 +172,7 @@ def test_chunk_encoder_is_the_library_on_whole_texts():
     encoder = ChunkEncoder(tokenizer_path(), most=20)
     texts = ODD + [r[1] for r in rows() if r[1]]
     for _ in range(2):
-        got = encoder.encode([t.encode() for t in texts])
+        got = encoder.encode(pa.array(texts, pa.large_string()))
         for t, ids in zip(texts, got, strict=True):
             assert ids.tolist() == encoder.tokenizer.encode(t, add_special_tokens=False).ids
 
@@ -180,9 +181,9 @@ def test_chunk_encoder_on_letters_that_normalise_to_a_mark_at_the_end():
     """Before a stop or comma the pre-tokenizer joins that mark with it."""
     words = ["হয়", "সময়", "\u0958", "\ufb2a", "EV\u0130", "a\u0958", "\u0130", "été", "ΣΑΣ", "слово", "가", "\u1100\u1161", "\u1100\u1161\u11a8", "日本", "abc"]
     encoder = ChunkEncoder(tokenizer_path())
-    texts = [w + mark for w in words for mark in (".", ",", "", ".,", "x,")]
+    texts = [w + mark for w in words for mark in (".", ",", "", ".,", "x,", "!!", "***", ".%%%", "'s.", "-", "_", "[x]", "$1.", "<|", "))'")]
     texts += [chr(c) + "," for c in range(0x80, 0x30000) if chr(c).isalpha()]
-    for t, ids in zip(texts, encoder.encode([t.encode() for t in texts]), strict=True):
+    for t, ids in zip(texts, encoder.encode(pa.array(texts, pa.large_string())), strict=True):
         assert ids.tolist() == encoder.tokenizer.encode(t, add_special_tokens=False).ids, t
 
 
@@ -251,6 +252,25 @@ def test_mix(spark, monkeypatch, buckets):
     assert sorted(map(str, got)) == sorted(map(str, again))
 
 
+@pytest.mark.parametrize("weights", [[0.5], [0.05], [20.0], [0.05, 20.0], [0.5, 1.0, 2.0], [0.05 * 1.3**k for k in range(23)]])
+def test_key_buckets_are_even_for_any_weights(spark, weights):
+    """A source of one weight, of far ones and of many: no bucket holds twice what is aimed at, and buckets follow the keys."""
+    import upswing.llm.mixing as mixing
+
+    keyed = spark.range(60_000).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") < 50_000, "hot").alias("source"),
+        F.element_at(F.array(*[F.lit(w) for w in weights]), (F.col("id") % len(weights) + 1).cast("int")).alias("weight"),
+    )
+    keyed = keyed.withColumn("key", -F.log(mixing.unit_hash("doc_id", F.lit(17))) / F.col("weight"))
+    spread = mixing.key_buckets(keyed).withColumnRenamed("source", "s")
+    dealt = keyed.join(spread, F.col("source").eqNullSafe(F.col("s"))).withColumn("bucket", mixing.bucket_of(1000))
+    groups = dealt.groupBy("source", "bucket").agg(F.count("*").alias("n"), F.min("key").alias("low"), F.max("key").alias("high")).collect()
+    assert max(g["n"] for g in groups) <= 2000 and sum(g["n"] for g in groups) == 60_000
+    for source in ("hot", None):
+        mine = sorted((g["bucket"], g["low"], g["high"]) for g in groups if g["source"] == source)
+        assert len(mine) >= 8 and all(a[2] <= b[1] for a, b in zip(mine, mine[1:]))
+
+
 def test_mix_prefers_quality(spark):
     docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("a b c d").alias("text"), F.lit("s").alias("source"))
     quality = docs.select("doc_id", F.when(F.col("doc_id") % 2 == 0, 4.0).otherwise(1.0).alias("quality"))

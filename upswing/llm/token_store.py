@@ -18,13 +18,17 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from upswing.llm.common import binary_texts, map_arrow
+from upswing.llm.common import map_arrow
 
 END_ID = 1
+ROWS = 1000  # of a batch are encoded together
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII, without the apostrophe, which may begin a contraction
+TOGETHER = 1000  # new chunks that one call encodes
 ORC_OPTIONS = {
     "compression": "zstd",
     "orc.row.index.stride": "1000",
@@ -42,9 +46,9 @@ class ChunkEncoder:
     white space and drop it, and lower-case the text: then a text's ids are those
     of its white-space chunks one after the other, and A-Z can be lower-cased
     first. Texts that may hold a special token's string are encoded whole. A word
-    before a final stop or comma is a chunk of its own where the pre-tokenizer
-    cuts between them: not after letters that normalisation ends with a combining
-    mark, which goes with the stop or comma.
+    before final marks is a chunk of its own where the pre-tokenizer cuts between
+    them: not after letters that normalisation ends with a combining mark, which
+    goes with the marks.
     """
 
     def __init__(self, path: str, most: int = 1_000_000):
@@ -52,16 +56,16 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most = Tokenizer.from_file(path), most
-        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cuts: dict[str, bool] = {}  # by a word's last letter and the mark after it
         self.reset()
 
     def reset(self) -> None:
-        self.chunks: defaultdict[bytes, int] = defaultdict(count().__next__)
+        self.chunks: defaultdict[str, int] = defaultdict(count().__next__)
         self.first, self.size, self.pool = array("q"), array("q"), array("i")  # of each chunk: its run in the pool
 
-    def whole(self, text: bytes) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, dtype=np.int32)
+    def whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.int32)
 
     def _cut(self, end: str) -> bool:
         """Whether the tokenizer, asked once for each pair, cuts between a word's last letter and the mark after it.
@@ -79,44 +83,52 @@ class ChunkEncoder:
         new = [next(keys) for _ in range(len(self.chunks) - known)][::-1]
         ends = {}
         for chunk in new:
-            if chunk[-1:] in (b".", b",") and (text := chunk.decode())[:-1].isalpha() and self._cut(text[-2:]):
-                ends[chunk] = self.chunks[chunk[:-1]], self.chunks[chunk[-1:]]
+            word = chunk.rstrip(MARKS)
+            if len(word) < len(chunk) and word.isalpha() and self._cut(chunk[len(word) - 1 : len(word) + 1]):
+                ends[chunk] = self.chunks[word], self.chunks[chunk[len(word) :]]
         keys = reversed(self.chunks)
         plain = [k for k in [next(keys) for _ in range(len(self.chunks) - known)][::-1] if k not in ends]
         zeros = array("q", bytes(8 * (len(self.chunks) - known)))
         self.first.extend(zeros)
         self.size.extend(zeros)
-        for chunk, e in zip(plain, self.tokenizer.encode_batch_fast([c.decode() for c in plain], add_special_tokens=False), strict=True):
-            self._put(self.chunks[chunk], e.ids)
+        for at in range(0, len(plain), TOGETHER):
+            some = plain[at : at + TOGETHER]
+            encoded = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            places = np.cumsum([0] + [len(c) + 1 for c in some[:-1]])
+            of = np.searchsorted(places, [a for a, _ in encoded.offsets], side="right") - 1  # the chunk that each id lies in
+            cuts = np.searchsorted(of, np.arange(len(some) + 1)).tolist()
+            for chunk, a, b in zip(some, cuts, cuts[1:]):
+                self.first[self.chunks[chunk]], self.size[self.chunks[chunk]] = len(self.pool) + a, b - a
+            self.pool.extend(encoded.ids)
         for chunk, parts in ends.items():
-            self._put(self.chunks[chunk], [i for p in parts for i in self.pool[self.first[p] : self.first[p] + self.size[p]]])
+            ids = [i for p in parts for i in self.pool[self.first[p] : self.first[p] + self.size[p]]]
+            self.first[self.chunks[chunk]], self.size[self.chunks[chunk]] = len(self.pool), len(ids)
+            self.pool.extend(ids)
 
-    def _put(self, chunk: int, ids: list[int]) -> None:
-        self.first[chunk], self.size[chunk] = len(self.pool), len(ids)
-        self.pool.extend(ids)
-
-    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each of ``texts`` (strings without nulls); each distinct chunk of them is looked up once."""
         if len(self.chunks) > self.most:
             self.reset()
-        numbers, out = [], {}
-        for k, text in enumerate(texts):
-            lowered = text.lower()
-            if any(s in lowered for s in self.special):
-                out[k] = self.whole(text)
-                lowered = b""
-            chunks = lowered.split()
-            numbers.append(np.fromiter(map(self.chunks.__getitem__, chunks), dtype=np.int64, count=len(chunks)))
+        lowered = pc.ascii_lower(texts)
+        out = {}
+        for special in self.special:
+            for k in np.flatnonzero(pc.match_substring(lowered, special).to_numpy(zero_copy_only=False)):
+                out[int(k)] = self.whole(texts[int(k)].as_py())
+        split = pc.ascii_split_whitespace(lowered)
+        flat = split.flatten().dictionary_encode()
+        chunks = flat.dictionary.to_numpy(zero_copy_only=False)
+        numbers = np.fromiter(map(self.chunks.__getitem__, chunks), dtype=np.int64, count=len(chunks))
         if len(self.chunks) > len(self.first):
             self._learn()
-        at = np.concatenate(numbers)
+        at = numbers[flat.indices.to_numpy()]
         size = np.frombuffer(self.size, dtype=np.int64)[at] if len(at) else np.empty(0, np.int64)
         ends = np.cumsum(size)
         total = int(ends[-1]) if len(ends) else 0
         first = np.frombuffer(self.first, dtype=np.int64)[at] if total else size
         ids = np.frombuffer(self.pool, dtype=np.int32)[np.arange(total) + np.repeat(first - (ends - size), size)] if total else np.empty(0, np.int32)
-        cuts = np.concatenate([[0], ends])[np.cumsum([len(n) for n in numbers])]
-        pieces = np.split(ids, cuts[:-1])
-        return [out.get(k, p) for k, p in enumerate(pieces)]
+        offsets = split.offsets.to_numpy()
+        cuts = np.concatenate([[0], ends])[offsets - offsets[0]]
+        return [out.get(k, ids[a:b]) for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True))]
 
 
 _ENCODERS: dict[str, ChunkEncoder] = {}  # kept by a worker between its tasks
@@ -129,9 +141,9 @@ def _encode(path: str, end_id: int):
         encoder = _ENCODERS[path]
         part, place, end = TaskContext.get().partitionId(), 0, np.array([end_id], dtype=np.int32)
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                piece = batch.slice(at, 500)
-                ids = [np.concatenate([x, end]) for x in encoder.encode([t or b"" for t in binary_texts(piece.column("text"))])]
+            for at in range(0, batch.num_rows, ROWS):
+                piece = batch.slice(at, ROWS)
+                ids = [np.concatenate([x, end]) for x in encoder.encode(piece.column("text").cast(pa.large_string()).fill_null(""))]
                 sizes = np.array([len(x) for x in ids], dtype=np.int64)
                 ends = np.cumsum(sizes)
                 places = place + ends - sizes
