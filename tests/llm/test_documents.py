@@ -177,6 +177,14 @@ def test_chunk_encoder_is_the_library_on_whole_texts():
             assert ids.tolist() == encoder.tokenizer.encode(t, add_special_tokens=False).ids
 
 
+def test_chunk_encoder_on_slices_of_a_column():
+    docs = [r[1] or "" for r in rows()] * 3
+    column, encoder = pa.array(docs), ChunkEncoder(tokenizer_path(), most=500)
+    for at in range(0, len(docs), 37):
+        got = encoder.encode(column.slice(at, 37).cast(pa.large_string()))
+        assert [ids.tolist() for ids in got] == [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in docs[at : at + 37]]
+
+
 def test_chunk_encoder_on_letters_that_normalise_to_a_mark_at_the_end():
     """Before a stop or comma the pre-tokenizer joins that mark with it."""
     words = ["হয়", "সময়", "\u0958", "\ufb2a", "EV\u0130", "a\u0958", "\u0130", "été", "ΣΑΣ", "слово", "가", "\u1100\u1161", "\u1100\u1161\u11a8", "日本", "abc"]

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from upswing.llm.common import map_arrow
 
 END_ID = 1
-ROWS = 1000  # of a batch are encoded together
+ROWS = 250  # of a batch are encoded together
 MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII, without the apostrophe, which may begin a contraction
 TOGETHER = 1000  # new chunks that one call encodes
 ORC_OPTIONS = {
@@ -51,7 +51,7 @@ class ChunkEncoder:
     goes with the marks.
     """
 
-    def __init__(self, path: str, most: int = 1_000_000):
+    def __init__(self, path: str, most: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -63,6 +63,16 @@ class ChunkEncoder:
     def reset(self) -> None:
         self.chunks: defaultdict[str, int] = defaultdict(count().__next__)
         self.first, self.size, self.pool = array("q"), array("q"), array("i")  # of each chunk: its run in the pool
+        self.early = 0, 0  # numbers of chunks and pool ids when half of ``most`` chunks were known
+
+    def forget(self) -> None:
+        """Drop the chunks met late: the frequent ones are among the early."""
+        known, ids = self.early
+        keys = iter(self.chunks)
+        kept = {next(keys): k for k in range(known)}
+        self.chunks = defaultdict(count(known).__next__, kept)
+        for values, size in ((self.first, known), (self.size, known), (self.pool, ids)):
+            del values[size:]
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.int32)
@@ -78,7 +88,7 @@ class ChunkEncoder:
         return self.cuts[end]
 
     def _learn(self) -> None:
-        """Encode the chunks met since the last call; a word before a final stop or comma is a chunk of its own if the two are cut."""
+        """Encode the chunks met since the last call; a word before final marks is a chunk of its own if the two are cut."""
         known, keys = len(self.first), reversed(self.chunks)
         new = [next(keys) for _ in range(len(self.chunks) - known)][::-1]
         ends = {}
@@ -108,7 +118,8 @@ class ChunkEncoder:
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each of ``texts`` (strings without nulls); each distinct chunk of them is looked up once."""
         if len(self.chunks) > self.most:
-            self.reset()
+            self.forget()
+        texts = texts.take(pa.array(np.arange(len(texts))))  # a copy of its own: kernels on slices have read beyond them
         lowered = pc.ascii_lower(texts)
         out = {}
         for special in self.special:
@@ -120,6 +131,8 @@ class ChunkEncoder:
         numbers = np.fromiter(map(self.chunks.__getitem__, chunks), dtype=np.int64, count=len(chunks))
         if len(self.chunks) > len(self.first):
             self._learn()
+            if len(self.chunks) <= self.most // 2:
+                self.early = len(self.chunks), len(self.pool)
         at = numbers[flat.indices.to_numpy()]
         size = np.frombuffer(self.size, dtype=np.int64)[at] if len(at) else np.empty(0, np.int64)
         ends = np.cumsum(size)
