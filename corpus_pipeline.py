@@ -23,36 +23,63 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return predict(docs, net).where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= MIN_SCORE)).select("row.*")
 
 
+def _documents(docs: DataFrame) -> DataFrame:
+    """(row, _id, doc_id, text): the rows with a number of each document.
+
+    That is its doc_id, unless rows of one doc_id hold different texts: they are
+    different documents, and those rows get a number from doc_id and text. The
+    table of such doc_ids is joined by whatever means its size allows. A null
+    doc_id stays null in ``doc_id``, its rows are numbered by their texts.
+    """
+    texts = F.xxhash64("text")
+    shared = docs.groupBy(F.col("doc_id").alias("_shared")).agg(F.min(texts).alias("_a"), F.max(texts).alias("_b"))
+    shared = shared.where("_a <> _b and _shared is not null").select("_shared")
+    own = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 2) + F.lit(1 << 62)  # above the usual doc_ids, which go first
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text", own.alias("_own"))
+    number = F.when(F.col("doc_id").isNull() | F.col("_shared").isNotNull(), F.col("_own")).otherwise(F.col("doc_id"))
+    return rows.join(shared, F.col("doc_id") == F.col("_shared"), "left").select("row", number.alias("_id"), "doc_id", "text")
+
+
+def _renumbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with the number of each document as its doc_id, and the doc_id itself as ``_doc_id``."""
+    fields = [c for c in docs.columns if c != "doc_id"]
+    return _documents(docs).select(F.col("_id").alias("doc_id"), F.col("doc_id").alias("_doc_id"), *[F.col(f"row.`{c}`").alias(c) for c in fields])
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest doc_id of each near-duplicate component (five words, similarity 0.8), one row of it.
+    """Keeps the smallest document of each near-duplicate component (five words, similarity 0.8), one row of it.
 
-    Rows without a doc_id are linked with nothing and stay.
+    Rows of one doc_id with different texts are different documents. Rows without
+    a doc_id are linked with nothing and stay.
     """
-    dropped = near_duplicates(docs, words_per=5, percent=80).where("not kept").select(F.col("doc_id").alias("_dropped")).distinct()
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_text"))
-    rows = rows.join(dropped, F.col("_id") == F.col("_dropped"), "left_anti")
-    first = F.row_number().over(Window.partitionBy("_id").orderBy("_text"))
-    one = rows.where("_id is not null").withColumn("_n", first).where("_n = 1")
-    return one.select("row.*").unionAll(rows.where("_id is null").select("row.*"))
+    rows = _documents(docs)
+    named = rows.where("doc_id is not null")
+    dropped = near_duplicates(named.select(F.col("_id").alias("doc_id"), "text"), words_per=5, percent=80).where("not kept")
+    named = named.join(dropped.select(F.col("doc_id").alias("_dropped")).distinct(), F.col("_id") == F.col("_dropped"), "left_anti")
+    first = F.row_number().over(Window.partitionBy("_id").orderBy(F.xxhash64("text")))
+    return named.withColumn("_n", first).where("_n = 1").select("row.*").unionAll(rows.where("doc_id is null").select("row.*"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that hold a window of a benchmark item; rows without a doc_id are judged as one."""
-    hit = decontaminate(docs, read_table(spark, sf_dir, "benchmark")).where("contaminated")
-    hit = hit.select(F.col("doc_id").alias("_hit")).distinct()
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("_id"))
-    return rows.join(hit, F.col("_id").eqNullSafe(F.col("_hit")), "left_anti").select("row.*")
+    """Drops the documents that hold a window of a benchmark item, each row by its own text."""
+    rows = _documents(docs)
+    judged = decontaminate(rows.select(F.col("_id").alias("doc_id"), "text"), read_table(spark, sf_dir, "benchmark"))
+    hit = judged.where("contaminated").select(F.col("doc_id").alias("_hit")).distinct()
+    return rows.join(hit, F.col("_id") == F.col("_hit"), "left_anti").select("row.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats each document as often as the mix takes it; documents it does not take go.
 
-    Rows of the same doc_id are taken equally often (the most of any of them).
+    Weights come by doc_id; rows of one doc_id with different texts are taken each
+    by itself, equal rows equally often (the most of any of them).
     """
-    taken = mix(docs, quality_weights(read_table(spark, sf_dir, "labels"))).where("copies > 0")
+    numbered = _renumbered(docs)
+    weights = quality_weights(read_table(spark, sf_dir, "labels"))
+    by_number = numbered.select("doc_id", "_doc_id").distinct().join(weights.withColumnRenamed("doc_id", "_doc_id"), "_doc_id")
+    taken = mix(numbered, by_number.select("doc_id", "quality")).where("copies > 0")
     taken = taken.groupBy(F.col("doc_id").alias("_taken")).agg(F.max("copies").alias("_copies"))
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("_id"))
-    rows = rows.join(taken, F.col("_id").eqNullSafe(F.col("_taken")))
+    rows = _documents(docs).join(taken, F.col("_id") == F.col("_taken"))
     return rows.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select("row.*")
 
 
