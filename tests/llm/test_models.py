@@ -392,3 +392,22 @@ def test_pipeline_runs_on_a_table_and_on_nothing(spark, tmp_path):
     for table in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{SF}/{table}.parquet").limit(0).write.parquet(str(tmp_path / f"{table}.parquet"))
     assert pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_pipeline_judges_rows_that_share_a_doc_id_by_their_texts(spark):
+    """Equal and null doc_ids with different texts, some of them copies, near copies or contaminated: no clean row goes."""
+    import corpus_pipeline as pipeline
+
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").where("length(text) > 100").first()["text"]
+    clean = ["wholly other words about rivers and stones " + f"number {k} " * 9 for k in range(6)]
+    data = [(7, clean[0]), (7, f"x {item} y"), (None, clean[1]), (None, f"z {item}"), (8, clean[2]), (8, clean[3]), (8, clean[3]), (9, clean[4]), (10, clean[4])]
+    docs = frame(spark, [(i, t, "en", "s", len(t)) for i, t in data])
+    kept = pipeline.drop_contaminated(spark, docs, SF)
+    assert kept.columns == docs.columns
+    assert sorted(map(str, ((r["doc_id"], r["text"]) for r in kept.collect()))) == sorted(str(r) for r in data if item not in r[1])
+    one = pipeline.drop_near_duplicates(spark, kept, SF).collect()
+    want = [(7, clean[0]), (None, clean[1]), (8, clean[2]), (8, clean[3]), (9, clean[4])]
+    assert sorted(map(str, ((r["doc_id"], r["text"]) for r in one))) == sorted(map(str, want))
+    mixed = pipeline.mix_sources(spark, docs, SF)
+    assert mixed.columns == docs.columns
+    assert collections.Counter((r["doc_id"], r["text"]) for r in mixed.collect()) == collections.Counter(data)  # one source: each row once
