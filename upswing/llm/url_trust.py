@@ -8,13 +8,15 @@ reversed edges); a host with more distrust than trust is blocked.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from upswing.llm.common import store
 
 DAMPING = 0.85
-ROUNDS, TOLERANCE = 30, 1e-6
+TOLERANCE = 1e-6  # what the scores may be away from their limit, all hosts together
 #: (rule, verdict); a rule is a host and a path.
 RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"))
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -63,12 +65,19 @@ def host_links(pages: DataFrame) -> DataFrame:
     return links.where("src <> '' and dst <> '' and src <> dst").groupBy("src", "dst").agg(F.count("*").alias("weight"))
 
 
-def personalised_pagerank(edges: DataFrame, seeds: DataFrame, what: str, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+def rounds_to(tolerance: float, damping: float = DAMPING) -> int:
+    """Rounds after which the scores of any graph are within ``tolerance``: each round shrinks what is left by ``damping``."""
+    return max(1, math.ceil(math.log(tolerance) / math.log(damping)))
+
+
+def personalised_pagerank(edges: DataFrame, seeds: DataFrame, what: str, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
     """(host, score) by rounds of score = (1 - damping) * seed + damping * what comes in over ``edges`` (src, dst, weight).
 
     ``seeds`` (host, seed) is scaled to add up to one. What would leave a host
-    without edges is lost, as in a walk that ends there. Rounds stop when the
-    scores move by less than ``TOLERANCE`` in all; only that sum reaches the driver.
+    without edges is lost, as in a walk that ends there. A round that moves the
+    scores by m in all leaves at most m * damping / (1 - damping) to come; rounds
+    stop when that is below ``tolerance``, which ``rounds_to`` of them reach on
+    every graph, cycles included. Only that sum reaches the driver.
     """
     whole = seeds.agg(F.sum("seed").alias("whole"))
     seeds = store(seeds.crossJoin(F.broadcast(whole)).select("host", (F.col("seed") / F.col("whole")).alias("seed")), f"{what}_seeds")  # one row
@@ -78,14 +87,15 @@ def personalised_pagerank(edges: DataFrame, seeds: DataFrame, what: str, damping
     if edges.isEmpty():
         return scores
     scores = store(scores, f"{what}_scores")
-    for _ in range(rounds):
+    for _ in range(rounds_to(tolerance, damping)):
         came = edges.join(scores.withColumnRenamed("host", "src"), "src").select(F.col("dst").alias("host"), (F.col("share") * F.col("score") * damping).alias("s"))
         given = seeds.select("host", (F.col("seed") * (1 - damping)).alias("s"))
         new = came.unionAll(given).groupBy("host").agg(F.sum("s").alias("score"))
         was = scores.select("host", F.col("score").alias("was"))
         new = store(new.join(was, "host", "left").select("host", "score", F.coalesce("was", F.lit(0.0)).alias("was")), f"{what}_scores")
         scores = new.select("host", "score")
-        if (new.agg(F.sum(F.abs(F.col("score") - F.col("was")))).first()[0] or 0.0) < TOLERANCE:
+        moved = new.agg(F.sum(F.abs(F.col("score") - F.col("was")))).first()[0] or 0.0
+        if moved * damping / (1 - damping) < tolerance:
             break
     return scores
 
