@@ -23,7 +23,6 @@ from upswing.llm.common import map_arrow, store
 Turn = tuple[str | None, str]
 Template = Callable[[list[Turn]], str]
 
-WINDOW = 64  # turns rendered together by a template that is declared stateless
 PROBE = "probe"
 #: Control strings of the template.
 CONTROLS = ("<s>", "</s>", "[INST]", "[/INST]", "[SYS]", "[/SYS]", "[TURN]", "[/TURN]")
@@ -139,42 +138,50 @@ def format_conversations(turns: DataFrame, template: Template = inst_template, w
     return map_arrow(rows, _format(template, window), _FORMATTED)
 
 
-def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
-    kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
-    conv, started, n, chars, size, all_turns, loss = None, False, 0, 0, 0, hashlib.sha256(), hashlib.sha256()
-
-    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(x), k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
-
-    for batch in batches:
-        out = []
-        for c, span, a, b in zip(*[batch.column(k).to_pylist() for k in ("conv_id", "span", "content_from", "content_to")], strict=True):
-            if started and c != conv:
-                out.append((conv, n, all_turns.hexdigest(), chars, loss.hexdigest(), size))
-                n, chars, size, all_turns, loss = 0, 0, 0, hashlib.sha256(), hashlib.sha256()
-            conv, started = c, True
-            role, text = parse_span(span)
-            all_turns.update(f"{role or ''}\n{text}\n".encode())
-            n, size = n + 1, size + len(span)
-            if role == "assistant":
-                masked = unescape(span[a:b])
-                loss.update(masked.encode())
-                chars += len(masked)
-        if out:
-            yield batch_of(out)
-    if started:
-        yield batch_of([(conv, n, all_turns.hexdigest(), chars, loss.hexdigest(), size)])
-
-
-def conversation_digests(turns: DataFrame) -> DataFrame:
+def _digest(parse: Callable[[str], Turn]):
+    """Rows sorted by conversation and turn; only the digests so far are held."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+        kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+        conv, started, n, chars, size, all_turns, loss = None, False, 0, 0, 0, hashlib.sha256(), hashlib.sha256()
+
+        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(list(x), k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+
+        for batch in batches:
+            out = []
+            for c, span, a, b in zip(*[batch.column(k).to_pylist() for k in ("conv_id", "span", "content_from", "content_to")], strict=True):
+                if started and c != conv:
+                    out.append((conv, n, all_turns.hexdigest(), chars, loss.hexdigest(), size))
+                    n, chars, size, all_turns, loss = 0, 0, 0, hashlib.sha256(), hashlib.sha256()
+                conv, started = c, True
+                role, text = parse(span)
+                all_turns.update(f"{role or ''}\n{text}\n".encode())
+                n, size = n + 1, size + len(span)
+                if role == "assistant":
+                    masked = unescape(span[a:b])
+                    loss.update(masked.encode())
+                    chars += len(masked)
+            if out:
+                yield batch_of(out)
+        if started:
+            yield batch_of([(conv, n, all_turns.hexdigest(), chars, loss.hexdigest(), size)])
+
+    return run
+
+
+def conversation_digests(turns: DataFrame, template: Template = inst_template, parse: Callable[[str], Turn] = parse_span) -> DataFrame:
     """Format ``turns``, write the result, and read it back: one row per conversation.
 
+    ``template`` escapes control strings as ``escape`` does and rewrites no history;
+    ``parse`` gives the turn that it wrote as a span.
+
     conv_id, n_turns, turns_sha256 (role, newline, text, newline per turn, parsed
     from the formatted text; a null role is empty), loss_chars and loss_sha256 (the
     unescaped text under the loss mask: the content of assistant turns),
-    formatted_chars. The template is stateless, so windows give the same.
+    formatted_chars. Every turn is rendered after all turns before it, however many.
     """
-    formatted = store(format_conversations(turns, inst_template, WINDOW), "formatted")
+    formatted = store(format_conversations(turns, template), "formatted")
     rows = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "position").select("conv_id", "span", "content_from", "content_to")
-    return map_arrow(rows, _digest, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    return map_arrow(rows, _digest(parse), "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
