@@ -105,6 +105,11 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def two_hashes(column: str) -> tuple[F.Column, F.Column]:
+    """Two 64-bit hashes of a column with different seeds (a hash's first argument seeds the rest): equal in one, values still differ in the other."""
+    return F.xxhash64(column), F.xxhash64(F.lit(7), column)
+
+
 def unit_hash(*cols) -> F.Column:
     """A fixed pseudo-random number in (0, 1) from the columns' values."""
     bits = F.shiftrightunsigned(F.xxhash64(*cols), 12).cast("double")

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from upswing.llm.common import connected_components, map_arrow, store, unit_hash
+from upswing.llm.common import connected_components, map_arrow, store, two_hashes, unit_hash
 
 SAMPLE = 20_000  # vectors the centres are fitted on (expected)
 CELL = 250  # aimed vectors of a cell
@@ -153,7 +153,8 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, margin: float | Non
     finite = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))))
     norm = F.aggregate("embedding", F.lit(0.0), lambda s, v: s + v * v)
     usable = rows.where("vec_id is not null").where(finite & (norm > 0) & (norm < F.lit(float("inf")))).distinct()
-    prints = usable.select("vec_id", F.xxhash64("embedding").alias("p"), F.xxhash64("embedding", F.lit(1)).alias("q"), F.size("embedding").alias("dim"), "embedding")
+    p, q = two_hashes("embedding")
+    prints = usable.select("vec_id", p.alias("p"), q.alias("q"), F.size("embedding").alias("dim"), "embedding")
     classes = prints.groupBy("p", "q").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
     members = store(prints.join(classes, ["p", "q"]), "vectors")
     reps = members.where("vec_id = rep").select("rep", "copies", "dim", "embedding")
