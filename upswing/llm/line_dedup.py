@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from upswing.llm.common import store
+from upswing.llm.common import store, two_hashes
 
 BROADCAST_LINES = 200_000  # candidate lines up to which their hashes are broadcast (about 10 MB)
 MIN_NEAR = 20  # characters; shorter lines are dropped only as exact copies
@@ -23,9 +23,10 @@ BLOCK = 64  # characters; longer lines use the root of their length
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, body, no, line, a, b): all lines that are not blank, with two hashes; body is the document's hash."""
+    """(doc_id, body, no, line, a, b): all lines that are not blank, with two hashes of different seeds; body is the document's hash."""
     rows = docs.select("doc_id", "body", F.posexplode(F.split("text", "\n")).alias("no", "line"))
-    return rows.where("trim(line) <> ''").withColumn("a", F.xxhash64("line")).withColumn("b", F.xxhash64("line", F.lit(7)))
+    a, b = two_hashes("line")
+    return rows.where("trim(line) <> ''").withColumn("a", a).withColumn("b", b)
 
 
 def _place(doc_id: str = "doc_id") -> Column:
