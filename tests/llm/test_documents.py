@@ -334,6 +334,13 @@ def test_line_dedup(spark, monkeypatch, block, few):
     assert sorted((tuple(r) for r in got), key=str) == lines_brute(sorted((r[:2] for r in data), key=lambda r: r[0]))
 
 
+def test_lines_whose_first_hashes_are_equal_stay(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "two_hashes", lambda c: (F.lit(1).cast("long"), F.xxhash64(F.lit(7), c)))
+    data = [(1, "this line is quite long\nthis line is unlike it", None, None, 0), (2, "this line is quite long\nthis line is quite lung", None, None, 0)]
+    got = line_dedup.dedup_lines(frame(spark, data)).collect()
+    assert sorted((tuple(r) for r in got), key=str) == lines_brute([r[:2] for r in data])
+
+
 def test_line_dedup_nulls_and_repeated_rows(spark):
     data = [(None, "one line\ntwo lines", None, None, 0), (3, "one line", None, None, 0), (3, "one line", None, None, 0), (None, None, None, None, 0)]
     got = line_dedup.dedup_lines(frame(spark, data)).collect()

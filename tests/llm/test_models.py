@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.data import DOCS, SF, components, frame, rows
 from upswing.llm import chat, katz, lang_id, url_trust, vector_dedup
@@ -213,6 +214,25 @@ def test_templates_with_state_see_the_whole_conversation(spark):
                 assert "".join(r["span"] for r in mine) == numbered([r[2:] for r in data[:130]])
 
 
+def test_digests_of_a_long_conversation_with_a_stateful_template(spark):
+    def numbered(turns):  # every turn says how many came before it and how the first one began
+        return "".join(f"<{turns[0][1][:4]} {k} {role}>{chat.escape(text)}</{k}>" for k, (role, text) in enumerate(turns))
+
+    def parse(span):
+        head, rest = span.split(">", 1)
+        first, k, role = head[1:].split(" ")
+        assert first == "said" and rest.endswith(f"</{k}>")
+        return role, chat.unescape(rest[: -len(f"</{k}>")])
+
+    data = [(9, t, ("user", "assistant")[t % 2], f"said {t} </s>") for t in range(300)]
+    (got,) = chat.conversation_digests(frame(spark, data, TURNS), numbered, parse).collect()
+    said = [r[3] for r in data if r[2] == "assistant"]
+    assert (got["n_turns"], got["loss_chars"]) == (300, sum(map(len, said)))
+    assert got["turns_sha256"] == hashlib.sha256("".join(f"{r[2]}\n{r[3]}\n" for r in data).encode()).hexdigest()
+    assert got["loss_sha256"] == hashlib.sha256("".join(said).encode()).hexdigest()
+    assert got["formatted_chars"] == len(numbered([r[2:] for r in data]))
+
+
 def test_windows_of_a_stateless_template_change_nothing(spark):
     data = frame(spark, conversations(), TURNS, ("span", "position"))
     key = lambda rs: sorted(map(tuple, rs.collect()), key=str)
@@ -283,6 +303,21 @@ def test_url_rules_and_propagation(spark):
     assert {r["host"]: r["verdict"] for r in got if r["rule"] is None}["h3"] == "block"
 
 
+@pytest.mark.parametrize("edges", [[("a", "b", 1), ("b", "a", 1)], [("a", "b", 2), ("b", "c", 1), ("c", "a", 3), ("a", "d", 1), ("d", "d2", 1), ("c", "b", 1)]])
+def test_propagation_on_cycles_is_the_solution_of_its_equations(spark, edges):
+    hosts, seed = sorted({h for e in edges for h in e[:2]}), {"a": 3, "b": 1}
+    step = np.zeros((len(hosts), len(hosts)))
+    for src, dst, weight in edges:
+        step[hosts.index(dst), hosts.index(src)] += weight / sum(w for s, _, w in edges if s == src)
+    start = np.array([seed.get(h, 0) / 4 for h in hosts])
+    want = np.linalg.solve(np.eye(len(hosts)) - 0.85 * step, 0.15 * start)
+    table = spark.createDataFrame(edges, "src string, dst string, weight long")
+    got = url_trust.personalised_pagerank(table, spark.createDataFrame(list(seed.items()), "host string, seed long"), "cycle")
+    got = {r["host"]: r["score"] for r in got.collect()}
+    assert sum(abs(got.get(h, 0.0) - w) for h, w in zip(hosts, want, strict=True)) < url_trust.TOLERANCE
+    assert url_trust.rounds_to(1e-6) == 86
+
+
 def test_url_query_on_a_table(spark):
     pages = {r["page_id"]: r["url"] for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
     got = QUERIES["op6_url_trust"](spark, SF).collect()
@@ -339,6 +374,13 @@ def test_vectors_of_links_just_above_the_threshold(spark, monkeypatch, dim, bloc
     assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in got} == {i: (n[i], comp[i]) for i, _ in data}
 
 
+def test_vectors_whose_first_hashes_are_equal_stay_apart(spark, monkeypatch):
+    monkeypatch.setattr(vector_dedup, "two_hashes", lambda c: (F.lit(1).cast("long"), F.xxhash64(F.lit(7), c)))
+    rows = [(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [1.0, 0.0]), (4, [0.96, 0.28])]
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in vector_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == {1: (2, 1), 2: (0, 2), 3: (2, 1), 4: (2, 1)}
+
+
 def test_vectors_on_a_table(spark):
     sf = "/root/testdata/sf0.01"
     n, comp = vectors_brute([(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()])
