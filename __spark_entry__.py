@@ -22,7 +22,10 @@ from upswing.functions.columns import first_token, suppress_low
 from upswing.operators.genre import genre_dimension, programme_titles, titles_matching_any
 from upswing.operators.grid import dense_grid, overall_stats
 from upswing.operators.plays import cohort_plays, count_plays, count_plays_by_cohort
+from upswing.operators.rejects import observed_activity, observed_counts
+from upswing.plans.bucketed_store import fill_counts, increment_from_buckets, open_counts
 from upswing.plans.counts_store import refresh_counts
+from upswing.plans.genre_store import merge_metadata, stored_genres
 from upswing.plans.increment import increment_dates, increment_wide, run_increment, score_increment
 from upswing.plans.play_sets import merge_plays, merged_counts
 from upswing.plans.prefix_store import fill_prefix, increment_from_prefix
@@ -30,7 +33,7 @@ from upswing.plans.rebuild import plays_with_genre, run_rebuild, score_cohorts,
 from upswing.sources.sinks import publish, read_history
 from upswing.sources.storage import shared_path
 from upswing.sources.testdata import load_bound
-from upswing.spec import ALL, DAILY, HOURLY, ONDEMAND, YOUNG
+from upswing.spec import ALL, DAILY, HOURLY, ONDEMAND, YOUNG, ActivityFilters
 from upswing.verify.oracle import Run, r6, scored_select, wide_select, with_steps
 
 try:  # the training-data operators are an optional part
@@ -137,6 +140,25 @@ def q_plays_hourly(spark, sf_dir):
     return count_plays(_bound(spark, sf_dir)[0], "hour")
 
 
+def _some_unreadable(activity: DataFrame) -> DataFrame:
+    """The activity with times of some plays that cannot be read, and some that are missing."""
+    time = F.when(F.col("play_id") % 13 == 0, F.concat(F.lit("about "), "event_datetime_min")).when(F.col("play_id") % 13 != 1, F.col("event_datetime_min"))
+    return activity.withColumn("event_datetime_min", time)
+
+
+def q_plays_hourly_lenient(spark, sf_dir):
+    """Hourly counts of activity with times that cannot be read, which are left out."""
+    return count_plays(_some_unreadable(_bound(spark, sf_dir)[0]), "hour", filters=ActivityFilters(reject_malformed=True))
+
+
+def q_rejected_rows(spark, sf_dir):
+    """Rows read, left out by each filter and kept, counted in the scan of the same counts."""
+    lenient = ActivityFilters(reject_malformed=True)
+    activity, seen = observed_activity(_some_unreadable(_bound(spark, sf_dir)[0]), "hour", lenient)
+    count_plays(activity, "hour", filters=lenient).write.parquet(shared_path(spark, "rejected_rows"))
+    return spark.createDataFrame(sorted(observed_counts(seen).items()), "counter string, n long")
+
+
 def q_plays_cohorts(spark, sf_dir):
     """The fused three-cohort count, one row per (cohort, bucket, destination, tleo)."""
     return _by_cohort(count_plays_by_cohort(_bound(spark, sf_dir)[0], "day", COHORTS))
@@ -185,6 +207,17 @@ def q_modal_genre(spark, sf_dir):
     return genre_dimension(metadata, count_plays(activity, "day"))
 
 
+def q_modal_genre_delta(spark, sf_dir):
+    """The same from stored genre counts: two batches and one that is withdrawn again, the last of them merged twice."""
+    activity, metadata = _bound(spark, sf_dir)
+    store, third = shared_path(spark, "genre_store"), F.crc32(F.col("clip_title").cast("binary")) % 3
+    wrong = metadata.where(third > 0).withColumn("pips_genre_level_1_names", F.lit("Wrong"))
+    merge_metadata(spark, store, added=metadata.where(third > 0).unionAll(wrong).unionAll(wrong))
+    for _ in range(2):
+        merge_metadata(spark, store, added=metadata.where(third == 0), withdrawn=wrong.unionAll(wrong), batch="second")
+    return stored_genres(spark, store).join(count_plays(activity, "day").select("tleo").distinct(), "tleo", "left_semi")
+
+
 def q_first_genre(spark, sf_dir):
     return q_modal_genre(spark, sf_dir).select(
         "tleo", F.col("genre").alias("genre_list"), first_token("genre").alias("genre")
@@ -275,6 +308,18 @@ def q_increment_store_gap(spark, sf_dir):
     return _r6(increment_wide(activity, metadata, AS_OF, TEST_DAILY_JOB, counts_store=store))
 
 
+def q_increment_from_buckets(spark, sf_dir):
+    """Increment from counts stored in buckets by programme, filled in two parts that overlap."""
+    activity, metadata = _bound(spark, sf_dir)
+    folder = shared_path(spark, "bucketed_counts")
+    table = f"upswing_counts_{folder.rsplit('/', 1)[1]}"
+    first, last = increment_dates(AS_OF)
+    open_counts(spark, table, folder, COHORTS, buckets=8)
+    fill_counts(activity, table, (first, last - _dt.timedelta(days=1)), COHORTS)
+    fill_counts(activity, table, (last - _dt.timedelta(days=2), last), COHORTS)
+    return _r6(increment_from_buckets(spark, metadata, table, AS_OF, TEST_DAILY_JOB))
+
+
 def q_increment_from_prefix(spark, sf_dir):
     """Increment as differences of stored running totals, filled in two parts."""
     activity, metadata = _bound(spark, sf_dir)
@@ -354,11 +399,14 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "plays_ondemand": q_plays_ondemand,
     "plays_last28": q_plays_last28,
     "plays_hourly": q_plays_hourly,
+    "plays_hourly_lenient": q_plays_hourly_lenient,
+    "rejected_rows": q_rejected_rows,
     "plays_cohorts": q_plays_cohorts,
     "plays_late_merge": q_plays_late_merge,
     "titles_any_match": q_titles_any_match,
     "programme_title": q_programme_title,
     "modal_genre": q_modal_genre,
+    "modal_genre_delta": q_modal_genre_delta,
     "first_genre": q_first_genre,
     "plays_with_genre": q_plays_with_genre,
     "dense_grid": q_dense_grid,
@@ -375,6 +423,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "increment_from_store": q_increment_from_store,
     "increment_store_gap": q_increment_store_gap,
     "increment_from_prefix": q_increment_from_prefix,
+    "increment_from_buckets": q_increment_from_buckets,
     "publish_hourly": q_publish_hourly,
     "publish_append": q_publish_append,
     "publish_increment": q_publish_increment,
@@ -412,6 +461,19 @@ def _step1_plays(run: Run, extra: str = "") -> str:
     return with_steps({"a": run}, f"SELECT {run.t}, destination, tleo, plays {extra} FROM a_plays")
 
 
+#: The activity of ``_some_unreadable``, and what becomes of each of its rows.
+_UNREADABLE = """, unreadable AS (
+  SELECT *, CASE WHEN play_id % 13 = 0 THEN 'about ' || event_datetime_min WHEN play_id % 13 <> 1 THEN event_datetime_min END AS time_text
+  FROM activity
+), fates AS (
+  SELECT *, CASE WHEN destination NOT IN ('PS_IPLAYER', 'PS_SOUNDS') THEN 'platform'
+                 WHEN COALESCE(playback_time_total, 0) < 3 THEN 'too_short'
+                 WHEN clip_id <> 'null' THEN 'clip'
+                 WHEN time_text LIKE 'about %' THEN 'malformed_time' ELSE 'kept' END AS counter
+  FROM unreadable
+)"""
+
+
 def oracle_sql() -> dict[str, str]:
     wide_daily = with_steps({"a": DA, "y": DY, "o": DO}, wide_select("date"))
     increment = with_steps({"a": IA, "y": IY, "o": IO}, wide_select("date", _YESTERDAY))
@@ -498,4 +560,17 @@ def oracle_sql() -> dict[str, str]:
         ),
     }
     sql["plays_late_merge"] = sql["plays_cohorts"]
+    sql["increment_from_buckets"] = increment
+    sql["modal_genre_delta"] = sql["modal_genre"]
+    sql["plays_hourly_lenient"] = with_steps(
+        {},
+        _UNREADABLE + " SELECT date_trunc('hour', TRY_CAST(time_text AS TIMESTAMP)) AS datehour, destination, "
+        "top_level_editorial_object AS tleo, COUNT(DISTINCT play_id) AS plays FROM fates WHERE counter = 'kept' GROUP BY ALL",
+    )
+    sql["rejected_rows"] = with_steps(
+        {},
+        _UNREADABLE + " SELECT c.counter, COUNT(f.counter) AS n FROM (VALUES ('platform'), ('too_short'), ('clip'), "
+        "('malformed_time'), ('kept')) AS c(counter) LEFT JOIN fates AS f ON f.counter = c.counter GROUP BY ALL "
+        "UNION ALL SELECT 'read' AS counter, COUNT(*) AS n FROM fates",
+    )
     return sql if llm is None else sql | llm.ORACLE_SQL

@@ -252,3 +252,20 @@ def test_an_emptied_day_of_a_catalog_table_is_cleared(spark, tmp_path):
         assert days() == [day(10), day(11)]
     finally:
         spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
+
+
+def test_partitions_published_into_a_catalog_table_leave_the_other_days(spark, tmp_path):
+    days = lambda i, v: spark.createDataFrame([(v, day(i))], "v int, date date")
+    spark.sql("CREATE DATABASE IF NOT EXISTS sinks")
+    spark.sql(f"CREATE TABLE sinks.days (v INT, date DATE) USING parquet PARTITIONED BY (date) LOCATION '{tmp_path}/days'")
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    try:
+        for i, v in ((1, 1), (2, 2), (1, 3)):
+            spark.table("sinks.days").count()  # the table's relation is cached by reading it
+            publish(days(i, v), "sinks.days", mode="partitions")
+        assert collected(spark.table("sinks.days").select("v", "date")) == [(2, day(2)), (3, day(1))]
+        publish(days(1, 4), "sinks.days", mode="append")
+        assert collected(spark.table("sinks.days").select("v")) == [(2,), (3,), (4,)]
+        assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
+    finally:
+        spark.sql("DROP DATABASE sinks CASCADE")

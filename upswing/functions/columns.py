@@ -31,13 +31,19 @@ def first_token(c, sep: str = ";") -> Column:
     return F.substring_index(_col(c), sep, 1)
 
 
-def hour_bucket(ts_text) -> Column:
+def is_malformed_time(ts_text) -> Column:
+    """Whether there is a text that is not a timestamp (never NULL)."""
+    return _col(ts_text).isNotNull() & _col(ts_text).try_cast("timestamp_ntz").isNull()
+
+
+def hour_bucket(ts_text, lenient: bool = False) -> Column:
     """Hour of a timestamp given as text, as a zone-less TIMESTAMP_NTZ.
 
     ``date_trunc`` returns a session-zone TIMESTAMP, so the hour is rebuilt
-    from its zone-free fields instead.
+    from its zone-free fields instead. A malformed text is an error, or NULL if
+    ``lenient``.
     """
-    ts = _col(ts_text).cast("timestamp_ntz")
+    ts = _col(ts_text).try_cast("timestamp_ntz") if lenient else _col(ts_text).cast("timestamp_ntz")
     return F.make_timestamp_ntz(
         F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.lit(0), F.lit(0)
     )

@@ -17,13 +17,22 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from upswing.functions.columns import hour_bucket
+from upswing.functions.columns import hour_bucket, is_malformed_time
 from upswing.spec import ALL, ActivityFilters, Cohort
 
 TLEO = "tleo"
 DEST = "destination"
 
 
+def filter_conditions(filters: ActivityFilters) -> dict[str, Column]:
+    """The row filters by name, in the order in which rows meet them."""
+    return {
+        "platform": F.col("destination").isin(*filters.platforms),
+        "too_short": F.col("playback_time_total") >= F.lit(filters.min_playback),
+        "clip": F.col("clip_id") == F.lit(filters.not_a_clip),
+    }
+
+
 def filtered_activity(
     activity: DataFrame,
     filters: ActivityFilters = ActivityFilters(),
@@ -34,26 +43,31 @@ def filtered_activity(
     All predicates are simple comparisons on source columns, so Catalyst pushes
     them into the Parquet scan (and ``dates`` prunes date partitions).
     """
-    cond = (
-        F.col("destination").isin(*filters.platforms)
-        & (F.col("playback_time_total") >= F.lit(filters.min_playback))
-        & (F.col("clip_id") == F.lit(filters.not_a_clip))
-    )
+    platform, long_enough, not_a_clip = filter_conditions(filters).values()
+    cond = platform & long_enough & not_a_clip
     if dates is not None:
         lo, hi = dates
         cond = cond & F.col("date_of_event").between(F.lit(lo), F.lit(hi))
     return activity.where(cond)
 
 
-def bucket(grain: str) -> Column:
+def bucket(grain: str, lenient: bool = False) -> Column:
     """Time bucket of an activity row: its date, or the hour of its first event time."""
     if grain == "day":
         return F.col("date_of_event")
     if grain == "hour":
-        return hour_bucket("event_datetime_min")
+        return hour_bucket("event_datetime_min", lenient)
     raise ValueError(f"unknown grain {grain!r}")
 
 
+def countable(activity: DataFrame, grain: str, filters: ActivityFilters, dates: tuple[_dt.date, _dt.date] | None) -> DataFrame:
+    """``filtered_activity`` without the rows whose hour cannot be read, if they are to be left out (days do not read it)."""
+    rows = filtered_activity(activity, filters, dates)
+    if grain == "hour" and filters.reject_malformed:
+        rows = rows.where(~is_malformed_time("event_datetime_min"))
+    return rows
+
+
 def time_col(grain: str) -> str:
     return "date" if grain == "day" else "datehour"
 
@@ -77,11 +91,11 @@ def count_plays(
     Columns: ``date``/``datehour``, destination, tleo, plays. A group whose
     play ids are all NULL is kept with 0 plays.
     """
-    rows = filtered_activity(activity, filters, dates)
+    rows = countable(activity, grain, filters, dates)
     if cohort.column is not None:
         rows = rows.where(cohort_flag(cohort))
     return rows.groupBy(
-        bucket(grain).alias(time_col(grain)),
+        bucket(grain, filters.reject_malformed).alias(time_col(grain)),
         F.col("destination").alias(DEST),
         F.col("top_level_editorial_object").alias(TLEO),
     ).agg(F.count_distinct("play_id").alias("plays"))
@@ -102,8 +116,8 @@ def count_plays_by_cohort(
     """
     t = time_col(grain)
     flagged = [c for c in cohorts if c.column is not None]
-    rows = filtered_activity(activity, filters, dates).select(
-        bucket(grain).alias(t),
+    rows = countable(activity, grain, filters, dates).select(
+        bucket(grain, filters.reject_malformed).alias(t),
         F.col("destination").alias(DEST),
         F.col("top_level_editorial_object").alias(TLEO),
         "play_id",

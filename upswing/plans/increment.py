@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from upswing.operators.day import cohort_day, day_scores, wide_day
 from upswing.operators.plays import count_plays_by_cohort
+from upswing.operators.rejects import observed_activity, observed_counts
 from upswing.plans.counts_store import read_counts, recount_missing, refresh_counts
 from upswing.plans.rebuild import Job, counts_and_spine
 from upswing.sources.sinks import DISCARDED, FAILED, FINISHED, RUNNING, STAGED, publish, publish_day, read_history, record_run
@@ -119,10 +120,11 @@ def recover_runs(spark: SparkSession, output_path: str, history_path: str, scrip
     mine = open_.where((F.col("script") == script) & (F.col("target_table") == target_table) & F.col("run_id").isNotNull())
     states = []
     for r in mine.orderBy("started").collect():  # one row for each killed run
+        counts = r["row_counts"]
         if r["status"] == STAGED:
             publish_day(spark.read.parquet(staged_path(history_path, r["run_id"])), output_path, r["day"])
         states.append(FINISHED if r["status"] == STAGED else DISCARDED)
-        record_run(spark, history_path, script, target_table, r["started"], _now(), states[-1], r["run_id"], r["day"])
+        record_run(spark, history_path, script, target_table, r["started"], _now(), states[-1], r["run_id"], r["day"], counts)
         delete_path(spark, staged_path(history_path, r["run_id"]))
     return states
 
@@ -142,9 +144,14 @@ def run_increment(
     how: str = "table",
     counts_store: str | None = None,
     refresh_days: int = 1,
+    count_rejects: bool = False,
 ) -> str:
     """Score yesterday, publish it into the daily table and record the run.
 
+    With ``count_rejects`` the history also holds how many activity rows the window
+    has and how many each filter left out (``operators/rejects.py``), counted in the
+    scan that counts the plays; not with ``counts_store``, where a run has several.
+
     ``mode='partitions'`` (default) makes publishing and recording one commit: the
     rows are first staged beside the history, then a STAGED record says that they
     are complete, then the day's partition is overwritten with them and the run is
@@ -157,10 +164,15 @@ def run_increment(
     spark, day, run_id = activity.sparkSession, increment_dates(as_of, history_days)[1], uuid.uuid4().hex
     if mode == "partitions":
         recover_runs(spark, output_path, history_path, script, target_table)
-    started = _now()
+    started, seen = _now(), None
+    if count_rejects:
+        if counts_store is not None:
+            raise ValueError("rejects are counted in one scan of the window, which a counts store spares")
+        activity, seen = observed_activity(activity, "day", filters, increment_dates(as_of, history_days))
 
     def record(status: str, finished: _dt.datetime | None = None) -> None:
-        record_run(spark, history_path, script, target_table, started, finished, status, run_id, day)
+        counts = observed_counts(seen) if seen is not None and status in (STAGED, FINISHED) else None
+        record_run(spark, history_path, script, target_table, started, finished, status, run_id, day, counts)
 
     record(RUNNING)
     staged = False

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import contextlib
 import datetime as _dt
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 HISTORY_SCHEMA = (
     "script string, target_table string, updated_by string, updated_date date, "
-    "started timestamp_ntz, finished timestamp_ntz, status string, run_id string, day date"
+    "started timestamp_ntz, finished timestamp_ntz, status string, run_id string, day date, row_counts map<string,bigint>"
 )
 #: States of a run: an open one is RUNNING, and STAGED once its rows are written beside the table.
 RUNNING, STAGED, FINISHED, FAILED, DISCARDED = "RUNNING", "STAGED", "FINISHED", "FAILED", "DISCARDED"
@@ -21,6 +23,22 @@ def is_path(target: str) -> bool:
     return "/" in target or ":" in target
 
 
+@contextlib.contextmanager
+def dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    """Overwriting inserts into catalog tables replace only the partitions they write.
+
+    A setting of the session, as an option of the writer is lost where the table's
+    relation was read (and cached) before: the insert would then empty the table.
+    """
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def publish(df: DataFrame, target: str, mode: str = "replace", partition_by: str | None = "date") -> None:
     """Write ``df`` to ``target``: a Parquet folder (anything with '/' or ':') or a catalog table.
 
@@ -55,10 +73,11 @@ def publish(df: DataFrame, target: str, mode: str = "replace", partition_by: str
         return
     # insertInto matches columns by position: use the table's order
     ordered = out.select(*spark.table(target).columns)
-    w = ordered.write
-    if mode == "partitions":
-        w = w.option("partitionOverwriteMode", "dynamic")
-    w.insertInto(target, overwrite=(mode == "partitions"))
+    if mode == "append":
+        ordered.write.insertInto(target)
+        return
+    with dynamic_overwrite(spark):
+        ordered.write.insertInto(target, overwrite=True)
 
 
 def publish_day(df: DataFrame, target: str, day: _dt.date, partition_by: str = "date") -> None:
@@ -88,6 +107,12 @@ def _ntz(ts: _dt.datetime | None):
     return F.to_timestamp_ntz(F.lit(ts.strftime("%Y-%m-%d %H:%M:%S.%f")))
 
 
+def _counts(row_counts: dict[str, int] | None):
+    if not row_counts:
+        return F.lit(None).cast("map<string,bigint>")
+    return F.create_map(*[F.lit(x) for c, n in row_counts.items() for x in (c, n)]).cast("map<string,bigint>")
+
+
 def record_run(
     spark: SparkSession,
     path: str,
@@ -98,8 +123,9 @@ def record_run(
     status: str,
     run_id: str | None = None,
     day: _dt.date | None = None,
+    row_counts: dict[str, int] | None = None,
 ) -> None:
-    """Append one state of a run (who, when, how long, outcome) to the history table.
+    """Append one state of a run (who, when, how long, outcome, rows read and left out) to the history table.
 
     A run has a RUNNING record from its start, a STAGED one when its rows are
     complete beside the table, and one when it ends, all with the same start;
@@ -115,6 +141,7 @@ def record_run(
         F.lit(status).alias("status"),
         F.lit(run_id).cast("string").alias("run_id"),
         F.lit(day).cast("date").alias("day"),
+        _counts(row_counts).alias("row_counts"),
     )
     row.write.mode("append").parquet(path)
 
@@ -122,10 +149,10 @@ def record_run(
 def read_history(spark: SparkSession, path: str) -> DataFrame:
     """The last state of every run: a job that was killed stays RUNNING."""
     rows = spark.read.schema(HISTORY_SCHEMA).parquet(path)
-    state = F.struct("updated_by", "updated_date", "finished", "status", "run_id", "day")
+    state = F.struct("updated_by", "updated_date", "finished", "status", "run_id", "day", "row_counts")
     stage = F.when(F.col("finished").isNotNull(), 2).when(F.col("status") == STAGED, 1).otherwise(0)
     last = F.max_by(state, F.struct(stage.alias("stage"), "finished"))
     runs = rows.groupBy("script", "target_table", "started").agg(last.alias("last"))
     return runs.select(
-        "script", "target_table", "last.updated_by", "last.updated_date", "started", "last.finished", "last.status", "last.run_id", "last.day"
+        "script", "target_table", "last.updated_by", "last.updated_date", "started", "last.finished", "last.status", "last.run_id", "last.day", "last.row_counts"
     )

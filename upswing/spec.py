@@ -49,11 +49,17 @@ GENRE_LIST = "pips_genre_level_1_names"
 
 @dataclass(frozen=True)
 class ActivityFilters:
-    """Row filters applied to the activity table before counting."""
+    """Row filters applied to the activity table before counting.
+
+    A time that cannot be read fails the hourly counts, as in the original;
+    ``reject_malformed`` leaves such rows out instead (``operators/rejects.py``
+    counts them).
+    """
 
     platforms: tuple[str, ...] = PLATFORMS
     min_playback: float = MIN_PLAYBACK
     not_a_clip: str = NOT_A_CLIP
+    reject_malformed: bool = False
 
 
 @dataclass(frozen=True)
