@@ -94,6 +94,26 @@ def test_groups_of_open_buckets_are_bounded_and_meet_all_pairs(spark, monkeypatc
     assert met == {(x, y): 1 for x in range(m + 300) for y in range(x + 1, m + 300) if y >= m}
 
 
+@pytest.mark.parametrize("cells", [1, 50, 4 << 20])
+def test_counts_of_common_shingles_come_from_one_product(monkeypatch, cells):
+    import numpy as np
+
+    monkeypatch.setattr(near_dedup, "CELLS", cells)
+    rng = random.Random(5)
+    sets = [np.array(sorted(rng.sample(range(60), rng.choice([1, 5, 30]))), dtype=np.uint64) for _ in range(12)]
+    want = [[len(np.intersect1d(a, b)) for b in sets] for a in sets]
+    assert near_dedup.common_counts(sets[:5], sets[5:]).tolist() == [row[5:] for row in want[:5]]
+    got = near_dedup.common_counts(sets)
+    assert all(got[i, j] == want[i][j] for i in range(12) for j in range(12) if i != j)
+
+
+def test_members_of_open_buckets_are_dealt_once(spark, capsys):
+    """Every exchange costs a task a partition, however few the rows; the sums and the join of the buckets share one."""
+    near_dedup.block_pairs(spark.createDataFrame([(7, 1, 1), (7, 2, 2)], "key long, rep long, component long")).explain()
+    plan = capsys.readouterr().out
+    assert 1 <= plan.count("Exchange hashpartitioning") <= 2 and plan.count("Exchange hashpartitioning(key") == plan.count("Exchange")
+
+
 def test_near_duplicates_default_parameters_on_a_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     got = near_duplicates(docs).collect()

@@ -17,8 +17,8 @@ return at most a spanning forest.
 
 from __future__ import annotations
 
-from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +32,8 @@ DOMAIN = 1 << 21  # places of the second permutation
 BANDS, ROWS = 32, 4
 COORDS = BANDS * ROWS
 BLOCK = 200  # members of a bucket compared at once
+CELLS = 4 << 20  # of the table of sets and shingles that is multiplied at once
+TOGETHER = 64  # texts whose words are hashed at once
 SEED = 20_240_601
 
 
@@ -42,17 +44,24 @@ def shingle_sets(texts: Iterator[bytes | None], words_per: int, vocab: Vocabular
     of fewer than ``words_per`` words is one shingle, one without words has none.
     """
     factors = mix64(np.arange(1, words_per + 1, dtype=np.uint64)) | np.uint64(1)
-    for text in texts:
-        words = text.lower().split() if text else []
-        if not words:
-            yield np.empty(0, dtype=np.uint64)
-            continue
-        h = vocab.hashes(words)
-        n = max(1, len(h) - words_per + 1)
-        total = np.full(n, np.uint64(min(len(h), words_per)))
-        for i in range(min(words_per, len(h))):
+    texts = iter(texts)
+    while some := list(islice(texts, TOGETHER)):
+        words = [text.lower().split() if text else [] for text in some]
+        h, at = vocab.hashes(list(chain.from_iterable(words))), 0
+        n = max(0, len(h) - words_per + 1)
+        total = np.full(n, np.uint64(words_per))  # at every place, also where a text ends
+        for i in range(words_per):
             total += mix64(h[i : i + n] * factors[i])
-        yield np.unique(mix64(total))
+        total = mix64(total)
+        for size in map(len, words):
+            if size >= words_per:
+                yield np.unique(total[at : at + size - words_per + 1])
+            elif size:
+                one = mix64(h[at : at + size] * factors[:size]).sum(keepdims=True, dtype=np.uint64)
+                yield mix64(one + np.uint64(size))
+            else:
+                yield np.empty(0, dtype=np.uint64)
+            at += size
 
 
 _TABLE: np.ndarray | None = None
@@ -138,11 +147,31 @@ def _verify(words_per: int, percent: int):
     return run
 
 
+def common_counts(left: list[np.ndarray], right: list[np.ndarray] | None = None) -> np.ndarray:
+    """The sizes of the intersections of each set of ``left`` with each of ``right``, or of ``left`` (off the diagonal)."""
+    sets = left + (right or [])
+    shingles, at = np.unique(np.concatenate(sets), return_inverse=True)
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    shared = np.bincount(at, minlength=len(shingles)) > 1  # the others are in no intersection
+    number = np.cumsum(shared) - 1
+    row, at = row[shared[at]], number[at[shared[at]]]
+    order = np.argsort(at, kind="stable")
+    row, at = row[order], at[order]
+    others = slice(len(left), None) if right else slice(None)
+    total, n, step = np.zeros((len(left), len(right or left))), int(shared.sum()), max(1, CELLS // len(sets))
+    for first in range(0, n, step):
+        a, b = np.searchsorted(at, [first, first + step])
+        held = np.zeros((len(sets), min(step, n - first)), dtype=np.float32)  # sums of a slice are exact in it
+        held[row[a:b], at[a:b] - first] = 1
+        total += held[: len(left)] @ held[others].T
+    return total.astype(np.int64)
+
+
 def _forest(words_per: int, percent: int):
-    """Rows sorted by (bucket, block pair): links between components of a group, as a spanning forest."""
+    """Rows sorted by (bucket, block pair): links between components of a group, as a spanning forest of components."""
 
-    def links(group: list[tuple[int, int, int, np.ndarray]], sides: bool) -> Iterator[tuple[int, int]]:
-        root = {c: c for _, c, _, _ in group}
+    def links(group: list[tuple[int, int, np.ndarray]], sides: bool) -> Iterator[tuple[int, int]]:
+        root = {c: c for c, _, _ in group}
 
         def find(c: int) -> int:
             while root[c] != c:
@@ -150,19 +179,17 @@ def _forest(words_per: int, percent: int):
                 c = root[c]
             return c
 
-        group.sort(key=lambda r: len(r[3]))
-        left = [r for r in group if not sides or r[2] == 0]
-        right = [r for r in group if r[2] == 1] if sides else group
-        sizes = [len(r[3]) for r in right]
-        for i, (x, cx, _, sx) in enumerate(left):
-            # only sets whose sizes allow the similarity; pairs of a block with itself come once
-            at = bisect_left(sizes, percent * len(sx), key=lambda n: 100 * n) if sides else i + 1
-            while at < len(right) and 100 * len(sx) >= percent * sizes[at]:
-                y, cy, _, sy = right[at]
-                at += 1
-                if find(cx) != find(cy) and similar(sx, sy, percent):
-                    root[find(cx)] = find(cy)
-                    yield x, y
+        left = [r for r in group if len(r[2]) and not (sides and r[1])]
+        right = [r for r in group if len(r[2]) and r[1]] if sides else left
+        if not left or not right:
+            return
+        both = common_counts([s for *_, s in left], [s for *_, s in right] if sides else None)
+        sizes = np.add.outer([len(s) for *_, s in left], [len(s) for *_, s in right])
+        for i, j in np.argwhere(100 * both >= percent * (sizes - both)).tolist():
+            x, y = left[i][0], right[j][0]
+            if find(x) != find(y):
+                root[find(x)] = find(y)
+                yield x, y
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab, key, group = Vocabulary(), None, []
@@ -172,13 +199,13 @@ def _forest(words_per: int, percent: int):
             return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
 
         for batch in batches:
-            cols = [batch.column(c).to_pylist() for c in ("key", "i", "j", "side", "rep", "component")]
-            for k, i, j, side, rep, comp, s in zip(*cols, shingle_sets(binary_texts(batch.column("text")), words_per, vocab), strict=True):
+            cols = [batch.column(c).to_pylist() for c in ("key", "i", "j", "side", "component")]
+            for k, i, j, side, comp, s in zip(*cols, shingle_sets(binary_texts(batch.column("text")), words_per, vocab), strict=True):
                 if (k, i, j) != key:
                     if group:
                         yield out()
                     key, group = (k, i, j), []
-                group.append((rep, comp, side, s))
+                group.append((comp, side, s))
         if group:
             yield out()
 
@@ -195,6 +222,7 @@ def block_pairs(labelled: DataFrame) -> DataFrame:
     main block i (side 0) and guest block -1 - j (side 1) if j is negative, else
     guest blocks i and j (sides 0 and 1, or one side if they are the same).
     """
+    labelled = labelled.select("key", "rep", "component").repartition("key")  # dealt once, for the sums and the join
     sizes = labelled.groupBy("key", "component").agg(F.count("*").alias("n"))
     largest = sizes.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.max("n").alias("mains"), F.sum("n").alias("all"))
     largest = largest.where("mains < all")
@@ -203,14 +231,14 @@ def block_pairs(labelled: DataFrame) -> DataFrame:
         "key", "rep", "component", (F.col("component") == F.col("main")).alias("is_main"), up(F.col("mains")).alias("m"), up(F.col("all") - F.col("mains")).alias("g")
     )
     own = lambda n: F.pmod(F.xxhash64("rep"), F.col(n))
-    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    ids3, first, second = ["key", "rep", "component"], F.lit(0).alias("side"), F.lit(1).alias("side")
-    mains = blocks.where("is_main").select(*ids3, first, own("m").alias("i"), every("g").alias("other"))
-    visits = blocks.where("not is_main").select(*ids3, second, own("g").alias("other"), every("m").alias("i"))
-    met = mains.unionByName(visits).select(*ids3, "side", "i", (F.lit(-1) - F.col("other")).alias("j"))
-    guests = blocks.where("not is_main").select(*ids3, own("g").alias("block"), every("g").alias("other"))
-    guests = guests.select(*ids3, (F.col("block") > F.col("other")).cast("int").alias("side"), F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    return met.unionByName(guests)
+    every = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+    group = lambda side, i, j: F.struct(side.alias("side"), i.alias("i"), j.alias("j"))
+    first, second = F.lit(0), F.lit(1)
+    mains = F.transform(every("g"), lambda other: group(first, own("m"), F.lit(-1) - other))
+    visits = F.transform(every("m"), lambda i: group(second, i, F.lit(-1) - own("g")))
+    guests = F.transform(every("g"), lambda other: group((own("g") > other).cast("int"), F.least(own("g"), other), F.greatest(own("g"), other)))
+    groups = F.when(F.col("is_main"), mains).otherwise(F.concat(visits, guests))
+    return blocks.select("key", "rep", "component", F.explode(groups).alias("group")).select("key", "rep", "component", "group.side", "group.i", "group.j")
 
 
 def _with_text(rows: DataFrame, texts: DataFrame, on: str) -> DataFrame:
@@ -230,12 +258,14 @@ def near_duplicates(docs: DataFrame, words_per: int = 5, percent: int = 80) -> D
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = store(map_arrow(docs, _sign(words_per), "doc_id long, n_shingles long, fp long, fp2 long, bands array<long>"), "signed")
     usable = signed.where("n_shingles > 0 and doc_id is not null")
-    firsts = usable.groupBy("fp", "fp2").agg(F.min("doc_id").alias("rep"))
-    reps = usable.join(firsts, ["fp", "fp2"])  # (row, its class)
-    copies = reps.where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    banded = reps.where("doc_id = rep").select("rep", "n_shingles", F.explode("bands").alias("key")).distinct()
-    buckets = banded.groupBy("key").agg(F.min("rep").alias("leader"), F.count("*").alias("size")).where("size > 1")
-    members = store(banded.join(buckets, "key"), "members")  # only buckets with several members
+    # a class is all documents with one set, and its first document stands for it; equal sets have equal bands
+    several = usable.groupBy("fp", "fp2").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("last")).where("a < last")
+    copies = usable.select("fp", "fp2", F.col("doc_id").alias("b")).join(several, ["fp", "fp2"])
+    copies = store(copies.where("a <> b").select("a", "b").distinct(), "copies")
+    classes = usable.groupBy("fp", "fp2").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
+    banded = classes.select("rep", F.explode("bands").alias("key")).repartition("key")  # dealt once, for the sums and the join
+    buckets = banded.groupBy("key").agg(F.min("rep").alias("leader"), F.max("rep").alias("last")).where("leader < last")
+    members = store(banded.join(buckets.drop("last"), "key").distinct(), "members")  # only buckets with several members
 
     ids = members.select(F.col("rep").alias("id")).distinct()
     texts = store(ids.join(docs.withColumnRenamed("doc_id", "id"), "id").distinct(), "texts")
@@ -248,25 +278,19 @@ def near_duplicates(docs: DataFrame, words_per: int = 5, percent: int = 80) -> D
     )
     rows = _with_text(rows, texts, "id").repartition("leader", "chunk").sortWithinPartitions("leader", "chunk", "is_member")
     stars = store(map_arrow(rows, _verify(words_per, percent), "a long, b long"), "stars")
-    copies = store(copies.distinct(), "copies")
     found = connected_components(copies.unionAll(stars), "round1")
 
-    labelled = members.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "key", "rep", "size", F.coalesce("component", "rep").alias("component")
-    )
-    paired = block_pairs(labelled)
+    labelled = members.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("component"))
+    paired = store(block_pairs(labelled), "paired")
     # buckets with the same members (several bands of one family) are compared once
     same = paired.groupBy("key", "i", "j").agg(F.sum(F.xxhash64("rep", "side").cast("decimal(38,0)")).alias("who"), F.count("*").alias("size"))
     once = same.groupBy("who", "size", "i", "j").agg(F.min("key").alias("key")).select("key", "i", "j")
-    paired = _with_text(paired.join(once, ["key", "i", "j"]), texts.withColumnRenamed("id", "rep"), "rep")
+    paired = _with_text(paired.join(once, ["key", "i", "j"]), texts, "rep")
     rows = paired.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     rest = store(map_arrow(rows, _forest(words_per, percent), "a long, b long"), "rest")
-    final = found
-    if not rest.isEmpty():
-        final = connected_components(copies.unionAll(stars).unionAll(rest), "round2")
-    return (
-        signed.select("doc_id", "n_shingles")
-        .join(final.withColumnsRenamed({"node": "doc_id", "component": "component_id"}), "doc_id", "left")
-        .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
-        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
-    )
+    out = signed.select("doc_id", "n_shingles").join(found.withColumnsRenamed({"node": "doc_id"}), "doc_id", "left")
+    out = out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    if not rest.isEmpty():  # links between whole components: their graph is all that is left
+        merged = connected_components(rest, "round2").withColumnsRenamed({"node": "component_id", "component": "further"})
+        out = out.join(merged, "component_id", "left").select("doc_id", "n_shingles", F.coalesce("further", "component_id").alias("component_id"))
+    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
