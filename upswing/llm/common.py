@@ -17,6 +17,8 @@ from upswing.sources.storage import shared_path
 #: Odd multipliers of a 64-bit mixer (splitmix64).
 MIX_A, MIX_B = 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 U64 = (1 << 64) - 1
+#: Spark's setting that removes the shuffle files of a query once it has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,11 +31,18 @@ def store(df: DataFrame, what: str, partition_by: tuple[str, ...] = ()) -> DataF
     This cuts the lineage (a lost executor costs a re-read) and makes values
     that depend on the order of rows fixed for all later readers. The folder
     lives as long as the lazily read result is needed; the owner of
-    ``spark.checkpoint.dir`` removes it.
+    ``spark.checkpoint.dir`` removes it. The write's own shuffle files go at its
+    end: nothing reads them again, and they would stay until the driver happens to
+    collect its garbage.
     """
     spark = df.sparkSession
     path = shared_path(spark, "llm", what)
-    df.write.partitionBy(*partition_by).parquet(path) if partition_by else df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.partitionBy(*partition_by).parquet(path) if partition_by else df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -42,11 +42,14 @@ DOCS = "segment long, doc_ids array<long>, train array<boolean>, sizes array<int
 
 
 def _pack(a: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(a).tobytes())
+    """Compressed, the first byte of all values before the second: high bytes vary little."""
+    planes = np.ascontiguousarray(a).reshape(-1, 1).view(np.uint8).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
 def _unpack(data: bytes, kind) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=kind)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint8)
+    return np.frombuffer(planes.reshape(np.dtype(kind).itemsize, -1).T.tobytes(), dtype=kind)
 
 
 def _tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,14 +121,12 @@ def _dealt(keys: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _six(keys: np.ndarray) -> bytes:
-    """The low 48 bits of each key; a shard fixes more bits as tables grow."""
-    return keys.view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+    """The high 48 bits of ascending keys, as differences; a shard fixes more bits as tables grow."""
+    return _pack(np.diff(keys >> np.uint64(16), prepend=np.uint64(0)))
 
 
 def _from_six(data: bytes) -> np.ndarray:
-    out = np.zeros((len(data) // 6, 8), dtype=np.uint8)
-    out[:, :6] = np.frombuffer(data, dtype=np.uint8).reshape(-1, 6)
-    return out.view(np.uint64).ravel()
+    return np.cumsum(_unpack(data, np.uint64), dtype=np.uint64)
 
 
 def _ask(shards: int):
@@ -173,7 +174,8 @@ def _count(table: pa.Table) -> pa.Table:
     held = np.bincount(at, weights=mark & 1, minlength=len(types)) > 0
     word_answer = (2 * totals + held)[at].astype(np.uint64)
     no_start = totals[types != START]
-    pairs = np.concatenate([_from_six(r["pairs"]) for r in rows])
+    asked = [_from_six(r["pairs"]) for r in rows]
+    pairs = np.concatenate(asked)
     own = np.concatenate([_unpack(r["own"], np.uint32) for r in rows]).astype(np.int64)
     ptypes, pat = np.unique(pairs, return_inverse=True)
     ptotals = np.bincount(pat, weights=own, minlength=len(ptypes)).astype(np.int64)
@@ -182,8 +184,8 @@ def _count(table: pa.Table) -> pa.Table:
     owner[pat[learned[::-1]]] = learned[::-1]  # the first that learned it
     pair_answer = (2 * ptotals[pat] + (owner[pat] == np.arange(len(pat)))).astype(np.uint64)
     i = j = 0
-    for r, w in zip(rows, words, strict=True):
-        n = len(r["pairs"]) // 6
+    for r, w, p in zip(rows, words, asked, strict=True):
+        n = len(p)
         out.append((r["segment"], r["shard"], _pack(word_answer[i : i + len(w)]), _pack(pair_answer[j : j + n]), None, None))
         i, j = i + len(w), j + n
     out.append((None, rows[0]["shard"], None, None, _spectrum(no_start), _spectrum(ptotals)))
@@ -277,7 +279,7 @@ def _score(shards: int, uni: Discount, bi: Discount, n_types: int):
                 o, gg, qq = order[a:b], g[a:b], q[a:b]
                 if gg.any() or qq.any():
                     o_given, o_asked = o[gg], o[qq]
-                    out.append((row["segment"], k, None, None, None, s.words[o_given].tobytes(), lost[o_given].tobytes(), mass[o_given].tobytes(), c_word[o_given].tobytes(), s.words[o_asked].tobytes(), place[a:b][qq].astype(np.int32).tobytes()))
+                    out.append((row["segment"], k, None, None, None, s.words[o_given].tobytes(), _pack(lost[o_given]), _pack(mass[o_given]), _pack(c_word[o_given]), s.words[o_asked].tobytes(), _pack(place[a:b][qq].astype(np.int32))))
         doc_kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())]))
         names = ["segment", "shard", "docs", "open", "n_wanted", "given", "lost", "mass", "count", "asked", "place"]
         return pa.Table.from_batches([_batch(out, names, [pa.int64(), pa.int32(), doc_kind, pa.binary(), pa.int32(), *[pa.binary()] * 6])])
@@ -300,8 +302,9 @@ def backoff_weights(words: np.ndarray, lost: np.ndarray, mass: np.ndarray, count
 
 def _alphas(table: pa.Table) -> pa.Table:
     rows = table.to_pylist()
-    whole = lambda c, kind: np.concatenate([np.frombuffer(r[c], dtype=kind) for r in rows])
-    types, alpha = backoff_weights(whole("given", np.uint64), whole("lost", float), whole("mass", float), whole("count", np.int64))
+    given = np.concatenate([np.frombuffer(r["given"], dtype=np.uint64) for r in rows])
+    whole = lambda c, kind: np.concatenate([_unpack(r[c], kind) for r in rows])
+    types, alpha = backoff_weights(given, whole("lost", float), whole("mass", float), whole("count", np.int64))
     out = []
     for r in rows:
         asked = np.frombuffer(r["asked"], dtype=np.uint64)
@@ -316,7 +319,7 @@ def _finish(left: pa.Table, right: pa.Table) -> pa.Table:
     for row in left.to_pylist():
         log = np.zeros(row["n_wanted"])
         for r in right.to_pylist():
-            log[np.frombuffer(r["place"], dtype=np.int32)] = np.frombuffer(r["alpha"], dtype=float)
+            log[_unpack(r["place"], np.int32)] = np.frombuffer(r["alpha"], dtype=float)
         doc, number = _unpack(row["open"], np.int32).reshape(2, -1)
         add = np.bincount(doc, weights=log[number], minlength=len(row["docs"]))
         docs += [d | {"score": d["score"] + float(a)} for d, a in zip(row["docs"], add, strict=True)]
