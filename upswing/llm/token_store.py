@@ -14,7 +14,7 @@ import zlib
 from array import array
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import count
+from itertools import chain, count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from upswing.llm.common import map_arrow
 
 END_ID = 1
-ROWS = 250  # of a batch are encoded together
+BYTES = 4 << 20  # of texts are encoded together
 MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII, without the apostrophe, which may begin a contraction
 TOGETHER = 1000  # new chunks that one call encodes
 ORC_OPTIONS = {
@@ -88,38 +88,48 @@ class ChunkEncoder:
         return self.cuts[end]
 
     def _learn(self) -> None:
-        """Encode the chunks met since the last call; a word before final marks is a chunk of its own if the two are cut."""
+        """Encode the chunks met since the last call."""
         known, keys = len(self.first), reversed(self.chunks)
-        new = [next(keys) for _ in range(len(self.chunks) - known)][::-1]
-        ends = {}
-        for chunk in new:
-            word = chunk.rstrip(MARKS)
-            if len(word) < len(chunk) and word.isalpha() and self._cut(chunk[len(word) - 1 : len(word) + 1]):
-                ends[chunk] = self.chunks[word], self.chunks[chunk[len(word) :]]
-        keys = reversed(self.chunks)
-        plain = [k for k in [next(keys) for _ in range(len(self.chunks) - known)][::-1] if k not in ends]
-        zeros = array("q", bytes(8 * (len(self.chunks) - known)))
-        self.first.extend(zeros)
-        self.size.extend(zeros)
-        for at in range(0, len(plain), TOGETHER):
-            some = plain[at : at + TOGETHER]
+        new = list(islice(keys, len(self.chunks) - known))[::-1]
+        for at in range(0, len(new), TOGETHER):
+            some = new[at : at + TOGETHER]
             encoded = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            places = np.cumsum([0] + [len(c) + 1 for c in some[:-1]])
-            of = np.searchsorted(places, [a for a, _ in encoded.offsets], side="right") - 1  # the chunk that each id lies in
-            cuts = np.searchsorted(of, np.arange(len(some) + 1)).tolist()
-            for chunk, a, b in zip(some, cuts, cuts[1:]):
-                self.first[self.chunks[chunk]], self.size[self.chunks[chunk]] = len(self.pool) + a, b - a
+            places = np.cumsum(np.fromiter(map(len, some), dtype=np.int64, count=len(some)) + 1)  # where the next chunk starts
+            starts = np.fromiter(chain.from_iterable(encoded.offsets), dtype=np.int64, count=2 * len(encoded))[::2]
+            ends = np.searchsorted(starts, places)
+            self.first.frombytes((len(self.pool) + np.concatenate([[0], ends[:-1]])).astype(np.int64).tobytes())
+            self.size.frombytes(np.diff(ends, prepend=0).astype(np.int64).tobytes())
             self.pool.extend(encoded.ids)
-        for chunk, parts in ends.items():
-            ids = [i for p in parts for i in self.pool[self.first[p] : self.first[p] + self.size[p]]]
-            self.first[self.chunks[chunk]], self.size[self.chunks[chunk]] = len(self.pool), len(ids)
-            self.pool.extend(ids)
+
+    def _parts(self, chunks: pa.Array) -> tuple[pa.Array, pa.Array]:
+        """Each chunk in two: a word before final marks and the marks if they are cut, else itself and an empty string."""
+        words = pc.utf8_rtrim(chunks, MARKS)
+        split = pc.and_(pc.less(pc.binary_length(words), pc.binary_length(chunks)), pc.utf8_is_alpha(words))
+        at = pc.indices_nonzero(split)
+        if not len(at):
+            return chunks, pa.array([""] * len(chunks), chunks.type)
+        some = words.take(at)
+        sizes = pc.binary_length(some).to_numpy()
+        whole = chunks.take(at)
+        offsets = np.frombuffer(whole.buffers()[1], dtype=np.int64)[: len(whole) + 1]
+        rests = (offsets[1:] - offsets[:-1]) - sizes
+        ends = np.cumsum(rests)
+        data = np.frombuffer(whole.buffers()[2], dtype=np.uint8)
+        data = data[np.arange(ends[-1]) + np.repeat(offsets[:-1] + sizes - (ends - rests), rests)]
+        marks = pa.LargeStringArray.from_buffers(len(whole), pa.py_buffer(np.concatenate([[0], ends]).astype(np.int64).tobytes()), pa.py_buffer(data.tobytes()))
+        pairs = pc.binary_join_element_wise(pc.utf8_slice_codeunits(some, -1), pc.utf8_slice_codeunits(marks, 0, 1), pa.scalar("", chunks.type)).dictionary_encode()
+        cut = np.array([self._cut(x) for x in pairs.dictionary.to_pylist()], dtype=bool)[pairs.indices.to_numpy()]
+        split = np.zeros(len(chunks), dtype=bool)
+        split[at.to_numpy()[cut]] = True
+        split, cut = pa.array(split), pa.array(cut)
+        rest = pc.replace_with_mask(pa.array([""], chunks.type).take(pa.array(np.zeros(len(chunks), np.int64))), split, marks.filter(cut))
+        return pc.replace_with_mask(chunks, split, some.filter(cut)), rest
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
-        """The ids of each of ``texts`` (strings without nulls); each distinct chunk of them is looked up once."""
+        """The ids of each of ``texts`` (strings without nulls); each distinct part of a chunk is looked up once."""
         if len(self.chunks) > self.most:
             self.forget()
-        texts = texts.take(pa.array(np.arange(len(texts))))  # a copy of its own: kernels on slices have read beyond them
+        texts = texts.cast(pa.large_string()).take(pa.array(np.arange(len(texts))))  # a copy of its own: kernels on slices have read beyond them
         lowered = pc.ascii_lower(texts)
         out = {}
         for special in self.special:
@@ -127,23 +137,34 @@ class ChunkEncoder:
                 out[int(k)] = self.whole(texts[int(k)].as_py())
         split = pc.ascii_split_whitespace(lowered)
         flat = split.flatten().dictionary_encode()
-        chunks = flat.dictionary.to_numpy(zero_copy_only=False)
-        numbers = np.fromiter(map(self.chunks.__getitem__, chunks), dtype=np.int64, count=len(chunks))
+        distinct = len(flat.dictionary)
+        parts = pa.concat_arrays(self._parts(flat.dictionary)).dictionary_encode()
+        words = parts.dictionary.to_numpy(zero_copy_only=False)
+        numbers = np.fromiter(map(self.chunks.__getitem__, words), dtype=np.int64, count=len(words))
         if len(self.chunks) > len(self.first):
             self._learn()
             if len(self.chunks) <= self.most // 2:
                 self.early = len(self.chunks), len(self.pool)
-        at = numbers[flat.indices.to_numpy()]
-        size = np.frombuffer(self.size, dtype=np.int64)[at] if len(at) else np.empty(0, np.int64)
-        ends = np.cumsum(size)
-        total = int(ends[-1]) if len(ends) else 0
-        first = np.frombuffer(self.first, dtype=np.int64)[at] if total else size
-        ids = np.frombuffer(self.pool, dtype=np.int32)[np.arange(total) + np.repeat(first - (ends - size), size)] if total else np.empty(0, np.int32)
+        # the ids of the distinct chunks one after the other, then those of all
+        numbers = numbers[parts.indices.to_numpy().reshape(2, distinct).T]
+        first, size, pool = (np.frombuffer(x, dtype=k) if len(x) else np.empty(0, k) for x, k in ((self.first, np.int64), (self.size, np.int64), (self.pool, np.int32)))
+        size = size[numbers]
+        pool = pool[_runs(first[numbers].ravel(), size.ravel())]
+        size = size.sum(axis=1)
+        first, at = np.cumsum(size) - size, flat.indices.to_numpy()
+        first, size = first[at], size[at]
+        ids = pool[_runs(first, size)]
         offsets = split.offsets.to_numpy()
-        cuts = np.concatenate([[0], ends])[offsets - offsets[0]]
+        cuts = np.concatenate([[0], np.cumsum(size)])[offsets - offsets[0]]
         return [out.get(k, ids[a:b]) for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True))]
 
 
+def _runs(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places first, first + 1, ... of runs of the given sizes, one run after the other."""
+    ends = np.cumsum(size)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - size), size)
+
+
 _ENCODERS: dict[str, ChunkEncoder] = {}  # kept by a worker between its tasks
 
 
@@ -154,9 +175,15 @@ def _encode(path: str, end_id: int):
         encoder = _ENCODERS[path]
         part, place, end = TaskContext.get().partitionId(), 0, np.array([end_id], dtype=np.int32)
         for batch in batches:
-            for at in range(0, batch.num_rows, ROWS):
-                piece = batch.slice(at, ROWS)
-                ids = [np.concatenate([x, end]) for x in encoder.encode(piece.column("text").cast(pa.large_string()).fill_null(""))]
+            texts = batch.column("text").cast(pa.large_string()).fill_null("")
+            upto = np.cumsum(pc.binary_length(texts).to_numpy())
+            at = 0
+            while at < batch.num_rows:  # pieces of about BYTES, of one text at least
+                before = upto[at - 1] if at else 0
+                rows = max(1, int(np.searchsorted(upto, before + BYTES, side="right")) - at)
+                piece = batch.slice(at, rows)
+                ids = [np.concatenate([x, end]) for x in encoder.encode(texts.slice(at, rows))]
+                at += rows
                 sizes = np.array([len(x) for x in ids], dtype=np.int64)
                 ends = np.cumsum(sizes)
                 places = place + ends - sizes
