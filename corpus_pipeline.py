@@ -28,22 +28,23 @@ def _documents(docs: DataFrame) -> DataFrame:
 
     That is its doc_id, unless rows of one doc_id hold different texts: they are
     different documents, and those rows get a number from doc_id and text. The
-    table of such doc_ids is joined by whatever means its size allows. A null
-    doc_id stays null in ``doc_id``, its rows are numbered by their texts.
+    table of such doc_ids is written first, so its size is known and decides how
+    it is joined: few of them cost the rows no exchange. A null doc_id stays null
+    in ``doc_id``, its rows are numbered by their texts.
     """
     texts = F.xxhash64("text")
     shared = docs.groupBy(F.col("doc_id").alias("_shared")).agg(F.min(texts).alias("_a"), F.max(texts).alias("_b"))
-    shared = shared.where("_a <> _b and _shared is not null").select("_shared")
+    shared = store(shared.where("_a <> _b and _shared is not null").select("_shared"), "shared")
     own = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 2) + F.lit(1 << 62)  # above the usual doc_ids, which go first
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text", own.alias("_own"))
     number = F.when(F.col("doc_id").isNull() | F.col("_shared").isNotNull(), F.col("_own")).otherwise(F.col("doc_id"))
     return rows.join(shared, F.col("doc_id") == F.col("_shared"), "left").select("row", number.alias("_id"), "doc_id", "text")
 
 
-def _renumbered(docs: DataFrame) -> DataFrame:
-    """``docs`` with the number of each document as its doc_id, and the doc_id itself as ``_doc_id``."""
-    fields = [c for c in docs.columns if c != "doc_id"]
-    return _documents(docs).select(F.col("_id").alias("doc_id"), F.col("doc_id").alias("_doc_id"), *[F.col(f"row.`{c}`").alias(c) for c in fields])
+def _renumbered(rows: DataFrame) -> DataFrame:
+    """The documents of ``rows`` (of ``_documents``) with the number of each as its doc_id, and the doc_id itself as ``_doc_id``."""
+    fields = [c for c in rows.schema["row"].dataType.names if c != "doc_id"]
+    return rows.select(F.col("_id").alias("doc_id"), F.col("doc_id").alias("_doc_id"), *[F.col(f"row.`{c}`").alias(c) for c in fields])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -74,12 +75,13 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Weights come by doc_id; rows of one doc_id with different texts are taken each
     by itself, equal rows equally often (the most of any of them).
     """
-    numbered = _renumbered(docs)
+    rows = _documents(docs)
+    numbered = _renumbered(rows)
     weights = quality_weights(read_table(spark, sf_dir, "labels"))
     by_number = numbered.select("doc_id", "_doc_id").distinct().join(weights.withColumnRenamed("doc_id", "_doc_id"), "_doc_id")
     taken = mix(numbered, by_number.select("doc_id", "quality")).where("copies > 0")
     taken = taken.groupBy(F.col("doc_id").alias("_taken")).agg(F.max("copies").alias("_copies"))
-    rows = _documents(docs).join(taken, F.col("_id") == F.col("_taken"))
+    rows = rows.join(taken, F.col("_id") == F.col("_taken"))
     return rows.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select("row.*")
 
 

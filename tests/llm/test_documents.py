@@ -129,6 +129,13 @@ def test_similarity_bound_is_in_whole_numbers():
     assert not similar(a, np.concatenate([a[:8], [90, 91]]).astype(np.uint64), 80)
 
 
+def test_segments_follow_the_size_of_the_texts_not_the_partitions(spark):
+    docs = spark.range(400).selectExpr("id as doc_id", "concat('word ', id % 7) as text").repartition(40)
+    index = phrase_index.build_index(docs)
+    assert index.where("term is null").count() == 1 and index.where("term = 'word'").count() == 1
+    assert index.where("term is null").selectExpr("size(doc_ids)").first()[0] == 400
+
+
 def contamination_brute(data, items):
     tok = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", fold(t))
     windows = collections.defaultdict(set)
@@ -375,6 +382,14 @@ def test_empty_tables(spark, run):
     assert run(spark.createDataFrame([], DOCS), spark).collect() == []
 
 
+def test_words_and_their_final_marks_are_looked_up_apart():
+    """Words with and without marks share an entry, also when they end in letters beyond ASCII or combining marks."""
+    encoder, texts = ChunkEncoder(tokenizer_path()), ["abc, Abc. abc été, été;; e\u0301, x\u0301. it's, a1. ?!", "", ", ,abc"]
+    got = [x.tolist() for x in encoder.encode(pa.array(texts))]
+    assert got == [encoder.whole(t).tolist() for t in texts]
+    assert {"abc", "été", ",", ".", ";;", "?!"} <= set(encoder.chunks) and not {"abc,", "abc.", "été,", "été;;"} & set(encoder.chunks)
+
+
 def test_token_files_of_an_empty_table(spark):
     path = shared_path(spark, "tokens")
     write_tokens(spark.createDataFrame([], DOCS), path, tokenizer_path())

@@ -453,3 +453,24 @@ def test_pipeline_judges_rows_that_share_a_doc_id_by_their_texts(spark):
     mixed = pipeline.mix_sources(spark, docs, SF)
     assert mixed.columns == docs.columns
     assert collections.Counter((r["doc_id"], r["text"]) for r in mixed.collect()) == collections.Counter(data)  # one source: each row once
+
+
+def test_rows_are_not_dealt_while_no_doc_id_is_shared(spark, capsys):
+    """Each exchange of the rows costs about their size on disk."""
+    import corpus_pipeline as pipeline
+
+    docs = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b"), (None, "c")], "doc_id long, text string")
+    pipeline._documents(docs).explain()
+    assert "Exchange hashpartitioning" not in capsys.readouterr().out
+    shared = pipeline._documents(docs.unionAll(docs.selectExpr("doc_id", "concat(text, 'x')"))).collect()
+    assert len({r["_id"] for r in shared}) == 6 and all(r["_id"] >= 1 << 62 for r in shared)
+
+
+def test_messages_of_the_count_tables_are_smaller_than_their_values():
+    rng = np.random.default_rng(3)
+    keys = np.sort(rng.integers(0, 1 << 63, 20_000).astype(np.uint64) * np.uint64(2))
+    sent = katz._six(keys)
+    assert len(sent) < 5.5 * len(keys) and (katz._from_six(sent) == keys >> np.uint64(16)).all()
+    for values in (np.array([], dtype=np.int32), rng.integers(0, 99, 1000), rng.random(7)):
+        assert (katz._unpack(katz._pack(values), values.dtype) == values).all()
+    assert len(katz._from_six(katz._six(keys[:0]))) == 0

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from upswing.llm.common import Vocabulary, binary_texts, map_arrow, store
 
 SEGMENT_TOKENS = 2_000_000
+SEGMENT_BYTES = 8 << 20  # of text that a partition holds at least, on average, when the index is built
 WINDOW = 10  # words
 BLOCK_WINDOWS = 50_000  # phrases searched in a segment at once
 BROADCAST_TERMS = 100_000  # terms up to which the list is broadcast (about 3 MB)
@@ -120,8 +121,12 @@ def build_index(docs: DataFrame) -> DataFrame:
     One row per (segment, term): cf (occurrences) and postings (positions in the
     segment). One more row per segment, with a null term, lists its documents and
     their numbers of words. Null and empty texts are documents of no words.
+    Small partitions are read together: the number of segments, and with it that
+    of rows, follows the size of the texts and not how they happen to be dealt.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    rows = rows.coalesce(max(1, math.ceil(size / SEGMENT_BYTES)))
     return store(map_arrow(rows, _segments, INDEX_SCHEMA), "index")
 
 
