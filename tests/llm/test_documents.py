@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.data import DOCS, SF, components, frame, rows
-from upswing.llm import line_dedup, near_dedup, phrase_index
+from upswing.llm import line_dedup, near_dedup, phrase_index, token_store
 from upswing.llm.mixing import CYCLE, mix, quality_weights
 from upswing.llm.near_dedup import near_duplicates, similar
 from upswing.llm.queries import QUERIES, tokenizer_path
@@ -222,6 +222,43 @@ def test_chunk_encoder_on_letters_that_normalise_to_a_mark_at_the_end():
         assert ids.tolist() == encoder.tokenizer.encode(t, add_special_tokens=False).ids, t
 
 
+def test_words_of_plain_letters_go_to_the_model_at_once():
+    """The model alone encodes them as the library does; all others still go through the whole tokenizer."""
+    rng, encoder = random.Random(5), ChunkEncoder(tokenizer_path())
+    plain = [chr(c) for c in encoder.forms]
+    assert set("abcxyzéßñçøžжщё") <= set(plain) and not set("İ日σ가\u0301'1") & set(plain)
+    words = ["".join(rng.choices(plain, k=rng.randrange(1, 9))) for _ in range(20_000)] + [x for a in plain for x in (a, f"{a}b", f"z{a}", 3 * a)]
+    whole = encoder.whole
+    want = [whole(w).tolist() for w in words]
+
+    tokenizer = encoder.tokenizer
+
+    class OnlyMarks:
+        def encode(self, text, **kw):
+            assert not any(map(str.isalpha, text)), text
+            return tokenizer.encode(text, **kw)
+
+    encoder.tokenizer = OnlyMarks()
+    assert [x.tolist() for x in encoder.encode(pa.array(words))] == want
+    encoder.tokenizer = tokenizer
+    texts = [f"{a}{mark}{b}" for a, b in zip(words[:3000], words[3000:6000], strict=True) for mark in ("İ", "\u0301", "'", "日", "1", "σ")]
+    assert [x.tolist() for x in encoder.encode(pa.array(texts))] == [whole(t).tolist() for t in texts]
+
+
+def test_chunks_are_looked_up_once_for_many_pieces(monkeypatch):
+    """Small pieces are written out, but the distinct chunks of all of them are looked up together; ends follow each text."""
+    encoder, calls = ChunkEncoder(tokenizer_path(), most=100), []
+    numbers = encoder._numbers
+    monkeypatch.setattr(token_store, "BYTES", 300)
+    monkeypatch.setattr(encoder, "_numbers", lambda parts: calls.append(len(parts)) or numbers(parts))
+    texts = ODD + [r[1] or "" for r in rows()]
+    for _ in range(3):
+        pieces = list(encoder.lists(pa.array(texts), (1, 7)))
+        got = [ids[b - n : b].tolist() for sizes, ids in pieces for n, b in zip(sizes, sizes.cumsum(), strict=True)]
+        assert got == [[*encoder.whole(t).tolist(), 1, 7] for t in texts] and len(pieces) > 20
+    assert len(calls) == 3 and len(encoder.known) == len(set(encoder.chunks))
+
+
 def test_token_files(spark):
     from tokenizers import Tokenizer
 
