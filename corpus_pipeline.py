@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from upswing.llm.common import read_table, store
+from upswing.llm.common import BYTES_TOGETHER, ROWS_TOGETHER, read_table, store, together
 from upswing.llm.lang_id import UNDETERMINED, fit, held_out_rows, predict
 from upswing.llm.mixing import mix, quality_weights
 from upswing.llm.near_dedup import near_duplicates
@@ -23,6 +23,10 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return predict(docs, net).where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= MIN_SCORE)).select("row.*")
 
 
+def _text_bytes(docs: DataFrame) -> int:
+    return docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+
+
 def _documents(docs: DataFrame) -> DataFrame:
     """(row, _id, doc_id, text): the rows with a number of each document.
 
@@ -34,7 +38,8 @@ def _documents(docs: DataFrame) -> DataFrame:
     """
     texts = F.xxhash64("text")
     shared = docs.groupBy(F.col("doc_id").alias("_shared")).agg(F.min(texts).alias("_a"), F.max(texts).alias("_b"))
-    shared = store(shared.where("_a <> _b and _shared is not null").select("_shared"), "shared")
+    shared = shared.where("_a <> _b and _shared is not null").select("_shared")
+    shared = store(together(shared, docs.count(), ROWS_TOGETHER), "shared")
     own = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 2) + F.lit(1 << 62)  # above the usual doc_ids, which go first
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text", own.alias("_own"))
     number = F.when(F.col("doc_id").isNull() | F.col("_shared").isNotNull(), F.col("_own")).otherwise(F.col("doc_id"))
@@ -58,7 +63,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     dropped = near_duplicates(named.select(F.col("_id").alias("doc_id"), "text"), words_per=5, percent=80).where("not kept")
     named = named.join(dropped.select(F.col("doc_id").alias("_dropped")).distinct(), F.col("_id") == F.col("_dropped"), "left_anti")
     first = F.row_number().over(Window.partitionBy("_id").orderBy(F.xxhash64("text")))
-    return named.withColumn("_n", first).where("_n = 1").select("row.*").unionAll(rows.where("doc_id is null").select("row.*"))
+    kept = named.withColumn("_n", first).where("_n = 1").select("row.*").unionAll(rows.where("doc_id is null").select("row.*"))
+    return together(kept, _text_bytes(docs), BYTES_TOGETHER)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,7 +72,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     rows = _documents(docs)
     judged = decontaminate(rows.select(F.col("_id").alias("doc_id"), "text"), read_table(spark, sf_dir, "benchmark"))
     hit = judged.where("contaminated").select(F.col("doc_id").alias("_hit")).distinct()
-    return rows.join(hit, F.col("_id") == F.col("_hit"), "left_anti").select("row.*")
+    clean = rows.join(hit, F.col("_id") == F.col("_hit"), "left_anti").select("row.*")
+    return together(clean, _text_bytes(docs), BYTES_TOGETHER)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -81,7 +88,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     by_number = numbered.select("doc_id", "_doc_id").distinct().join(weights.withColumnRenamed("doc_id", "_doc_id"), "_doc_id")
     taken = mix(numbered, by_number.select("doc_id", "quality")).where("copies > 0")
     taken = taken.groupBy(F.col("doc_id").alias("_taken")).agg(F.max("copies").alias("_copies"))
-    rows = rows.join(taken, F.col("_id") == F.col("_taken"))
+    rows = together(rows.join(taken, F.col("_id") == F.col("_taken")), _text_bytes(docs), BYTES_TOGETHER)
     return rows.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select("row.*")
 
 
@@ -89,7 +96,7 @@ def write_token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Writes the token ids of all rows to ORC files and returns, read back: doc_id, start, n_tokens, ids_crc32."""
     path = shared_path(spark, "llm", "tokens")
     write_tokens(docs, path, tokenizer_path())
-    return token_digests(spark, path)
+    return together(token_digests(spark, path), _text_bytes(docs), BYTES_TOGETHER)
 
 
 STAGES = [

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.data import DOCS, SF, components, frame, rows
-from upswing.llm import line_dedup, near_dedup, phrase_index, token_store
+from upswing.llm import common, line_dedup, near_dedup, phrase_index, token_store
 from upswing.llm.mixing import CYCLE, mix, quality_weights
 from upswing.llm.near_dedup import near_duplicates, similar
 from upswing.llm.queries import QUERIES, tokenizer_path
@@ -114,6 +114,55 @@ def test_members_of_open_buckets_are_dealt_once(spark, capsys):
     assert 1 <= plan.count("Exchange hashpartitioning") <= 2 and plan.count("Exchange hashpartitioning(key") == plan.count("Exchange")
 
 
+def test_small_partitions_are_written_together(spark, monkeypatch):
+    """Written files follow the rows, not the number of shuffle partitions; the rows stay the same."""
+    files, data = {}, [r[:2] for r in rows()]
+
+    def recorded(df, what, *more, plain=common.store):
+        out = plain(df, what, *more)
+        files[what] = max(files.get(what, 0), len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(near_dedup, "store", recorded)
+    monkeypatch.setattr(common, "store", recorded)
+    was = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 24)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        got = near_duplicates(frame(spark, rows()), 4, 80).collect()
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    assert sorted((tuple(r) for r in got), key=str) == near_brute(data, 4, 80)
+    once = ("copies", "members", "texts", "pairs", "stars", "round1_labels")
+    assert {what: files[what] for what in once} == dict.fromkeys(once, 1)
+
+
+def test_workers_release_memory_after_each_task(monkeypatch):
+    """Also after a task that fails or whose rows are not all asked for."""
+    released = []
+    monkeypatch.setattr(common, "release_unused", lambda: released.append(1))
+
+    class Frame:
+        def mapInArrow(self, fn, schema):
+            return fn
+
+    def fails(batches):
+        yield from batches
+        raise ValueError
+
+    assert list(common.map_arrow(Frame(), lambda batches: (2 * x for x in batches), "")(iter([1, 2]))) == [2, 4]
+    assert released == [1]
+    some = common.map_arrow(Frame(), lambda batches: batches, "")(iter([1, 2]))
+    next(some)
+    assert released == [1]
+    some.close()
+    assert released == [1, 1]
+    with pytest.raises(ValueError):
+        list(common.map_arrow(Frame(), fails, "")(iter([1])))
+    assert released == [1, 1, 1]
+
+
 def test_near_duplicates_default_parameters_on_a_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     got = near_duplicates(docs).collect()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 from itertools import count
@@ -19,6 +20,8 @@ MIX_A, MIX_B = 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 U64 = (1 << 64) - 1
 #: Spark's setting that removes the shuffle files of a query once it has ended.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: What a partition holds at least, on average, when small ones are read together: narrow rows, bytes of texts.
+ROWS_TOGETHER, BYTES_TOGETHER = 100_000, 8 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,12 +49,37 @@ def store(df: DataFrame, what: str, partition_by: tuple[str, ...] = ()) -> DataF
     return spark.read.schema(df.schema).parquet(path)
 
 
+def together(df: DataFrame, size: float, each: int) -> DataFrame:
+    """``df`` with small partitions read together: as many at most as there are parts of ``each`` in ``size``.
+
+    The number of files then follows the size of the data, not how it happens to be
+    dealt (on a local disk Hadoop starts processes for each file, which share an
+    executor's memory until they run). Nothing is shuffled, and the order within
+    a partition stays.
+    """
+    return df.coalesce(max(1, math.ceil(size / each)))
+
+
 def n_shuffle(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def release_unused() -> None:
+    """Give the memory that Arrow's pool and malloc hold without use back to the system."""
+    pa.default_memory_pool().release_unused()
+    pa.system_memory_pool().release_unused()  # trims malloc, which serves numpy
+
+
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    return df.mapInArrow(fn, schema)
+    """``df.mapInArrow`` by a worker that keeps no free memory: the worker waits for its next task beside the others and the executor."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from fn(batches)
+        finally:
+            release_unused()
+
+    return df.mapInArrow(run, schema)
 
 
 def binary_texts(column: pa.Array) -> Iterator[bytes | None]:
@@ -131,13 +159,16 @@ def connected_components(edges: DataFrame, what: str = "components") -> DataFram
     Labels start as the smallest neighbour; each round takes the smallest label
     among the neighbours and then jumps to the label's own label, so stars
     settle at once and chains in a logarithmic number of rounds. Only the count
-    of changed labels reaches the driver; each round is a written table.
+    of the edges and whether labels changed reach the driver; each round is a
+    written table.
     """
     both = store(
         edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct(),
         f"{what}_edges",
     )
-    labels = store(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("component")), f"{what}_labels")
+    n = both.count()  # there are no more nodes
+    labels = both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("component"))
+    labels = store(together(labels, n, ROWS_TOGETHER), f"{what}_labels")
     while True:
         near = (
             both.join(labels.withColumnsRenamed({"node": "b", "component": "seen"}), "b")
@@ -146,12 +177,10 @@ def connected_components(edges: DataFrame, what: str = "components") -> DataFram
         )
         pulled = labels.join(near, "node").select("node", F.col("component").alias("was"), F.least("component", "seen").alias("component"))
         jump = labels.select(F.col("node").alias("component"), F.col("component").alias("further"))
-        new = store(
-            pulled.join(jump, "component", "left").select(
-                "node", "was", F.least("component", F.coalesce("further", "component")).alias("component")
-            ),
-            f"{what}_labels",
+        new = pulled.join(jump, "component", "left").select(
+            "node", "was", F.least("component", F.coalesce("further", "component")).alias("component")
         )
+        new = store(together(new, n, ROWS_TOGETHER), f"{what}_labels")
         labels = new.select("node", "component")
         if new.where("component <> was").isEmpty():
             return labels

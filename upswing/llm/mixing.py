@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from upswing.llm.common import binary_texts, map_arrow, store, unit_hash
+from upswing.llm.common import ROWS_TOGETHER, binary_texts, map_arrow, store, together, unit_hash
 
 CYCLE = (1.0, 2.0, 3.0)  # weights of the sources by code point, repeating
 MAX_EPOCHS = 3
@@ -119,10 +119,12 @@ def mix(
         sized = sized.join(q, "doc_id", "left").withColumn("weight", F.coalesce("quality", F.lit(UNKNOWN))).drop("quality")
     key = -F.log(unit_hash("doc_id", F.lit(seed))) / F.col("weight")
     sized = store(sized.withColumn("key", key), "sizes")
+    n = sized.count()
     targets = source_targets(sized, cycle, share, max_epochs)
     spread = key_buckets(sized).withColumnRenamed("source", "s")
     sized = sized.join(spread, F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    sized = store(sized.withColumn("bucket", bucket_of(ROWS_PER_BUCKET)).drop("rows", "spread", "weight"), "sizes")
+    sized = sized.withColumn("bucket", bucket_of(ROWS_PER_BUCKET)).drop("rows", "spread", "weight")
+    sized = store(together(sized, n, ROWS_TOGETHER), "sizes")
     sums = sized.groupBy("source", "bucket").agg(F.sum("size").alias("here"))
     before = F.sum("here").over(Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
     sums = sums.select("source", "bucket", F.coalesce(before, F.lit(0)).alias("before"))

@@ -22,11 +22,12 @@ from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from upswing.llm.common import Vocabulary, binary_texts, connected_components, map_arrow, mix64, store
+from upswing.llm.common import BYTES_TOGETHER, ROWS_TOGETHER, Vocabulary, binary_texts, connected_components, map_arrow, mix64, store, together
 
 DOMAIN = 1 << 21  # places of the second permutation
 BANDS, ROWS = 32, 4
@@ -107,8 +108,8 @@ def _sign(words_per: int):
                 fp2.append(int.from_bytes(digest[8:], "little", signed=True))
                 bands.append(band_keys(signature(s)) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(fp, pa.int64()), pa.array(fp2, pa.int64()), pa.array(bands, pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "fp", "fp2", "bands"],
+                [batch.column("doc_id"), pc.binary_length(batch.column("text")).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(fp, pa.int64()), pa.array(fp2, pa.int64()), pa.array(bands, pa.list_(pa.int64()))],
+                names=["doc_id", "n_bytes", "n_shingles", "fp", "fp2", "bands"],
             )
 
     return run
@@ -256,37 +257,44 @@ def near_duplicates(docs: DataFrame, words_per: int = 5, percent: int = 80) -> D
     size cost one signature row. Other columns of ``docs`` are not read.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = store(map_arrow(docs, _sign(words_per), "doc_id long, n_shingles long, fp long, fp2 long, bands array<long>"), "signed")
+    signed = store(map_arrow(docs, _sign(words_per), "doc_id long, n_bytes long, n_shingles long, fp long, fp2 long, bands array<long>"), "signed")
+    n, size = signed.agg(F.count("*"), F.coalesce(F.sum("n_bytes"), F.lit(0))).first()
+    text = size / max(1, n)  # bytes on average
     usable = signed.where("n_shingles > 0 and doc_id is not null")
     # a class is all documents with one set, and its first document stands for it; equal sets have equal bands
     several = usable.groupBy("fp", "fp2").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("last")).where("a < last")
     copies = usable.select("fp", "fp2", F.col("doc_id").alias("b")).join(several, ["fp", "fp2"])
-    copies = store(copies.where("a <> b").select("a", "b").distinct(), "copies")
+    copies = store(together(copies.where("a <> b").select("a", "b").distinct(), n, ROWS_TOGETHER), "copies")
     classes = usable.groupBy("fp", "fp2").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
     banded = classes.select("rep", F.explode("bands").alias("key")).repartition("key")  # dealt once, for the sums and the join
     buckets = banded.groupBy("key").agg(F.min("rep").alias("leader"), F.max("rep").alias("last")).where("leader < last")
-    members = store(banded.join(buckets.drop("last"), "key").distinct(), "members")  # only buckets with several members
+    members = together(banded.join(buckets.drop("last"), "key").distinct(), BANDS * n, ROWS_TOGETHER)
+    members = store(members, "members")  # only buckets with several members
 
     ids = members.select(F.col("rep").alias("id")).distinct()
-    texts = store(ids.join(docs.withColumnRenamed("doc_id", "id"), "id").distinct(), "texts")
+    texts = store(together(ids.join(docs.withColumnRenamed("doc_id", "id"), "id").distinct(), size, BYTES_TOGETHER), "texts")
 
     pairs = members.where("rep <> leader").select("leader", "rep").distinct()
     chunks = pairs.groupBy("leader").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("chunks"))
-    pairs = store(pairs.join(chunks, "leader").select("leader", F.expr("pmod(xxhash64(rep), chunks)").alias("chunk"), "rep"), "pairs")
+    pairs = pairs.join(chunks, "leader").select("leader", F.expr("pmod(xxhash64(rep), chunks)").alias("chunk"), "rep")
+    pairs = store(together(pairs, members.count(), ROWS_TOGETHER), "pairs")
     rows = pairs.select("leader", "chunk", F.lit(True).alias("is_member"), F.col("rep").alias("id")).unionAll(
         pairs.select("leader", "chunk", F.lit(False).alias("is_member"), F.col("leader").alias("id")).distinct()
     )
     rows = _with_text(rows, texts, "id").repartition("leader", "chunk").sortWithinPartitions("leader", "chunk", "is_member")
+    rows = together(rows, 2 * pairs.count() * text, BYTES_TOGETHER)
     stars = store(map_arrow(rows, _verify(words_per, percent), "a long, b long"), "stars")
     found = connected_components(copies.unionAll(stars), "round1")
 
     labelled = members.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("component"))
     paired = store(block_pairs(labelled), "paired")
+    paired_rows = paired.count()
     # buckets with the same members (several bands of one family) are compared once
     same = paired.groupBy("key", "i", "j").agg(F.sum(F.xxhash64("rep", "side").cast("decimal(38,0)")).alias("who"), F.count("*").alias("size"))
     once = same.groupBy("who", "size", "i", "j").agg(F.min("key").alias("key")).select("key", "i", "j")
     paired = _with_text(paired.join(once, ["key", "i", "j"]), texts, "rep")
     rows = paired.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    rows = together(rows, paired_rows * text, BYTES_TOGETHER)
     rest = store(map_arrow(rows, _forest(words_per, percent), "a long, b long"), "rest")
     out = signed.select("doc_id", "n_shingles").join(found.withColumnsRenamed({"node": "doc_id"}), "doc_id", "left")
     out = out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))

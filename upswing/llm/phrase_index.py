@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from upswing.llm.common import Vocabulary, binary_texts, map_arrow, store
+from upswing.llm.common import ROWS_TOGETHER, Vocabulary, binary_texts, map_arrow, store, together
 
 SEGMENT_TOKENS = 2_000_000
 SEGMENT_BYTES = 8 << 20  # of text that a partition holds at least, on average, when the index is built
@@ -238,10 +238,8 @@ def search(index: DataFrame, phrases: DataFrame, slop: int = 0) -> DataFrame:
         .agg(F.array_sort(F.collect_list(F.struct("cf", "offset", "term"))).alias("plan"), F.count(F.when(F.col("cf").isNull(), 1)).alias("absent"))
         .where("absent = 0")  # a term that occurs nowhere: no match
     )
-    plan = store(
-        plan.select("phrase", F.col("plan.term").alias("terms"), F.col("plan.offset").alias("offsets"), F.element_at("plan", 1)["term"].alias("rarest")),
-        "plans",
-    )
+    plan = plan.select("phrase", F.col("plan.term").alias("terms"), F.col("plan.offset").alias("offsets"), F.element_at("plan", 1)["term"].alias("rarest"))
+    plan = store(together(plan, phrases.count(), ROWS_TOGETHER), "plans")
     blocks = max(1, math.ceil(plan.count() / BLOCK_WINDOWS))
     every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
     visits = posted.select("segment", F.col("term").alias("rarest")).join(plan, "rarest")
