@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import math
+import os
 import random
 import zlib
 
@@ -374,6 +375,43 @@ def test_vectors_of_links_just_above_the_threshold(spark, monkeypatch, dim, bloc
     assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in got} == {i: (n[i], comp[i]) for i, _ in data}
 
 
+def test_vectors_are_stored_once_not_for_each_cell(spark, monkeypatch):
+    """Pairs of groups read the stored vectors: none are shuffled for the cells they may link in, nor written for them."""
+    tables, plans = {}, {}
+
+    def seen(df, what):
+        plans[what] = df._jdf.queryExecution().executedPlan().toString()
+        tables[what] = store(df, what)
+        return tables[what]
+
+    store = vector_dedup.store
+    monkeypatch.setattr(vector_dedup, "store", seen)
+    monkeypatch.setattr(vector_dedup, "CELL", 20)
+    x = np.random.default_rng(8).standard_normal((2000, 64)).astype(np.float32)
+    df = frame(spark, [(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<float>")
+    assert sum(r["n_links"] for r in vector_dedup.near_vectors(df).collect()) == 0
+    written = sum(os.path.getsize(f.removeprefix("file://")) for t in tables.values() for f in t.inputFiles())
+    assert "Exchange" not in plans["links"]
+    assert written < 3 * x.nbytes
+
+
+@pytest.mark.parametrize("group, block, most", [(40, 2048, 6 << 20), (100_000, 16, 64 * 4 * 50)])
+def test_vectors_of_many_groups(spark, monkeypatch, group, block, most):
+    """Links inside groups and between them, one by one and in dense groups of near copies, in vectors of two lengths."""
+    for name, value in {"GROUP": group, "GROUP_BYTES": most, "BLOCK": block, "CELL": 10}.items():
+        monkeypatch.setattr(vector_dedup, name, value)
+    rng = np.random.default_rng(6)
+    rows = [x for dim in (64, 24) for x in rng.standard_normal((120, dim))]
+    rows += [rows[k] + rng.uniform(0.02, 0.065) * rng.standard_normal(len(rows[k])) for k in [0] * 90 + [200] * 60 + list(range(100, 140))]
+    data = [(k, x.tolist()) for k, x in enumerate(rows)]
+    data += [(1000 + k, data[k][1]) for k in (0, 0, 100, 5)]
+    data = [data[k] for k in rng.permutation(len(data))]
+    got = vector_dedup.near_vectors(frame(spark, data, "vec_id long, embedding array<double>")).collect()
+    n, comp = vectors_brute(data)
+    assert max(n.values()) > 60 and len(got) == len(data)
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in got} == {i: (n[i], comp[i]) for i, _ in data}
+
+
 def test_vectors_whose_first_hashes_are_equal_stay_apart(spark, monkeypatch):
     monkeypatch.setattr(vector_dedup, "two_hashes", lambda c: (F.lit(1).cast("long"), F.xxhash64(F.lit(7), c)))
     rows = [(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [1.0, 0.0]), (4, [0.96, 0.28])]
