@@ -39,7 +39,7 @@ SLACK = 1e-6  # added to the margin, for rounding
 BLOCK = 2_048  # vectors of a cell compared at once
 GROUP = 24_576  # aimed vectors of a group, at most
 GROUP_BYTES = 6 << 20  # aimed bytes of their components, at most
-LEAST_GROUPS = 16  # aimed at, so that there are pairs for many tasks
+LEAST_GROUPS = 12  # aimed at, so that there are pairs for many tasks
 SIDE = 64  # partitions that the groups are read in, on each side of a pair
 SIDE_BYTES = 64 << 20  # that a partition of the second side holds in memory
 STRIP = 96  # vectors of a block compared at once with those their bound leaves
@@ -394,7 +394,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, margin: float | Non
     # cells are dealt unevenly: a group may hold twice its share
     groups = map_arrow(placed, _gather(2 * GROUP, 2 * GROUP_BYTES, itemsize), "dim int, embedding binary, rep binary, copies binary, cell binary")
     with _set(spark, "spark.sql.files.maxRecordsPerFile", "1"):
-        groups = store(groups.withColumn("gid", F.monotonically_increasing_id()), "groups").coalesce(max(min(SIDE, math.ceil(n_groups / 2)), math.ceil(size / SIDE_BYTES)))
+        groups = store(groups.withColumn("gid", F.monotonically_increasing_id()), "groups").coalesce(max(min(SIDE, max(LEAST_GROUPS, math.ceil(n_groups / 3))), math.ceil(size / SIDE_BYTES)))
     other = groups.withColumnsRenamed({c: f"{c}2" for c in groups.columns})
     odd = F.xxhash64("gid").bitwiseXOR(F.xxhash64("gid2")).bitwiseAND(F.lit(1).cast("long")) == 1
     once = (F.col("gid") == F.col("gid2")) | (odd & (F.col("gid") < F.col("gid2"))) | (~odd & (F.col("gid") > F.col("gid2")))
